@@ -1,0 +1,52 @@
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillhouse.functions import keys as K
+from tillhouse.schemas import DATE
+
+START = datetime(2017, 3, 1)
+
+
+def moments(spark, partitions=3):
+    """A third within one minute, the rest over days; some repeat."""
+    rng = random.Random(1)
+    values = [START + timedelta(microseconds=rng.randint(0, 59_999_999)) for _ in range(100)]
+    values += [START + timedelta(seconds=rng.randint(0, 40 * 86_400)) for _ in range(200)]
+    values += values[:50]
+    return spark.createDataFrame([(v,) for v in values], "at timestamp_ntz").repartition(partitions), values
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 11])
+def test_keys_are_dense_and_do_not_depend_on_partitioning(spark, partitions):
+    df, values = moments(spark, partitions)
+    got = {r["at"]: r["k"] for r in K.dense_moment_keys(df, "at", "k", base=100).collect()}
+    assert got == {v: 101 + i for i, v in enumerate(sorted(set(values)))}
+
+
+def test_date_dimension_grows_once(spark):
+    df, values = moments(spark)
+    empty = spark.createDataFrame([], DATE.schema)
+    early = df.where(F.col("at") < F.lit(str(START + timedelta(days=9))).cast("timestamp_ntz"))
+    first = K.extend_date_dimension(empty, early, "at").select(DATE.names)
+    second = K.extend_date_dimension(first, df, "at").select(DATE.names)
+    both = first.unionByName(second)
+    assert sorted(r["date_id"] for r in both.collect()) == list(range(1, len(set(values)) + 1))
+    assert K.extend_date_dimension(both, df, "at").count() == 0
+
+
+def test_branch_keys(spark):
+    rows = [(1 + i % 2, i * 70_000) for i in range(50)] + [(1, 2**33 + 5), (2, 2**40)]
+    df = spark.createDataFrame(rows, "store long, n long")
+    got = {(r["store"], r["n"]): r["key"] for r in K.branch_keys(df, "store", "n", "key").collect()}
+    for store in (1, 2):
+        own = sorted(n for s, n in rows if s == store)
+        assert [got[(store, n)] for n in own] == [store * 10_000_000 + i for i in range(len(own))]
+
+
+def test_branch_range_overflow_is_an_error(spark):
+    df = spark.range(11).select(F.lit(1).alias("store"), F.col("id").alias("n"))
+    with pytest.raises(Exception, match="more keys than its range"):
+        K.branch_keys(df, "store", "n", "key", span=10).collect()

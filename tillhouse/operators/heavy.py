@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# At most this many keys are listed, and a key's rows are split into at most this many pieces.
+# A key that is not listed holds less than 1/SHARE of all rows, whatever the data.
 SHARE = 1024
+# A key with fewer rows than this is left whole.
 LEAST = 1_000_000
 
 
-def heavy_keys(df: DataFrame, keys: list[str], share: int = SHARE, least: int = LEAST) -> DataFrame:
-    """Keys with more than 1/``share`` of all rows and more than ``least`` rows, and the number of
-    ``pieces`` such a key's rows should be split into.
-
-    Counted with map-side partial counts. Fewer than ``share`` keys can hold more than 1/``share``
-    of the rows each, so the result is always small enough to broadcast.
+def heavy_keys(df: DataFrame, keys: list[str], least: int = LEAST, share: int = SHARE) -> DataFrame | None:
+    """The ``share`` keys with the most rows, if above ``least`` rows, and the number of ``pieces``
+    each should be split into. None if there is no such key, which one narrow count with map-side partial
+    counts finds out. The list has at most ``share`` rows and may be broadcast.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    limit = F.greatest(F.col("_total") / share, F.lit(least).cast("double"))
-    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_total")).scalar()
-    return (counts.withColumn("_total", total).withColumn("_limit", limit)
-            .where(F.col("_n") > F.col("_limit"))
-            .select(*keys, F.ceil(F.col("_n") / F.col("_limit")).cast("int").alias("pieces")))
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > least)
+    pieces = F.least(F.lit(share), F.ceil(F.col("_n") / least)).cast("int").alias("pieces")
+    top = counts.orderBy(F.desc("_n"), *keys).limit(share).select(*keys, pieces)
+    found = top.collect()
+    return df.sparkSession.createDataFrame(found, top.schema) if found else None

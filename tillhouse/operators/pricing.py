@@ -23,8 +23,8 @@ def price_revisions(price: DataFrame) -> DataFrame:
 def latest_price(price: DataFrame) -> DataFrame:
     """Newest price of each product. An aggregate and not a window, so that a product with very
     many revisions is reduced before the shuffle."""
-    newest = F.max(F.struct("set_date", "price_id", "cost_sale")).alias("p")
-    return price.groupBy("product_id").agg(newest).select("product_id", "p.set_date", "p.cost_sale")
+    return price_revisions(price).groupBy("product_id").agg(
+        F.max("set_date").alias("set_date"), F.max_by("cost_sale", "set_date").alias("cost_sale"))
 
 
 def asof_price(line: DataFrame, price: DataFrame, method: str = "auto",
@@ -64,14 +64,32 @@ def _asof_broadcast(line: DataFrame, revisions: DataFrame) -> DataFrame:
 
 
 def _asof_window(line: DataFrame, revisions: DataFrame, share: int, least: int) -> DataFrame:
-    """Union of revisions and lines, last price before each line.
-
-    A product is one group, unless it holds a large share of the rows. Such a product is cut into
-    minutes, and its lines of one minute into pieces by a hash of the line; each minute starts with the price
-    that held before it, and each piece gets its own copy of the minute's prices.
-    """
+    """Union of revisions and lines, last price before each line. A product is one group, unless it is
+    one of the few that hold a large share of the rows."""
     both = line.select("product_id").unionByName(revisions.select("product_id"))
-    heavy = F.broadcast(heavy_keys(both, ["product_id"], share, least))
+    heavy = heavy_keys(both, ["product_id"], least, share)
+    if heavy is None:
+        return _last_price(line, revisions, ["product_id"])
+    heavy = F.broadcast(heavy)
+    return _asof_split(line, revisions, heavy)
+
+
+def _last_price(line: DataFrame, revisions: DataFrame, group: list[str]) -> DataFrame:
+    prices = revisions.select(*group, F.lit(0).alias("_kind"), F.col("set_date").alias("_at"),
+                              F.col("cost_sale").alias("_price"))
+    marked = line.withColumns({"_kind": F.lit(1), "_at": F.col("check_date")})
+    order = Window.partitionBy(*group).orderBy(
+        F.col("_at").asc_nulls_first(), "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    return (marked.unionByName(prices, allowMissingColumns=True)
+            .withColumn("price", F.last("_price", ignorenulls=True).over(order))
+            .where(F.col("_kind") == 1).drop("_kind", "_at", "_price"))
+
+
+def _asof_split(line: DataFrame, revisions: DataFrame, heavy: DataFrame) -> DataFrame:
+    """As above, with each heavy product cut into minutes, and its lines of one minute dealt to pieces by a
+    hash of the line. A minute starts with the price that held before it, and each piece has its
+    own copy of the minute's prices."""
+    group = ["product_id", "_slice", "_piece"]
 
     def cut(df: DataFrame, at: str) -> DataFrame:
         days = F.datediff(F.to_date(at), F.lit("1970-01-01").cast("date")).cast("long")
@@ -79,36 +97,23 @@ def _asof_window(line: DataFrame, revisions: DataFrame, share: int, least: int)
         return df.join(heavy, "product_id", "left").withColumn(
             "_slice", F.when(F.col("pieces").isNotNull(), minute).otherwise(F.lit(0).cast("long")))
 
-    whole_line = F.xxhash64(*line.columns)
-    lines = cut(line, "check_date").withColumn(
-        "_piece", F.coalesce(F.pmod(whole_line, F.col("pieces")), F.lit(0)).cast("int"))
-    cuts = cut(revisions, "set_date")
+    piece = F.pmod(F.xxhash64(*line.columns), F.col("pieces"))
+    lines = cut(line, "check_date").withColumn("_piece", F.coalesce(piece, F.lit(0)).cast("int"))
+    prices = cut(revisions, "set_date")
 
-    # Heavy products only: the price each of their minutes starts with.
-    split = lines.where(F.col("pieces").isNotNull())
-    wanted = split.select("product_id", "_slice", "pieces").distinct().withColumn(
-        "_closing", F.lit(None).cast(T.DoubleType()))
-    closing = cuts.where(F.col("pieces").isNotNull()).groupBy("product_id", "_slice", "pieces").agg(
+    # The price that each minute of a heavy product starts with.
+    wanted = lines.where(F.col("pieces").isNotNull()).select("product_id", "pieces", "_slice").distinct()
+    closing = prices.where(F.col("pieces").isNotNull()).groupBy("product_id", "pieces", "_slice").agg(
         F.max_by("cost_sale", "set_date").alias("_closing"))
-    minutes = wanted.unionByName(closing).groupBy("product_id", "_slice", "pieces").agg(
-        F.max("_closing").alias("_closing"))
     earlier = Window.partitionBy("product_id").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    opening = minutes.withColumn("cost_sale", F.last("_closing", ignorenulls=True).over(earlier)).where(
-        F.col("cost_sale").isNotNull())
-
-    pieces = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("pieces"), F.lit(1)) - 1))
-    prices = opening.select("product_id", "_slice", "pieces", "cost_sale",
-                            F.lit(None).cast(T.TimestampNTZType()).alias("set_date")).unionByName(
-        cuts.select("product_id", "_slice", "pieces", "cost_sale", "set_date"))
-    prices = prices.select("product_id", "_slice", pieces.alias("_piece"), F.lit(0).alias("_kind"),
-                           F.col("set_date").alias("_at"), F.col("cost_sale").alias("_price"))
-
-    marked = lines.drop("pieces").withColumns({"_kind": F.lit(1), "_at": F.col("check_date")})
-    order = Window.partitionBy("product_id", "_slice", "_piece").orderBy(
-        F.col("_at").asc_nulls_first(), "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    return (marked.unionByName(prices, allowMissingColumns=True)
-            .withColumn("price", F.last("_price", ignorenulls=True).over(order))
-            .where(F.col("_kind") == 1).select(*line.columns, "price"))
+    opening = wanted.join(closing, ["product_id", "pieces", "_slice"], "full_outer").withColumn(
+        "cost_sale", F.last("_closing", ignorenulls=True).over(earlier)).drop("_closing")
+    opening = opening.where(F.col("cost_sale").isNotNull()).withColumn(
+        "set_date", F.lit(None).cast(T.TimestampNTZType()))
+
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("pieces"), F.lit(1)) - 1))
+    dealt = prices.unionByName(opening).withColumn("_piece", copies)
+    return _last_price(lines.drop("pieces"), dealt, group).drop("_slice", "_piece")
 
 
 def price_lines(line: DataFrame, check: DataFrame, price: DataFrame, method: str = "auto") -> DataFrame:

@@ -35,3 +35,12 @@ def check_headers(sales: DataFrame) -> DataFrame:
 
 def check_lines(sales: DataFrame) -> DataFrame:
     return sales.select("product_id", "check_id", "price", "cnt")
+
+
+def recent_checks(card: DataFrame, check: DataFrame, most: int) -> DataFrame:
+    """For each card its newest checks: the right side is evaluated per row of the left. Only equality
+    may tie the two sides, else Spark would pair every card with every check."""
+    owner = card.select(F.col("card_id").alias("owner"))
+    own = check.where(F.col("card_id") == F.col("owner").outer())
+    newest = own.orderBy(F.desc("check_date"), F.desc("check_id")).limit(most).select("check_id", "check_date")
+    return owner.lateralJoin(newest).withColumnRenamed("owner", "card_id")

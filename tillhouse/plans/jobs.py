@@ -21,6 +21,8 @@ from tillhouse.sources.branches import fan_in
 from tillhouse.sources.extracts import new_cards, new_checks, new_products
 from tillhouse.sources.tables import TableStore
 
+# Receipts per store and partition of the fact table.
+CHECK_RANGE = 10_000_000
 STATUS = "entity string, target string, rows long"
 
 
@@ -29,9 +31,12 @@ def branch_store(spark: SparkSession, root: str) -> TableStore:
 
 
 def warehouse_store(spark: SparkSession, root: str) -> TableStore:
-    """Facts and cards are split by store, so a load rewrites only the stores it touches."""
-    return TableStore(spark, root, WAREHOUSE_TABLES,
-                      {"sale_fact": "store_id", "card": f"card_id div {CARD_RANGE}"})
+    """Cards are split by store, and facts by store and range of receipt numbers. Both are part of the key, so
+    a row never moves; and as receipt numbers rise with time, a load touches the newest ranges only."""
+    return TableStore(spark, root, WAREHOUSE_TABLES, {
+        "sale_fact": f"concat(store_id, '-', check_id div {CHECK_RANGE})",
+        "card": f"card_id div {CARD_RANGE}",
+        "date": "concat(year(date), '-', month(date))"})
 
 
 def showcase_store(spark: SparkSession, root: str) -> TableStore:
@@ -91,9 +96,10 @@ def load_checks(warehouse: TableStore, tagged: DataFrame) -> DataFrame:
     source that is not in the store table are left out."""
     known = warehouse.read("store").select("store_id", "db_name")
     rows = settle(tagged.where(F.col("check_id").isNotNull()).join(known, "db_name").drop("db_name"))
-    added = extend_date_dimension(warehouse.read("date"), rows, "check_date")
+    added = settle(extend_date_dimension(warehouse.read("date"), rows, "check_date"))
     warehouse.append("date", added)
-    fact = date_rows(rows, warehouse.read("date"))
+    months = warehouse.parts_of("date", rows.select(F.col("check_date").alias("date")))
+    fact = settle(date_rows(rows, warehouse.read("date", months)))
     return _status(warehouse.spark, [("sale_fact", "warehouse", merge_into(warehouse, SALE_FACT, fact))])
 
 
@@ -128,7 +134,8 @@ def send_checks(warehouse: TableStore, target_name: str, target: TableStore, db_
 def find_product_pairs(warehouse: TableStore, showcase: TableStore, start, end) -> DataFrame:
     """Count the products bought together in the window and replace the showcase table. An empty
     window empties the table."""
-    sales = settle(baskets.dated_sales(warehouse.read("sale_fact"), warehouse.read("date"), start, end))
+    sales = baskets.dated_sales(warehouse.read("sale_fact"), warehouse.read("date"), start, end)
+    sales = settle(sales.select(*baskets.BASKET, "product_id", "supplier_id"))
     pairs = baskets.product_pairs(sales, warehouse.read("product"), warehouse.read("supplier"))
     rows = showcase.replace("product_pairs", pairs)
     return _status(warehouse.spark, [("product_pairs", "showcase", rows)])

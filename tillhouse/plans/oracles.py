@@ -18,7 +18,7 @@ VIEWS = {
                CASE WHEN c_acctbal >= 0 THEN n_name END AS middle_name,
                c_name AS last_name,
                CAST(DATE '1950-01-01' + CAST(c_custkey % 18000 AS INTEGER) AS DATE) AS birth_date,
-               TIMESTAMP '1995-01-01' + to_days(CAST(c_custkey % 2400 AS INTEGER)) AS modified_at,
+               TIMESTAMP '1995-01-01' + to_days(CAST(c_custkey * 37 % 2400 AS INTEGER)) AS modified_at,
                c_acctbal AS balance
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "maker": """
@@ -27,18 +27,16 @@ VIEWS = {
     "product": """
         SELECT p_partkey AS product_id, p_name AS name, p_brand AS vendor_code,
                p_partkey % (SELECT count(*) FROM supplier) AS supplier_id, p_size AS size,
-               TIMESTAMP '1995-01-01' + to_days(CAST(p_partkey % 2400 AS INTEGER)) AS created_at
+               TIMESTAMP '1995-01-01' + to_days(CAST(p_partkey * 37 % 2400 AS INTEGER)) AS created_at
         FROM part""",
     "chk": """
         SELECT o_orderkey AS check_id, card_id, o_orderdate AS check_date, o_orderstatus = 'F' AS payed,
                CAST(1 + o_orderkey % 2 AS INTEGER) AS payment_form, store_id
         FROM orders JOIN card ON o_custkey = local_id""",
     "line": """
-        SELECT l_orderkey AS check_id, l_partkey AS product_id, l_suppkey AS supplier_id,
-               l_extendedprice / l_quantity AS price, l_quantity AS cnt
-        FROM lineitem
-        QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_partkey
-            ORDER BY l_linenumber DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC) = 1""",
+        SELECT l_orderkey AS check_id, l_partkey AS product_id, max(l_suppkey) AS supplier_id,
+               max(l_extendedprice / l_quantity) AS price, sum(l_quantity) AS cnt
+        FROM lineitem GROUP BY l_orderkey, l_partkey""",
     "price": """
         SELECT l_partkey * 100000 + date_diff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE)) AS price_id,
                l_partkey AS product_id, max(l_extendedprice / l_quantity * (1 + l_tax)) AS cost,
@@ -73,7 +71,7 @@ VIEWS = {
     "new_card": f"""
         SELECT card_id, number, first_name, CASE WHEN balance > 5000 THEN middle_name END AS middle_name,
                upper(last_name) AS last_name, birth_date FROM card WHERE modified_at {WINDOW}""",
-    "asof": """
+    "priced": """
         SELECT line.check_id, line.product_id, cnt, chk.check_date, price.cost_sale AS price
         FROM line JOIN chk USING (check_id)
         ASOF LEFT JOIN price ON line.product_id = price.product_id AND chk.check_date >= price.set_date""",
@@ -240,8 +238,8 @@ _BODIES = {
         UNION SELECT 'product', target, (SELECT count(DISTINCT product_id) FROM products) FROM {_TWO}
         UNION SELECT 'price', target, (SELECT count(DISTINCT price_id) FROM products) FROM {_TWO}""",
     "explode_targets": f"SELECT supplier_id, name, target FROM maker, {_TARGETS}",
-    "asof_price": "SELECT * FROM asof",
-    "asof_price_window": "SELECT * FROM asof",
+    "asof_price": "SELECT * FROM priced",
+    "asof_price_window": "SELECT * FROM priced",
     "latest_price": """
         SELECT product_id, max(set_date) AS set_date, arg_max(cost_sale, set_date) AS cost_sale
         FROM price GROUP BY product_id""",
@@ -275,7 +273,7 @@ _BODIES = {
         SELECT 'p_name' AS column, count(*) FILTER (length(p_name) > 9) AS violations FROM part
         UNION ALL SELECT 'p_brand', count(*) FILTER (length(p_brand) > 7) FROM part
         UNION ALL SELECT 'p_type', count(*) FILTER (length(p_type) > 5) FROM part""",
-    "dq_unpriced_lines": "SELECT check_id, product_id, check_date FROM asof WHERE price IS NULL",
+    "dq_unpriced_lines": "SELECT check_id, product_id, check_date FROM priced WHERE price IS NULL",
     "dq_table_rules": """
         SELECT 'not null' AS rule, unnest(['check_id', 'card_id', 'check_date', 'payed']) AS column,
                CAST(0 AS BIGINT) AS violations

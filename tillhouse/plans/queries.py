@@ -309,10 +309,7 @@ def latest_price(r: Retail) -> DataFrame:
 
 @query
 def lateral_recent_checks(r: Retail) -> DataFrame:
-    checks = r.check.select(F.col("card_id").alias("of_card"), "check_id", "check_date")
-    recent = checks.where(F.col("of_card") == F.col("card_id").outer()).orderBy(
-        F.desc("check_date"), F.desc("check_id")).limit(2).select("check_id", "check_date")
-    return r.card.select("card_id").lateralJoin(recent)
+    return slices.recent_checks(r.card, r.check, 2)
 
 
 # Texts and defaults

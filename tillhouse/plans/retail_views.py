@@ -42,7 +42,7 @@ class Retail:
             F.when(F.col("c_acctbal") >= 0, F.col("n_name")).alias("middle_name"),
             F.col("c_name").alias("last_name"),
             F.date_add(F.lit("1950-01-01").cast("date"), (F.col("c_custkey") % 18000).cast("int")).alias("birth_date"),
-            _days_after("1995-01-01", F.col("c_custkey") % 2400).alias("modified_at"),
+            _days_after("1995-01-01", F.col("c_custkey") * 37 % 2400).alias("modified_at"),
             F.col("c_acctbal").alias("balance"))
 
     @cached_property
@@ -58,7 +58,7 @@ class Retail:
             F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"),
             F.col("p_brand").alias("vendor_code"), F.pmod(F.col("p_partkey"), makers).alias("supplier_id"),
             F.col("p_size").alias("size"),
-            _days_after("1995-01-01", F.col("p_partkey") % 2400).alias("created_at"))
+            _days_after("1995-01-01", F.col("p_partkey") * 37 % 2400).alias("created_at"))
 
     @cached_property
     def check(self) -> DataFrame:
@@ -77,14 +77,14 @@ class Retail:
 
     @cached_property
     def line(self) -> DataFrame:
-        """One row per order and part: the highest line wins. An aggregate, so copies of a line are
-        reduced before the shuffle."""
-        best = F.max(F.struct("l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity")).alias("l")
-        return self.given("lineitem").groupBy("l_orderkey", "l_partkey").agg(best).select(
+        """One row per order and part: the quantities are added. Counted map-side first, so copies of a line
+        are reduced before the shuffle."""
+        return self.given("lineitem").groupBy("l_orderkey", "l_partkey").agg(
+            F.max("l_suppkey").alias("supplier_id"),
+            F.max(F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
+            F.sum("l_quantity").alias("cnt")).select(
             F.col("l_orderkey").alias("check_id"), F.col("l_partkey").alias("product_id"),
-            F.col("l.l_suppkey").alias("supplier_id"),
-            (F.col("l.l_extendedprice") / F.col("l.l_quantity")).alias("price"),
-            F.col("l.l_quantity").alias("cnt"))
+            "supplier_id", "price", "cnt")
 
     @cached_property
     def price(self) -> DataFrame:

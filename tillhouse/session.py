@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder, so that several consumers read the same rows."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once below the checkpoint folder and read it back: its consumers get the same rows, only
+    the columns they need, and joins know its size. Survives the loss of any executor."""
+    folder = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
