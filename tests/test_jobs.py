@@ -6,13 +6,16 @@ from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillhouse.functions.columns import conform
 from tillhouse.operators import generate as G
 from tillhouse.operators.upsert import DuplicateKeys, merge_into, stamp
 from tillhouse.plans import jobs
-from tillhouse.schemas import BRANCH_TABLES, SALE_FACT
+from tillhouse.schemas import BRANCH_TABLES, CHECK_EXTRACT, SALE_FACT, SUPPLIER
+from tillhouse.sources.branches import fan_in, read_rows
 from tillhouse.sources.tables import TableStore
+from tillhouse.streaming.feed import follow_checks
 
 WINDOW = ("2016-01-01", "2018-01-01")
 LOADED, SENT = datetime(2017, 6, 1), datetime(2018, 6, 1)
@@ -117,6 +120,8 @@ def test_lines_without_a_price_are_set_aside(spark, tmp_path):
     lost = jobs.insert_lines(branch, lines, now=LOADED)
     assert [(r["product_id"], r["price"]) for r in lost.collect()] == [(2, None)]
     assert [tuple(r)[:4] for r in branch.read("line").collect()] == [(1, 1, 4.0, 2.0)]
+    with pytest.raises(DuplicateKeys):
+        jobs.insert_lines(branch, lines, now=LOADED)
 
 
 def test_only_touched_partitions_are_written(spark, tmp_path):
@@ -151,3 +156,39 @@ def test_append_then_replace(spark, tmp_path):
     assert store.replace("supplier", base.limit(0)) == 0
     assert store.read("supplier").count() == 0
     assert store.append("supplier", base) == 4 and store.read("supplier").count() == 4
+
+
+def test_arriving_receipts_are_loaded_once(spark, tmp_path):
+    warehouse = jobs.warehouse_store(spark, f"{tmp_path}/warehouse")
+    warehouse.append("store", spark.createDataFrame([(1, "e", "e", "east")], "store_id long, name string, address string, db_name string"))
+    schema = T.StructType(CHECK_EXTRACT.fields + [T.StructField("db_name", T.StringType())])
+
+    def arrive(checks, db_name):
+        spark.createDataFrame([(c, 10_000_000 + c, datetime(2017, 1, 1 + c), True, 1, 2.0, 3.0, p, 1, db_name)
+                               for c in checks for p in (1, 2)], schema).write.mode("append").parquet(f"{tmp_path}/in")
+
+    def run():
+        arriving = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        follow_checks(warehouse, arriving, f"{tmp_path}/progress").awaitTermination()
+        return warehouse.read("sale_fact").count(), warehouse.read("date").count()
+
+    arrive([1, 2], "east")
+    assert run() == (4, 2)
+    arrive([2, 3], "east")
+    arrive([4], "not registered")
+    assert run() == (6, 3)
+    assert run() == (6, 3)
+
+
+def test_branches_are_tagged_and_their_copies_collapse(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "id long, v string")
+    both = fan_in(["east", "west", "east"], lambda name: rows)
+    assert sorted(map(tuple, both.collect())) == [
+        (1, "a", "east"), (1, "a", "west"), (2, "b", "east"), (2, "b", "west")]
+
+
+def test_delimited_rows(spark, tmp_path):
+    (tmp_path / "suppliers.csv").write_text("1;one;7801\n2;two;7802\n")
+    got = read_rows(spark, f"{tmp_path}/suppliers.csv", SUPPLIER, sep=";")
+    assert got.schema.simpleString() == SUPPLIER.schema.simpleString()
+    assert sorted(map(tuple, got.collect())) == [(1, "one", "7801"), (2, "two", "7802")]

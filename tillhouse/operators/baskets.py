@@ -14,6 +14,7 @@ PAIR = ["product_id", "supplier_id", "sub_product_id", "sub_supplier_id"]
 BLOCK_LINES = 2_000
 # A list of such baskets is broadcast up to this length, and joined by a shuffle beyond it.
 BROADCAST_BASKETS = 100_000
+MOST_PARTITIONS = 4_096
 
 
 def pair_counts(sales: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
@@ -35,6 +36,8 @@ def pair_counts(sales: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
     found = large.limit(BROADCAST_BASKETS + 1).collect()
     if not found:
         return _count(_pairs(lines, lines, BASKET))
+    cells = BASKET + ["_row", "_column"]
+    spread = min(sum(r["blocks"] ** 2 for r in found), MOST_PARTITIONS)
     if len(found) <= BROADCAST_BASKETS:
         large = F.broadcast(lines.sparkSession.createDataFrame(found, large.schema))
 
@@ -44,17 +47,18 @@ def pair_counts(sales: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
     dealt = lines.join(large, BASKET).withColumn("_block", block)
     main = dealt.select(*BASKET, "product_id", "supplier_id", F.col("_block").alias("_row"), every.alias("_column"))
     sub = dealt.select(*BASKET, "product_id", "supplier_id", F.col("_block").alias("_column"), every.alias("_row"))
-    pairs = _pairs(small, small, BASKET).unionByName(_pairs(main, sub, BASKET + ["_row", "_column"]))
-    return _count(pairs)
+    # A fixed number of partitions: the few input rows would else be packed into few tasks.
+    dealt_pairs = _pairs(main.repartition(spread, *cells), sub.repartition(spread, *cells), cells)
+    return _count(_pairs(small, small, BASKET).unionByName(dealt_pairs))
 
 
 def _pairs(main: DataFrame, sub: DataFrame, keys: list[str]) -> DataFrame:
-    right = sub.select(*keys, F.col("product_id").alias("sub_product_id"),
-                       F.col("supplier_id").alias("sub_supplier_id"))
+    # Renamed after the join only: a self-join then reads one and the same shuffle on both sides.
     together = [F.col(f"m.{k}") == F.col(f"s.{k}") for k in keys]
-    ordered = F.col("m.product_id") > F.col("s.sub_product_id")
-    return main.alias("m").join(right.alias("s"), together + [ordered]).select(
-        "m.product_id", "m.supplier_id", "s.sub_product_id", "s.sub_supplier_id")
+    ordered = F.col("m.product_id") > F.col("s.product_id")
+    return main.alias("m").join(sub.alias("s"), together + [ordered]).select(
+        "m.product_id", "m.supplier_id", F.col("s.product_id").alias("sub_product_id"),
+        F.col("s.supplier_id").alias("sub_supplier_id"))
 
 
 def _count(pairs: DataFrame) -> DataFrame:

@@ -78,14 +78,3 @@ def merge_into(store: TableStore, table: Table, source: DataFrame, now: datetime
     store.replace(table.name, merged, parts)
     return source.count()
 
-
-def merge_into_format(spark, name: str, source: DataFrame, keys: list[str]) -> None:
-    """The same upsert for a catalog table whose format has row-level changes of its own."""
-    on = [F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys]
-    condition = on[0]
-    for c in on[1:]:
-        condition = condition & c
-    assign = {c: F.col(f"source.{c}") for c in source.columns}
-    changed = {c: v for c, v in assign.items() if c not in keys}
-    writer = source.alias("source").mergeInto(name, condition)
-    writer.whenMatched().update(changed).whenNotMatched().insert(assign).merge()

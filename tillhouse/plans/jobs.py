@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from tillhouse.functions.keys import extend_date_dimension
 from tillhouse.operators import baskets, pricing, shares, slices
 from tillhouse.operators.quality import unpriced
-from tillhouse.operators.upsert import merge_into, stamp
-from tillhouse.schemas import BRANCH_TABLES, SALE_FACT, SHOWCASE_TABLES, WAREHOUSE_TABLES, CARD_RANGE
+from tillhouse.operators.upsert import DuplicateKeys, merge_into, require_unique, stamp
+from tillhouse.schemas import BRANCH_TABLES, CARD_RANGE, LINE, SALE_FACT, SHOWCASE_TABLES, WAREHOUSE_TABLES
 from tillhouse.session import settle
 from tillhouse.sources.branches import fan_in
 from tillhouse.sources.extracts import new_cards, new_checks, new_products
@@ -56,12 +56,35 @@ def _status(spark: SparkSession, sent: list[tuple]) -> DataFrame:
     return spark.createDataFrame(sent, STATUS).distinct()
 
 
+def _of_store(warehouse: TableStore, name: str, db_name: str) -> DataFrame:
+    """The table's rows in the partitions of one store; their names begin with the store's number."""
+    found = slices.find_store(warehouse.read("store"), db_name).collect()
+    own = [p for p in warehouse.parts(name) if found and p.split("-")[0] == str(found[0]["store_id"])]
+    return warehouse.read(name, own)
+
+
+def _dates(warehouse: TableStore, start, end) -> DataFrame:
+    """The date dimension in the months of the window."""
+    first, last = (datetime.fromisoformat(str(t)) for t in (start, end))
+
+    def inside(part: str) -> bool:
+        year, month = map(int, part.split("-"))
+        return (first.year, first.month) <= (year, month) <= (last.year, last.month)
+
+    return warehouse.read("date", [p for p in warehouse.parts("date") if inside(p)])
+
+
 def insert_lines(branch: TableStore, line: DataFrame, now: datetime | None = None) -> DataFrame:
     """Add sale lines to a branch. The price that held at the receipt date replaces any price given,
-    and the audit stamps are set. Returns the lines that have no price; they are not written."""
+    and the audit stamps are set. A key that exists already is an error. Returns the lines that have no
+    price; they are not written."""
     priced = settle(pricing.price_lines(line, branch.read("check"), branch.read("price")))
-    good = stamp(priced.where(F.col("price").isNotNull()), now or _now())
-    branch.append("line", good)
+    good = priced.where(F.col("price").isNotNull())
+    keys = list(LINE.key)
+    require_unique(good, keys)
+    if not branch.read("line").join(good, keys, "left_semi").isEmpty():
+        raise DuplicateKeys("a line of this receipt and product is already stored")
+    branch.append("line", stamp(good, now or _now()))
     return unpriced(priced)
 
 
@@ -112,7 +135,7 @@ def date_rows(rows: DataFrame, date: DataFrame) -> DataFrame:
 def send_cards(warehouse: TableStore, target_name: str, target: TableStore, db_name: str,
                now: datetime | None = None) -> DataFrame:
     """Send the cards of one store to a branch."""
-    rows = settle(slices.cards_of_store(warehouse.read("card"), warehouse.read("store"), db_name))
+    rows = settle(slices.cards_of_store(_of_store(warehouse, "card", db_name), warehouse.read("store"), db_name))
     return _status(warehouse.spark, _send("card", rows, {target_name: target}, now or _now()))
 
 
@@ -122,7 +145,8 @@ def send_checks(warehouse: TableStore, target_name: str, target: TableStore, db_
     own price at the receipt date replaces the price that was sent."""
     now = now or _now()
     sales = settle(slices.sales_of_store(
-        warehouse.read("sale_fact"), warehouse.read("store"), warehouse.read("date"), db_name, start, end))
+        _of_store(warehouse, "sale_fact", db_name), warehouse.read("store"), _dates(warehouse, start, end),
+        db_name, start, end))
     sent = _send("check", slices.check_headers(sales), {target_name: target}, now)
     lines = slices.check_lines(sales)
     if reprice:
@@ -134,7 +158,7 @@ def send_checks(warehouse: TableStore, target_name: str, target: TableStore, db_
 def find_product_pairs(warehouse: TableStore, showcase: TableStore, start, end) -> DataFrame:
     """Count the products bought together in the window and replace the showcase table. An empty
     window empties the table."""
-    sales = baskets.dated_sales(warehouse.read("sale_fact"), warehouse.read("date"), start, end)
+    sales = baskets.dated_sales(warehouse.read("sale_fact"), _dates(warehouse, start, end), start, end)
     sales = settle(sales.select(*baskets.BASKET, "product_id", "supplier_id"))
     pairs = baskets.product_pairs(sales, warehouse.read("product"), warehouse.read("supplier"))
     rows = showcase.replace("product_pairs", pairs)
