@@ -47,7 +47,7 @@ VIEWS = {
                price, cnt FROM line JOIN chk USING (check_id)""",
     "date_key": """
         SELECT row_number() OVER (ORDER BY check_date) AS date_id, check_date
-        FROM (SELECT DISTINCT check_date FROM chk)""",
+        FROM (SELECT DISTINCT o_orderdate AS check_date FROM orders)""",
     "products": f"""
         SELECT price_id, cost, cost_sale, set_date, product_id, product.name, vendor_code,
                product.supplier_id, maker.name AS supplier_name, inn
@@ -135,7 +135,7 @@ _PARTS = """CAST(year({c}) AS INTEGER) AS year, CAST(month({c}) AS INTEGER) AS m
     CAST(day({c}) AS INTEGER) AS day, CAST(isodow({c}) AS INTEGER) AS day_of_week,
     CAST(hour({c}) AS INTEGER) AS hour, CAST(minute({c}) AS INTEGER) AS minute,
     CAST(round_even(second({c}) + (microsecond({c}) % 1000000) / 1e6, 0) AS INTEGER) AS second"""
-_ORDER_COUNT = "(SELECT count(*) FROM {t})"
+_TOTAL = "(SELECT count(*) FROM {t})"
 
 _BODIES = {
     "product_pairs": f"""
@@ -178,7 +178,7 @@ _BODIES = {
         SELECT row_number() OVER (ORDER BY date)
                    + (SELECT count(DISTINCT l_shipdate) FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01')
                    AS date_id, date, {_PARTS.format(c='date')}
-        FROM (SELECT DISTINCT check_date AS date FROM chk) AS d
+        FROM (SELECT DISTINCT o_orderdate AS date FROM orders) AS d
         WHERE date NOT IN (SELECT l_shipdate FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01')""",
     "branch_key_range": """
         SELECT store_id, local_id,
@@ -290,7 +290,7 @@ _BODIES = {
         FROM customer""",
     "gen_checks": f"""
         SELECT o_orderkey AS check_id,
-               {_draw('card', _ORDER_COUNT.format(t='customer'), 'o_orderkey')} + 10000000 AS card_id,
+               {_draw('card', _TOTAL.format(t='customer'), 'o_orderkey')} + 10000000 AS card_id,
                TIMESTAMP '2017-01-01' + to_days({_days(_draw('day', '365', 'o_orderkey'))})
                    + to_microseconds({_draw('time', '86400', 'o_orderkey')} * 1000000
                                      + {_draw('first', '1000000', 'o_orderkey')}) AS check_date,
@@ -302,12 +302,12 @@ _BODIES = {
     "gen_products": f"""
         SELECT p_partkey AS product_id, {_code('product-', 'name', 'p_partkey', '5000')} AS name,
                {_code('7', 'code', 'p_partkey')} AS vendor_code,
-               {_draw('parent', _ORDER_COUNT.format(t='supplier'), 'p_partkey')} AS supplier_id FROM part""",
+               {_draw('parent', _TOTAL.format(t='supplier'), 'p_partkey')} AS supplier_id FROM part""",
     "gen_price": f"""
         SELECT 'first' AS kind, p_partkey AS revision, p_partkey AS product_id, {_cost('p_partkey')},
                TIMESTAMP '2017-01-01' AS set_date FROM part
         UNION ALL
-        SELECT 'later', o_orderkey, {_draw('parent', _ORDER_COUNT.format(t='part'), 'o_orderkey')},
+        SELECT 'later', o_orderkey, {_draw('parent', _TOTAL.format(t='part'), 'o_orderkey')},
                {_cost('o_orderkey')}, TIMESTAMP '2017-01-01' + to_days({_days(_draw('day', '365', 'o_orderkey'))})
         FROM orders""",
     "gen_baskets": f"""

@@ -15,6 +15,7 @@ from tillhouse.operators import upsert as U
 from tillhouse.plans.jobs import date_rows
 from tillhouse.plans.retail_views import Retail
 from tillhouse.schemas import CARD, CHECK, CHECK_EXTRACT, LINE
+from tillhouse.session import allow_skew_splits
 from tillhouse.sources.branches import fan_in
 from tillhouse.sources.extracts import new_cards, new_checks, new_products
 
@@ -26,7 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(build: Callable[[Retail], DataFrame]):
-    QUERIES[build.__name__] = lambda spark, folder: build(Retail(spark, folder))
+    QUERIES[build.__name__] = lambda spark, folder: build(Retail(allow_skew_splits(spark), folder))
     return build
 
 
@@ -131,10 +132,13 @@ def _tagged(r: Retail) -> DataFrame:
             .select("db_name", *CHECK_EXTRACT.fieldNames()))
 
 
+def _dates(r: Retail) -> DataFrame:
+    return K.dense_moment_keys(r.given("orders"), "o_orderdate", "date_id").withColumnRenamed("o_orderdate", "date")
+
+
 @query
 def load_sale_fact(r: Retail) -> DataFrame:
-    dates = K.dense_moment_keys(r.check, "check_date", "date_id").withColumnRenamed("check_date", "date")
-    return date_rows(_tagged(r).join(r.store, "db_name").drop("db_name"), dates)
+    return date_rows(_tagged(r).join(r.store, "db_name").drop("db_name"), _dates(r))
 
 
 @query
@@ -147,7 +151,7 @@ def date_dimension_growth(r: Retail) -> DataFrame:
     """Keys for the receipt dates that a dimension filled from earlier shipping dates lacks."""
     shipped = r.given("lineitem").where(F.col("l_shipdate") < C.moment("1998-01-01"))
     existing = K.dense_moment_keys(shipped, "l_shipdate", "date_id").withColumnRenamed("l_shipdate", "date")
-    return K.extend_date_dimension(existing, r.check, "check_date")
+    return K.extend_date_dimension(existing, r.given("orders"), "o_orderdate")
 
 
 @query
@@ -254,7 +258,7 @@ def slice_cards_by_store(r: Retail) -> DataFrame:
 
 
 def _europe(r: Retail) -> DataFrame:
-    dates = K.dense_moment_keys(r.check, "check_date", "date_id").withColumnRenamed("check_date", "date")
+    dates = _dates(r)
     fact = date_rows(r.sales(), dates)
     return slices.sales_of_store(fact, r.store, dates, "EUROPE", START, END)
 

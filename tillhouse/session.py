@@ -34,6 +34,13 @@ def build_session(app: str = "tillhouse", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def allow_skew_splits(spark: SparkSession) -> SparkSession:
+    """For a session that was built elsewhere: let adaptive execution split a skewed join also where the
+    next operator groups by the same key."""
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; only a local session may fall back to its own."""
     context = spark.sparkContext
