@@ -46,6 +46,13 @@ def test_branch_keys(spark):
         assert [got[(store, n)] for n in own] == [store * 10_000_000 + i for i in range(len(own))]
 
 
+def test_branch_keys_go_on_after_the_existing_ones(spark):
+    existing = spark.createDataFrame([(10_000_000,), (10_000_006,), (30_000_001,)], "key long")
+    fresh = spark.createDataFrame([(1, 5), (1, 9), (2, 4)], "store long, n long")
+    got = {(r["store"], r["n"]): r["key"] for r in K.branch_keys(fresh, "store", "n", "key", existing=existing).collect()}
+    assert got == {(1, 5): 10_000_007, (1, 9): 10_000_008, (2, 4): 20_000_000}
+
+
 def test_branch_range_overflow_is_an_error(spark):
     df = spark.range(11).select(F.lit(1).alias("store"), F.col("id").alias("n"))
     with pytest.raises(Exception, match="more keys than its range"):

@@ -42,7 +42,9 @@ def random_case(seed, hot):
 @pytest.mark.parametrize("hot", [False, True])
 @pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize("method,least", [("broadcast", 10), ("window", 10**6), ("window", 15), ("auto", 15)])
-def test_asof_equals_brute_force(spark, method, least, seed, hot):
+def test_asof_equals_brute_force(spark, monkeypatch, method, least, seed, hot):
+    if method == "auto":
+        monkeypatch.setattr(pricing, "BROADCAST_REVISIONS", 200 if seed == 1 else 5)
     lines, prices = random_case(seed, hot)
     line, price = frames(spark, lines, prices)
     priced = pricing.asof_price(line, price, method, least=least)
@@ -79,9 +81,12 @@ def test_heavy_list_is_bounded_and_takes_the_largest(spark):
 def test_large_price_table_is_not_broadcast(spark, monkeypatch):
     lines, prices = random_case(4, False)
     line, price = frames(spark, lines, prices)
-    assert pricing._few(pricing.price_revisions(price))
+    revisions = pricing.price_revisions(price)
+    assert not pricing._few(revisions)  # one product has about a hundred revisions
+    monkeypatch.setattr(pricing, "BROADCAST_REVISIONS", 200)
+    assert pricing._few(revisions)
     monkeypatch.setattr(pricing, "BROADCAST_ROWS", 10)
-    assert not pricing._few(pricing.price_revisions(price))
+    assert not pricing._few(revisions)
 
 
 def test_tie_takes_the_higher_price_id(spark):

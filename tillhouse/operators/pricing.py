@@ -11,7 +11,7 @@ from tillhouse.operators.heavy import LEAST, SHARE, heavy_keys
 # The price revisions are broadcast up to this many rows, and while no product has more
 # revisions than a line should be compared with.
 BROADCAST_ROWS = 1_000_000
-BROADCAST_REVISIONS = 512
+BROADCAST_REVISIONS = 64
 
 
 def price_revisions(price: DataFrame) -> DataFrame:

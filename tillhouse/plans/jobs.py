@@ -11,6 +11,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillhouse.functions.columns import in_window
 from tillhouse.functions.keys import extend_date_dimension
 from tillhouse.operators import baskets, pricing, shares, slices
 from tillhouse.operators.quality import unpriced
@@ -27,7 +28,9 @@ STATUS = "entity string, target string, rows long"
 
 
 def branch_store(spark: SparkSession, root: str) -> TableStore:
-    return TableStore(spark, root, BRANCH_TABLES)
+    """Receipts and their lines are split by the same ranges of receipt numbers."""
+    ranges = f"check_id div {CHECK_RANGE}"
+    return TableStore(spark, root, BRANCH_TABLES, {"check": ranges, "line": ranges})
 
 
 def warehouse_store(spark: SparkSession, root: str) -> TableStore:
@@ -78,11 +81,12 @@ def insert_lines(branch: TableStore, line: DataFrame, now: datetime | None = Non
     """Add sale lines to a branch. The price that held at the receipt date replaces any price given,
     and the audit stamps are set. A key that exists already is an error. Returns the lines that have no
     price; they are not written."""
-    priced = settle(pricing.price_lines(line, branch.read("check"), branch.read("price")))
+    parts = branch.parts_of("line", line)
+    priced = settle(pricing.price_lines(line, branch.read("check", parts), branch.read("price")))
     good = priced.where(F.col("price").isNotNull())
     keys = list(LINE.key)
     require_unique(good, keys)
-    if not branch.read("line").join(good, keys, "left_semi").isEmpty():
+    if not branch.read("line", parts).join(good, keys, "left_semi").isEmpty():
         raise DuplicateKeys("a line of this receipt and product is already stored")
     branch.append("line", stamp(good, now or _now()))
     return unpriced(priced)
@@ -109,9 +113,14 @@ def pull_cards(warehouse: TableStore, branches: dict[str, TableStore], start, en
 
 def pull_checks(warehouse: TableStore, branches: dict[str, TableStore], start, end) -> DataFrame:
     """Bring the branches' receipts to the fact table."""
-    tagged = fan_in(list(branches), lambda n: new_checks(
-        branches[n].read("check"), branches[n].read("line"), branches[n].read("product"), start, end))
-    return load_checks(warehouse, tagged)
+    def extract(name: str) -> DataFrame:
+        branch = branches[name]
+        check = branch.read("check")
+        # Only the ranges that hold a receipt of the window: the other lines are not opened.
+        parts = branch.parts_of("line", check.where(in_window("check_date", start, end)))
+        return new_checks(check, branch.read("line", parts), branch.read("product"), start, end)
+
+    return load_checks(warehouse, fan_in(list(branches), extract))
 
 
 def load_checks(warehouse: TableStore, tagged: DataFrame) -> DataFrame:
@@ -150,7 +159,8 @@ def send_checks(warehouse: TableStore, target_name: str, target: TableStore, db_
     sent = _send("check", slices.check_headers(sales), {target_name: target}, now)
     lines = slices.check_lines(sales)
     if reprice:
-        lines = settle(pricing.price_lines(lines, target.read("check"), target.read("price")))
+        heads = target.read("check", target.parts_of("check", lines))
+        lines = settle(pricing.price_lines(lines, heads, target.read("price")))
         lines = lines.where(F.col("price").isNotNull()).drop("check_date")
     return _status(warehouse.spark, sent + _send("line", lines, {target_name: target}, now))
 

@@ -281,6 +281,21 @@ _BODIES = {
         UNION ALL SELECT 'domain', 'payment_form', (SELECT count(*) FROM chk WHERE payment_form + 1 > 2)
         UNION ALL SELECT 'reference', 'card_id',
             (SELECT count(*) FROM chk WHERE card_id NOT IN (SELECT card_id FROM card WHERE balance >= 0))""",
+    "dq_fact_rules": """
+        SELECT 'not null' AS rule, unnest(['product_id', 'card_id', 'supplier_id', 'check_id', 'payed',
+               'store_id', 'date_id', 'price', 'cnt']) AS column, CAST(0 AS BIGINT) AS violations
+        UNION ALL SELECT 'unique key', 'product_id, check_id, store_id', 0
+        UNION ALL SELECT 'domain', 'payment_form', (SELECT count(*) FROM sale WHERE payment_form NOT IN (1, 2))
+        UNION ALL SELECT 'reference', 'product_id',
+            (SELECT count(*) FROM sale WHERE product_id NOT IN (SELECT product_id FROM product))
+        UNION ALL SELECT 'reference', 'store_id',
+            (SELECT count(*) FROM sale WHERE store_id NOT IN (SELECT store_id FROM store))
+        UNION ALL SELECT 'reference', 'date_id',
+            (SELECT count(*) FROM sale WHERE check_date NOT IN (SELECT check_date FROM date_key))
+        UNION ALL SELECT 'reference', 'supplier_id',
+            (SELECT count(*) FROM sale WHERE supplier_id NOT IN (SELECT supplier_id FROM maker WHERE balance >= 0))
+        UNION ALL SELECT 'reference', 'card_id',
+            (SELECT count(*) FROM sale WHERE card_id NOT IN (SELECT card_id FROM card WHERE balance >= 0))""",
     "gen_cards": f"""
         SELECT c_custkey + 10000000 AS card_id, {_code('4', 'number', 'c_custkey')} AS number,
                {_code('first-', 'name', 'c_custkey')} AS first_name,

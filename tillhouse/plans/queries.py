@@ -14,8 +14,8 @@ from tillhouse.operators import baskets, generate, pricing, quality, shares, sli
 from tillhouse.operators import upsert as U
 from tillhouse.plans.jobs import date_rows
 from tillhouse.plans.retail_views import Retail
-from tillhouse.schemas import CARD, CHECK, CHECK_EXTRACT, LINE
-from tillhouse.session import allow_skew_splits
+from tillhouse.schemas import CARD, CHECK, CHECK_EXTRACT, LINE, SALE_FACT
+from tillhouse.session import allow_skew_splits, settle
 from tillhouse.sources.branches import fan_in
 from tillhouse.sources.extracts import new_cards, new_checks, new_products
 
@@ -35,7 +35,8 @@ def query(build: Callable[[Retail], DataFrame]):
 
 @query
 def product_pairs(r: Retail) -> DataFrame:
-    return baskets.product_pairs(r.sales(START, END), r.product, r.supplier)
+    sales = settle(r.sales(START, END).select(*baskets.BASKET, "product_id", "supplier_id"))
+    return baskets.product_pairs(sales, r.product, r.supplier)
 
 
 @query
@@ -393,6 +394,14 @@ def dq_table_rules(r: Retail) -> DataFrame:
                               {"card": r.card.where(F.col("balance") >= 0)})
 
 
+@query
+def dq_fact_rules(r: Retail) -> DataFrame:
+    """All declared rules of the fact table, against cards and suppliers with a balance."""
+    parents = {"product": r.product, "store": r.store, "date": _dates(r),
+               "supplier": r.supplier.where(F.col("balance") >= 0), "card": r.card.where(F.col("balance") >= 0)}
+    return quality.violations(date_rows(r.sales(), _dates(r)), SALE_FACT, parents)
+
+
 # Sample data of any size, from the row numbers of the given tables
 
 @query
