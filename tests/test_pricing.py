@@ -53,6 +53,8 @@ def test_asof_equals_brute_force(spark, monkeypatch, method, least, seed, hot):
     assert len(got) == len(lines)
     expected = brute(lines, prices)
     assert {(c, p): v for c, p, v in got} == expected
+    lost = pricing.before_first_price(line, price).select("check_id", "product_id").collect()
+    assert {tuple(r) for r in lost} == {k for k, v in expected.items() if v is None}
     assert any(v is None for v in expected.values()) and any(v is not None for v in expected.values())
 
 
@@ -81,12 +83,18 @@ def test_heavy_list_is_bounded_and_takes_the_largest(spark):
 def test_large_price_table_is_not_broadcast(spark, monkeypatch):
     lines, prices = random_case(4, False)
     line, price = frames(spark, lines, prices)
-    revisions = pricing.price_revisions(price)
-    assert not pricing._few(revisions)  # one product has about a hundred revisions
+    assert not pricing._few(price)  # one product has about a hundred revisions
     monkeypatch.setattr(pricing, "BROADCAST_REVISIONS", 200)
-    assert pricing._few(revisions)
+    assert pricing._few(price)
     monkeypatch.setattr(pricing, "BROADCAST_ROWS", 10)
-    assert not pricing._few(revisions)
+    assert not pricing._few(price)
+
+
+def test_product_without_any_price(spark):
+    line, price = frames(spark, [(1, 8, DAY), (2, 1, DAY)], [(1, 1, 9.5, DAY)])
+    assert [r["check_id"] for r in pricing.before_first_price(line, price).collect()] == [1]
+    for method in ("broadcast", "window"):
+        assert {r["check_id"]: r["price"] for r in pricing.asof_price(line, price, method).collect()} == {1: None, 2: 9.5}
 
 
 def test_tie_takes_the_higher_price_id(spark):

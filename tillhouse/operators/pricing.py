@@ -28,26 +28,32 @@ def latest_price(price: DataFrame) -> DataFrame:
 
 
 def asof_price(line: DataFrame, price: DataFrame, method: str = "auto",
-               share: int = SHARE, least: int = LEAST) -> DataFrame:
+               share: int = SHARE, least: int = LEAST, sold: DataFrame | None = None) -> DataFrame:
     """``line`` (with ``product_id`` and ``check_date``) with ``price`` set to the sale price that
     held at the receipt date, NULL where no price had been set yet. A ``price`` column in the input
     is ignored.
 
     ``broadcast`` looks the price up in a broadcast table of validity ranges: no shuffle of the lines.
     ``window`` sorts lines and revisions of a product together: one shuffle, any size.
-    ``auto`` measures the revisions and broadcasts them only while they are few.
+    ``auto`` counts the revisions and broadcasts them only while they are few.
+
+    ``sold`` may give the lines' ``product_id`` more cheaply than ``line``; it only serves to find the
+    products that need splitting.
     """
     line = line.drop("price")
-    revisions = price_revisions(price)
     if method == "auto":
-        method = "broadcast" if _few(revisions) else "window"
+        method = "broadcast" if _few(price) else "window"
     if method == "broadcast":
-        return _asof_broadcast(line, revisions)
-    return _asof_window(line, revisions, share, least)
+        return _asof_broadcast(line, price_revisions(price))
+    both = (line if sold is None else sold).select("product_id").unionByName(price.select("product_id"))
+    heavy = heavy_keys(both, ["product_id"], least, share)
+    if heavy is None:
+        return _last_price(line, price_revisions(price), ["product_id"])
+    return _asof_split(line, price_revisions(price), F.broadcast(heavy))
 
 
-def _few(revisions: DataFrame) -> bool:
-    size = revisions.groupBy("product_id").agg(F.count("*").alias("n")).agg(
+def _few(price: DataFrame) -> bool:
+    size = price.groupBy("product_id").agg(F.count("*").alias("n")).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.coalesce(F.max("n"), F.lit(0)).alias("most")).first()
     return size["rows"] <= BROADCAST_ROWS and size["most"] <= BROADCAST_REVISIONS
@@ -63,18 +69,8 @@ def _asof_broadcast(line: DataFrame, revisions: DataFrame) -> DataFrame:
     return line.join(F.broadcast(ranges), holds, "left").drop("_product", "_from", "_until")
 
 
-def _asof_window(line: DataFrame, revisions: DataFrame, share: int, least: int) -> DataFrame:
-    """Union of revisions and lines, last price before each line. A product is one group, unless it is
-    one of the few that hold a large share of the rows."""
-    both = line.select("product_id").unionByName(revisions.select("product_id"))
-    heavy = heavy_keys(both, ["product_id"], least, share)
-    if heavy is None:
-        return _last_price(line, revisions, ["product_id"])
-    heavy = F.broadcast(heavy)
-    return _asof_split(line, revisions, heavy)
-
-
 def _last_price(line: DataFrame, revisions: DataFrame, group: list[str]) -> DataFrame:
+    """Union of revisions and lines, last price before each line."""
     prices = revisions.select(*group, F.lit(0).alias("_kind"), F.col("set_date").alias("_at"),
                               F.col("cost_sale").alias("_price"))
     marked = line.withColumns({"_kind": F.lit(1), "_at": F.col("check_date")})
@@ -86,7 +82,7 @@ def _last_price(line: DataFrame, revisions: DataFrame, group: list[str]) -> Data
 
 
 def _asof_split(line: DataFrame, revisions: DataFrame, heavy: DataFrame) -> DataFrame:
-    """As above, with each heavy product cut into minutes, and its lines of one minute dealt to pieces by a
+    """The same with each heavy product cut into minutes, and its lines of one minute dealt to pieces by a
     hash of the line. A minute starts with the price that held before it, and each piece has its
     own copy of the minute's prices."""
     group = ["product_id", "_slice", "_piece"]
@@ -116,7 +112,15 @@ def _asof_split(line: DataFrame, revisions: DataFrame, heavy: DataFrame) -> Data
     return _last_price(lines.drop("pieces"), dealt, group).drop("_slice", "_piece")
 
 
+def before_first_price(line: DataFrame, price: DataFrame) -> DataFrame:
+    """Lines (with ``product_id`` and ``check_date``) that ``asof_price`` leaves without a price: their product
+    has none, or only later ones. Compares with one date per product, so nothing is sorted."""
+    first = price.groupBy("product_id").agg(F.min("set_date").alias("_first"))
+    late = F.col("_first").isNull() | (F.col("check_date") < F.col("_first"))
+    return line.join(first, "product_id", "left").where(late).drop("_first")
+
+
 def price_lines(line: DataFrame, check: DataFrame, price: DataFrame, method: str = "auto") -> DataFrame:
     """Lines of a branch priced as of their receipt's date."""
     dated = line.join(check.select("check_id", "check_date"), "check_id")
-    return asof_price(dated, price, method)
+    return asof_price(dated, price, method, sold=line)

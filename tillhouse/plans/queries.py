@@ -382,9 +382,8 @@ def dq_length(r: Retail) -> DataFrame:
 
 @query
 def dq_unpriced_lines(r: Retail) -> DataFrame:
-    dated = r.line.select("check_id", "product_id")
-    return quality.unpriced(pricing.price_lines(dated, r.check, r.price, method="window")).select(
-        "check_id", "product_id", "check_date")
+    dated = r.line.select("check_id", "product_id").join(r.check.select("check_id", "check_date"), "check_id")
+    return pricing.before_first_price(dated, r.price).select("check_id", "product_id", "check_date")
 
 
 @query
@@ -399,7 +398,7 @@ def dq_fact_rules(r: Retail) -> DataFrame:
     """All declared rules of the fact table, against cards and suppliers with a balance."""
     parents = {"product": r.product, "store": r.store, "date": _dates(r),
                "supplier": r.supplier.where(F.col("balance") >= 0), "card": r.card.where(F.col("balance") >= 0)}
-    return quality.violations(date_rows(r.sales(), _dates(r)), SALE_FACT, parents)
+    return quality.violations(settle(date_rows(r.sales(), _dates(r))), SALE_FACT, parents)
 
 
 # Sample data of any size, from the row numbers of the given tables
