@@ -58,6 +58,23 @@ def test_asof_equals_brute_force(spark, monkeypatch, method, least, seed, hot):
     assert any(v is None for v in expected.values()) and any(v is not None for v in expected.values())
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_only_a_busy_minute_is_dealt_to_pieces(spark, monkeypatch, hot):
+    """Both rounds of the search for heavy keys, and the right rows whichever of them finds any."""
+    lines, prices = random_case(6, hot)
+    line, price = frames(spark, lines, prices)
+    found = []
+
+    def spy(*args):
+        found.append(heavy_keys(*args))
+        return found[-1]
+
+    monkeypatch.setattr(pricing, "heavy_keys", spy)
+    got = pricing.asof_price(line, price, "window", least=60).collect()
+    assert {(r["check_id"], r["product_id"]): r["price"] for r in got} == brute(lines, prices)
+    assert len(found) == 2 and found[0] is not None and (found[1] is not None) == hot
+
+
 def test_copies_of_one_line_are_all_kept(spark):
     lines = [(7, 1, DAY + timedelta(days=1))] * 50
     line, price = frames(spark, lines, [(1, 1, 9.5, DAY)])

@@ -49,7 +49,7 @@ def asof_price(line: DataFrame, price: DataFrame, method: str = "auto",
     heavy = heavy_keys(both, ["product_id"], least, share)
     if heavy is None:
         return _last_price(line, price_revisions(price), ["product_id"])
-    return _asof_split(line, price_revisions(price), F.broadcast(heavy))
+    return _asof_split(line, price_revisions(price), heavy.select("product_id"), share, least)
 
 
 def _few(price: DataFrame) -> bool:
@@ -81,35 +81,41 @@ def _last_price(line: DataFrame, revisions: DataFrame, group: list[str]) -> Data
             .where(F.col("_kind") == 1).drop("_kind", "_at", "_price"))
 
 
-def _asof_split(line: DataFrame, revisions: DataFrame, heavy: DataFrame) -> DataFrame:
-    """The same with each heavy product cut into minutes, and its lines of one minute dealt to pieces by a
-    hash of the line. A minute starts with the price that held before it, and each piece has its
-    own copy of the minute's prices."""
-    group = ["product_id", "_slice", "_piece"]
+def _asof_split(line: DataFrame, revisions: DataFrame, heavy: DataFrame, share: int, least: int) -> DataFrame:
+    """The same with each heavy product cut into minutes, where a minute starts with the price that held
+    before it. Should one minute of one product still be heavy, its lines are dealt to pieces by
+    a hash of the line, and each piece has its own copy of that minute's prices."""
+    heavy = F.broadcast(heavy.withColumn("_heavy", F.lit(True)))
+    group = ["product_id", "_slice"]
 
     def cut(df: DataFrame, at: str) -> DataFrame:
         days = F.datediff(F.to_date(at), F.lit("1970-01-01").cast("date")).cast("long")
         minute = days * 1440 + F.hour(at) * 60 + F.minute(at)
         return df.join(heavy, "product_id", "left").withColumn(
-            "_slice", F.when(F.col("pieces").isNotNull(), minute).otherwise(F.lit(0).cast("long")))
+            "_slice", F.when(F.col("_heavy"), minute).otherwise(F.lit(0).cast("long")))
 
-    piece = F.pmod(F.xxhash64(*line.columns), F.col("pieces"))
-    lines = cut(line, "check_date").withColumn("_piece", F.coalesce(piece, F.lit(0)).cast("int"))
-    prices = cut(revisions, "set_date")
+    lines, prices = cut(line, "check_date"), cut(revisions, "set_date")
+    cut_lines, cut_prices = lines.where(F.col("_heavy")), prices.where(F.col("_heavy"))
 
-    # The price that each minute of a heavy product starts with.
-    wanted = lines.where(F.col("pieces").isNotNull()).select("product_id", "pieces", "_slice").distinct()
-    closing = prices.where(F.col("pieces").isNotNull()).groupBy("product_id", "pieces", "_slice").agg(
-        F.max_by("cost_sale", "set_date").alias("_closing"))
+    # The price that each minute of a heavy product starts with. A product has as many rows here as
+    # there are minutes in the calendar, at most.
+    closing = cut_prices.groupBy(*group).agg(F.max_by("cost_sale", "set_date").alias("_closing"))
     earlier = Window.partitionBy("product_id").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    opening = wanted.join(closing, ["product_id", "pieces", "_slice"], "full_outer").withColumn(
-        "cost_sale", F.last("_closing", ignorenulls=True).over(earlier)).drop("_closing")
-    opening = opening.where(F.col("cost_sale").isNotNull()).withColumn(
-        "set_date", F.lit(None).cast(T.TimestampNTZType()))
-
-    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("pieces"), F.lit(1)) - 1))
-    dealt = prices.unionByName(opening).withColumn("_piece", copies)
-    return _last_price(lines.drop("pieces"), dealt, group).drop("_slice", "_piece")
+    opening = cut_lines.select(*group).distinct().join(closing, group, "full_outer").withColumn(
+        "cost_sale", F.last("_closing", ignorenulls=True).over(earlier)).where(F.col("cost_sale").isNotNull())
+    opening = opening.select(*group, "cost_sale", F.lit(None).cast(T.TimestampNTZType()).alias("set_date"))
+    lines, prices = lines.drop("_heavy"), prices.drop("_heavy").unionByName(opening)
+
+    busy = heavy_keys(cut_lines.select(*group), group, least, share)
+    if busy is not None:
+        busy = F.broadcast(busy)
+        pieces = F.coalesce(F.col("pieces"), F.lit(1))
+        piece = F.pmod(F.xxhash64(*line.columns), pieces).cast("int")
+        lines = lines.join(busy, group, "left").withColumn("_piece", piece).drop("pieces")
+        copies = F.explode(F.sequence(F.lit(0), pieces - 1))
+        prices = prices.join(busy, group, "left").withColumn("_piece", copies).drop("pieces")
+        group = group + ["_piece"]
+    return _last_price(lines, prices, group).drop("_slice", "_piece")
 
 
 def before_first_price(line: DataFrame, price: DataFrame) -> DataFrame:

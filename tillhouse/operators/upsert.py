@@ -29,33 +29,31 @@ def require_unique(df: DataFrame, keys: list[str]) -> None:
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], now: Column | datetime | None = None) -> DataFrame:
     """``target`` after each source row was inserted, or had replaced the row with its key.
 
-    A source row is taken whole, so a NULL in it replaces a value. Columns the source lacks keep the target's value.
-    With ``now``, new rows get both audit stamps and changed rows only the second.
+    A source row is taken whole, so a NULL in it replaces a value. Columns the source lacks keep the
+    target's value. With ``now``, new rows get both audit stamps and changed rows only the second.
 
-    Without columns to keep this is an anti join and a union: a small source is broadcast
-    by Spark and the target is not shuffled at all.
+    The source decides the cost: while it is small Spark broadcasts its keys, and the target is only
+    streamed past them and never shuffled.
     """
     source = source.select([c for c in target.columns if c in source.columns and c not in AUDIT])
-    if set(source.columns) == set(target.columns):
-        return target.join(source.select(*keys), keys, "left_anti").unionByName(source)
-    old = target.withColumn("_old", F.lit(True)).alias("o")
-    new = source.withColumn("_new", F.lit(True)).alias("n")
-    on = [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys]
-    is_new, is_old = F.col("n._new").isNotNull(), F.col("o._old").isNotNull()
+    untouched = target.join(source.select(*keys), keys, "left_anti")
+    kept = [c for c in target.columns if c not in source.columns]
+    if not kept:
+        return untouched.unionByName(source)
+    touched = target.join(source.select(*keys), keys, "left_semi").select(
+        *keys, F.struct(*kept).alias("_old"))
     if now is not None:
         now = (now if isinstance(now, Column) else F.lit(now)).cast("timestamp")
     columns = []
     for name in target.columns:
-        if name in source.columns:
-            value = F.when(is_new, F.col(f"n.{name}")).otherwise(F.col(f"o.{name}"))
-        elif name == "created_at" and now is not None:
-            value = F.when(is_old, F.col("o.created_at")).otherwise(now)
+        old = F.col(f"_old.{name}")
+        if name == "created_at" and now is not None:
+            columns.append(F.when(F.col("_old").isNotNull(), old).otherwise(now).alias(name))
         elif name == "modified_at" and now is not None:
-            value = F.when(is_new, now).otherwise(F.col("o.modified_at"))
+            columns.append(now.alias(name))
         else:
-            value = F.col(f"o.{name}")
-        columns.append(value.alias(name))
-    return old.join(new, on, "full_outer").select(columns)
+            columns.append(old.alias(name) if name in kept else F.col(name))
+    return untouched.unionByName(source.join(touched, keys, "left").select(columns))
 
 
 def stamp(df: DataFrame, now: Column | datetime) -> DataFrame:
