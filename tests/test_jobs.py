@@ -116,9 +116,9 @@ def test_lines_without_a_price_are_set_aside(spark, tmp_path):
     branch.append("price", stamp(spark.createDataFrame(
         [(1, 1, 5.0, 4.0, moment), (2, 2, 5.0, 4.0, datetime(2017, 5, 2))],
         "price_id long, product_id long, cost double, cost_sale double, set_date timestamp_ntz"), LOADED))
-    lines = spark.createDataFrame([(1, 1, 0.0, 2.0), (2, 1, 0.0, 3.0)], "product_id long, check_id long, price double, cnt double")
+    lines = spark.createDataFrame([(1, 1, 0.0, 2.0), (2, 1, 0.0, 3.0), (1, 77, 0.0, 1.0)], "product_id long, check_id long, price double, cnt double")
     lost = jobs.insert_lines(branch, lines, now=LOADED)
-    assert [(r["product_id"], r["price"]) for r in lost.collect()] == [(2, None)]
+    assert sorted((r["product_id"], r["check_id"], r["price"]) for r in lost.collect()) == [(1, 77, None), (2, 1, None)]
     assert [tuple(r)[:4] for r in branch.read("line").collect()] == [(1, 1, 4.0, 2.0)]
     with pytest.raises(DuplicateKeys):
         jobs.insert_lines(branch, lines, now=LOADED)

@@ -107,6 +107,14 @@ def test_large_price_table_is_not_broadcast(spark, monkeypatch):
     assert not pricing._few(price)
 
 
+@pytest.mark.parametrize("method,least", [("broadcast", 10**6), ("window", 10**6), ("window", 1)])
+def test_line_without_a_date_has_no_price(spark, method, least):
+    line, price = frames(spark, [(1, 1, None), (2, 1, DAY), (3, 1, DAY)], [(1, 1, 9.5, DAY), (2, 1, 8.5, DAY - timedelta(1))])
+    got = {r["check_id"]: r["price"] for r in pricing.asof_price(line, price, method, least=least).collect()}
+    assert got == {1: None, 2: 9.5, 3: 9.5}
+    assert [r["check_id"] for r in pricing.before_first_price(line, price).collect()] == [1]
+
+
 def test_product_without_any_price(spark):
     line, price = frames(spark, [(1, 8, DAY), (2, 1, DAY)], [(1, 1, 9.5, DAY)])
     assert [r["check_id"] for r in pricing.before_first_price(line, price).collect()] == [1]

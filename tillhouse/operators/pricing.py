@@ -122,11 +122,11 @@ def before_first_price(line: DataFrame, price: DataFrame) -> DataFrame:
     """Lines (with ``product_id`` and ``check_date``) that ``asof_price`` leaves without a price: their product
     has none, or only later ones. Compares with one date per product, so nothing is sorted."""
     first = price.groupBy("product_id").agg(F.min("set_date").alias("_first"))
-    late = F.col("_first").isNull() | (F.col("check_date") < F.col("_first"))
-    return line.join(first, "product_id", "left").where(late).drop("_first")
+    priced = F.coalesce(F.col("_first") <= F.col("check_date"), F.lit(False))
+    return line.join(first, "product_id", "left").where(~priced).drop("_first")
 
 
 def price_lines(line: DataFrame, check: DataFrame, price: DataFrame, method: str = "auto") -> DataFrame:
-    """Lines of a branch priced as of their receipt's date."""
-    dated = line.join(check.select("check_id", "check_date"), "check_id")
+    """Lines of a branch priced as of their receipt's date. A line without a receipt stays, unpriced."""
+    dated = line.join(check.select("check_id", "check_date"), "check_id", "left")
     return asof_price(dated, price, method, sold=line)

@@ -62,13 +62,16 @@ def stamp(df: DataFrame, now: Column | datetime) -> DataFrame:
     return df.withColumns({name: now for name in AUDIT})
 
 
-def merge_into(store: TableStore, table: Table, source: DataFrame, now: datetime | None = None) -> int:
+def merge_into(store: TableStore, table: Table, source: DataFrame, now: datetime | None = None,
+               checked: bool = False) -> int:
     """Upsert ``source`` into a stored table and return the number of source rows.
 
-    Only the partitions the source touches are read and written again.
+    Only the partitions the source touches are read and written again. ``checked`` says that the
+    source's keys are known to be unique. The source is read several times: pass stored rows.
     """
     keys = list(table.key)
-    require_unique(source, keys)
+    if not checked:
+        require_unique(source, keys)
     parts = store.parts_of(table.name, source)
     if not parts:
         return 0

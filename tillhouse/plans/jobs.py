@@ -51,8 +51,12 @@ def _now() -> datetime:
 
 
 def _send(entity: str, rows: DataFrame, targets: dict[str, TableStore], now: datetime) -> list[tuple]:
-    """Upsert the same rows into each target."""
-    return [(entity, name, merge_into(store, store.tables[entity], rows, now)) for name, store in targets.items()]
+    """Upsert the same rows into each target. They are computed and checked once."""
+    rows = settle(rows)
+    table = next(iter(targets.values())).tables[entity]
+    require_unique(rows, list(table.key))
+    return [(entity, name, merge_into(store, store.tables[entity], rows, now, checked=True))
+            for name, store in targets.items()]
 
 
 def _status(spark: SparkSession, sent: list[tuple]) -> DataFrame:
@@ -80,7 +84,7 @@ def _dates(warehouse: TableStore, start, end) -> DataFrame:
 def insert_lines(branch: TableStore, line: DataFrame, now: datetime | None = None) -> DataFrame:
     """Add sale lines to a branch. The price that held at the receipt date replaces any price given,
     and the audit stamps are set. A key that exists already is an error. Returns the lines that have no
-    price; they are not written."""
+    price, or no receipt; they are not written."""
     parts = branch.parts_of("line", line)
     priced = settle(pricing.price_lines(line, branch.read("check", parts), branch.read("price")))
     good = priced.where(F.col("price").isNotNull())
@@ -107,7 +111,7 @@ def publish_products(source: TableStore, targets: dict[str, TableStore], start,
 def pull_cards(warehouse: TableStore, branches: dict[str, TableStore], start, end) -> DataFrame:
     """Bring the branches' new cards to the warehouse; their keys lie in ranges of their own."""
     tagged = fan_in(list(branches), lambda n: new_cards(branches[n].read("card"), start, end))
-    rows = settle(tagged.where(F.col("card_id").isNotNull()).drop("db_name"))
+    rows = tagged.where(F.col("card_id").isNotNull()).drop("db_name")
     return _status(warehouse.spark, _send("card", rows, {"warehouse": warehouse}, _now()))
 
 
@@ -144,7 +148,7 @@ def date_rows(rows: DataFrame, date: DataFrame) -> DataFrame:
 def send_cards(warehouse: TableStore, target_name: str, target: TableStore, db_name: str,
                now: datetime | None = None) -> DataFrame:
     """Send the cards of one store to a branch."""
-    rows = settle(slices.cards_of_store(_of_store(warehouse, "card", db_name), warehouse.read("store"), db_name))
+    rows = slices.cards_of_store(_of_store(warehouse, "card", db_name), warehouse.read("store"), db_name)
     return _status(warehouse.spark, _send("card", rows, {target_name: target}, now or _now()))
 
 
@@ -160,7 +164,7 @@ def send_checks(warehouse: TableStore, target_name: str, target: TableStore, db_
     lines = slices.check_lines(sales)
     if reprice:
         heads = target.read("check", target.parts_of("check", lines))
-        lines = settle(pricing.price_lines(lines, heads, target.read("price")))
+        lines = pricing.price_lines(lines, heads, target.read("price"))
         lines = lines.where(F.col("price").isNotNull()).drop("check_date")
     return _status(warehouse.spark, sent + _send("line", lines, {target_name: target}, now))
 
