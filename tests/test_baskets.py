@@ -35,7 +35,9 @@ def counted(df):
 
 
 @pytest.mark.parametrize("block", [1, 4, 7, 60, 2000])
-def test_pairs_equal_brute_force(spark, block):
+@pytest.mark.parametrize("per_task", [100, 4_000_000])
+def test_pairs_equal_brute_force(spark, monkeypatch, block, per_task):
+    monkeypatch.setattr(baskets, "PAIRS_PER_TASK", per_task)
     rows = case(block)
     assert counted(baskets.pair_counts(spark.createDataFrame(rows, SALES), block)) == brute(rows)
 

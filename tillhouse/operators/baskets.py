@@ -14,6 +14,7 @@ PAIR = ["product_id", "supplier_id", "sub_product_id", "sub_supplier_id"]
 BLOCK_LINES = 2_000
 # A list of such baskets is broadcast up to this length, and joined by a shuffle beyond it.
 BROADCAST_BASKETS = 100_000
+PAIRS_PER_TASK = 4_000_000
 MOST_PARTITIONS = 4_096
 
 
@@ -37,7 +38,8 @@ def pair_counts(sales: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
     if not found:
         return _count(_pairs(lines, lines, BASKET))
     cells = BASKET + ["_row", "_column"]
-    spread = min(sum(r["blocks"] ** 2 for r in found), MOST_PARTITIONS)
+    work = sum(r["blocks"] ** 2 for r in found) * block_lines ** 2
+    spread = min(max(1, work // PAIRS_PER_TASK), MOST_PARTITIONS)
     if len(found) <= BROADCAST_BASKETS:
         large = F.broadcast(lines.sparkSession.createDataFrame(found, large.schema))
 
@@ -47,9 +49,10 @@ def pair_counts(sales: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
     dealt = lines.join(large, BASKET).withColumn("_block", block)
     main = dealt.select(*BASKET, "product_id", "supplier_id", F.col("_block").alias("_row"), every.alias("_column"))
     sub = dealt.select(*BASKET, "product_id", "supplier_id", F.col("_block").alias("_column"), every.alias("_row"))
-    # A fixed number of partitions: the few input rows would else be packed into few tasks.
-    dealt_pairs = _pairs(main.repartition(spread, *cells), sub.repartition(spread, *cells), cells)
-    return _count(_pairs(small, small, BASKET).unionByName(dealt_pairs))
+    if spread > int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        # A fixed number of partitions: the few input rows would else be packed into few tasks.
+        main, sub = main.repartition(spread, *cells), sub.repartition(spread, *cells)
+    return _count(_pairs(small, small, BASKET).unionByName(_pairs(main, sub, cells)))
 
 
 def _pairs(main: DataFrame, sub: DataFrame, keys: list[str]) -> DataFrame:

@@ -33,21 +33,25 @@ def query(build: Callable[[Retail], DataFrame]):
 
 # Market baskets
 
+def _basket_rows(r: Retail, *window: str) -> DataFrame:
+    """Written once: the count of large baskets and the self-join read the same narrow rows."""
+    return settle(r.sales(*window).select(*baskets.BASKET, "product_id", "supplier_id"))
+
+
 @query
 def product_pairs(r: Retail) -> DataFrame:
-    sales = settle(r.sales(START, END).select(*baskets.BASKET, "product_id", "supplier_id"))
-    return baskets.product_pairs(sales, r.product, r.supplier)
+    return baskets.product_pairs(_basket_rows(r, START, END), r.product, r.supplier)
 
 
 @query
 def pair_counts(r: Retail) -> DataFrame:
-    return baskets.pair_counts(r.sales())
+    return baskets.pair_counts(_basket_rows(r))
 
 
 @query
 def pair_counts_in_blocks(r: Retail) -> DataFrame:
     """The same counts with every basket above four lines paired block by block."""
-    return baskets.pair_counts(r.sales(), block_lines=4)
+    return baskets.pair_counts(_basket_rows(r), block_lines=4)
 
 
 @query
