@@ -192,3 +192,13 @@ def test_delimited_rows(spark, tmp_path):
     got = read_rows(spark, f"{tmp_path}/suppliers.csv", SUPPLIER, sep=";")
     assert got.schema.simpleString() == SUPPLIER.schema.simpleString()
     assert sorted(map(tuple, got.collect())) == [(1, "one", "7801"), (2, "two", "7802")]
+
+
+def test_unfinished_write_is_not_seen(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path), BRANCH_TABLES)
+    store.append("supplier", stamp(G.suppliers(spark.range(4)), LOADED))
+    store._write("supplier", stamp(G.suppliers(spark.range(50)), LOADED))  # stops before the log line
+    assert store.read("supplier").count() == 4
+    # a job may read the table it writes
+    assert store.replace("supplier", store.read("supplier").where("supplier_id < 2")) == 2
+    assert store.read("supplier").count() == 2
