@@ -8,8 +8,9 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillhouse.llm import packing
+from tillhouse.llm import packing, token_files
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -32,6 +33,15 @@ def with_crc32(df: DataFrame, ids: str, width: str) -> DataFrame:
     return df.mapInArrow(digest, schema)
 
 
+def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs, files = table(spark, folder, "documents"), token_files.new_folder(spark)
+    token_files.write(docs, files, WORD_BPE, end_id=2)
+    by_key = token_files.fetch(docs, files, key_col="doc_id")
+    unnamed = token_files.read_places(token_files.read_entries(spark, files).where("key IS NULL"), files)
+    rows = with_crc32(by_key.unionByName(unnamed).drop("width"), "ids", packing.id_width(WORD_BPE))
+    return rows.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 def packed(docs: DataFrame) -> DataFrame:
     pieces = packing.token_pieces(docs, WORD_BPE, end_id=0)
     digests = with_crc32(pieces, "ids", packing.id_width(WORD_BPE))
@@ -43,5 +53,8 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(table(spark, folder, "documents"))
 
 
-QUERIES = {"op9_best_fit_packing": op9_best_fit_packing}
+QUERIES = {
+    "op1_token_files": op1_token_files,
+    "op9_best_fit_packing": op9_best_fit_packing,
+}
 ORACLES: dict[str, str] = {}
