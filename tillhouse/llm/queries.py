@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import packing, token_files
+from tillhouse.llm import packing, quality, token_files
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -42,6 +42,10 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     pieces = packing.token_pieces(docs, WORD_BPE, end_id=0)
     digests = with_crc32(pieces, "ids", packing.id_width(WORD_BPE))
@@ -55,6 +59,7 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op3_quality_rules": op3_quality_rules,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 ORACLES: dict[str, str] = {}
