@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import packing, quality, token_files
+from tillhouse.llm import packing, quality, token_files, toxicity
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -46,6 +46,13 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs.where(~toxicity.held_out()), table(spark, folder, "labels"))
+    scored = toxicity.score(docs.select("doc_id", toxicity.held_out().alias("held_out"), "text"), model)
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     pieces = packing.token_pieces(docs, WORD_BPE, end_id=0)
     digests = with_crc32(pieces, "ids", packing.id_width(WORD_BPE))
@@ -60,6 +67,7 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op3_quality_rules": op3_quality_rules,
+    "op7_toxicity": op7_toxicity,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 ORACLES: dict[str, str] = {}
