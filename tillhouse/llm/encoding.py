@@ -90,7 +90,7 @@ class WordEncoder:
 
 
 def chunks(text: str) -> list[bytes]:
-    if not NOT_SIMPLE.search(text):
+    if "<|" not in text if text.isascii() else not NOT_SIMPLE.search(text):
         text = MARKS_AFTER_LETTER.sub(r" \1", text.lower())
     return text.encode().split()
 

@@ -15,6 +15,7 @@ a kept column may not have the name of an output column.
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -28,19 +29,19 @@ from tillhouse.llm.encoding import id_width, word_encoder
 from tillhouse.session import settle
 
 CAPACITY = 2048
-MADE = ["piece", "start", "length", "ids", "made_in", "made_rank"]
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, *, end_id: int, capacity: int = CAPACITY,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: id_col, piece, start (ids of the document before it), length, ids (little-endian, two bytes
-    each where the vocabulary allows, else four), and the task and rank within task and length it was made with.
+    each where the vocabulary allows, else four), ids_crc32 (of the ids as four-byte integers), and the task and rank within task and length it was made with.
 
     Written once to the checkpoint folder, so that what is counted and what is placed are the same rows.
     """
     width = id_width(tokenizer_path)
+    item = np.dtype(width).itemsize
     out = pa.schema([("id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
-                     ("ids", pa.binary()), ("made_in", pa.int64()), ("made_rank", pa.int64())])
+                     ("ids", pa.binary()), ("ids_crc32", pa.int64()), ("made_in", pa.int64()), ("made_rank", pa.int64())])
 
     def cut(batches):
         encoder, seen = word_encoder(tokenizer_path), defaultdict(int)
@@ -49,17 +50,22 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, *, end_id: int, capacity:
         for batch in batches:
             rows = {name: [] for name in out.names}
             for key, raw in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
-                ids = np.frombuffer(raw + end, "<u4").astype(width)
-                for piece, start in enumerate(range(0, len(ids), capacity)):
-                    part = ids[start:start + capacity]
-                    for name, value in zip(out.names, (key, piece, start, len(part), part.tobytes(), task,
-                                                       seen[len(part)])):
-                        rows[name].append(value)
-                    seen[len(part)] += 1
+                raw += end
+                ids = np.frombuffer(raw, "<u4").astype(width).tobytes()
+                total = len(raw) // 4
+                for piece, start in enumerate(range(0, total, capacity)):
+                    stop = min(total, start + capacity)
+                    n = stop - start
+                    for column, value in zip(rows.values(), (
+                            key, piece, start, n, ids[start * item:stop * item],
+                            zlib.crc32(raw[4 * start:4 * stop]), task, seen[n])):
+                        column.append(value)
+                    seen[n] += 1
             yield pa.RecordBatch.from_pydict(rows, schema=out)
 
     pieces = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(
-        cut, "id long, piece int, start long, length long, ids binary, made_in long, made_rank long")
+        cut, "id long, piece int, start long, length long, ids binary, ids_crc32 long, made_in long, "
+        "made_rank long")
     return settle(pieces.withColumnRenamed("id", id_col))
 
 

@@ -55,8 +55,7 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 def packed(docs: DataFrame) -> DataFrame:
     pieces = packing.token_pieces(docs, WORD_BPE, end_id=0)
-    digests = with_crc32(pieces, "ids", packing.id_width(WORD_BPE))
-    return packing.place(digests).select(
+    return packing.place(pieces.drop("ids")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
