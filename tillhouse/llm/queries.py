@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import packing, quality, token_files, toxicity
+from tillhouse.llm import ngram_join, packing, quality, token_files, toxicity
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -46,6 +46,10 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
 
+def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, folder, "documents"), words=4, percent=85)
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = toxicity.fit(docs.where(~toxicity.held_out()), table(spark, folder, "labels"))
@@ -66,6 +70,7 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op3_quality_rules": op3_quality_rules,
+    "op5_ngram_join": op5_ngram_join,
     "op7_toxicity": op7_toxicity,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
