@@ -5,8 +5,8 @@ separated chunks in order. Natural text repeats its chunks, so each distinct chu
 once per worker and the rest is a dictionary lookup. Two more steps make chunks repeat more often, and are
 taken only where they provably change nothing: a text of Latin letters without a special token is put in lower
 case (the tokenizer does the same), and punctuation between a letter and white space becomes a chunk of its own
-(the tokenizer splits there anyhow). A worker's memory is bounded: the table is emptied when it holds
-``MOST_WORDS`` chunks, and longer chunks are not kept at all.
+(the tokenizer splits there anyhow). A worker's memory is bounded: at ``MOST_WORDS``
+chunks a new table begins, into which the chunks of the last one move when they are met again; long chunks are not kept.
 """
 
 from __future__ import annotations
@@ -16,9 +16,11 @@ import re
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-MOST_WORDS = 600_000
+MOST_WORDS = 250_000
+ROWS_AT_ONCE = 512
 CHUNKS_AT_ONCE = 200_000
 LONGEST_KEPT = 48  # bytes
 # Beyond these characters lower case and canonical composition may depend on each other; "<|" may open a
@@ -38,6 +40,7 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker per core
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.ends_word = np.zeros(self.vocabulary, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends_word[i] = token.endswith("</w>")
@@ -76,17 +79,32 @@ class WordEncoder:
                 waiting, size = [], 0
         yield from self._encode(waiting)
 
+    def encode_batch(self, batch: pa.RecordBatch) -> Iterable[tuple[int | None, bytes]]:
+        """(key, ids) for a batch of key and text, a few rows at a time."""
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            few = batch.slice(at, ROWS_AT_ONCE)
+            yield from zip(few.column(0).to_pylist(), self.encode(few.column(1).to_pylist()))
+
     def _encode(self, texts: list[list[bytes]]) -> Iterable[bytes]:
-        found = [list(map(self.known.get, words)) for words in texts]
-        missing = {w for words, parts in zip(texts, found) if None in parts
-                   for w, p in zip(words, parts) if p is None}
-        new = self._learn([w.decode() for w in missing]) if missing else {}
-        for words, parts in zip(texts, found):
-            yield b"".join(parts if None not in parts
-                           else [new[w] if p is None else p for w, p in zip(words, parts)])
-        if len(self.known) + len(new) > MOST_WORDS:
-            self.known.clear()
-        self.known.update((w, p) for w, p in new.items() if len(w) <= LONGEST_KEPT)
+        wanted = set().union(*texts)
+        missing = wanted.difference(self.known)
+        if len(self.known) + len(missing) > MOST_WORDS:
+            self.older, self.known = self.known, {}
+            missing = wanted
+        unseen = []
+        for word in missing:
+            ids = self.older.get(word)
+            if ids is None:
+                unseen.append(word)
+            else:
+                self.known[word] = ids
+        if unseen:
+            self.known.update(self._learn([w.decode() for w in unseen]))
+        for words in texts:
+            yield b"".join(map(self.known.__getitem__, words))
+        for word in unseen:
+            if len(word) > LONGEST_KEPT:
+                del self.known[word]
 
 
 def chunks(text: str) -> list[bytes]:

@@ -48,8 +48,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, *, end_id: int, capacity:
         task = TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            rows = {name: [] for name in out.names}
-            for key, raw in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
+            rows: dict[str, list] = {name: [] for name in out.names}
+            for key, raw in encoder.encode_batch(batch):
                 raw += end
                 ids = np.frombuffer(raw, "<u4").astype(width).tobytes()
                 total = len(raw) // 4

@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
-
-import numpy as np
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,27 +15,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def with_crc32(df: DataFrame, ids: str, width: str) -> DataFrame:
-    """Column ``ids`` replaced by the crc32 of the ids as little-endian unsigned 32-bit integers."""
-    kept = [c for c in df.columns if c != ids]
-    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept) + ", ids_crc32 long"
-
-    def digest(batches):
-        for batch in batches:
-            crc = [zlib.crc32(np.frombuffer(x, width).astype("<u4").tobytes()) for x in batch.column(ids).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + [pa.array(crc, pa.int64())],
-                                             names=[*kept, "ids_crc32"])
-
-    return df.mapInArrow(digest, schema)
-
-
 def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
     docs, files = table(spark, folder, "documents"), token_files.new_folder(spark)
     token_files.write(docs, files, WORD_BPE, end_id=2)
-    by_key = token_files.fetch(docs, files, key_col="doc_id")
-    unnamed = token_files.read_places(token_files.read_entries(spark, files).where("key IS NULL"), files)
-    rows = with_crc32(by_key.unionByName(unnamed).drop("width"), "ids", packing.id_width(WORD_BPE))
-    return rows.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+    by_key = token_files.fetch(docs, files, key_col="doc_id", payload=False)
+    unnamed = token_files.read_places(token_files.read_entries(spark, files).where("key IS NULL"), files, payload=False)
+    return by_key.unionByName(unnamed).select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

@@ -27,6 +27,7 @@ from __future__ import annotations
 import io
 import struct
 import uuid
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from tillhouse.llm.encoding import id_width, word_encoder
 from tillhouse.session import ensure_checkpoint_dir
 
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 KEYS_PER_BUCKET = 1 << 16
 BITS_PER_KEY = 2
 MAGIC = b"TOKIDS01"
@@ -180,7 +181,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: int, id_
 
         size = 0
         for batch in batches:
-            for key, raw in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
+            for key, raw in encoder.encode_batch(batch):
                 ids = np.frombuffer(raw + end, "<u4").astype(width).tobytes()
                 keys.append(key)
                 held.append(ids)
@@ -262,22 +263,24 @@ def find(keys: DataFrame, folder: str, *, key_col: str = "key") -> DataFrame:
         look_up, ENTRY)
 
 
-def fetch(keys: DataFrame, folder: str, *, key_col: str = "key") -> DataFrame:
+def fetch(keys: DataFrame, folder: str, *, key_col: str = "key", payload: bool = True) -> DataFrame:
     """All documents of the distinct, present keys, read from the shards: see ``read_places``."""
     spark = keys.sparkSession
     more = spark.read.schema(ENTRY).parquet(f"{folder}/repeats")
     asked = keys.select(F.col(key_col).cast("long").alias("key"))
-    return read_places(find(keys, folder, key_col=key_col).unionByName(more.join(asked, "key", "left_semi")), folder)
+    return read_places(find(keys, folder, key_col=key_col).unionByName(more.join(asked, "key", "left_semi")), folder,
+                       payload=payload)
 
 
-def read_places(places: DataFrame, folder: str) -> DataFrame:
-    """Documents at places: key, start (ids of all documents before it), n_tokens, ids, width.
+def read_places(places: DataFrame, folder: str, *, payload: bool = True) -> DataFrame:
+    """Documents at places: key, start (ids of all documents before it), n_tokens, ids_crc32, width, ids.
 
-    ``ids`` is the raw slice of the file and ``width`` its bytes per id. Places are gone through shard by shard; of a shard
+    ``ids`` is the raw slice of the file (null without ``payload``), ``width`` its bytes per id, and ``ids_crc32`` the unsigned
+    crc32 of the ids as little-endian four-byte integers. Places are gone through shard by shard; of a shard
     only its keys and the wanted slices are read, neighbours in one go.
     """
-    out = pa.schema([("key", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()),
-                     ("width", pa.int32())])
+    out = pa.schema([("key", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
+                     ("ids_crc32", pa.int64()), ("width", pa.int32()), ("ids", pa.binary())])
 
     def read(batches):
         current, shard = None, None
@@ -294,15 +297,16 @@ def read_places(places: DataFrame, folder: str) -> DataFrame:
                         continue  # an absent key with the fingerprint of another
                     low = (r["start"] - begin) * shard.item
                     ids = raw[low:low + r["n_tokens"] * shard.item]
-                    for name, value in zip(out.names, (r["key"], r["base"] + r["start"], r["n_tokens"], ids,
-                                                       shard.item)):
+                    crc = zlib.crc32(np.frombuffer(ids, f"<u{shard.item}").astype("<u4").tobytes())
+                    for name, value in zip(out.names, (r["key"], r["base"] + r["start"], r["n_tokens"], crc, shard.item,
+                                                       ids if payload else None)):
                         rows[name].append(value)
                 yield pa.RecordBatch.from_pydict(rows, schema=out)
 
     bases = read_shards(places.sparkSession, folder).select("made_in", "shard", "base")
     return (places.select("key", *PLACE).join(bases, ["made_in", "shard"])
             .repartition("made_in", "shard").sortWithinPartitions("made_in", "shard", "start")
-            .mapInArrow(read, "key long, start long, n_tokens long, ids binary, width int"))
+            .mapInArrow(read, "key long, start long, n_tokens long, ids_crc32 long, width int, ids binary"))
 
 
 def _neighbours(rows: list[dict], most: int = 1 << 20):
