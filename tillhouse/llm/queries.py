@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import ngram_join, packing, quality, token_files, toxicity
+from tillhouse.llm import ngram_join, packing, quality, token_files, toxicity, vector_join
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -38,6 +38,10 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+def op8_subspace_join(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_join.similar_vectors(table(spark, folder, "embeddings"), least=0.98)
+
+
 def packed(docs: DataFrame) -> DataFrame:
     pieces = packing.token_pieces(docs, WORD_BPE, end_id=0)
     return packing.place(pieces.drop("ids")).select(
@@ -53,6 +57,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op5_ngram_join": op5_ngram_join,
     "op7_toxicity": op7_toxicity,
+    "op8_subspace_join": op8_subspace_join,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 ORACLES: dict[str, str] = {}
