@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import ngram_join, packing, quality, token_files, toxicity, vector_join
+from tillhouse.llm import licenses, ngram_join, packing, quality, style_tree, token_files, toxicity, vector_join
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -27,10 +27,18 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.summary(licenses.scan_licenses(table(spark, folder, "documents")))
+
+
 def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, folder, "documents"), words=4, percent=85)
 
 
+def op6_site_style_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return style_tree.main_text(table(spark, folder, "pages"))
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = toxicity.fit(docs.where(~toxicity.held_out()), table(spark, folder, "labels"))
@@ -55,7 +63,9 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op3_quality_rules": op3_quality_rules,
+    "op4_license_scan": op4_license_scan,
     "op5_ngram_join": op5_ngram_join,
+    "op6_site_style_tree": op6_site_style_tree,
     "op7_toxicity": op7_toxicity,
     "op8_subspace_join": op8_subspace_join,
     "op9_best_fit_packing": op9_best_fit_packing,
