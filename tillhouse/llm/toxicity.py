@@ -185,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     marks = (labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("id"))
              .agg(F.max(label_col).cast("int").alias("toxic")))
     labelled = settle(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-                      .join(marks, "id").select("text", "toxic"))
+                      .join(marks.hint("merge"), "id").select("text", "toxic"))  # labels may outgrow a broadcast
     names = choose_features(labelled, most_candidates=most_candidates, most_features=most_features)
     place = {f: i for i, f in enumerate(names)}
 
