@@ -192,11 +192,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     def present(batches):
         for batch in batches:
             found = [sorted(place[f] for f in text_features(t) if f in place) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column(1)],
-                                             names=["present", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column(1), batch.column(2)],
+                                             names=["present", "toxic", "place"])
 
-    sample = labelled.orderBy(F.xxhash64("text"), "text").limit(most_rows)  # the bound of this fit
-    rows = sample.mapInArrow(present, "present array<int>, toxic int").orderBy("toxic", "present").collect()
+    narrow = labelled.select("text", "toxic", F.xxhash64("text").alias("place")).mapInArrow(
+        present, "present array<int>, toxic int, place long")
+    rows = narrow.orderBy("place", "toxic", "present").limit(most_rows).collect()  # the bound of this fit
     families = [[place[t] for t in family] for family in IDENTITY_FAMILIES]
     weights, bias = fit_logistic([list(r.present) for r in rows], [r.toxic for r in rows], len(names), families,
                                  swap_penalty)
