@@ -26,6 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillhouse.llm.text_stats import NAMES, text_stats
 from tillhouse.session import settle
@@ -56,19 +57,21 @@ def consistency(share: float, p: int) -> float:
     return share / chi2_cdf(chi2_quantile(share, p), p + 2)
 
 
-def statistics(docs: DataFrame, *, text_col: str = "text", keep: list[str] = ("doc_id", "lang", "source")) -> DataFrame:
-    """``keep`` and the integer statistics ``NAMES`` of every whole text."""
-    kept = [F.col(c) for c in keep]
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), *(f"{n} long" for n in NAMES)])
+def statistics(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
+    """``docs`` without its text, and the integer statistics ``NAMES`` of every whole text."""
+    kept = [c for c in docs.columns if c != text_col]
+    schema = T.StructType([*(docs.schema[c] for c in kept), *(T.StructField(n, T.LongType()) for n in NAMES)])
 
     def count(batches):
-        for batch in batches:
-            found = np.array([text_stats(t) for t in batch.column(batch.num_columns - 1).to_pylist()],
-                             np.int64).reshape(-1, len(NAMES))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *(pa.array(found[:, k]) for k in range(len(NAMES)))], names=[*keep, *NAMES])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                found = np.array([text_stats(t) for t in batch.column(batch.num_columns - 1).to_pylist()],
+                                 np.int64).reshape(-1, len(NAMES))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:-1], *(pa.array(found[:, k]) for k in range(len(NAMES)))], names=[*kept, *NAMES])
 
-    return docs.select(*kept, F.col(text_col).cast("string").alias("whole text")).mapInArrow(count, schema)
+    return docs.select(*kept, F.col(text_col).cast("string")).mapInArrow(count, schema)
 
 
 def _vectors(stats: DataFrame) -> DataFrame:
@@ -158,13 +161,15 @@ def robust_estimates(rows: DataFrame, *, support: float = SUPPORT, most_steps: i
 
 
 def judge(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          source_col: str = "source", min_rows: int = MIN_ROWS, reject_p: float = REJECT_P) -> DataFrame:
-    """One row per document: id_col, ``NAMES``, base_failed, kept, distance (null if no estimate applies)."""
-    named = docs.select(F.col(id_col).alias("id"), F.to_json(F.struct(F.col(lang_col).alias("v"))).alias("lang_key"),
+          source_col: str = "source", min_rows: int = MIN_ROWS, reject_p: float = REJECT_P,
+          whole_rows: bool = False) -> DataFrame:
+    """One row per document: id_col, ``NAMES``, base_failed, kept, distance (null if no estimate applies). With
+    ``whole_rows`` the column ``row``, a struct of all columns of ``docs``, stands in place of id_col."""
+    named = docs.select(F.struct(*(docs.columns if whole_rows else [id_col])).alias("row"),
+                        F.to_json(F.struct(F.col(lang_col).alias("v"))).alias("lang_key"),
                         F.to_json(F.struct(F.col(source_col).alias("v"))).alias("source_key"),
-                        F.col(text_col).alias("text"))
-    stats = settle(statistics(named, keep=["id", "lang_key", "source_key"]))
-    rows = _vectors(stats)
+                        F.col(text_col).alias("whole text"))
+    rows = _vectors(settle(statistics(named, text_col="whole text")))
     cells = settle(_cells(rows, min_rows))  # one row per language and source
     rows = rows.join(cells, ["lang_key", "source_key"], "left")
     passing = rows.where("NOT base_failed").select(*CELL, *VECTOR)
@@ -172,5 +177,5 @@ def judge(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     beyond = chi2_quantile(1 - reject_p, len(VECTOR))
     judged = rows.join(model.select(*CELL, "center", "precision"), CELL, "left").withColumn("distance", _distance())
     return judged.select(
-        F.col("id").alias(id_col), *NAMES, "base_failed",
+        "row" if whole_rows else "row.*", *NAMES, "base_failed",
         (~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= beyond)).alias("kept"), "distance")

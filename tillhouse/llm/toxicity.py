@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillhouse.session import settle
 
@@ -207,15 +208,17 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, model: Model, *, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``docs`` without its text, plus ``score_col``."""
     kept = [c for c in docs.columns if c not in (text_col, score_col)]
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), f"`{score_col}` double"])
+    schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField(score_col, T.DoubleType())])
 
     def rate(batches):
-        for batch in batches:
-            scores = [model.score(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())],
-                                             names=[*kept, score_col])
-
-    return docs.select(*kept, F.col(text_col).cast("string").alias("whole text")).mapInArrow(rate, schema)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                scores = [model.score(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())],
+                                                 names=[*kept, score_col])
+
+    return docs.select(*kept, F.col(text_col).cast("string")).mapInArrow(rate, schema)
 
 
 def held_out(id_col: str = "doc_id"):
