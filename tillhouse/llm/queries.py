@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import licenses, ngram_join, packing, quality, style_tree, token_files, toxicity, vector_join
+from tillhouse.llm import licenses, ngram_join, packing, quality, sentence_pieces, style_tree, token_files, toxicity, vector_join
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +24,11 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return by_key.unionByName(unnamed).select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op2_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return sentence_pieces.encode(docs, PIECE_BPE, verify=True).drop("ids", "width")
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
@@ -62,6 +68,7 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_sentence_pieces": op2_sentence_pieces,
     "op3_quality_rules": op3_quality_rules,
     "op4_license_scan": op4_license_scan,
     "op5_ngram_join": op5_ngram_join,
