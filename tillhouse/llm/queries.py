@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import licenses, ngram_join, packing, quality, sentence_pieces, style_tree, token_files, toxicity, vector_join
+from tillhouse.llm import licenses, lm_scores, ngram_join, packing, quality, sentence_pieces, style_tree, token_files, toxicity, vector_join
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -66,6 +66,10 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(table(spark, folder, "documents"))
 
 
+def op10_stupid_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scores.stupid_backoff(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_sentence_pieces": op2_sentence_pieces,
@@ -76,5 +80,6 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_subspace_join": op8_subspace_join,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_stupid_backoff": op10_stupid_backoff,
 }
 ORACLES: dict[str, str] = {}
