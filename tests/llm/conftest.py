@@ -1,0 +1,34 @@
+import os
+
+import pytest
+
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+ODD_TEXTS = [None, "", " \n\t", "one", "Two words", "a b c\x0bd e\x0cf g h\x1ci", "é́ ﬁ İ Σς ß", "🙂 日本語 <|endoftext|> <s>",
+             "x" * 5000, "long " * 5000, "same line\nsame line\n\nsame line", "it's I'm we'll ... ?! %%% a,b c.d, e."]
+
+
+@pytest.fixture(scope="session")
+def folder():
+    return FOLDER
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    """Nulls, empty and long texts, repeated rows and ids, and columns that clash with the operators' own."""
+    rows = [(i, t, "en" if i % 2 else None, None if i % 3 else "s", len(t or "")) for i, t in enumerate(ODD_TEXTS)]
+    rows += [(None, "no id", "en", "s", 5), rows[8], (3, "another text of the same id", "en", "s", 9)]
+    docs = spark.createDataFrame(rows, DOCS)
+    for name in ("row", "id", "label", "length", "ids", "score", "kept", "n_words", "piece", "chunk", "text2"):
+        docs = docs.selectExpr("*", f"'clash' AS `{name}`")
+    return docs
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+@pytest.fixture(scope="session")
+def docs(spark, folder):
+    return spark.read.parquet(f"{folder}/documents.parquet")

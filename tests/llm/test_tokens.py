@@ -1,0 +1,153 @@
+"""Encoding, token files and packing."""
+
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from conftest import ODD_TEXTS
+from tillhouse.llm import encoding, packing, queries, token_files
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+PLAIN = Tokenizer.from_file(PATH)
+
+
+def plain_ids(text, end):
+    return PLAIN.encode(text or "", add_special_tokens=False).ids + [end]
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_encoder_gives_the_librarys_ids(monkeypatch):
+    monkeypatch.setattr(encoding, "MOST_WORDS", 40)  # tables turn over
+    encoder = encoding.WordEncoder(PATH)
+    draw = random.Random(1)
+    parts = ["a", "B", "The", "İ", "Σ", "ς", "é", "é", "J̌", " ", "\n", "\t", "\x0b", "\x1c", "\x85", "\xa0", "​", "'s", "'re",
+             "<|endoftext|>", "<|ENDOFTEXT|>", "1", "!", ".", ",", "%%%", "日本", "🙂", "ﬁ", "x.\n", "b, "]
+    texts = ["".join(draw.choices(parts, k=draw.randint(0, 14))) for _ in range(3000)] + [t for t in ODD_TEXTS]
+    for text, raw in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(raw, "<u4").tolist() == plain_ids(text, 0)[:-1], repr(text)
+    assert max(map(len, encoder.known)) <= encoding.LONGEST_KEPT
+
+
+def test_index_is_a_minimal_perfect_hash():
+    keys = np.random.default_rng(1).choice(2**40, 5000, replace=False).astype(np.int64) - 2**39
+    index = token_files.Index.load(token_files.Index.of(keys, {"start": keys * 3}).dump())
+    there, slot = index.find(keys)
+    assert len(there) == 5000 and sorted(slot) == list(range(5000))
+    assert (index.columns["start"][slot] == keys * 3).all()
+    other = np.setdiff1d(np.arange(20000), keys)
+    assert len(index.find(other)[0]) <= 1
+    assert len(token_files.Index.of(np.zeros(0, np.int64), {}).find(other)[0]) == 0
+
+
+def starts(rows):
+    """rows: (id, text) in file order. id, start, n, crc."""
+    at, out = 0, []
+    for key, text in rows:
+        ids = plain_ids(text, 2)
+        out.append((key, at, len(ids), crc(ids)))
+        at += len(ids)
+    return out
+
+
+def test_op1_against_the_library(spark, folder, docs):
+    got = sorted(tuple(r)[:4] for r in queries.op1_token_files(spark, folder).collect())
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    assert got == starts(rows)
+
+
+def test_token_files_of_odd_rows(spark, odd_docs, tmp_path):
+    files = str(tmp_path / "files")
+    token_files.write(odd_docs, files, PATH, end_id=2, shard_bytes=400, keys_per_bucket=4)
+    rows = odd_docs.select("doc_id", "text").collect()
+    entries = token_files.read_entries(spark, files)
+    assert entries.count() == len(rows)
+    every = token_files.read_places(entries, files).orderBy("start").collect()
+    assert [r.key for r in every] == sorted((r.doc_id for r in rows), key=lambda k: (k is not None, k))
+    assert [r.start for r in every] == np.cumsum([0, *(r.n_tokens for r in every)])[:-1].tolist()
+    want = Counter((r.doc_id, crc(plain_ids(r.text, 2))) for r in rows)
+    assert Counter((r.key, r.ids_crc32) for r in every) == want
+    asked = spark.createDataFrame([(k,) for k in [*range(-5, 40), None, 3]], "key long")
+    found = token_files.fetch(asked, files).collect()
+    assert Counter((r.key, r.ids_crc32) for r in found) == Counter({k: n for k, n in want.items() if k[0] is not None})
+    ids = {r.key: np.frombuffer(r.ids, f"<u{r.width}").tolist() for r in found}
+    assert ids[4] == plain_ids(ODD_TEXTS[4], 2)
+
+
+def test_token_files_of_nothing(spark, no_docs, tmp_path):
+    files = str(tmp_path / "none")
+    token_files.write(no_docs, files, PATH, end_id=2)
+    assert token_files.fetch(spark.createDataFrame([(1,)], "key long"), files).count() == 0
+
+
+def check_packing(rows, capacity):
+    """Pieces of each sequence lie side by side from 0 and fit."""
+    held = {}
+    for r in rows:
+        held.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in held.values():
+        parts.sort()
+        assert [o for o, _ in parts] == np.cumsum([0, *(n for _, n in parts)])[:-1].tolist()
+        assert sum(n for _, n in parts) <= capacity
+    return len(held)
+
+
+def best_fit(lengths, capacity):
+    room = []
+    for length in sorted(lengths, reverse=True):
+        fitting = [r for r in room if r >= length]
+        if fitting:
+            room.remove(min(fitting))
+            room.append(min(fitting) - length)
+        else:
+            room.append(capacity - length)
+    return len(room)
+
+
+def test_op9_against_the_library(spark, folder, docs):
+    rows = queries.op9_best_fit_packing(spark, folder).collect()
+    want = set()
+    for r in docs.collect():
+        ids = plain_ids(r.text, 0)
+        want |= {(r.doc_id, k, at, len(ids[at:at + 2048]), crc(ids[at:at + 2048])) for k, at in enumerate(range(0, len(ids), 2048))}
+    assert len(rows) == len(want) and {tuple(r)[:5] for r in rows} == want
+    assert check_packing(rows, 2048) == best_fit([r.length for r in rows], 2048)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plan_is_best_fit_decreasing(seed):
+    draw = random.Random(seed)
+    capacity = draw.choice([1, 7, 50, 200])
+    lengths = [draw.randint(1, capacity) for _ in range(draw.randint(0, 400))]
+    runs = packing.plan(Counter(lengths), capacity)
+    used, seen = {}, Counter()
+    for length, rank, first, offset in runs.tolist():
+        later = [r for r in runs.tolist() if r[0] == length and r[1] > rank]
+        n = min([r[1] for r in later], default=Counter(lengths)[length]) - rank
+        seen[length] += n
+        for k in range(n):
+            used.setdefault(first + k, []).append((offset, length))
+    assert seen == Counter(lengths)
+    assert len(used) == best_fit(lengths, capacity)
+    for parts in used.values():
+        parts.sort()
+        assert [o for o, _ in parts] == np.cumsum([0, *(n for _, n in parts)])[:-1].tolist()
+
+
+def test_packing_of_odd_rows(spark, odd_docs, no_docs):
+    pieces = packing.token_pieces(odd_docs, PATH, end_id=0, capacity=64)
+    rows = packing.place(pieces, capacity=64).collect()
+    check_packing(rows, 64)
+    want = Counter()
+    for r in odd_docs.collect():
+        ids = plain_ids(r.text, 0)
+        want.update((r.doc_id, at, tuple(ids[at:at + 64])) for at in range(0, len(ids), 64))
+    assert Counter((r.doc_id, r.start, tuple(np.frombuffer(r.ids, "<u2"))) for r in rows) == want
+    assert queries.packed(no_docs).count() == 0

@@ -85,7 +85,7 @@ class WordEncoder:
             few = batch.slice(at, ROWS_AT_ONCE)
             yield from zip(few.column(0).to_pylist(), self.encode(few.column(1).to_pylist()))
 
-    def _encode(self, texts: list[list[bytes]]) -> Iterable[bytes]:
+    def _encode(self, texts: list[list[bytes]]) -> list[bytes]:
         wanted = set().union(*texts)
         missing = wanted.difference(self.known)
         if len(self.known) + len(missing) > MOST_WORDS:
@@ -100,11 +100,11 @@ class WordEncoder:
                 self.known[word] = ids
         if unseen:
             self.known.update(self._learn([w.decode() for w in unseen]))
-        for words in texts:
-            yield b"".join(map(self.known.__getitem__, words))
+        found = [b"".join(map(self.known.__getitem__, words)) for words in texts]
         for word in unseen:
             if len(word) > LONGEST_KEPT:
                 del self.known[word]
+        return found
 
 
 def chunks(text: str) -> list[bytes]:

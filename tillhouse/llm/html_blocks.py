@@ -72,11 +72,14 @@ def blocks(page: str | None) -> list[tuple[str, int, str]]:
     def flush() -> None:
         text = " ".join("".join(parts).split()) if parts else ""
         parts.clear()
-        if text and stack[-1][2] != NOTHING:
+        if text:
             at = len(stack) - 1
+            while stack[at][2] == NOTHING:  # no text comes from there
+                at -= 1
+            place = stack[at][2]
             while at and stack[at][0] not in BLOCK:
                 at -= 1
-            out.append((stack[at][1], stack[-1][2], text))
+            out.append((stack[at][1], place, text))
 
     def close(at: int) -> None:
         if any(t in BLOCK for t, _, _ in stack[at:]):
@@ -109,6 +112,8 @@ def blocks(page: str | None) -> list[tuple[str, int, str]]:
             found = next((k for k in range(len(stack) - 1, low - 1, -1) if stack[k][0] == tag), None)
             if found is not None:
                 close(found)
+            elif tag == "p":
+                flush()
             continue
         if tag in CLOSES_P:
             found = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == "p"), None)

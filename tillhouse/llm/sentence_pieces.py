@@ -11,7 +11,8 @@ start of a space run or over a line break, a text's ids are those of its segment
 worker and looked up afterwards, in tables of bounded size.
 
 Defined results: a null text is an empty one, which has no ids; special strings in a text are ordinary text; unknown characters become
-bytes if the model has them, else the unknown id; ids outside the vocabulary are an error when decoding; repeated rows are encoded each;
+bytes if the model has them, else the unknown id; under a unigram
+model with byte pieces a text that spells one out, like ``<0x0A>``, is taken at its word, where the original spells it in pieces; ids outside the vocabulary are an error when decoding; repeated rows are encoded each;
 an empty table gives no rows.
 """
 

@@ -6,13 +6,13 @@ pages. With m pages at a node:
 
 * presentation importance: entropy of the presentations, to the base m. A menu looks alike on every page, an article doesn't;
 * content importance: 1 minus the mean entropy of the node's texts over pages. A text that k of m pages share has ``log_m k``;
-* composite importance: the presentation's share is ``1 - DECAY ** presentations``, the rest is the content's; a branch has that of
-  its own texts and the mean of its children.
+* composite importance: the presentation's share is ``1 - DECAY ** presentations``, the rest is the content's. A branch is noise if
+  every node in it that has texts is below ``LEAST_IMPORTANCE``, so it is those nodes that go.
 
 Equal pages count once, and a node with fewer than ``LEAST_PAGES`` different pages counts as important, for lack of evidence. Entropy
 is held against branches that are not marked as content. What a page itself marks has a weight that no count
 overrules: ``article`` and ``main`` are content, and nothing else is where they exist; parts whose element, role or class names a menu,
-header, footer, sidebar, notice, advert, form or comments are not. Branches below ``LEAST_IMPORTANCE`` go.
+header, footer, sidebar, notice, advert, form or comments are not.
 
 Counting is by partial sums per host, node and text, so a host with a third of all pages is no single task's work; the verdicts
 come back as one row per host, with the few nodes to remove.
@@ -37,37 +37,21 @@ PAGES_AT_ONCE = 256
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    """id, url, host, page (hash of all texts), blocks: node, parents, place, text."""
+    """id, url, host, page (hash of all texts), blocks: node, place, text."""
     kind = pages.schema["id"].dataType.simpleString()
 
     def parse(batches):
-        item = pa.list_(pa.struct([("node", pa.int64()), ("parents", pa.list_(pa.int64())), ("place", pa.int32()),
-                                   ("text", pa.string())]))
-        known: dict[str, tuple[int, list[int]]] = {}
-
-        def node(path: str) -> tuple[int, list[int]]:
-            if path not in known:
-                if len(known) > 100_000:
-                    known.clear()
-                steps = path.split("/")
-                known[path] = (path_hash(path), [path_hash("/".join(steps[:k])) for k in range(1, len(steps))])
-            return known[path]
-
+        item = pa.list_(pa.struct([("node", pa.int64()), ("place", pa.int32()), ("text", pa.string())]))
         for whole in batches:
             for at in range(0, whole.num_rows, PAGES_AT_ONCE):
                 batch = whole.slice(at, PAGES_AT_ONCE)
-                rows = []
-                for page in batch.column("html").to_pylist():
-                    found = []
-                    for path, place, text in blocks(page):
-                        own, parents = node(path)
-                        found.append({"node": own, "parents": parents, "place": place, "text": text})
-                    rows.append(found)
+                rows = [[{"node": path_hash(path), "place": place, "text": text} for path, place, text in blocks(page)]
+                        for page in batch.column("html").to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(rows, item)],
                                                  names=["id", "url", "blocks"])
 
     parsed = pages.select("id", "url", "html").mapInArrow(
-        parse, f"id {kind}, url string, blocks array<struct<node: bigint, parents: array<bigint>, place: int, text: string>>")
+        parse, f"id {kind}, url string, blocks array<struct<node: bigint, place: int, text: string>>")
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
     return settle(parsed.withColumn("host", F.xxhash64(host)))
 
@@ -76,9 +60,8 @@ def removed_nodes(parsed: DataFrame, *, least_pages: int = LEAST_PAGES,
                   least_importance: float = LEAST_IMPORTANCE) -> DataFrame:
     """host, removed (nodes). Only nodes that some page has outside of marked content."""
     texts = parsed.select("host", F.xxhash64(F.col("blocks.text")).alias("page"), F.posexplode("blocks").alias("pos", "b"))
-    texts = settle(texts.select("host", "page", "pos", "b.node", "b.parents", "b.place",
+    texts = settle(texts.select("host", "page", "pos", "b.node", "b.place",
                                 F.xxhash64("b.text").alias("text")).distinct())  # equal pages count once
-    marks = texts.groupBy("host", "node").agg(F.first("parents").alias("parents"), F.min("place").alias("place"))
     # content: in how many pages does each text of a node stand
     shared = texts.groupBy("host", "node", "text", "page").agg(F.lit(1).alias("one")).groupBy("host", "node", "text").agg(
         F.count("*").alias("k"))
@@ -93,12 +76,8 @@ def removed_nodes(parsed: DataFrame, *, least_pages: int = LEAST_PAGES,
     share = 1 - F.pow(F.lit(DECAY), F.col("n_looks"))
     leaf = F.when(F.col("m") < least_pages, 1.0).otherwise(
         share * look_importance + (1 - share) * (1 - F.col("mean_log_k") / log_m))
-    leaves = settle(m.join(content, ["host", "node"]).join(marks, ["host", "node"]).select(
-        "host", "node", "parents", "place", leaf.alias("importance")))
-    # a branch is removed as a whole where the mean of its leaves is low
-    branches = leaves.select("host", "place", "importance", F.explode(F.concat("parents", F.array("node"))).alias("node"))
-    low = branches.groupBy("host", "node").agg(F.avg("importance").alias("importance"), F.min("place").alias("place")).where(
-        (F.col("importance") < least_importance) & (F.col("place") == OUTSIDE))
+    marks = texts.groupBy("host", "node").agg(F.min("place").alias("place"))
+    low = m.join(content, ["host", "node"]).join(marks, ["host", "node"]).where((leaf < least_importance) & (F.col("place") == OUTSIDE))
     return low.groupBy("host").agg(F.sort_array(F.collect_set("node")).alias("removed"))
 
 
@@ -111,8 +90,7 @@ def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
     low = settle(removed_nodes(parsed, least_pages=least_pages, least_importance=least_importance))
     marked = F.exists("blocks", lambda b: b["place"] == INSIDE)
     kept = F.filter("blocks", lambda b: F.when(marked, b["place"] == INSIDE).otherwise(
-        (b["place"] != DROPPED) & ~F.coalesce(F.array_contains("removed", b["node"]), F.lit(False))
-        & ~F.coalesce(F.arrays_overlap("removed", b["parents"]), F.lit(False))))
+        (b["place"] != DROPPED) & ~F.coalesce(F.array_contains("removed", b["node"]), F.lit(False))))
     out = parsed.join(low, "host", "left").withColumn("text", F.array_join(kept["text"], " "))
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text",
                       F.char_length("text").cast("long").alias("n_chars"))

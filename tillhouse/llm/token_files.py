@@ -145,6 +145,8 @@ class Index:
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of the keys that are present, and their slots."""
         slot = slots(keys, self.levels, self.ranks)
+        if not len(self.columns["fingerprint"]):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         there = (slot >= 0) & (self.columns["fingerprint"][np.maximum(slot, 0)] == fingerprints(keys))
         return np.flatnonzero(there), slot[there]
 

@@ -5,7 +5,7 @@ known stem count. Fitting goes in three steps:
 
 1. over all labelled rows, on the cluster: in how many toxic texts does each feature occur, then, for the
    ``MOST_CANDIDATES`` most frequent of these, in how many others. Kept are the ``MOST_FEATURES`` with the
-   highest signed chi statistic for toxic, and every identity term;
+   highest signed chi statistic for toxic, and those of every identity term;
 2. at most ``MOST_ROWS`` labelled rows, the first by a hash of their text, come to the driver as short lists of kept
    features;
 3. logistic regression on them. Each labelled sentence that names a group gets copies in which the term is
@@ -135,21 +135,24 @@ def choose_features(labelled: DataFrame, *, most_candidates: int = MOST_CANDIDAT
             z = (a / n_toxic - b / max(1, n_other)) / (share * (1 - share) * (1 / n_toxic + 1 / max(1, n_other))) ** 0.5
             rated.append((-z, name))
     chosen = [name for _, name in sorted(rated)[:most_features]]
-    terms = [t for family in IDENTITY_FAMILIES for t in family]
+    terms = [f for family in IDENTITY_FAMILIES for t in family for f in features(t)]
     return chosen + sorted(set(terms) - set(chosen))
 
 
-def swapped(present: list[int], families: list[list[int]]) -> list[tuple[list[int], list[int]]]:
-    """(features that go, features that come) for each swap of a named term for another of its family."""
+def swapped(present: list[int], families: list[list[list[int]]]) -> list[tuple[list[int], list[int]]]:
+    """(features that go, features that come) for each swap of a named term for another of its family. A term is the list of its
+    features, the word itself first."""
     here = set(present)
     out = []
     for family in families:
-        named = [t for t in family if t in here]
-        out += [([t], [o]) for t in named for o in family if o not in here]
+        for term in family:
+            if term[0] in here:
+                out += [(sorted(here & set(term) - set(other)), sorted(set(other) - here))
+                        for other in family if other[0] not in here]
     return out
 
 
-def fit_logistic(rows: list[list[int]], toxic: list[int], size: int, families: list[list[int]],
+def fit_logistic(rows: list[list[int]], toxic: list[int], size: int, families: list[list[list[int]]],
                  swap_penalty: float = SWAP_PENALTY) -> tuple[np.ndarray, float]:
     """Weights and bias by full-batch Adam; ``rows`` are lists of present features below ``size``."""
     y = np.array(toxic, float)
@@ -199,7 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     narrow = labelled.select("text", "toxic", F.xxhash64("text").alias("place")).mapInArrow(
         present, "present array<int>, toxic int, place long")
     rows = narrow.orderBy("place", "toxic", "present").limit(most_rows).collect()  # the bound of this fit
-    families = [[place[t] for t in family] for family in IDENTITY_FAMILIES]
+    families = [[[place[f] for f in features(t)] for t in family] for family in IDENTITY_FAMILIES]
     weights, bias = fit_logistic([list(r.present) for r in rows], [r.toxic for r in rows], len(names), families,
                                  swap_penalty)
     return Model({f: float(v) for f, v in zip(names, weights) if v}, bias)

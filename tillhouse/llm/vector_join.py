@@ -67,7 +67,7 @@ def _rotation(rows: DataFrame, size: int) -> np.ndarray:
 def _matrix(column: pa.Array, size: int) -> np.ndarray:
     """Unit rows of a list column."""
     x = np.array(column.to_pylist(), float).reshape(-1, size)
-    x = x / np.abs(x).max(1, keepdims=True)  # keeps squares finite and above zero
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1]) if len(x) else x
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
@@ -139,8 +139,9 @@ def _links(rows: DataFrame, size: int, least: float, blocks: int, most: int) ->
 
     def compare(frame):
         vectors = np.array(frame["vector"].tolist(), float)
-        unit = vectors / np.abs(vectors).max(1, keepdims=True)
-        unit /= np.sqrt((unit * unit).sum(1))[:, None]
+        # by a power of two, which rounds nothing, so that squares neither overflow nor vanish
+        scaled = np.ldexp(vectors, -np.frexp(np.abs(vectors).max(1, keepdims=True))[1])
+        unit = scaled / np.sqrt((scaled * scaled).sum(1))[:, None]
         turned, number = turn(unit, rotation), int(frame["block"].iloc[0])
         ids, copies, role = frame["id"].to_numpy(), frame["copies"].to_numpy(), frame["role"].to_numpy()
         home, row = np.flatnonzero(role), np.flatnonzero(~role)
@@ -160,7 +161,7 @@ def _links(rows: DataFrame, size: int, least: float, blocks: int, most: int) ->
             i, j = np.nonzero(candidate & (ids[h][:, None] != ids[row][None]))
             if not len(i):
                 continue
-            x, y = vectors[h[i]], vectors[row[j]]
+            x, y = scaled[h[i]], scaled[row[j]]
             cosine = (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1)))
             linked = cosine >= least
             i, j = i[linked], j[linked]
