@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillhouse.functions.columns import conform
 from tillhouse.operators import generate as G
 from tillhouse.operators.upsert import DuplicateKeys, merge_into, stamp
 from tillhouse.plans import jobs
@@ -128,8 +127,7 @@ def test_only_touched_partitions_are_written(spark, tmp_path):
     store = TableStore(spark, str(tmp_path), {"sale_fact": SALE_FACT}, {"sale_fact": "store_id"})
 
     def fact(store_id, check, price):
-        return conform(spark.createDataFrame([(1, check, store_id, price)], "product_id long, check_id long, store_id long, price double"),
-                       SALE_FACT.schema)
+        return spark.createDataFrame([(1, 1, 1, check, True, 1, store_id, 1, price, 1.0)], SALE_FACT.schema)
 
     for s in (1, 2, 3):
         merge_into(store, SALE_FACT, fact(s, 10, 1.0))
@@ -158,10 +156,87 @@ def test_append_then_replace(spark, tmp_path):
     assert store.append("supplier", base) == 4 and store.read("supplier").count() == 4
 
 
+def fill_parents(spark, store, cards, products, suppliers):
+    store.append("card", spark.createDataFrame([(c, "1", "a", None, "b", datetime(1990, 1, 1).date()) for c in cards],
+                                               store.tables["card"].schema))
+    store.append("product", spark.createDataFrame([(p, "p", "v", 1) for p in products], store.tables["product"].schema))
+    store.append("supplier", spark.createDataFrame([(s, "s", "i") for s in suppliers], store.tables["supplier"].schema))
+
+
+def test_rows_that_break_rules_are_set_aside(spark, tmp_path):
+    warehouse = jobs.warehouse_store(spark, str(tmp_path))
+    warehouse.append("store", spark.createDataFrame([(1, "e", "e", "east")], "store_id long, name string, address string, db_name string"))
+    fill_parents(spark, warehouse, [10_000_001], [1, 2, 3, 4, 5], [1])
+    day = datetime(2017, 1, 1)
+    schema = T.StructType(CHECK_EXTRACT.fields + [T.StructField("db_name", T.StringType())])
+    tagged = [(1, 10_000_001, day, True, 1, 2.0, 3.0, 1, 1), (2, 99, day, True, 1, 2.0, 3.0, 1, 1), (3, 10_000_001, day, True, 7, 2.0, 3.0, 2, 1),
+              (4, 10_000_001, None, True, 1, 2.0, 3.0, 3, 1), (5, 10_000_001, day, None, 1, None, 3.0, 4, 9),
+              (6, 10_000_001, day, True, None, 2.0, 3.0, 77, 1)]
+    status = jobs.load_checks(warehouse, spark.createDataFrame([(*t, "east") for t in tagged], schema))
+    assert rows(status) == [("sale_fact", "warehouse", 1), ("sale_fact", "warehouse: rejected", 5)]
+    assert {r["check_id"]: sorted(r["broken"]) for r in warehouse.rejected("sale_fact").collect()} == {
+        2: ["reference: card_id"], 3: ["domain: payment_form"], 4: ["not null: check_date"],
+        5: ["not null: payed", "not null: price", "reference: supplier_id"], 6: ["reference: product_id"]}
+    assert warehouse.read("sale_fact").count() == 1 and warehouse.read("date").count() == 1
+
+
+def test_no_row_breaks_a_stored_table(spark, tmp_path):
+    branch = jobs.branch_store(spark, str(tmp_path))
+    schema = "check_id long, card_id long, check_date timestamp_ntz, payment_form int"
+
+    def checks(*ids, form=1):
+        return stamp(spark.createDataFrame([(i, 1, datetime(2017, 1, 1), form) for i in ids], schema), LOADED)
+
+    assert branch.append("check", checks(1, 2)) == 2
+    assert {r["payed"] for r in branch.read("check").collect()} == {False}  # the default of an absent column
+    for bad in (checks(None), checks(3, form=9), checks(3).withColumn("payed", F.lit(None).cast("boolean")),
+                checks(3).drop("check_date")):
+        with pytest.raises(Exception, match="not null|domain"):
+            branch.append("check", bad)
+    with pytest.raises(Exception, match="length"):
+        branch.append("supplier", stamp(spark.createDataFrame([(1, "x" * 51, "1")], "supplier_id long, name string, inn string"), LOADED))
+    for twice in (checks(5, 5), checks(2)):
+        with pytest.raises(DuplicateKeys):
+            branch.append("check", twice)
+    assert branch.read("check").count() == 2
+
+
+def test_lines_without_a_price_at_the_target_are_counted(spark, tmp_path):
+    warehouse, south = jobs.warehouse_store(spark, f"{tmp_path}/w"), jobs.branch_store(spark, f"{tmp_path}/s")
+    warehouse.append("store", spark.createDataFrame([(1, "e", "e", "east")], "store_id long, name string, address string, db_name string"))
+    fill_parents(spark, warehouse, [10_000_001], [1, 2], [1])
+    schema = T.StructType(CHECK_EXTRACT.fields + [T.StructField("db_name", T.StringType())])
+    jobs.load_checks(warehouse, spark.createDataFrame(
+        [(1, 10_000_001, datetime(2017, 1, 5), True, 1, 2.0, 3.0, p, 1, "east") for p in (1, 2)], schema))
+    south.append("product", stamp(warehouse.read("product"), LOADED))
+    south.append("price", stamp(spark.createDataFrame(
+        [(1, 1, 5.0, 4.0, datetime(2017, 1, 1))], "price_id long, product_id long, cost double, cost_sale double, set_date timestamp_ntz"), LOADED))
+    jobs.send_cards(warehouse, "south", south, "east", now=SENT)
+    status = jobs.send_checks(warehouse, "south", south, "east", *WINDOW, now=SENT, reprice=True)
+    assert rows(status) == [("check", "south", 1), ("line", "south", 1), ("line", "south: rejected", 1)]
+    assert [tuple(r)[:4] for r in south.read("line").collect()] == [(1, 1, 4.0, 3.0)]
+    assert [(r["product_id"], r["broken"]) for r in south.rejected("line").collect()] == [(2, ["not null: price"])]
+
+
+def test_generated_keys(spark, tmp_path):
+    branch = jobs.branch_store(spark, str(tmp_path))
+
+    def load(first, last):
+        cards = G.cards(spark.range(first, last), 0).withColumnRenamed("card_id", "row")
+        jobs.insert_rows(branch, "card", cards, "row", store_id=2, now=LOADED)
+        jobs.insert_rows(branch, "supplier", G.suppliers(spark.range(first, last)).withColumnRenamed("supplier_id", "row"), "row", now=LOADED)
+
+    load(0, 5)
+    load(100, 103)
+    assert sorted(r["card_id"] for r in branch.read("card").collect()) == list(range(20_000_000, 20_000_008))
+    assert sorted(r["supplier_id"] for r in branch.read("supplier").collect()) == list(range(1, 9))
+
+
 def test_arriving_receipts_are_loaded_once(spark, tmp_path):
     warehouse = jobs.warehouse_store(spark, f"{tmp_path}/warehouse")
     warehouse.append("store", spark.createDataFrame([(1, "e", "e", "east")], "store_id long, name string, address string, db_name string"))
     schema = T.StructType(CHECK_EXTRACT.fields + [T.StructField("db_name", T.StringType())])
+    fill_parents(spark, warehouse, cards=[10_000_000 + c for c in range(6)], products=[1, 2], suppliers=[1])
 
     def arrive(checks, db_name):
         spark.createDataFrame([(c, 10_000_000 + c, datetime(2017, 1, 1 + c), True, 1, 2.0, 3.0, p, 1, db_name)

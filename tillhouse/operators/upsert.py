@@ -8,11 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.schemas import AUDIT, Table
-from tillhouse.sources.tables import TableStore
-
-
-class DuplicateKeys(ValueError):
-    """The source of an upsert holds a key more than once."""
+from tillhouse.sources.tables import DuplicateKeys, TableStore
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

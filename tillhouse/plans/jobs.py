@@ -1,22 +1,29 @@
 """The jobs between branches, warehouse and showcase.
 
-Each takes table stores and a window, and returns a status frame (entity, target, rows). All writes
-are upserts or whole replacements, so a job that failed half-way is simply run again.
+Each takes table stores and a window, and returns a status frame (entity, target, rows). Rows that break a rule of the table
+they are meant for, or refer to a row that the target lacks, are set aside in the target's store (``TableStore.rejected``) and
+counted in a status line of their own, "<target>: rejected".
+
+Sending and pulling are upserts or whole replacements, so such a job that failed half-way is simply run again. ``insert_lines`` and
+``insert_rows`` add rows: run again after a success, they report the keys as duplicates.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillhouse.functions.columns import in_window
-from tillhouse.functions.keys import extend_date_dimension
+from tillhouse.functions.columns import apply_defaults, conform, in_window
+from tillhouse.functions.keys import branch_keys, extend_date_dimension, next_keys
 from tillhouse.operators import baskets, pricing, shares, slices
-from tillhouse.operators.quality import unpriced
-from tillhouse.operators.upsert import DuplicateKeys, merge_into, require_unique, stamp
-from tillhouse.schemas import BRANCH_TABLES, CARD_RANGE, LINE, SALE_FACT, SHOWCASE_TABLES, WAREHOUSE_TABLES
+from tillhouse.operators.quality import mark_broken
+from tillhouse.operators.upsert import merge_into, require_unique, stamp
+from tillhouse.schemas import (BRANCH_TABLES, CARD, CARD_RANGE, CHECK, LINE, MOMENT, PRICE, PRODUCT, SALE_FACT, SHOWCASE_TABLES, SUPPLIER,
+                               WAREHOUSE_TABLES, Table)
 from tillhouse.session import settle
 from tillhouse.sources.branches import fan_in
 from tillhouse.sources.extracts import new_cards, new_checks, new_products
@@ -25,6 +32,7 @@ from tillhouse.sources.tables import TableStore
 # Receipts per store and partition of the fact table.
 CHECK_RANGE = 10_000_000
 STATUS = "entity string, target string, rows long"
+WITHOUT_AUDIT = {t.name: t for t in (CARD, CHECK, SUPPLIER, PRODUCT, PRICE, LINE)}  # stamps are set at the write
 
 
 def branch_store(spark: SparkSession, root: str) -> TableStore:
@@ -50,13 +58,33 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+def _parents(store: TableStore, entity: str) -> dict[str, DataFrame]:
+    """Tables that the rows of an entity refer to."""
+    return {parent: store.read(parent) for parent in set(store.tables[entity].references.values())}
+
+
+def _accept(store: TableStore, entity: str, target: str, rows: DataFrame, table: Table | None = None,
+            parents: dict[str, DataFrame] | None = None) -> tuple[DataFrame, list[tuple]]:
+    """Rows that obey all rules, computed once, and the status of the others, which are set aside."""
+    marked = settle(mark_broken(rows, table or store.tables[entity], parents or _parents(store, entity)))
+    bad = marked.where(F.size("broken") > 0)
+    good = marked.where(F.size("broken") == 0).drop("broken")
+    if bad.isEmpty():
+        return good, []
+    return good, [(entity, f"{target}: rejected", store.reject(entity, conform(
+        bad, T.StructType([*store.tables[entity].schema, T.StructField("broken", T.ArrayType(T.StringType()))]))))]
+
+
 def _send(entity: str, rows: DataFrame, targets: dict[str, TableStore], now: datetime) -> list[tuple]:
-    """Upsert the same rows into each target. They are computed and checked once."""
+    """Upsert the same rows into each target. They are computed once; each target's own parents decide on references."""
     rows = settle(rows)
-    table = next(iter(targets.values())).tables[entity]
+    table = WITHOUT_AUDIT[entity]
     require_unique(rows, list(table.key))
-    return [(entity, name, merge_into(store, store.tables[entity], rows, now, checked=True))
-            for name, store in targets.items()]
+    sent = []
+    for name, store in targets.items():
+        good, lost = _accept(store, entity, name, apply_defaults(rows, table.defaults), table)
+        sent += [(entity, name, merge_into(store, store.tables[entity], good, now, checked=True)), *lost]
+    return sent
 
 
 def _status(spark: SparkSession, sent: list[tuple]) -> DataFrame:
@@ -83,17 +111,34 @@ def _dates(warehouse: TableStore, start, end) -> DataFrame:
 
 def insert_lines(branch: TableStore, line: DataFrame, now: datetime | None = None) -> DataFrame:
     """Add sale lines to a branch. The price that held at the receipt date replaces any price given,
-    and the audit stamps are set. A key that exists already is an error. Returns the lines that have no
-    price, or no receipt; they are not written."""
-    parts = branch.parts_of("line", line)
-    priced = settle(pricing.price_lines(line, branch.read("check", parts), branch.read("price")))
-    good = priced.where(F.col("price").isNotNull())
-    keys = list(LINE.key)
-    require_unique(good, keys)
-    if not branch.read("line", parts).join(good, keys, "left_semi").isEmpty():
-        raise DuplicateKeys("a line of this receipt and product is already stored")
-    branch.append("line", stamp(good, now or _now()))
-    return unpriced(priced)
+    and the audit stamps are set. A key that exists already is an error. Returns the lines that are not written, with the
+    rules they break: no price, no receipt, or a missing value."""
+    line = apply_defaults(line, LINE.defaults)
+    parts = branch.parts_of("line", line.where(F.col("check_id").isNotNull()))
+    priced = pricing.price_lines(line, branch.read("check", parts), branch.read("price"))
+    marked = settle(mark_broken(priced, LINE, {"check": branch.read("check", parts)}))
+    branch.append("line", stamp(marked.where(F.size("broken") == 0), now or _now()))
+    return marked.where(F.size("broken") > 0)
+
+
+def insert_rows(branch: TableStore, entity: str, rows: DataFrame, order: str, store_id: int = 0,
+                now: datetime | None = None) -> DataFrame:
+    """Add base rows to a branch and generate their keys where the rows have none: card keys in the range of the store,
+    others from 1 on, always after the highest stored key and in the order of ``order``, a unique non-negative number.
+    Returns (entity, target, rows) as the jobs do, with rejected rows in a line of their own."""
+    table = WITHOUT_AUDIT[entity]
+    key = table.key[0]
+    if key not in rows.columns:
+        stored = branch.read(entity)
+        if entity == "card":
+            owned = rows.withColumn("_store", F.lit(store_id).cast("long"))
+            rows = branch_keys(owned, "_store", order, key, existing=stored)
+        else:
+            rows = next_keys(rows, order, key, stored)
+    rows = conform(apply_defaults(rows, table.defaults), table.schema)
+    good, lost = _accept(branch, entity, "branch", rows, table)
+    added = branch.append(entity, stamp(good, now or _now()))
+    return _status(branch.spark, [(entity, "branch", added), *lost])
 
 
 def publish_products(source: TableStore, targets: dict[str, TableStore], start, end,
@@ -131,12 +176,23 @@ def load_checks(warehouse: TableStore, tagged: DataFrame) -> DataFrame:
     """Upsert tagged receipt lines into the fact; new timestamps get date keys first. Rows of a
     source that is not in the store table are left out."""
     known = warehouse.read("store").select("store_id", "db_name")
-    rows = settle(tagged.where(F.col("check_id").isNotNull()).join(known, "db_name").drop("db_name"))
-    added = settle(extend_date_dimension(warehouse.read("date"), rows, "check_date"))
-    warehouse.append("date", added)
+    rows = tagged.where(F.col("check_id").isNotNull()).join(known, "db_name").drop("db_name")
+    # the date key is made here, so its rule is that the receipt has a date
+    table = replace(SALE_FACT, columns=tuple(("check_date", MOMENT, False) if n == "date_id" else (n, t, null)
+                                             for n, t, null in SALE_FACT.columns))
+    parents = {p: warehouse.read(p) for p in ("product", "card", "supplier")}
+    rows, lost = _accept(warehouse, "sale_fact", "warehouse", apply_defaults(rows, SALE_FACT.defaults), table, parents)
     months = warehouse.parts_of("date", rows.select(F.col("check_date").alias("date")))
+    held = warehouse.read("date", months)
+    added = settle(extend_date_dimension(held, rows, "check_date", top=_highest_date(warehouse)))
+    warehouse.append("date", added, checked=True)
     fact = settle(date_rows(rows, warehouse.read("date", months)))
-    return _status(warehouse.spark, [("sale_fact", "warehouse", merge_into(warehouse, SALE_FACT, fact))])
+    return _status(warehouse.spark, [("sale_fact", "warehouse", merge_into(warehouse, SALE_FACT, fact)), *lost])
+
+
+def _highest_date(warehouse: TableStore) -> int:
+    """Highest date key so far. Only the key column is read, and of parquet files mostly its statistics."""
+    return warehouse.read("date").agg(F.coalesce(F.max("date_id"), F.lit(0))).first()[0]
 
 
 def date_rows(rows: DataFrame, date: DataFrame) -> DataFrame:
@@ -162,10 +218,9 @@ def send_checks(warehouse: TableStore, target_name: str, target: TableStore, db_
         db_name, start, end))
     sent = _send("check", slices.check_headers(sales), {target_name: target}, now)
     lines = slices.check_lines(sales)
-    if reprice:
+    if reprice:  # a line without a price at the target breaks NOT NULL there, so it is set aside and counted
         heads = target.read("check", target.parts_of("check", lines))
-        lines = pricing.price_lines(lines, heads, target.read("price"))
-        lines = lines.where(F.col("price").isNotNull()).drop("check_date")
+        lines = pricing.price_lines(lines, heads, target.read("price")).drop("check_date")
     return _status(warehouse.spark, sent + _send("line", lines, {target_name: target}, now))
 
 

@@ -67,7 +67,7 @@ VIEWS = {
              AND m.product_id > s.product_id
         GROUP BY ALL""",
     "old_card": "SELECT card_id, number, first_name, middle_name, last_name, birth_date FROM card"
-                " WHERE first_name <> 'MACHINERY'",
+                f" WHERE NOT (first_name = 'MACHINERY' AND modified_at {WINDOW})",
     "new_card": f"""
         SELECT card_id, number, first_name, CASE WHEN balance > 5000 THEN middle_name END AS middle_name,
                upper(last_name) AS last_name, birth_date FROM card WHERE modified_at {WINDOW}""",
@@ -137,6 +137,21 @@ _PARTS = """CAST(year({c}) AS INTEGER) AS year, CAST(month({c}) AS INTEGER) AS m
     CAST(round_even(second({c}) + (microsecond({c}) % 1000000) / 1e6, 0) AS INTEGER) AS second"""
 _TOTAL = "(SELECT count(*) FROM {t})"
 
+# Receipts of two stores in the window, with keys for their dates in time order.
+_PULLED = f"""
+    SELECT *, dense_rank() OVER (ORDER BY check_date) AS date_id FROM lines_of_checks
+    WHERE check_date {WINDOW} AND supplier_id IN (SELECT supplier_id FROM maker)
+          AND store_id IN (SELECT store_id FROM store WHERE db_name IN ('ASIA', 'EUROPE'))"""
+
+
+def _rules(required: list[str], key: list[str]) -> str:
+    """NOT NULL and key rules of the table t."""
+    rows = [f"SELECT 'not null' AS rule, '{c}' AS column, (SELECT count(*) - count({c}) FROM t) AS violations" for c in required]
+    rows.append(f"SELECT 'unique key', '{', '.join(key)}', (SELECT count(*) FROM (SELECT 1 FROM t GROUP BY {', '.join(key)}"
+                " HAVING count(*) > 1) AS twice)")
+    return " UNION ALL ".join(rows)
+
+
 _BODIES = {
     "product_pairs": f"""
         SELECT amount, p1.product_id, p1.name AS product_name, p1.vendor_code, s1.name AS supplier_name,
@@ -274,28 +289,59 @@ _BODIES = {
         UNION ALL SELECT 'p_brand', count(*) FILTER (length(p_brand) > 7) FROM part
         UNION ALL SELECT 'p_type', count(*) FILTER (length(p_type) > 5) FROM part""",
     "dq_unpriced_lines": "SELECT check_id, product_id, check_date FROM priced WHERE price IS NULL",
-    "dq_table_rules": """
-        SELECT 'not null' AS rule, unnest(['check_id', 'card_id', 'check_date', 'payed']) AS column,
-               CAST(0 AS BIGINT) AS violations
-        UNION ALL SELECT 'unique key', 'check_id', (SELECT count(*) - count(DISTINCT o_orderkey) FROM orders)
-        UNION ALL SELECT 'domain', 'payment_form', (SELECT count(*) FROM chk WHERE payment_form + 1 > 2)
+    "dq_table_rules": f"""
+        SELECT * FROM (WITH one AS (SELECT check_id, CASE WHEN check_id % 5 <> 0 THEN card_id END AS card_id,
+                            CASE WHEN check_id % 7 <> 0 THEN check_date END AS check_date, nullif(payed, TRUE) AS payed,
+                            payment_form + 1 AS payment_form, store_id FROM chk),
+             t AS (SELECT * FROM one UNION ALL SELECT * FROM one WHERE store_id = 1)
+        {_rules(['check_id', 'card_id', 'check_date', 'payed'], ['check_id'])}
+        UNION ALL SELECT 'domain', 'payment_form', (SELECT count(*) FROM t WHERE payment_form NOT IN (1, 2))
         UNION ALL SELECT 'reference', 'card_id',
-            (SELECT count(*) FROM chk WHERE card_id NOT IN (SELECT card_id FROM card WHERE balance >= 0))""",
-    "dq_fact_rules": """
-        SELECT 'not null' AS rule, unnest(['product_id', 'card_id', 'supplier_id', 'check_id', 'payed',
-               'store_id', 'date_id', 'price', 'cnt']) AS column, CAST(0 AS BIGINT) AS violations
-        UNION ALL SELECT 'unique key', 'product_id, check_id, store_id', 0
-        UNION ALL SELECT 'domain', 'payment_form', (SELECT count(*) FROM sale WHERE payment_form NOT IN (1, 2))
+            (SELECT count(*) FROM t WHERE card_id NOT IN (SELECT card_id FROM card WHERE balance >= 0))) AS every""",
+    "dq_fact_rules": f"""
+        SELECT * FROM (WITH one AS (SELECT product_id, card_id, CASE WHEN cnt > 5 THEN supplier_id END AS supplier_id, check_id,
+                            nullif(payed, FALSE) AS payed, payment_form * 2 AS payment_form, store_id, check_date AS date_id,
+                            CASE WHEN cnt < 40 THEN price END AS price, cnt FROM sale),
+             t AS (SELECT * FROM one UNION ALL SELECT * FROM one WHERE cnt > 45)
+        {_rules(['product_id', 'card_id', 'supplier_id', 'check_id', 'payed', 'store_id', 'date_id', 'price', 'cnt'],
+                ['product_id', 'check_id', 'store_id'])}
+        UNION ALL SELECT 'domain', 'payment_form', (SELECT count(*) FROM t WHERE payment_form NOT IN (1, 2))
         UNION ALL SELECT 'reference', 'product_id',
-            (SELECT count(*) FROM sale WHERE product_id NOT IN (SELECT product_id FROM product))
-        UNION ALL SELECT 'reference', 'store_id',
-            (SELECT count(*) FROM sale WHERE store_id NOT IN (SELECT store_id FROM store))
-        UNION ALL SELECT 'reference', 'date_id',
-            (SELECT count(*) FROM sale WHERE check_date NOT IN (SELECT check_date FROM date_key))
+            (SELECT count(*) FROM t WHERE product_id NOT IN (SELECT product_id FROM product))
+        UNION ALL SELECT 'reference', 'store_id', (SELECT count(*) FROM t WHERE store_id <= 1)
+        UNION ALL SELECT 'reference', 'date_id', (SELECT count(*) FROM t WHERE date_id < TIMESTAMP '1996-01-01')
         UNION ALL SELECT 'reference', 'supplier_id',
-            (SELECT count(*) FROM sale WHERE supplier_id NOT IN (SELECT supplier_id FROM maker WHERE balance >= 0))
+            (SELECT count(*) FROM t WHERE supplier_id NOT IN (SELECT supplier_id FROM maker WHERE balance >= 0))
         UNION ALL SELECT 'reference', 'card_id',
-            (SELECT count(*) FROM sale WHERE card_id NOT IN (SELECT card_id FROM card WHERE balance >= 0))""",
+            (SELECT count(*) FROM t WHERE card_id NOT IN (SELECT card_id FROM card WHERE balance >= 0))) AS every""",
+    "job_pull_checks": f"""
+        SELECT product_id, card_id, supplier_id, check_id, payed, payment_form, store_id, date_id, price, cnt
+        FROM ({_PULLED}) AS pulled""",
+    "job_send_checks": f"""
+        SELECT s.product_id, s.check_id, p.cost_sale AS price, s.cnt,
+               CASE WHEN p.cost_sale IS NULL THEN 'not null: price' ELSE '' END AS broken
+        FROM (SELECT * FROM ({_PULLED}) AS pulled JOIN store USING (store_id) WHERE db_name = 'EUROPE') AS s
+        ASOF LEFT JOIN (SELECT * FROM price WHERE set_date < TIMESTAMP '1995-01-01') AS p
+             ON s.product_id = p.product_id AND s.check_date >= p.set_date""",
+    "job_publish_products": """
+        SELECT entity, target || holds AS target, rows FROM
+            (SELECT 'supplier' AS entity, count(DISTINCT supplier_id) AS rows FROM products
+             UNION ALL SELECT 'product', count(DISTINCT product_id) FROM products
+             UNION ALL SELECT 'price', count(DISTINCT price_id) FROM products) AS sent,
+            (SELECT unnest(['branch', 'warehouse']) AS target) AS targets,
+            (SELECT unnest(['', ' holds']) AS holds) AS kinds""",
+    "load_rejects": """
+        SELECT * FROM (WITH t AS (SELECT *, CASE WHEN cnt > 40 THEN 3 ELSE payment_form END AS form FROM lines_of_checks)
+        SELECT * FROM (
+            SELECT 'domain: payment_form' AS rule, count(*) AS rows FROM t WHERE form NOT IN (1, 2)
+            UNION ALL SELECT 'not null: check_date', count(*) FROM t WHERE cnt <= 2
+            UNION ALL SELECT 'reference: card_id', count(*) FROM t
+                WHERE card_id NOT IN (SELECT card_id FROM card WHERE balance >= 0)
+            UNION ALL SELECT 'reference: supplier_id', count(*) FROM t
+                WHERE supplier_id NOT IN (SELECT supplier_id FROM maker WHERE balance >= 0)) AS found
+        WHERE rows > 0) AS every""",
+    "insert_generated_keys": """
+        SELECT 30000000 + row_number() OVER (ORDER BY balance < 0, local_id) - 1 AS card_id, number FROM card""",
     "gen_cards": f"""
         SELECT c_custkey + 10000000 AS card_id, {_code('4', 'number', 'c_custkey')} AS number,
                {_code('first-', 'name', 'c_custkey')} AS first_name,

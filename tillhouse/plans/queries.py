@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +13,14 @@ from tillhouse.functions import columns as C
 from tillhouse.functions import keys as K
 from tillhouse.operators import baskets, generate, pricing, quality, shares, slices
 from tillhouse.operators import upsert as U
+from tillhouse.plans import jobs
 from tillhouse.plans.jobs import date_rows
 from tillhouse.plans.retail_views import Retail
 from tillhouse.schemas import CARD, CHECK, CHECK_EXTRACT, LINE, SALE_FACT
-from tillhouse.session import allow_skew_splits, settle
+from tillhouse.session import allow_skew_splits, ensure_checkpoint_dir, settle
 from tillhouse.sources.branches import fan_in
 from tillhouse.sources.extracts import new_cards, new_checks, new_products
+from tillhouse.sources.tables import TableStore
 
 START, END = "1996-01-01", "1998-01-01"
 BRANCHES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
@@ -173,8 +176,10 @@ def date_parts(r: Retail) -> DataFrame:
 # Upserts
 
 def _upsert_card(r: Retail) -> tuple[DataFrame, DataFrame]:
-    target = r.card.where(F.col("first_name") != "MACHINERY").select(CARD.names)
-    changed = r.card.where(C.in_window("modified_at", START, END))
+    """New are the cards of one segment that were changed in the window; all others are in the target already."""
+    inside = C.in_window("modified_at", START, END)
+    target = r.card.where(~(inside & (F.col("first_name") == "MACHINERY"))).select(CARD.names)
+    changed = r.card.where(inside)
     source = changed.withColumn("last_name", F.upper("last_name")).withColumn(
         "middle_name", F.when(F.col("balance") > 5000, F.col("middle_name"))).select(CARD.names)
     return target, source
@@ -392,17 +397,124 @@ def dq_unpriced_lines(r: Retail) -> DataFrame:
 
 @query
 def dq_table_rules(r: Retail) -> DataFrame:
-    """All declared rules of the receipt table."""
-    return quality.violations(r.check.withColumn("payment_form", F.col("payment_form") + 1), CHECK,
-                              {"card": r.card.where(F.col("balance") >= 0)})
+    """All declared rules of the receipt table, over receipts that were spoiled so that every kind of rule is broken."""
+    number = F.col("check_id")
+    spoiled = r.check.withColumns({
+        "payment_form": F.col("payment_form") + 1, "card_id": F.when(number % 5 != 0, F.col("card_id")),
+        "check_date": F.when(number % 7 != 0, F.col("check_date")), "payed": F.nullif("payed", F.lit(True))})
+    twice = spoiled.unionByName(spoiled.where(F.col("store_id") == 1))
+    return quality.violations(twice, CHECK, {"card": r.card.where(F.col("balance") >= 0)})
 
 
 @query
 def dq_fact_rules(r: Retail) -> DataFrame:
-    """All declared rules of the fact table, against cards and suppliers with a balance."""
-    parents = {"product": r.product, "store": r.store, "date": _dates(r),
+    """All declared rules of the fact table, over spoiled facts and against cards and suppliers with a balance."""
+    parents = {"product": r.product, "store": r.store.where(F.col("store_id") > 1),
+               "date": _dates(r).where(F.col("date") >= C.moment("1996-01-01")),
                "supplier": r.supplier.where(F.col("balance") >= 0), "card": r.card.where(F.col("balance") >= 0)}
-    return quality.violations(settle(date_rows(r.sales(), _dates(r))), SALE_FACT, parents)
+    fact = date_rows(r.sales(), _dates(r)).withColumns({
+        "payment_form": F.col("payment_form") * 2, "payed": F.nullif("payed", F.lit(False)),
+        "price": F.when(F.col("cnt") < 40, F.col("price")), "supplier_id": F.when(F.col("cnt") > 5, F.col("supplier_id"))})
+    spoiled = fact.unionByName(fact.where(F.col("cnt") > 45))
+    return quality.violations(settle(spoiled), SALE_FACT, parents)
+
+
+# The jobs themselves, on stores in a fresh shared folder
+
+def _root(r: Retail) -> str:
+    return f"{ensure_checkpoint_dir(r.spark).rstrip('/')}/settled-{uuid.uuid4().hex}"
+
+
+def _warehouse(r: Retail, card: DataFrame | None = None, supplier: DataFrame | None = None) -> TableStore:
+    """A warehouse that knows all stores and products, and the given or all cards and suppliers."""
+    store = jobs.warehouse_store(r.spark, f"{_root(r)}/warehouse")
+    store.append("store", r.store.withColumns({"name": F.col("db_name"), "address": F.col("db_name")}))
+    store.append("product", r.product.select("product_id", "name", "vendor_code", "supplier_id"))
+    store.append("card", (r.card if card is None else card).select(CARD.names))
+    store.append("supplier", (r.supplier if supplier is None else supplier).select("supplier_id", "name", "inn"))
+    return store
+
+
+def _branch(r: Retail, name: str) -> TableStore:
+    """The receipts of one store, and all products."""
+    branch = jobs.branch_store(r.spark, f"{_root(r)}/branch")
+    loaded = F.lit("1995-01-01 00:00:00").cast("timestamp")
+    own = r.check.join(r.store.where(F.col("db_name") == name).select("store_id"), "store_id").select(CHECK.names)
+    branch.append("check", U.stamp(own, loaded))
+    branch.append("line", U.stamp(r.line.join(own.select("check_id"), "check_id").select(LINE.names), loaded))
+    branch.append("product", U.stamp(r.product.select("product_id", "name", "vendor_code", "supplier_id"), loaded))
+    return branch
+
+
+def _pulled(r: Retail) -> TableStore:
+    """A warehouse after the receipts of two stores were pulled twice."""
+    warehouse = _warehouse(r)
+    branches = {name: _branch(r, name) for name in ("ASIA", "EUROPE")}
+    for _ in range(2):
+        jobs.pull_checks(warehouse, branches, START, END)
+    return warehouse
+
+
+@query
+def job_pull_checks(r: Retail) -> DataFrame:
+    """What the fact table holds after two runs, and the keys of its dates."""
+    return _pulled(r).read("sale_fact")
+
+
+@query
+def job_send_checks(r: Retail) -> DataFrame:
+    """Receipts of one store sent to another branch and priced anew there: stored lines, and lines set aside."""
+    warehouse = _pulled(r)
+    target = jobs.branch_store(r.spark, f"{_root(r)}/target")
+    loaded = F.lit("1995-01-01 00:00:00").cast("timestamp")
+    target.append("product", U.stamp(r.product.select("product_id", "name", "vendor_code", "supplier_id"), loaded))
+    target.append("price", U.stamp(r.price.where(F.col("set_date") < C.moment("1995-01-01")), loaded))
+    jobs.send_cards(warehouse, "target", target, "EUROPE")
+    jobs.send_checks(warehouse, "target", target, "EUROPE", START, END, reprice=True)
+    names = ["product_id", "check_id", "price", "cnt"]
+    return target.read("line").select(*names, F.lit("").alias("broken")).unionByName(
+        target.rejected("line").select(*names, F.array_join("broken", ", ").alias("broken")))
+
+
+@query
+def job_publish_products(r: Retail) -> DataFrame:
+    """Status lines of the job, and what both targets hold afterwards."""
+    source = jobs.branch_store(r.spark, f"{_root(r)}/source")
+    moment = F.lit("1995-01-01 00:00:00").cast("timestamp")
+    source.append("supplier", U.stamp(r.supplier.select("supplier_id", "name", "inn"), moment))
+    products = r.product.select("product_id", "name", "vendor_code", "supplier_id", "created_at")
+    source.append("product", products.withColumn("modified_at", F.col("created_at")))
+    source.append("price", U.stamp(r.price, moment))
+    targets = {"branch": jobs.branch_store(r.spark, f"{_root(r)}/branch"),
+               "warehouse": jobs.warehouse_store(r.spark, f"{_root(r)}/warehouse")}
+    status = jobs.publish_products(source, targets, START, END)
+    jobs.publish_products(source, targets, START, END)
+    held = [(entity, f"{name} holds", store.read(entity).count()) for name, store in targets.items()
+            for entity in ("supplier", "product", "price")]
+    return status.unionByName(r.spark.createDataFrame(held, jobs.STATUS))
+
+
+@query
+def load_rejects(r: Retail) -> DataFrame:
+    """Receipt lines by the rules that kept them out of the fact table."""
+    some = F.col("balance") >= 0
+    warehouse = _warehouse(r, r.card.where(some), r.supplier.where(some))
+    tagged = _tagged(r).withColumns({
+        "payment_form": F.when(F.col("cnt") > 40, 3).otherwise(F.col("payment_form")).cast("int"),
+        "check_date": F.when(F.col("cnt") > 2, F.col("check_date"))})
+    jobs.load_checks(warehouse, tagged)
+    return warehouse.rejected("sale_fact").select(F.explode("broken").alias("rule")).groupBy("rule").agg(
+        F.count("*").alias("rows"))
+
+
+@query
+def insert_generated_keys(r: Retail) -> DataFrame:
+    """Cards of one branch, loaded twice without keys: those with a balance first."""
+    branch = jobs.branch_store(r.spark, _root(r))
+    for part in (F.col("balance") >= 0, F.col("balance") < 0):
+        cards = r.card.where(part).select("local_id", *[c for c in CARD.names if c != "card_id"])
+        jobs.insert_rows(branch, "card", cards, "local_id", store_id=3)
+    return branch.read("card").select("card_id", "number")
 
 
 # Sample data of any size, from the row numbers of the given tables
