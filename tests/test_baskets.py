@@ -35,15 +35,12 @@ def counted(df):
 
 
 @pytest.mark.parametrize("block", [1, 4, 7, 60, 2000])
-@pytest.mark.parametrize("per_task", [100, 4_000_000])
-def test_pairs_equal_brute_force(spark, monkeypatch, block, per_task):
-    monkeypatch.setattr(baskets, "PAIRS_PER_TASK", per_task)
+def test_pairs_equal_brute_force(spark, block):
     rows = case(block)
     assert counted(baskets.pair_counts(spark.createDataFrame(rows, SALES), block)) == brute(rows)
 
 
-def test_many_large_baskets_use_the_shuffle_join(spark, monkeypatch):
-    monkeypatch.setattr(baskets, "BROADCAST_BASKETS", 3)
+def test_many_large_baskets(spark):
     rows = case(5)
     assert counted(baskets.pair_counts(spark.createDataFrame(rows, SALES), 2)) == brute(rows)
 

@@ -41,13 +41,11 @@ def random_case(seed, hot):
 
 @pytest.mark.parametrize("hot", [False, True])
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("method,least", [("broadcast", 10), ("window", 10**6), ("window", 15), ("auto", 15)])
-def test_asof_equals_brute_force(spark, monkeypatch, method, least, seed, hot):
-    if method == "auto":
-        monkeypatch.setattr(pricing, "BROADCAST_REVISIONS", 200 if seed == 1 else 5)
+@pytest.mark.parametrize("least", [1, 15, 10**6])
+def test_asof_equals_brute_force(spark, least, seed, hot):
     lines, prices = random_case(seed, hot)
     line, price = frames(spark, lines, prices)
-    priced = pricing.asof_price(line, price, method, least=least)
+    priced = pricing.asof_price(line, price, least=least)
     assert set(priced.columns) == {"check_id", "product_id", "check_date", "price"}
     got = [(r["check_id"], r["product_id"], r["price"]) for r in priced.collect()]
     assert len(got) == len(lines)
@@ -70,16 +68,16 @@ def test_only_a_busy_minute_is_dealt_to_pieces(spark, monkeypatch, hot):
         return found[-1]
 
     monkeypatch.setattr(pricing, "heavy_keys", spy)
-    got = pricing.asof_price(line, price, "window", least=60).collect()
+    got = pricing.asof_price(line, price, least=60).collect()
     assert {(r["check_id"], r["product_id"]): r["price"] for r in got} == brute(lines, prices)
-    assert len(found) == 2 and found[0] is not None and (found[1] is not None) == hot
+    assert len(found) == 2 and not found[0].isEmpty() and found[1].isEmpty() != hot
 
 
 def test_copies_of_one_line_are_all_kept(spark):
     lines = [(7, 1, DAY + timedelta(days=1))] * 50
     line, price = frames(spark, lines, [(1, 1, 9.5, DAY)])
     for least in (10, 10**6):
-        assert [r["price"] for r in pricing.asof_price(line, price, "window", least=least).collect()] == [9.5] * 50
+        assert [r["price"] for r in pricing.asof_price(line, price, least=least).collect()] == [9.5] * 50
 
 
 def test_split_product_is_dealt_to_many_groups(spark):
@@ -87,30 +85,24 @@ def test_split_product_is_dealt_to_many_groups(spark):
     line, price = frames(spark, lines, prices)
     heavy = heavy_keys(line.select("product_id"), ["product_id"], least=50)
     assert [r["product_id"] for r in heavy.collect()] == [1]
-    assert heavy_keys(line.select("product_id"), ["product_id"], least=5000) is None
+    assert heavy_keys(line.select("product_id"), ["product_id"], least=5000).isEmpty()
 
 
-def test_heavy_list_is_bounded_and_takes_the_largest(spark):
-    keys = spark.range(1000).select((F.sqrt("id")).cast("long").alias("k"))
-    found = heavy_keys(keys, ["k"], least=1, share=5).collect()
-    assert sorted(r["k"] for r in found) == [26, 27, 28, 29, 30]
-    assert all(r["pieces"] <= 5 for r in found)
+def test_all_heavy_keys_are_listed(spark):
+    keys = spark.range(3000).select((F.col("id") % 1500).alias("k"))
+    found = heavy_keys(keys, ["k"], least=1).collect()
+    assert sorted(r["k"] for r in found) == list(range(1500)) and {r["pieces"] for r in found} == {2}
 
 
-def test_large_price_table_is_not_broadcast(spark, monkeypatch):
-    lines, prices = random_case(4, False)
-    line, price = frames(spark, lines, prices)
-    assert not pricing._few(price)  # one product has about a hundred revisions
-    monkeypatch.setattr(pricing, "BROADCAST_REVISIONS", 200)
-    assert pricing._few(price)
-    monkeypatch.setattr(pricing, "BROADCAST_ROWS", 10)
-    assert not pricing._few(price)
+def test_price_without_a_date_is_ignored(spark):
+    line, price = frames(spark, [(1, 1, DAY)], [(1, 1, 7.0, None)])
+    assert [r["price"] for r in pricing.asof_price(line, price).collect()] == [None]
 
 
-@pytest.mark.parametrize("method,least", [("broadcast", 10**6), ("window", 10**6), ("window", 1)])
-def test_line_without_a_date_has_no_price(spark, method, least):
+@pytest.mark.parametrize("least", [10**6, 1])
+def test_line_without_a_date_has_no_price(spark, least):
     line, price = frames(spark, [(1, 1, None), (2, 1, DAY), (3, 1, DAY)], [(1, 1, 9.5, DAY), (2, 1, 8.5, DAY - timedelta(1))])
-    got = {r["check_id"]: r["price"] for r in pricing.asof_price(line, price, method, least=least).collect()}
+    got = {r["check_id"]: r["price"] for r in pricing.asof_price(line, price, least=least).collect()}
     assert got == {1: None, 2: 9.5, 3: 9.5}
     assert [r["check_id"] for r in pricing.before_first_price(line, price).collect()] == [1]
 
@@ -118,8 +110,8 @@ def test_line_without_a_date_has_no_price(spark, method, least):
 def test_product_without_any_price(spark):
     line, price = frames(spark, [(1, 8, DAY), (2, 1, DAY)], [(1, 1, 9.5, DAY)])
     assert [r["check_id"] for r in pricing.before_first_price(line, price).collect()] == [1]
-    for method in ("broadcast", "window"):
-        assert {r["check_id"]: r["price"] for r in pricing.asof_price(line, price, method).collect()} == {1: None, 2: 9.5}
+    for least in (1, 10**6):
+        assert {r["check_id"]: r["price"] for r in pricing.asof_price(line, price, least).collect()} == {1: None, 2: 9.5}
 
 
 def test_tie_takes_the_higher_price_id(spark):

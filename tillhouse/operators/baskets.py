@@ -12,10 +12,6 @@ PAIR = ["product_id", "supplier_id", "sub_product_id", "sub_supplier_id"]
 
 # A basket with more lines than this is paired in blocks of this size, block by block.
 BLOCK_LINES = 2_000
-# A list of such baskets is broadcast up to this length, and joined by a shuffle beyond it.
-BROADCAST_BASKETS = 100_000
-PAIRS_PER_TASK = 4_000_000
-MOST_PARTITIONS = 4_096
 
 
 def pair_counts(sales: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
@@ -24,34 +20,25 @@ def pair_counts(sales: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
     ``sales`` has one row per basket and product. Pairs are counted in the task that makes them,
     so only distinct pairs per task are shuffled.
 
-    The work for a basket grows with the square of its lines. One narrow count finds the baskets
-    above ``block_lines``; there are none in ordinary data, and the plan is then a plain self-join
-    with one shuffle of the lines. Such a basket is kept out of that join and its lines are dealt
-    to blocks by product; each pair of blocks is one join key, so the basket is spread
-    over (lines / block_lines)^2 keys and each pair still is made exactly once.
+    The work for a basket grows with the square of its lines. A basket above ``block_lines`` is kept out of the plain
+    self-join; its lines are dealt to blocks by product, and each pair of blocks is one join key, so the basket is spread
+    over (lines / block_lines)^2 keys and each pair still is made exactly once. One plan for all data: where there is
+    no such basket, adaptive execution drops that branch.
     """
     lines = sales.select(*BASKET, "product_id", "supplier_id")
     large = (lines.groupBy(*BASKET).agg(F.count("*").alias("_n"))
              .where(F.col("_n") > block_lines)
              .select(*BASKET, F.ceil(F.col("_n") / block_lines).cast("int").alias("blocks")))
-    found = large.limit(BROADCAST_BASKETS + 1).collect()
-    if not found:
-        return _count(_pairs(lines, lines, BASKET))
     cells = BASKET + ["_row", "_column"]
-    work = sum(r["blocks"] ** 2 for r in found) * block_lines ** 2
-    spread = min(max(1, work // PAIRS_PER_TASK), MOST_PARTITIONS)
-    if len(found) <= BROADCAST_BASKETS:
-        large = F.broadcast(lines.sparkSession.createDataFrame(found, large.schema))
-
     small = lines.join(large.select(*BASKET), BASKET, "left_anti")
     block = F.pmod(F.xxhash64("product_id"), F.col("blocks")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = lines.join(large, BASKET).withColumn("_block", block)
     main = dealt.select(*BASKET, "product_id", "supplier_id", F.col("_block").alias("_row"), every.alias("_column"))
     sub = dealt.select(*BASKET, "product_id", "supplier_id", F.col("_block").alias("_column"), every.alias("_row"))
-    if spread > int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")):
-        # A fixed number of partitions: the few input rows would else be packed into few tasks.
-        main, sub = main.repartition(spread, *cells), sub.repartition(spread, *cells)
+    # a fixed number of partitions: the few input rows would else be packed into few tasks
+    n = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    main, sub = main.repartition(n, *cells), sub.repartition(n, *cells)
     return _count(_pairs(small, small, BASKET).unionByName(_pairs(main, sub, cells)))
 
 

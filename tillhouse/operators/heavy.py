@@ -1,24 +1,18 @@
-"""Finding the few keys that hold a large share of the rows."""
+"""Finding the keys that hold very many rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys are listed, and a key's rows are split into at most this many pieces.
-# A key that is not listed holds less than 1/SHARE of all rows, whatever the data.
-SHARE = 1024
 # A key with fewer rows than this is left whole.
 LEAST = 1_000_000
 
 
-def heavy_keys(df: DataFrame, keys: list[str], least: int = LEAST, share: int = SHARE) -> DataFrame | None:
-    """The ``share`` keys with the most rows, if above ``least`` rows, and the number of ``pieces``
-    each should be split into. None if there is no such key, which one narrow count with map-side partial
-    counts finds out. The list has at most ``share`` rows and may be broadcast.
+def heavy_keys(df: DataFrame, keys: list[str], least: int = LEAST) -> DataFrame:
+    """All keys with more than ``least`` rows, and the number of ``pieces`` each should be split into. One narrow count
+    with map-side partial counts; the result has less than one row per ``least`` rows of the input, which bounds its broadcast: 16
+    bytes per million rows.
     """
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > least)
-    pieces = F.least(F.lit(share), F.ceil(F.col("_n") / least)).cast("int").alias("pieces")
-    top = counts.orderBy(F.desc("_n"), *keys).limit(share).select(*keys, pieces)
-    found = top.collect()
-    return df.sparkSession.createDataFrame(found, top.schema) if found else None
+    return counts.select(*keys, F.ceil(F.col("_n") / least).cast("int").alias("pieces"))

@@ -6,12 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillhouse.operators.heavy import LEAST, SHARE, heavy_keys
-
-# The price revisions are broadcast up to this many rows, and while no product has more
-# revisions than a line should be compared with.
-BROADCAST_ROWS = 1_000_000
-BROADCAST_REVISIONS = 64
+from tillhouse.operators.heavy import LEAST, heavy_keys
 
 
 def price_revisions(price: DataFrame) -> DataFrame:
@@ -27,46 +22,20 @@ def latest_price(price: DataFrame) -> DataFrame:
         F.max("set_date").alias("set_date"), F.max_by("cost_sale", "set_date").alias("cost_sale"))
 
 
-def asof_price(line: DataFrame, price: DataFrame, method: str = "auto",
-               share: int = SHARE, least: int = LEAST, sold: DataFrame | None = None) -> DataFrame:
+def asof_price(line: DataFrame, price: DataFrame, least: int = LEAST, sold: DataFrame | None = None) -> DataFrame:
     """``line`` (with ``product_id`` and ``check_date``) with ``price`` set to the sale price that
     held at the receipt date, NULL where no price had been set yet. A ``price`` column in the input
-    is ignored.
+    is ignored, and so is a price without a date.
 
-    ``broadcast`` looks the price up in a broadcast table of validity ranges: no shuffle of the lines.
-    ``window`` sorts lines and revisions of a product together: one shuffle, any size.
-    ``auto`` counts the revisions and broadcasts them only while they are few.
+    Lines and revisions of a product are sorted together: one shuffle, any size. A product with more than ``least`` rows is
+    cut into minutes, each starting with the price that held before it, and a minute that still has more is dealt to pieces.
 
     ``sold`` may give the lines' ``product_id`` more cheaply than ``line``; it only serves to find the
     products that need splitting.
     """
-    line = line.drop("price")
-    if method == "auto":
-        method = "broadcast" if _few(price) else "window"
-    if method == "broadcast":
-        return _asof_broadcast(line, price_revisions(price))
+    line, revisions = line.drop("price"), price_revisions(price.where(F.col("set_date").isNotNull()))
     both = (line if sold is None else sold).select("product_id").unionByName(price.select("product_id"))
-    heavy = heavy_keys(both, ["product_id"], least, share)
-    if heavy is None:
-        return _last_price(line, price_revisions(price), ["product_id"])
-    return _asof_split(line, price_revisions(price), heavy.select("product_id"), share, least)
-
-
-def _few(price: DataFrame) -> bool:
-    size = price.groupBy("product_id").agg(F.count("*").alias("n")).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.max("n"), F.lit(0)).alias("most")).first()
-    return size["rows"] <= BROADCAST_ROWS and size["most"] <= BROADCAST_REVISIONS
-
-
-def _asof_broadcast(line: DataFrame, revisions: DataFrame) -> DataFrame:
-    until = F.lead("set_date").over(Window.partitionBy("product_id").orderBy("set_date"))
-    ranges = revisions.select(
-        F.col("product_id").alias("_product"), F.col("set_date").alias("_from"),
-        until.alias("_until"), F.col("cost_sale").alias("price"))
-    holds = ((F.col("product_id") == F.col("_product")) & (F.col("_from") <= F.col("check_date"))
-             & (F.col("_until").isNull() | (F.col("check_date") < F.col("_until"))))
-    return line.join(F.broadcast(ranges), holds, "left").drop("_product", "_from", "_until")
+    return _asof_split(line, revisions, heavy_keys(both, ["product_id"], least).select("product_id"), least)
 
 
 def _last_price(line: DataFrame, revisions: DataFrame, group: list[str]) -> DataFrame:
@@ -81,7 +50,7 @@ def _last_price(line: DataFrame, revisions: DataFrame, group: list[str]) -> Data
             .where(F.col("_kind") == 1).drop("_kind", "_at", "_price"))
 
 
-def _asof_split(line: DataFrame, revisions: DataFrame, heavy: DataFrame, share: int, least: int) -> DataFrame:
+def _asof_split(line: DataFrame, revisions: DataFrame, heavy: DataFrame, least: int) -> DataFrame:
     """The same with each heavy product cut into minutes, where a minute starts with the price that held
     before it. Should one minute of one product still be heavy, its lines are dealt to pieces by
     a hash of the line, and each piece has its own copy of that minute's prices."""
@@ -106,16 +75,13 @@ def _asof_split(line: DataFrame, revisions: DataFrame, heavy: DataFrame, share:
     opening = opening.select(*group, "cost_sale", F.lit(None).cast(T.TimestampNTZType()).alias("set_date"))
     lines, prices = lines.drop("_heavy"), prices.drop("_heavy").unionByName(opening)
 
-    busy = heavy_keys(cut_lines.select(*group), group, least, share)
-    if busy is not None:
-        busy = F.broadcast(busy)
-        pieces = F.coalesce(F.col("pieces"), F.lit(1))
-        piece = F.pmod(F.xxhash64(*line.columns), pieces).cast("int")
-        lines = lines.join(busy, group, "left").withColumn("_piece", piece).drop("pieces")
-        copies = F.explode(F.sequence(F.lit(0), pieces - 1))
-        prices = prices.join(busy, group, "left").withColumn("_piece", copies).drop("pieces")
-        group = group + ["_piece"]
-    return _last_price(lines, prices, group).drop("_slice", "_piece")
+    busy = F.broadcast(heavy_keys(cut_lines.select(*group), group, least))
+    pieces = F.coalesce(F.col("pieces"), F.lit(1))
+    piece = F.pmod(F.xxhash64(*line.columns), pieces).cast("int")
+    lines = lines.join(busy, group, "left").withColumn("_piece", piece).drop("pieces")
+    copies = F.explode(F.sequence(F.lit(0), pieces - 1))
+    prices = prices.join(busy, group, "left").withColumn("_piece", copies).drop("pieces")
+    return _last_price(lines, prices, [*group, "_piece"]).drop("_slice", "_piece")
 
 
 def before_first_price(line: DataFrame, price: DataFrame) -> DataFrame:
@@ -126,7 +92,7 @@ def before_first_price(line: DataFrame, price: DataFrame) -> DataFrame:
     return line.join(first, "product_id", "left").where(~priced).drop("_first")
 
 
-def price_lines(line: DataFrame, check: DataFrame, price: DataFrame, method: str = "auto") -> DataFrame:
+def price_lines(line: DataFrame, check: DataFrame, price: DataFrame, least: int = LEAST) -> DataFrame:
     """Lines of a branch priced as of their receipt's date. A line without a receipt stays, unpriced."""
     dated = line.join(check.select("check_id", "check_date"), "check_id", "left")
-    return asof_price(dated, price, method, sold=line)
+    return asof_price(dated, price, least, sold=line)

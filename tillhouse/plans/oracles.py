@@ -255,6 +255,7 @@ _BODIES = {
     "explode_targets": f"SELECT supplier_id, name, target FROM maker, {_TARGETS}",
     "asof_price": "SELECT * FROM priced",
     "asof_price_window": "SELECT * FROM priced",
+    "asof_price_split": "SELECT * FROM priced",
     "latest_price": """
         SELECT product_id, max(set_date) AS set_date, arg_max(cost_sale, set_date) AS cost_sale
         FROM price GROUP BY product_id""",

@@ -37,8 +37,7 @@ def query(build: Callable[[Retail], DataFrame]):
 # Market baskets
 
 def _basket_rows(r: Retail, *window: str) -> DataFrame:
-    """Written once: the count of large baskets and the self-join read the same narrow rows."""
-    return settle(r.sales(*window).select(*baskets.BASKET, "product_id", "supplier_id"))
+    return r.sales(*window).select(*baskets.BASKET, "product_id", "supplier_id")
 
 
 @query
@@ -311,9 +310,15 @@ def asof_price(r: Retail) -> DataFrame:
 
 @query
 def asof_price_window(r: Retail) -> DataFrame:
-    """The same prices by the method for price tables of any size."""
-    dated = r.line.select("check_id", "product_id", "cnt")
-    return pricing.price_lines(dated, r.check, r.price, method="window")
+    """The same without the receipts' join."""
+    heads = r.check.select("check_id", "check_date")
+    return pricing.asof_price(r.line.select("check_id", "product_id", "cnt").join(heads, "check_id"), r.price)
+
+
+@query
+def asof_price_split(r: Retail) -> DataFrame:
+    """The same prices with every product of more than ten rows cut into minutes, and busy minutes into pieces."""
+    return pricing.price_lines(r.line.select("check_id", "product_id", "cnt"), r.check, r.price, least=10)
 
 
 @query
