@@ -21,14 +21,14 @@ def components(edges: DataFrame) -> DataFrame:
     Loops and repeated edges are harmless; an edge with a null end is ignored; without edges there are no rows.
     """
     pairs = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).dropna()
-    vertices = settle(pairs)
-    now = settle(vertices.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    vertices = settle(pairs.distinct())
+    now = vertices.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     state = None
     for _ in range(MOST_ROUNDS):
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = settle(large.where("a <> b").distinct())
+        large = large.where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         now = settle(small.union(least.select("a", "low")).where("a <> b").distinct())
