@@ -218,6 +218,25 @@ def test_lines_without_a_price_at_the_target_are_counted(spark, tmp_path):
     assert [(r["product_id"], r["broken"]) for r in south.rejected("line").collect()] == [(2, ["not null: price"])]
 
 
+def test_only_files_of_the_window_are_opened(spark, tmp_path):
+    warehouse = jobs.warehouse_store(spark, str(tmp_path))
+    warehouse.append("store", spark.createDataFrame([(1, "e", "e", "east")], "store_id long, name string, address string, db_name string"))
+    fill_parents(spark, warehouse, [10_000_001], [1, 2], [1])
+    schema = T.StructType(CHECK_EXTRACT.fields + [T.StructField("db_name", T.StringType())])
+    for k in range(4):  # each load lies in a range of receipt numbers and a month of its own
+        jobs.load_checks(warehouse, spark.createDataFrame(
+            [(k * jobs.CHECK_RANGE, 10_000_001, datetime(2017, 1 + k, 5), True, 1, 2.0, 3.0, p, 1, "east") for p in (1, 2)], schema))
+    assert warehouse.highest("date") == 4 and warehouse.highest("card") is None
+    dates = jobs._dates(warehouse, "2017-02-01", "2017-03-31")
+    assert len(dates.inputFiles()) == 2
+    within = jobs._date_range(dates, "2017-02-01", "2017-03-31")
+    assert within == (2, 3) and len(warehouse.read("sale_fact", within=within).inputFiles()) == 2
+    assert warehouse.read("sale_fact", within=(1, 0)).count() == 0
+    showcase = jobs.showcase_store(spark, f"{tmp_path}/show")
+    assert jobs.find_product_pairs(warehouse, showcase, "2017-02-01", "2017-03-31").first()["rows"] == 1
+    assert showcase.read("product_pairs").first()["amount"] == 2
+
+
 def test_generated_keys(spark, tmp_path):
     branch = jobs.branch_store(spark, str(tmp_path))
 

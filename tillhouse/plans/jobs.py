@@ -47,7 +47,7 @@ def warehouse_store(spark: SparkSession, root: str) -> TableStore:
     return TableStore(spark, root, WAREHOUSE_TABLES, {
         "sale_fact": f"concat(store_id, '-', check_id div {CHECK_RANGE})",
         "card": f"card_id div {CARD_RANGE}",
-        "date": "concat(year(date), '-', month(date))"})
+        "date": "concat(year(date), '-', month(date))"}, {"sale_fact": "date_id", "date": "date_id"})
 
 
 def showcase_store(spark: SparkSession, root: str) -> TableStore:
@@ -91,11 +91,17 @@ def _status(spark: SparkSession, sent: list[tuple]) -> DataFrame:
     return spark.createDataFrame(sent, STATUS).distinct()
 
 
-def _of_store(warehouse: TableStore, name: str, db_name: str) -> DataFrame:
+def _date_range(dates: DataFrame, start, end) -> tuple[int, int]:
+    """Lowest and highest date key in the window; an empty range if there is none."""
+    found = dates.where(in_window("date", start, end)).agg(F.min("date_id").alias("low"), F.max("date_id").alias("high")).first()
+    return (found["low"], found["high"]) if found["low"] is not None else (1, 0)
+
+
+def _of_store(warehouse: TableStore, name: str, db_name: str, within: tuple[int, int] | None = None) -> DataFrame:
     """The table's rows in the partitions of one store; their names begin with the store's number."""
     found = slices.find_store(warehouse.read("store"), db_name).collect()
     own = [p for p in warehouse.parts(name) if found and p.split("-")[0] == str(found[0]["store_id"])]
-    return warehouse.read(name, own)
+    return warehouse.read(name, own, within)
 
 
 def _dates(warehouse: TableStore, start, end) -> DataFrame:
@@ -184,17 +190,12 @@ def load_checks(warehouse: TableStore, tagged: DataFrame) -> DataFrame:
     rows, lost = _accept(warehouse, "sale_fact", "warehouse", apply_defaults(rows, SALE_FACT.defaults), table, parents)
     months = warehouse.parts_of("date", rows.select(F.col("check_date").alias("date")))
     held = warehouse.read("date", months)
-    added = settle(extend_date_dimension(held, rows, "check_date", top=_highest_date(warehouse)))
+    added = settle(extend_date_dimension(held, rows, "check_date", top=warehouse.highest("date") or 0))
     warehouse.append("date", added, checked=True)
     fact = settle(date_rows(rows, warehouse.read("date", months)))
     return _status(warehouse.spark, [("sale_fact", "warehouse", merge_into(warehouse, SALE_FACT, fact)), *lost])
 
 
-def _highest_date(warehouse: TableStore) -> int:
-    """Highest date key so far. Only the key column is read, and of parquet files mostly its statistics."""
-    return warehouse.read("date").agg(F.coalesce(F.max("date_id"), F.lit(0))).first()[0]
-
-
 def date_rows(rows: DataFrame, date: DataFrame) -> DataFrame:
     """Replace the receipt timestamp by its date key."""
     keys = date.select("date_id", F.col("date").alias("check_date"))
@@ -213,9 +214,9 @@ def send_checks(warehouse: TableStore, target_name: str, target: TableStore, db_
     """Send the receipts of one store to a branch, as headers and lines. With ``reprice`` the branch's
     own price at the receipt date replaces the price that was sent."""
     now = now or _now()
-    sales = settle(slices.sales_of_store(
-        _of_store(warehouse, "sale_fact", db_name), warehouse.read("store"), _dates(warehouse, start, end),
-        db_name, start, end))
+    dates = _dates(warehouse, start, end)
+    fact = _of_store(warehouse, "sale_fact", db_name, _date_range(dates, start, end))
+    sales = settle(slices.sales_of_store(fact, warehouse.read("store"), dates, db_name, start, end))
     sent = _send("check", slices.check_headers(sales), {target_name: target}, now)
     lines = slices.check_lines(sales)
     if reprice:  # a line without a price at the target breaks NOT NULL there, so it is set aside and counted
@@ -227,8 +228,10 @@ def send_checks(warehouse: TableStore, target_name: str, target: TableStore, db_
 def find_product_pairs(warehouse: TableStore, showcase: TableStore, start, end) -> DataFrame:
     """Count the products bought together in the window and replace the showcase table. An empty
     window empties the table."""
-    sales = baskets.dated_sales(warehouse.read("sale_fact"), _dates(warehouse, start, end), start, end)
-    sales = settle(sales.select(*baskets.BASKET, "product_id", "supplier_id"))
-    pairs = baskets.product_pairs(sales, warehouse.read("product"), warehouse.read("supplier"))
+    dates = _dates(warehouse, start, end)
+    fact = warehouse.read("sale_fact", within=_date_range(dates, start, end))
+    sales = settle(baskets.dated_sales(fact, dates, start, end).select(*baskets.BASKET, "product_id", "supplier_id"))
+    # a stored table has no order, so the report is sorted where it is read
+    pairs = baskets.name_pairs(baskets.pair_counts(sales), warehouse.read("product"), warehouse.read("supplier"))
     rows = showcase.replace("product_pairs", pairs)
     return _status(warehouse.spark, [("product_pairs", "showcase", rows)])
