@@ -56,7 +56,7 @@ def _chunks(docs: DataFrame) -> DataFrame:
                 [pa.array([task << 24 | number], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
                  pa.array([[len(r) for r in raw]], pa.list_(pa.int64())),
                  pa.array([sum(len(r.split()) for r in raw)], pa.int64()),
-                 pa.array([zstandard.compress(b"".join(raw), 1)], pa.binary())],
+                 pa.array([zstandard.compress(b"".join(raw), 6)], pa.binary())],
                 names=["chunk", "ids", "sizes", "n_words", "texts"])
 
         for whole in batches:
