@@ -31,12 +31,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tokenizers import Regex, Tokenizer, decoders, models, normalizers
+from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-MOST_SEGMENTS = 200_000
+MOST_SEGMENTS = 300_000
 LONGEST_KEPT = 48  # characters
 TEXTS_AT_ONCE = 256
 SEGMENT = re.compile(f"\\n|{MARK}*[^{MARK}\\n]+|{MARK}+")
@@ -179,6 +179,8 @@ class PieceEncoder:
         self.segmented = splits_at_segments(self.model)
         self.segments = backend(self.model)
         self.segments.normalizer = normalizers.Sequence([])
+        self.segments.pre_tokenizer = pre_tokenizers.Split("\n", "isolated")
+        self.line_break = self.model.pieces.index("<0x0A>") if self.segmented else -1
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.spelled = [bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(MARK, " ").encode()
@@ -188,6 +190,17 @@ class PieceEncoder:
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.item).tobytes() for e in found]
 
+    def _learn(self, segments: list[str]) -> list[bytes]:
+        """Ids of segments, which are encoded as the lines of one text; a segment that is a line break has no line of its own."""
+        lines = [s for s in segments if s != "\n"]
+        raw = self._raw(self.segments, ["\n".join(lines)])[0] if lines else b""
+        item = int(self.item[2])
+        cuts = [at * item for at in np.flatnonzero(np.frombuffer(raw, self.item) == self.line_break).tolist()]
+        assert len(cuts) == max(0, len(lines) - 1)
+        held = dict(zip(lines, (raw[a:b] for a, b in zip([0, *(c + item for c in cuts)], [*cuts, len(raw)]))))
+        held["\n"] = np.array([self.line_break], self.item).tobytes()
+        return [held[s] for s in segments]
+
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """Ids of each text, little-endian, ``item`` wide."""
         texts = [t or "" for t in texts]
@@ -205,7 +218,7 @@ class PieceEncoder:
                 unseen.append(segment)
             else:
                 self.known[segment] = ids
-        self.known.update(zip(unseen, self._raw(self.segments, unseen)))
+        self.known.update(zip(unseen, self._learn(unseen)))
         out = [b"".join(map(self.known.__getitem__, segments)) for segments in cut]
         for segment in unseen:
             if len(segment) > LONGEST_KEPT:
