@@ -28,28 +28,31 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], now: Column |
     A source row is taken whole, so a NULL in it replaces a value. Columns the source lacks keep the
     target's value. With ``now``, new rows get both audit stamps and changed rows only the second.
 
-    The source decides the cost: while it is small Spark broadcasts its keys, and the target is only
-    streamed past them and never shuffled.
+    The source decides the cost: while it is small Spark broadcasts it, and the target is only streamed past it and never
+    shuffled. A large source costs one shuffle of the target, and where columns are kept another one of its keys.
     """
     source = source.select([c for c in target.columns if c in source.columns and c not in AUDIT])
-    untouched = target.join(source.select(*keys), keys, "left_anti")
     kept = [c for c in target.columns if c not in source.columns]
     if not kept:
-        return untouched.unionByName(source)
-    touched = target.join(source.select(*keys), keys, "left_semi").select(
-        *keys, F.struct(*kept).alias("_old"))
+        return target.join(source.select(*keys), keys, "left_anti").unionByName(source)
     if now is not None:
         now = (now if isinstance(now, Column) else F.lit(now)).cast("timestamp")
-    columns = []
+    new = source.select(*keys, F.struct(F.lit(True).alias("_is_new"), *[c for c in source.columns if c not in keys]).alias("_new"))
+    changed, inserted = [], []
     for name in target.columns:
-        old = F.col(f"_old.{name}")
-        if name == "created_at" and now is not None:
-            columns.append(F.when(F.col("_old").isNotNull(), old).otherwise(now).alias(name))
-        elif name == "modified_at" and now is not None:
-            columns.append(now.alias(name))
+        if name in keys:
+            changed.append(F.col(name))
+            inserted.append(F.col(name))
+        elif name in kept:
+            stamped = name in AUDIT and now is not None
+            changed.append(F.when(F.col("_new").isNotNull(), now).otherwise(F.col(name)).alias(name)
+                           if stamped and name == "modified_at" else F.col(name))
+            inserted.append((now if stamped else F.lit(None).cast(target.schema[name].dataType)).alias(name))
         else:
-            columns.append(old.alias(name) if name in kept else F.col(name))
-    return untouched.unionByName(source.join(touched, keys, "left").select(columns))
+            changed.append(F.when(F.col("_new").isNotNull(), F.col(f"_new.{name}")).otherwise(F.col(name)).alias(name))
+            inserted.append(F.col(name))
+    fresh = source.join(target.select(*keys), keys, "left_anti").select(inserted)
+    return target.join(new, keys, "left").select(changed).unionByName(fresh)
 
 
 def stamp(df: DataFrame, now: Column | datetime) -> DataFrame:

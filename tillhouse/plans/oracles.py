@@ -170,6 +170,7 @@ _BODIES = {
     "basket_string": """
         SELECT store_id, check_id, string_agg(CAST(product_id AS VARCHAR), ', ' ORDER BY product_id) AS products
         FROM sale GROUP BY store_id, check_id""",
+    "scan_declared": "SELECT c_custkey, c_name, c_acctbal FROM customer",
     "extract_products": "SELECT * FROM products",
     "extract_cards": f"SELECT {_CARD} FROM cards",
     "extract_checks": f"SELECT {_LINES} FROM lines_of_checks WHERE check_date {WINDOW}",

@@ -16,9 +16,9 @@ from tillhouse.operators import upsert as U
 from tillhouse.plans import jobs
 from tillhouse.plans.jobs import date_rows
 from tillhouse.plans.retail_views import Retail
-from tillhouse.schemas import CARD, CHECK, CHECK_EXTRACT, LINE, SALE_FACT
+from tillhouse.schemas import CARD, CHECK, CHECK_EXTRACT, DOUBLE, LINE, LONG, SALE_FACT, TEXT, Table
 from tillhouse.session import allow_skew_splits, ensure_checkpoint_dir, settle
-from tillhouse.sources.branches import fan_in
+from tillhouse.sources.branches import fan_in, scan
 from tillhouse.sources.extracts import new_cards, new_checks, new_products
 from tillhouse.sources.tables import TableStore
 
@@ -67,6 +67,13 @@ def _products(r: Retail) -> DataFrame:
     return new_products(r.price, r.product, r.supplier, START, END)
 
 
+@query
+def scan_declared(r: Retail) -> DataFrame:
+    """A stored table read with a declared schema: only the declared columns are opened."""
+    customer = Table("customer", (("c_custkey", LONG, False), ("c_name", TEXT, False), ("c_acctbal", DOUBLE, True)), ("c_custkey",))
+    return scan(r.spark, f"{r.folder}/customer.parquet", customer)
+
+
 @query
 def extract_products(r: Retail) -> DataFrame:
     return _products(r)
