@@ -248,11 +248,11 @@ def backoff_scores(rows):
 def test_op10_against_counters(spark, folder, docs, monkeypatch):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     want = dict(zip((i for i, _ in rows), backoff_scores(rows)))
-    for got in (queries.op10_stupid_backoff(spark, folder).collect(),
-                lm_scores.stupid_backoff(docs.repartition(7), ngrams_per_range=9000).collect()):
+    for got, near in ((queries.op10_stupid_backoff(spark, folder).collect(), 1e-4),
+                      (lm_scores.stupid_backoff(docs.repartition(7), ngrams_per_range=9000).collect(), 1e-6)):
         assert len(got) == len(rows)
         for r in got:
-            assert r.n_words == want[r.doc_id][0] and r.log_score == pytest.approx(want[r.doc_id][1], rel=1e-9, abs=1e-6)
+            assert r.n_words == want[r.doc_id][0] and r.log_score == pytest.approx(want[r.doc_id][1], rel=1e-9, abs=near)
 
 
 def test_scores_of_odd_rows(odd_docs, no_docs):

@@ -1,4 +1,4 @@
-"""One query per operator over its whole table, and SQL for those that SQL can express."""
+"""One query per operator over its whole table. ``oracles`` has the same as SQL where SQL can express it."""
 
 from __future__ import annotations
 
@@ -67,7 +67,8 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_stupid_backoff(spark: SparkSession, folder: str) -> DataFrame:
-    return lm_scores.stupid_backoff(table(spark, folder, "documents"))
+    scores = lm_scores.stupid_backoff(table(spark, folder, "documents"))
+    return scores.withColumns({c: F.round(c, 4) for c in ("log_score", "mean_log_score")})
 
 
 QUERIES = {
@@ -82,4 +83,3 @@ QUERIES = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_stupid_backoff": op10_stupid_backoff,
 }
-ORACLES: dict[str, str] = {}
