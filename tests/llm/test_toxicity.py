@@ -63,7 +63,8 @@ def test_gradient_reaches_the_optimum():
     toxic = [int(0 in r or draw.random() < 0.05) for r in rows]
     w, b = toxicity.fit_logistic(rows, toxic, 6, [[[1], [2]]], 1.0)
     x = np.array([[k in r for k in range(6)] for r in rows], float)
-    error = (1 / (1 + np.exp(-(x @ w + b))) - np.array(toxic)) / len(rows)
+    share = np.mean(toxic)
+    error = (1 / (1 + np.exp(-(x @ w + b))) - np.array(toxic)) * np.where(toxic, 0.5 / share, 0.5 / (1 - share)) / len(rows)
     swaps = [s for r in rows for s in toxicity.swapped(r, [[[1], [2]]])]
     grad = x.T @ error + toxicity.RIDGE / len(rows) * w
     for (out,), (new,) in swaps:

@@ -5,19 +5,19 @@ known stem count. Fitting goes in three steps:
 
 1. over all labelled rows, on the cluster: in how many toxic texts does each feature occur, then, for the
    ``MOST_CANDIDATES`` most frequent of these, in how many others. Kept are the ``MOST_FEATURES`` with the
-   highest signed chi statistic for toxic, and those of every identity term;
+   highest signed chi statistic for toxic, if above ``LEAST_CHI``, and those of every identity term;
 2. at most ``MOST_ROWS`` labelled rows, the first by a hash of their text, come to the driver as short lists of kept
    features;
-3. logistic regression on them. Each labelled sentence that names a group gets copies in which the term is
+3. logistic regression on them, both labels weighing the same. Each labelled sentence that names a group gets copies in which the term is
    swapped for the other terms of its family; the squared change of the logit between the sentence and its copies is
    added to the loss with weight ``SWAP_PENALTY``. So a term that merely stands beside insults in the labels cannot
    carry the score: what remains is shared by its whole family.
 
 Scoring is a dictionary lookup per distinct word of the whole text. A text's length, language, source or id have no part.
 
-Defined results: a null or empty text has no feature and gets the base rate's score; a row without a label, or
+Defined results: a null or empty text has no feature and gets the score of the bias; a row without a label, or
 with an id that is null, is not learned from; a document with several labels counts as toxic if one says so; with no
-labelled rows of both kinds every score is the share of toxic rows, or 0 without any; empty tables give no rows.
+labelled rows of both kinds every score is that of the only label, or 0 without any; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -39,9 +39,10 @@ MOST_CANDIDATES = 100_000
 MOST_FEATURES = 4_000
 MOST_ROWS = 50_000
 LEAST_TOXIC_TEXTS = 3
+LEAST_CHI = 6.5  # five texts that all happen to be toxic, of some hundred thousand features, are about the limit of chance
 SWAP_PENALTY = 1.0
-RIDGE = 1e-3
-STEPS = 300
+RIDGE = 0.1
+STEPS = 600
 THRESHOLD = 0.7
 WORD = re.compile(r"\w+")
 
@@ -133,7 +134,8 @@ def choose_features(labelled: DataFrame, *, most_candidates: int = MOST_CANDIDAT
         share = (a + b) / (n_toxic + n_other)
         if a * n_other > b * n_toxic and share < 1:
             z = (a / n_toxic - b / max(1, n_other)) / (share * (1 - share) * (1 / n_toxic + 1 / max(1, n_other))) ** 0.5
-            rated.append((-z, name))
+            if z >= LEAST_CHI:
+                rated.append((-z, name))
     chosen = [name for _, name in sorted(rated)[:most_features]]
     terms = [f for family in IDENTITY_FAMILIES for t in family for f in features(t)]
     return chosen + sorted(set(terms) - set(chosen))
@@ -154,7 +156,8 @@ def swapped(present: list[int], families: list[list[list[int]]]) -> list[tuple[l
 
 def fit_logistic(rows: list[list[int]], toxic: list[int], size: int, families: list[list[list[int]]],
                  swap_penalty: float = SWAP_PENALTY) -> tuple[np.ndarray, float]:
-    """Weights and bias by full-batch Adam; ``rows`` are lists of present features below ``size``."""
+    """Weights and bias by full-batch Adam; ``rows`` are lists of present features below ``size``. Both labels weigh the same in
+    the loss, however rare toxic rows are."""
     y = np.array(toxic, float)
     row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     col = np.array([f for r in rows for f in r], np.int64)
@@ -165,12 +168,12 @@ def fit_logistic(rows: list[list[int]], toxic: list[int], size: int, families: l
     share = y.mean() if len(y) else 0.0
     if share in (0.0, 1.0):
         return np.zeros(size), float(np.clip(np.log(share / (1 - share)) if share < 1 else 40, -40, 40)) if share else -40.0
+    weight = np.where(y > 0, 0.5 / share, 0.5 / (1 - share)) / len(rows)
     w = np.zeros(size + 1)
-    w[size] = np.log(share / (1 - share))
     mean, square = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, STEPS + 1):
         z = np.bincount(row, w[col], len(rows)) + w[size]
-        error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) / len(rows)
+        error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) * weight
         grad = np.append(np.bincount(col, error[row], size), error.sum())
         grad[:size] += RIDGE / len(rows) * w[:size]
         if len(swaps):
