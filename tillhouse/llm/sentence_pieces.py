@@ -36,7 +36,7 @@ from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_toke
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-MOST_SEGMENTS = 300_000
+MOST_SEGMENTS = 700_000
 LONGEST_KEPT = 48  # characters
 TEXTS_AT_ONCE = 256
 SEGMENT = re.compile(f"\\n|{MARK}*[^{MARK}\\n]+|{MARK}+")
@@ -166,6 +166,41 @@ def splits_at_segments(model: Model) -> bool:
             and not any(MARK in p.lstrip(MARK) or "\n" in p or " " in p for p in usual))
 
 
+def segments(text: str) -> list[str]:
+    return SEGMENT.findall(text.replace(" ", MARK))
+
+
+def is_plain(text: str) -> bool:
+    return text[0] != " " and text[-1] != " " and "  " not in text and MARK not in text
+
+
+class Remembered:
+    """Ids of strings, in two tables of at most ``MOST_SEGMENTS``: when one is full a new one begins, into which strings move
+    when they are met again. Long strings are held only until the next call."""
+
+    def __init__(self):
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.long: list[str] = []
+
+    def prepare(self, wanted: set[str], learn) -> None:
+        """Makes ``known`` hold all of ``wanted``."""
+        for text in self.long:
+            self.known.pop(text, None)
+        missing = wanted.difference(self.known)
+        if len(self.known) + len(missing) > MOST_SEGMENTS:
+            self.older, self.known, missing = self.known, {}, wanted
+        unseen = []
+        for text in missing:
+            ids = self.older.get(text)
+            if ids is None:
+                unseen.append(text)
+            else:
+                self.known[text] = ids
+        self.known.update(zip(unseen, learn(unseen)))
+        self.long = [text for text in unseen if len(text) > LONGEST_KEPT]
+
+
 class PieceEncoder:
     """``path`` is a SentencePiece model file; ``threads`` the cores of a task."""
 
@@ -181,8 +216,7 @@ class PieceEncoder:
         self.segments.normalizer = normalizers.Sequence([])
         self.segments.pre_tokenizer = pre_tokenizers.Split("\n", "isolated")
         self.line_break = self.model.pieces.index("<0x0A>") if self.segmented else -1
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known, self.words = Remembered(), Remembered()
         self.spelled = [bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(MARK, " ").encode()
                         for p, k in zip(self.model.pieces, self.model.kinds)]
 
@@ -206,25 +240,31 @@ class PieceEncoder:
         texts = [t or "" for t in texts]
         if not self.segmented:
             return [r if t else b"" for t, r in zip(texts, self._raw(self.tokenizer, texts))]
-        cut = [SEGMENT.findall(f" {t}".replace(" ", MARK)) if t else [] for t in texts]
-        wanted = set().union(*cut)
-        missing = wanted.difference(self.known)
-        if len(self.known) + len(missing) > MOST_SEGMENTS:
-            self.older, self.known, missing = self.known, {}, wanted
-        unseen = []
-        for segment in missing:
-            ids = self.older.get(segment)
-            if ids is None:
-                unseen.append(segment)
-            else:
-                self.known[segment] = ids
-        self.known.update(zip(unseen, self._learn(unseen)))
-        out = [b"".join(map(self.known.__getitem__, segments)) for segments in cut]
-        for segment in unseen:
-            if len(segment) > LONGEST_KEPT:
-                del self.known[segment]
+        out: list[bytes] = [b""] * len(texts)
+        plain = [k for k, t in enumerate(texts) if t and is_plain(t)]
+        other = [k for k, t in enumerate(texts) if t and not is_plain(t)]
+        for k, ids in zip(plain, self._by_words([texts[k].split(" ") for k in plain])):
+            out[k] = ids
+        for k, ids in zip(other, self._by_segments([segments(f" {texts[k]}") for k in other])):
+            out[k] = ids
         return out
 
+    def _by_words(self, cut: list[list[str]]) -> list[bytes]:
+        """For texts whose spaces all stand alone between words: each word is encoded with the space before it."""
+        self.words.prepare(set().union(*cut), self._learn_words)
+        return [b"".join(map(self.words.known.__getitem__, words)) for words in cut]
+
+    def _learn_words(self, words: list[str]) -> list[bytes]:
+        lines = [w for w in words if "\n" not in w]
+        found = dict(zip(lines, self._learn([MARK + w for w in lines])))
+        broken = [w for w in words if "\n" in w]
+        found.update(zip(broken, self._by_segments([segments(f" {w}") for w in broken])))
+        return [found[w] for w in words]
+
+    def _by_segments(self, cut: list[list[str]]) -> list[bytes]:
+        self.known.prepare(set().union(*cut), self._learn)
+        return [b"".join(map(self.known.known.__getitem__, parts)) for parts in cut]
+
     def normalised(self, texts: list[str]) -> list[str]:
         """What decoding should give back: the texts as the model's normaliser leaves them."""
         if self.segmented:
