@@ -137,13 +137,11 @@ class Scanner:
             places.append((counted, phrase, label))
         expressions = []
         lowered = text.lower() if ":" in text else ""
-        if len(lowered) == len(text):  # lower case may be longer for a few letters; then match the tags as they stand
-            raw = text
-        else:
-            raw = lowered
+        if len(lowered) != len(text):  # a few letters are longer in lower case; then places differ
+            text = lowered
         for end, _ in self.tags.iter(lowered):
-            line_end = raw.find("\n", end + 1)
-            found_text = END_OF_COMMENT.sub("", raw[end + 1:line_end if line_end >= 0 else len(raw)]).strip()
+            line_end = text.find("\n", end + 1)
+            found_text = END_OF_COMMENT.sub("", text[end + 1:line_end if line_end >= 0 else len(text)]).strip()
             if found_text:
                 expressions.append((found_text, evaluate(found_text)))
         return len(words), places, expressions

@@ -33,7 +33,6 @@ from tillhouse.llm.components import components, star_edges
 from tillhouse.session import settle
 
 BLOCKS = 8
-GRID_COORDINATES = 2
 BLOCK = 1024
 SLACK = 1e-9
 
@@ -165,10 +164,10 @@ def _links(rows: DataFrame, size: int, least: float, blocks: int, most: int) ->
             cosine = (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1)))
             linked = cosine >= least
             i, j = i[linked], j[linked]
-            out.append(np.bincount(i, copies[row[j]], len(h)).astype(np.int64))
+            n_links = np.bincount(i, copies[row[j]], len(h)).astype(np.int64)
+            out.append(np.stack([ids[h], n_links])[:, n_links > 0])
             low_ids.append(ids[h[i]])
             high_ids.append(ids[row[j]])
-            out[-1] = np.stack([ids[h], out[-1]])[:, out[-1] > 0]
         a = np.concatenate([np.zeros(0, np.int64), *low_ids])
         b = np.concatenate([np.zeros(0, np.int64), *high_ids])
         a, b = _forest(a, b)
