@@ -317,7 +317,7 @@ def asof_price(r: Retail) -> DataFrame:
 
 @query
 def asof_price_window(r: Retail) -> DataFrame:
-    """The same without the receipts' join."""
+    """The same prices, for lines that already carry their date."""
     heads = r.check.select("check_id", "check_date")
     return pricing.asof_price(r.line.select("check_id", "product_id", "cnt").join(heads, "check_id"), r.price)
 
