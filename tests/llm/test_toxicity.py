@@ -82,3 +82,26 @@ def test_odd_rows(spark, odd_docs, no_docs):
         assert len(rows) == odd_docs.count() and all(0 <= r["toxic score"] <= 1 for r in rows)
     model = toxicity.fit(no_docs, labels)
     assert toxicity.score(no_docs, model).count() == 0 and model.score(None) < 0.01
+
+
+def test_copies_of_a_toxic_text_push_no_feature_off(spark):
+    rows = sentences(random.Random(3), 900)
+    long = " ".join(f"z{k:05d}" for k in range(5000))
+    copies = [(1000 + i, long, 1) for i in range(400)]
+
+    def chosen(rows):
+        docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+        labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+        return toxicity.fit(docs, labels, most_rows=600)
+
+    alone, beside = chosen(rows), chosen(rows + copies)
+    for model in (alone, beside):
+        assert {"idiot", "scum"} <= model.weights.keys() and model.score("w1 idiot w2") > 0.7
+    assert not any(f.startswith("z") for f in beside.weights)
+
+
+def test_every_feature_above_the_limit_is_kept(spark):
+    insults = [f"{k:04d}insult" for k in range(5000)]
+    rows = [(" ".join([*insults, f"w{i}"]), 1) for i in range(12)] + [(f"v{i} plain", 0) for i in range(60)]
+    names = toxicity.choose_features(spark.createDataFrame(rows, "text string, toxic int"))
+    assert set(insults) <= set(names) and "plain" not in names

@@ -3,11 +3,11 @@
 A text is the set of its lower-cased words and of their beginnings of ``PREFIXES`` letters, so that new inflections of a
 known stem count. Fitting goes in three steps:
 
-1. over all labelled rows, on the cluster: in how many toxic texts does each feature occur, then, for the
-   ``MOST_CANDIDATES`` most frequent of these, in how many others. Kept are the ``MOST_FEATURES`` with the
-   highest signed chi statistic for toxic, if above ``LEAST_CHI``, and those of every identity term;
-2. at most ``MOST_ROWS`` labelled rows, the first by a hash of their text, come to the driver as short lists of kept
-   features;
+1. over all different labelled texts, on the cluster: in how many toxic texts does each feature occur, and in how many
+   others. Kept is every feature of ``LEAST_TOXIC_TEXTS`` toxic texts or more with a signed chi statistic for toxic of at
+   least ``LEAST_CHI``, and those of every identity term;
+2. at most ``MOST_ROWS`` different labelled texts, the first of each label by a hash of the text, come to the driver as
+   short lists of kept features. Each label gets half of the rows, and what the other leaves;
 3. logistic regression on them, both labels weighing the same. Each labelled sentence that names a group gets copies in which the term is
    swapped for the other terms of its family; the squared change of the logit between the sentence and its copies is
    added to the loss with weight ``SWAP_PENALTY``. So a term that merely stands beside insults in the labels cannot
@@ -16,7 +16,8 @@ known stem count. Fitting goes in three steps:
 Scoring is a dictionary lookup per distinct word of the whole text. A text's length, language, source or id have no part.
 
 Defined results: a null or empty text has no feature and gets the score of the bias; a row without a label, or
-with an id that is null, is not learned from; a document with several labels counts as toxic if one says so; with no
+with an id that is null, is not learned from; a document with several labels counts as toxic if one says so, and so does a text
+that several documents share, which is learned from once; with no
 labelled rows of both kinds every score is that of the only label, or 0 without any; empty tables give no rows.
 """
 
@@ -35,8 +36,6 @@ from pyspark.sql import types as T
 from tillhouse.session import settle
 
 PREFIXES = (4, 5, 6)
-MOST_CANDIDATES = 100_000
-MOST_FEATURES = 4_000
 MOST_ROWS = 50_000
 LEAST_TOXIC_TEXTS = 3
 LEAST_CHI = 6.5  # five texts that all happen to be toxic, of some hundred thousand features, are about the limit of chance
@@ -97,46 +96,46 @@ class Model:
         return 1 / (1 + float(np.exp(-np.clip(self.logit(text), -40, 40))))
 
 
-def _counted(texts: DataFrame, wanted: list[str] | None) -> DataFrame:
-    """How many texts have each feature: counted per task, then summed."""
-    only = None if wanted is None else set(wanted)
-
+def _counted(labelled: DataFrame) -> DataFrame:
+    """feature, in_toxic, in_other: how many texts of each label have it, counted per task, then summed."""
     def count(batches):
-        seen: Counter[str] = Counter()
+        seen = Counter(), Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found = text_features(text)
-                seen.update(found if only is None else found & only)
-            if len(seen) > 500_000:
-                yield _rows(seen)
-                seen.clear()
-        yield _rows(seen)
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                seen[toxic].update(text_features(text))
+                if len(seen[0]) + len(seen[1]) > 500_000:
+                    yield _rows(*seen)
+                    seen = Counter(), Counter()
+        yield _rows(*seen)
 
-    return texts.select("text").mapInArrow(count, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    parts = labelled.select("text", "toxic").mapInArrow(count, "feature string, in_toxic long, in_other long")
+    return parts.groupBy("feature").agg(F.sum("in_toxic").alias("in_toxic"), F.sum("in_other").alias("in_other"))
 
 
-def _rows(seen: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.string()), pa.array(list(seen.values()), pa.int64())],
-                                      names=["feature", "n"])
+def _rows(other: Counter, toxic: Counter) -> pa.RecordBatch:
+    names = list(other.keys() | toxic.keys())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(names, pa.string()), *(pa.array([seen[f] for f in names], pa.int64()) for seen in (toxic, other))],
+        names=["feature", "in_toxic", "in_other"])
 
 
-def choose_features(labelled: DataFrame, *, most_candidates: int = MOST_CANDIDATES,
-                    most_features: int = MOST_FEATURES) -> list[str]:
-    """``labelled``: text, toxic."""
+def _sizes(labelled: DataFrame) -> tuple[int, int]:
     totals = {r.toxic: r.n for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    n_toxic, n_other = totals.get(1, 0), totals.get(0, 0)
-    toxic = _counted(labelled.where("toxic = 1"), None).where(F.col("n") >= LEAST_TOXIC_TEXTS)
-    in_toxic = {r.feature: r.n for r in toxic.orderBy(F.desc("n"), "feature").limit(most_candidates).collect()}
-    in_other = {r.feature: r.n for r in _counted(labelled.where("toxic = 0"), list(in_toxic)).collect()}
-    rated = []
-    for name, a in in_toxic.items():
-        b = in_other.get(name, 0)
-        share = (a + b) / (n_toxic + n_other)
-        if a * n_other > b * n_toxic and share < 1:
-            z = (a / n_toxic - b / max(1, n_other)) / (share * (1 - share) * (1 / n_toxic + 1 / max(1, n_other))) ** 0.5
-            if z >= LEAST_CHI:
-                rated.append((-z, name))
-    chosen = [name for _, name in sorted(rated)[:most_features]]
+    return totals.get(1, 0), totals.get(0, 0)
+
+
+def choose_features(labelled: DataFrame) -> list[str]:
+    """``labelled``: text, toxic; each text once."""
+    n_toxic, n_other = _sizes(labelled)
+    chosen = []
+    if n_toxic and n_other:
+        a, b = F.col("in_toxic"), F.col("in_other")
+        share = (a + b) / F.lit(n_toxic + n_other)
+        z = (a / n_toxic - b / n_other) / F.sqrt(share * (1 - share) * (1 / n_toxic + 1 / n_other))
+        rated = _counted(labelled).where(a >= LEAST_TOXIC_TEXTS).withColumn(
+            "z", F.when(a * F.lit(n_other) > b * F.lit(n_toxic), z))  # true only of shares below 1
+        rated = rated.where(F.col("z") >= LEAST_CHI).select("feature", "z").collect()
+        chosen = [r.feature for r in sorted(rated, key=lambda r: (-r.z, r.feature))]
     terms = [f for family in IDENTITY_FAMILIES for t in family for f in features(t)]
     return chosen + sorted(set(terms) - set(chosen))
 
@@ -186,14 +185,14 @@ def fit_logistic(rows: list[list[int]], toxic: list[int], size: int, families: l
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        most_rows: int = MOST_ROWS, most_candidates: int = MOST_CANDIDATES, most_features: int = MOST_FEATURES,
-        swap_penalty: float = SWAP_PENALTY) -> Model:
+        most_rows: int = MOST_ROWS, swap_penalty: float = SWAP_PENALTY) -> Model:
     """Learn from the rows of ``docs`` that ``labels`` (id_col, label_col) marks 0 or 1."""
     marks = (labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("id"))
              .agg(F.max(label_col).cast("int").alias("toxic")))
-    labelled = settle(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-                      .join(marks.hint("merge"), "id").select("text", "toxic"))  # labels may outgrow a broadcast
-    names = choose_features(labelled, most_candidates=most_candidates, most_features=most_features)
+    marked = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+              .join(marks.hint("merge"), "id"))  # labels may outgrow a broadcast
+    labelled = settle(marked.groupBy("text").agg(F.max("toxic").alias("toxic")))  # copies are no further evidence
+    names = choose_features(labelled)
     place = {f: i for i, f in enumerate(names)}
 
     def present(batches):
@@ -204,7 +203,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 
     narrow = labelled.select("text", "toxic", F.xxhash64("text").alias("place")).mapInArrow(
         present, "present array<int>, toxic int, place long")
-    rows = narrow.orderBy("place", "toxic", "present").limit(most_rows).collect()  # the bound of this fit
+    n_toxic, n_other = _sizes(labelled)
+    most_toxic = min(n_toxic, max(most_rows // 2, most_rows - n_other))
+    rows = [r for label, most in ((1, most_toxic), (0, most_rows - most_toxic))  # the bound of this fit
+            for r in narrow.where(F.col("toxic") == label).orderBy("place", "present").limit(most).collect()]
     families = [[[place[f] for f in features(t)] for t in family] for family in IDENTITY_FAMILIES]
     weights, bias = fit_logistic([list(r.present) for r in rows], [r.toxic for r in rows], len(names), families,
                                  swap_penalty)
