@@ -65,3 +65,19 @@ def test_odd_pages(spark):
     got = sorted((r.page_id or 0, r.url, r.text, r.n_chars) for r in style_tree.main_text(df).collect())
     assert [g[2] for g in got] == ["plain", "", "", "deep", "t", "t"] and [g[3] for g in got] == [5, 0, 0, 4, 1, 1]
     assert style_tree.main_text(df.limit(0)).count() == 0
+
+
+def main_texts(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in style_tree.main_text(pages).collect()}
+
+
+def test_marks_are_a_prior_that_entropy_can_overrule(spark):
+    rows = [(i, f"http://a.example/{i}", f"<main><div class='x'>Welcome to our site</div><p>story {i}</p><div class='y'>Call us</div></main>")
+            for i in range(12)]
+    rows += [(100 + i, f"http://b.example/{i}", f"<div class='long'>a long story {i}</div><div class='z'>Imprint</div><article>see {i} too"
+              "</article>") for i in range(12)]
+    rows += [(200, "http://c.example/1", "<main><div class='x'>Welcome</div><p>alone</p></main><p>beside</p>")]
+    got = main_texts(spark, rows)
+    assert got[3] == "story 3" and got[103] == "a long story 3 see 3 too"
+    assert got[200] == "Welcome alone"  # one page tells nothing, so the mark decides

@@ -9,13 +9,14 @@ pages. With m pages at a node:
 * composite importance: the presentation's share is ``1 - DECAY ** presentations``, the rest is the content's. A branch is noise if
   every node in it that has texts is below ``LEAST_IMPORTANCE``, so it is those nodes that go.
 
-Equal pages count once, and a node with fewer than ``LEAST_PAGES`` different pages counts as important, for lack of evidence. Entropy
-is held against branches that are not marked as content. What a page itself marks has a weight that no count
-overrules: ``article`` and ``main`` are content, and nothing else is where they exist; parts whose element, role or class names a menu,
-header, footer, sidebar, notice, advert, form or comments are not.
+Equal pages count once, and a node with fewer than ``LEAST_PAGES`` different pages has no importance, for lack of evidence. What a page
+itself marks is a prior: on pages with ``article`` or ``main`` the importance is ``(1 - PRIOR) * composite``, plus ``PRIOR`` inside
+of these. So a text that all pages share goes from ``main`` as well, and a varied branch beside an ``article`` stays; without evidence
+the mark alone decides. Pages without a mark go by the composite, and keep what has no evidence. Parts whose element, role or
+class names a menu, header, footer, sidebar, notice, advert, form or comments are no content, whatever the counts.
 
 Counting is by partial sums per host, node and text, so a host with a third of all pages is no single task's work; the verdicts
-come back as one row per host, with the few nodes to remove.
+come back as one row per host, with lists of nodes that have enough pages.
 
 Defined results: a null, empty or text-free page has an empty text; a null url, or one without a host, shares the host "";
 repeated rows are extracted each; unclosed and misnested elements are closed as browsers do; an empty table gives no rows.
@@ -33,6 +34,7 @@ from tillhouse.session import settle
 DECAY = 0.9
 LEAST_PAGES = 4
 LEAST_IMPORTANCE = 0.4
+PRIOR = 0.25
 PAGES_AT_ONCE = 256
 
 
@@ -56,11 +58,12 @@ def _parsed(pages: DataFrame) -> DataFrame:
     return settle(parsed.withColumn("host", F.xxhash64(host)))
 
 
-def removed_nodes(parsed: DataFrame, *, least_pages: int = LEAST_PAGES,
-                  least_importance: float = LEAST_IMPORTANCE) -> DataFrame:
-    """host, removed (nodes). Only nodes that some page has outside of marked content."""
-    texts = parsed.select("host", F.xxhash64(F.col("blocks.text")).alias("page"), F.posexplode("blocks").alias("pos", "b"))
-    texts = settle(texts.select("host", "page", "pos", "b.node", "b.place",
+def judged_nodes(parsed: DataFrame, *, least_pages: int = LEAST_PAGES,
+                 least_importance: float = LEAST_IMPORTANCE) -> DataFrame:
+    """host, and nodes: dull_inside (go from marked content), dull (go from pages without), varied (stay beside it)."""
+    texts = parsed.select("host", F.xxhash64(F.col("blocks.text")).alias("page"), F.posexplode("blocks").alias("pos", "b")).where(
+        F.col("b.place") != DROPPED)
+    texts = settle(texts.select("host", "page", "pos", "b.node",
                                 F.xxhash64("b.text").alias("text")).distinct())  # equal pages count once
     # content: in how many pages does each text of a node stand
     shared = texts.groupBy("host", "node", "text", "page").agg(F.lit(1).alias("one")).groupBy("host", "node", "text").agg(
@@ -74,11 +77,16 @@ def removed_nodes(parsed: DataFrame, *, least_pages: int = LEAST_PAGES,
     log_m = F.log("m")
     look_importance = (log_m - F.col("n_log_n") / F.col("m")) / log_m
     share = 1 - F.pow(F.lit(DECAY), F.col("n_looks"))
-    leaf = F.when(F.col("m") < least_pages, 1.0).otherwise(
-        share * look_importance + (1 - share) * (1 - F.col("mean_log_k") / log_m))
-    marks = texts.groupBy("host", "node").agg(F.min("place").alias("place"))
-    low = m.join(content, ["host", "node"]).join(marks, ["host", "node"]).where((leaf < least_importance) & (F.col("place") == OUTSIDE))
-    return low.groupBy("host").agg(F.sort_array(F.collect_set("node")).alias("removed"))
+    leaf = share * look_importance + (1 - share) * (1 - F.col("mean_log_k") / log_m)
+    known = m.where(F.col("m") >= max(2, least_pages)).join(content, ["host", "node"]).withColumn("leaf", leaf)
+
+    def nodes(which, name):
+        return F.sort_array(F.collect_set(F.when(which, F.col("node")))).alias(name)
+
+    weight = (1 - PRIOR) * F.col("leaf")
+    return known.groupBy("host").agg(nodes(weight + PRIOR < least_importance, "dull_inside"),
+                                     nodes(F.col("leaf") < least_importance, "dull"),
+                                     nodes(weight >= least_importance, "varied"))
 
 
 def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -87,10 +95,14 @@ def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
     named = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
                          F.col(html_col).cast("string").alias("html"))
     parsed = _parsed(named)
-    low = settle(removed_nodes(parsed, least_pages=least_pages, least_importance=least_importance))
+    judged = settle(judged_nodes(parsed, least_pages=least_pages, least_importance=least_importance))
     marked = F.exists("blocks", lambda b: b["place"] == INSIDE)
-    kept = F.filter("blocks", lambda b: F.when(marked, b["place"] == INSIDE).otherwise(
-        (b["place"] != DROPPED) & ~F.coalesce(F.array_contains("removed", b["node"]), F.lit(False))))
-    out = parsed.join(low, "host", "left").withColumn("text", F.array_join(kept["text"], " "))
+
+    def among(name, b):
+        return F.coalesce(F.array_contains(name, b["node"]), F.lit(False))
+
+    kept = F.filter("blocks", lambda b: F.when(b["place"] == INSIDE, ~among("dull_inside", b)).otherwise(
+        (b["place"] == OUTSIDE) & F.when(marked, among("varied", b)).otherwise(~among("dull", b))))
+    out = parsed.join(judged, "host", "left").withColumn("text", F.array_join(kept["text"], " "))
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text",
                       F.char_length("text").cast("long").alias("n_chars"))
