@@ -81,3 +81,18 @@ def test_marks_are_a_prior_that_entropy_can_overrule(spark):
     got = main_texts(spark, rows)
     assert got[3] == "story 3" and got[103] == "a long story 3 see 3 too"
     assert got[200] == "Welcome alone"  # one page tells nothing, so the mark decides
+
+
+@pytest.mark.parametrize("name", ["layout with-sidebar", "no-sidebar", "elementor-widget", "has-menu", "post-notice", "has-comments"])
+def test_content_in_a_named_wrapper_is_kept(name):
+    page = f"<div class='{name}'><article><p>story</p><div class='comments'><article>first!</article></div></article></div>"
+    assert texts(page, INSIDE) == ["story"]
+    assert texts("<div class='social-layout'><main>story</main></div><nav><main>menu</main></nav>", INSIDE) == ["story"]
+
+
+def test_counts_overrule_names(spark):
+    rows = [(i, f"http://a.example/{i}", f"<div class='text-widget'><p>story {i}</p></div><div class='sidebar'>About us</div>"
+             f"<div class='comments'>comment {i}</div><div class='ad'>buy {i}</div>") for i in range(12)]
+    rows += [(100, "http://b.example/1", "<div class='text-widget'><p>story</p></div><p>more</p>")]
+    got = main_texts(spark, rows)
+    assert got[3] == "story 3" and got[100] == "more"

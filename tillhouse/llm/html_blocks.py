@@ -26,6 +26,11 @@ NOISE_WORDS = frozenset(
     "notice notification alert popup modal overlay newsletter subscribe subscription signup login comment comments commentlist "
     "disqus replies respond sidebar widget widgets menu nav navbar navigation breadcrumb breadcrumbs pagination pager share "
     "sharing social related recommended trending footer masthead topbar toolbar skip".split())
+# of these, parts whose text differs from page to page, so that counts say nothing against the name
+VARIED_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion comment comments commentlist disqus "
+    "replies respond share sharing social related recommended trending".split())
+ABOUT = frozenset("has no with without".split())  # such a name says what a part has, not what it is: has-menu, no-sidebar
 # an open element of the key is closed by the start of one of the values
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option", "optgroup"},
              "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"},
@@ -37,22 +42,26 @@ TAG = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*+\"|'[^']
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 SPLIT_NAME = re.compile(r"[^a-z0-9]+")
 
-NOTHING, OUTSIDE, INSIDE, DROPPED = -1, 0, 1, 2  # where a block stands
+NOTHING, OUTSIDE, INSIDE, DROPPED, NAMED = -1, 0, 1, 2, 3  # where a block stands
+_VARIED = 4  # dropped by a varied word, unless main comes
 
 
 def _attributes(raw: str) -> dict[str, str]:
     return {m[0].lower(): m[1] or m[2] or m[3] for m in ATTRIBUTE.findall(raw)} if "=" in raw else {}
 
 
-def _is_noise(tag: str, attributes: dict[str, str], hidden: bool, inside: bool) -> bool:
+def _noise(tag: str, attributes: dict[str, str], hidden: bool, inside: bool) -> int | None:
     if tag in NOISE or hidden or (tag == SITE_HEADER and not inside):
-        return True
+        return DROPPED
     if attributes.get("role", "").lower() in NOISE_ROLES or attributes.get("aria-hidden", "").lower() == "true":
-        return True
-    if tag in ("html", "body"):
-        return False
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
-    return not NOISE_WORDS.isdisjoint(SPLIT_NAME.split(names))
+        return DROPPED
+    if tag in ("html", "body") or not ("class" in attributes or "id" in attributes):
+        return None
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()
+    words = {w for parts in map(SPLIT_NAME.split, names) if ABOUT.isdisjoint(parts) for w in parts}
+    if NOISE_WORDS.isdisjoint(words):
+        return None
+    return NAMED if VARIED_WORDS.isdisjoint(words) else _VARIED
 
 
 def path_hash(path: str) -> int:
@@ -61,8 +70,9 @@ def path_hash(path: str) -> int:
 
 
 def blocks(page: str | None) -> list[tuple[str, int, str]]:
-    """(path, place, text) of each block in page order. ``place``: INSIDE the content element, OUTSIDE, or DROPPED (in a part
-    whose name or role says that it is none of the content)."""
+    """(path, place, text) of each block in page order. ``place``: INSIDE the content element, OUTSIDE, NAMED (in a part
+    whose class or id says that it is none of the content, which counts may overrule), or DROPPED (its element, role or a name of
+    parts with varied text says so). ``article`` and ``main`` are content within NAMED parts too, ``main`` within all that are dropped by name."""
     page = page or ""
     out: list[tuple[str, int, str]] = []
     # open elements: tag, path, place; an element that is not seen has place NOTHING
@@ -79,7 +89,7 @@ def blocks(page: str | None) -> list[tuple[str, int, str]]:
             place = stack[at][2]
             while at and stack[at][0] not in BLOCK:
                 at -= 1
-            out.append((stack[at][1], place, text))
+            out.append((stack[at][1], DROPPED if place == _VARIED else place, text))
 
     def close(at: int) -> None:
         if any(t in BLOCK for t, _, _ in stack[at:]):
@@ -136,10 +146,14 @@ def blocks(page: str | None) -> list[tuple[str, int, str]]:
             place = NOTHING
         elif place != DROPPED:
             hidden = " hidden" in m[4].lower().split("=")[0]
-            if _is_noise(tag, attributes, hidden, place == INSIDE):
-                place = DROPPED
-            elif tag in CONTENT or attributes.get("role", "").lower() in CONTENT:
+            noise = _noise(tag, attributes, hidden, place == INSIDE)
+            mark = tag if tag in CONTENT else attributes.get("role", "").lower()
+            if noise == DROPPED or (noise == _VARIED and mark != "main"):
+                place = noise
+            elif mark in CONTENT and (place != _VARIED or mark == "main"):
                 place = INSIDE
+            elif noise and place != _VARIED:
+                place = NAMED
         if tag in BLOCK or place == NOTHING:
             path = f"{path}/{tag}.{' '.join(sorted(attributes.get('class', '').split()))}"
         if tag in RAW:

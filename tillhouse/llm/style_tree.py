@@ -12,8 +12,10 @@ pages. With m pages at a node:
 Equal pages count once, and a node with fewer than ``LEAST_PAGES`` different pages has no importance, for lack of evidence. What a page
 itself marks is a prior: on pages with ``article`` or ``main`` the importance is ``(1 - PRIOR) * composite``, plus ``PRIOR`` inside
 of these. So a text that all pages share goes from ``main`` as well, and a varied branch beside an ``article`` stays; without evidence
-the mark alone decides. Pages without a mark go by the composite, and keep what has no evidence. Parts whose element, role or
-class names a menu, header, footer, sidebar, notice, advert, form or comments are no content, whatever the counts.
+the mark alone decides. Pages without a mark go by the composite, and keep what has no evidence. Parts that a class or id
+names as menu, sidebar, notice and the like count as beside the content: they stay only where the counts speak for them. Parts
+whose element or role says menu, footer, form or aside, and those named as advert, comments, shares or related texts, which
+differ from page to page by nature, are no content, whatever the counts.
 
 Counting is by partial sums per host, node and text, so a host with a third of all pages is no single task's work; the verdicts
 come back as one row per host, with lists of nodes that have enough pages.
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.llm.html_blocks import DROPPED, INSIDE, OUTSIDE, blocks, path_hash
+from tillhouse.llm.html_blocks import DROPPED, INSIDE, NAMED, blocks, path_hash
 from tillhouse.session import settle
 
 DECAY = 0.9
@@ -102,7 +104,7 @@ def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
         return F.coalesce(F.array_contains(name, b["node"]), F.lit(False))
 
     kept = F.filter("blocks", lambda b: F.when(b["place"] == INSIDE, ~among("dull_inside", b)).otherwise(
-        (b["place"] == OUTSIDE) & F.when(marked, among("varied", b)).otherwise(~among("dull", b))))
+        (b["place"] != DROPPED) & F.when(marked | (b["place"] == NAMED), among("varied", b)).otherwise(~among("dull", b))))
     out = parsed.join(judged, "host", "left").withColumn("text", F.array_join(kept["text"], " "))
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text",
                       F.char_length("text").cast("long").alias("n_chars"))
