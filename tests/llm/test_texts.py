@@ -270,3 +270,19 @@ def test_counts_and_hashes_pack_exactly():
     for hashes in ([5, 9, 2**47], [3, 4, 5], []):
         held = np.array(hashes, np.uint64)
         assert (lm_scores._unpack(*lm_scores._pack(held)) == held).all()
+
+
+def test_ngrams_with_near_hashes_are_told_apart():
+    def unmixed(x):  # the words whose unigrams get these hashes
+        def shifted(x, by):
+            return x ^ x >> by ^ (x >> 2 * by if 2 * by < 64 else 0)
+        x = shifted(x, 31) * pow(0x94D049BB133111EB, -1, 1 << 64) % (1 << 64)
+        x = shifted(x, 27) * pow(0xBF58476D1CE4E5B9, -1, 1 << 64) % (1 << 64)
+        return (shifted(x, 30) - 1) * pow(int(lm_scores._MULTIPLIERS[1, 0]), -1, 1 << 64) % (1 << 64)
+
+    words = np.array([unmixed(1 << 60), unmixed((1 << 60) + 1)], np.uint64)  # equal in their first 48 bits
+    grams, _ = lm_scores._ngrams(words, np.array([1, 1]))
+    assert len(set(grams.tolist())) == 2
+    for hashes in ([5, 2**40, 2**62], [7, 2**40], [2**64 - 1]):
+        held = np.array(hashes, np.uint64)
+        assert (lm_scores._unpack(*lm_scores._pack(held)) == held).all()

@@ -9,11 +9,12 @@ the two before it is
 
 and likewise from the bigram or unigram on for the first two words. A document's score is the sum of the logarithms.
 
-The relations are ``texts`` (document, text), exploded to ``ngrams`` (chunk, hash, n), and ``counts`` (hash, n), all exact. A chunk is a
+The relations are ``texts`` (document, text), exploded to ``ngrams`` (chunk, hash, n), and ``counts`` (hash, n), exact but for n-grams that
+share a 64-bit hash: among 4 * 10**9 different n-grams, one that no other document has is taken for seen with odds of 2 * 10**-10. A chunk is a
 few megabytes of documents. A chunk's n-grams are counted before they move, so a phrase of every document is one row per chunk;
-rows of a chunk and hash range travel packed in one cell, as ascending 48-bit hashes. Each hash range is summed in one task of bounded size, as
+rows of a chunk and hash range travel packed in one cell, as steps between ascending hashes. Each hash range is summed in one task of bounded size, as
 the number of ranges follows the number of words, and joined to the rows that asked; the chunk gets back the counts of its own
-n-grams, in its own order, and sums them per document. Two n-grams of a corpus of 10**8 share a hash with odds of about 10**-6 each.
+n-grams, in its own order, and sums them per document.
 
 Defined results: a text without words (or null) has n_words 0, log_score 0 and a null mean; repeated rows count, and score, each on its own;
 with a single document N' is 0 and counts as 1; a null id is kept; an empty table gives no rows.
@@ -40,7 +41,7 @@ ORDER = 3
 BACKOFF = 0.4
 CHUNK_BYTES = 6 << 20
 NGRAMS_PER_RANGE = 4_000_000
-BITS = 48
+BITS = 64
 _MULTIPLIERS = np.random.default_rng(10).integers(1, 2**62, (ORDER + 1, ORDER), dtype=np.uint64) << np.uint64(1) | np.uint64(1)
 
 
@@ -85,7 +86,7 @@ def _words(sizes, blob: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _ngrams(words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """48-bit hashes of all n-grams, orders one after the other, and for each order the place of its last word."""
+    """Hashes of all n-grams, orders one after the other, and for each order the place of its last word."""
     before = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)  # words of the text before it
     grams, ends = [], []
     for order in range(1, ORDER + 1):
@@ -93,7 +94,7 @@ def _ngrams(words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, list[np
         total = np.full(len(last), np.uint64(order))
         for k in range(order):
             total += words[last - k] * _MULTIPLIERS[order, k]
-        grams.append(mix(total) >> np.uint64(64 - BITS))
+        grams.append(mix(total))
         ends.append(last)
     return np.concatenate(grams), ends
 
@@ -101,12 +102,15 @@ def _ngrams(words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, list[np
 def _pack(sorted_hashes: np.ndarray) -> tuple[int, bytes]:
     """Width of a step, and the steps between ascending hashes, the first from zero."""
     steps = np.diff(sorted_hashes, prepend=np.uint64(0))
-    width = 4 if not len(steps) or int(steps.max()) < 1 << 32 else 8
-    return width, steps.astype(f"<u{width}").tobytes()
+    largest = int(steps.max()) if len(steps) else 0
+    width = next(w for w in (4, 6, 8) if largest < 1 << 8 * w)
+    return width, steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
 def _unpack(width: int, raw: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(raw, f"<u{width}").astype(np.uint64))
+    steps = np.zeros((len(raw) // width, 8), np.uint8)
+    steps[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
+    return np.cumsum(steps.view("<u8")[:, 0], dtype=np.uint64)
 
 
 def _pack_counts(counts: np.ndarray) -> tuple[bytes, bytes]:
