@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import licenses, lm_scores, ngram_join, packing, quality, sentence_pieces, style_tree, token_files, toxicity, vector_join
+from tillhouse.llm import byte_bpe, licenses, lm_scores, ngram_join, packing, quality, sentence_pieces, style_tree, token_files, toxicity, vector_join
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -71,6 +72,14 @@ def op10_stupid_backoff(spark: SparkSession, folder: str) -> DataFrame:
     return scores.withColumns({c: F.round(c, 4) for c in ("log_score", "mean_log_score")})
 
 
+def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = byte_bpe.encode(table(spark, folder, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
+    decoded = byte_bpe.decode(encoded, BYTE_BPE, public_tokenizers.PATTERN, keep_ids=True)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
+                          F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_sentence_pieces": op2_sentence_pieces,
@@ -82,4 +91,5 @@ QUERIES = {
     "op8_subspace_join": op8_subspace_join,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_stupid_backoff": op10_stupid_backoff,
+    "op11_byte_bpe": op11_byte_bpe,
 }
