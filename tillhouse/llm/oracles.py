@@ -65,8 +65,38 @@ STUPID_BACKOFF = f"""
            CASE WHEN len(words) > 0 THEN round(s / len(words), 4) END AS mean_log_score
     FROM split LEFT JOIN summed USING (doc_id)"""
 
+SOURCE_DIVERGENCE = """
+    WITH given AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents),
+    placed AS (SELECT lang, source, id, unnest(terms) AS term FROM given),
+    kept AS (SELECT lang, term, count(*) AS n_lang FROM placed GROUP BY ALL HAVING count(DISTINCT id) >= 10),
+    langs AS (SELECT lang, count(*) AS v, sum(n_lang) AS n FROM kept GROUP BY lang),
+    own AS (SELECT lang, source, term, count(*) AS n FROM placed JOIN kept USING (lang, term) GROUP BY ALL),
+    groups AS (SELECT DISTINCT lang, source FROM given),
+    totals AS (SELECT lang, source, coalesce(sum(n), 0) AS n FROM groups LEFT JOIN own USING (lang, source) GROUP BY ALL),
+    shares AS (
+        SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS own_n,
+               1 + 1000000000::HUGEINT * (coalesce(o.n, 0) + 2) // (t.n + 2 * l.v) AS p,
+               1 + 1000000000::HUGEINT * (k.n_lang + 2) // (l.n + 2 * l.v) AS q
+        FROM groups g JOIN kept k USING (lang) JOIN totals t ON t.lang = g.lang AND t.source = g.source JOIN langs l ON l.lang = g.lang
+        LEFT JOIN own o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term),
+    pairs AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+               coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0) AS value
+        FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+        LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL),
+    listed AS (
+        SELECT * FROM pairs UNION ALL
+        SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE own_n > 0 AND p > q),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM listed)
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+    FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
 ORACLES = {
     "op5_ngram_join": ngram_join(4, 85),
     "op8_subspace_join": VECTOR_JOIN,
     "op10_stupid_backoff": STUPID_BACKOFF,
+    "op12_source_divergence": SOURCE_DIVERGENCE,
 }

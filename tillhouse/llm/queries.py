@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import byte_bpe, licenses, lm_scores, ngram_join, packing, quality, sentence_pieces, style_tree, token_files, toxicity, vector_join
+from tillhouse.llm import byte_bpe, divergence, licenses, lm_scores, ngram_join, packing, quality, sentence_pieces, style_tree, token_files, toxicity, vector_join
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -80,6 +80,10 @@ def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
                           F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_sentence_pieces": op2_sentence_pieces,
@@ -92,4 +96,5 @@ QUERIES = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_stupid_backoff": op10_stupid_backoff,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_source_divergence": op12_source_divergence,
 }
