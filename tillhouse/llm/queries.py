@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import byte_bpe, divergence, licenses, lm_scores, ngram_join, packing, quality, sentence_pieces, style_tree, token_files, toxicity, vector_join
+from tillhouse.llm import byte_bpe, conversations, divergence, licenses, lm_scores, ngram_join, packing, quality, sentence_pieces, style_tree, token_files, toxicity, vector_join
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -84,6 +84,10 @@ def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.Repair(conversations.damage(table(spark, folder, "conversations"))).report()
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_sentence_pieces": op2_sentence_pieces,
@@ -97,4 +101,5 @@ QUERIES = {
     "op10_stupid_backoff": op10_stupid_backoff,
     "op11_byte_bpe": op11_byte_bpe,
     "op12_source_divergence": op12_source_divergence,
+    "op13_conversation_repair": op13_conversation_repair,
 }
