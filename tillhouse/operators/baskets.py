@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.functions.columns import in_window
+from tillhouse.operators.slices import in_periods
 
 BASKET = ["store_id", "check_id"]
 PAIR = ["product_id", "supplier_id", "sub_product_id", "sub_supplier_id"]
@@ -57,8 +58,9 @@ def _count(pairs: DataFrame) -> DataFrame:
 
 def dated_sales(sale_fact: DataFrame, date: DataFrame, start, end) -> DataFrame:
     """Fact rows whose date is in the window, before anything else is done with them."""
-    wanted = date.where(in_window("date", start, end)).select("date_id", F.col("date").alias("check_date"))
-    return sale_fact.join(wanted, "date_id")
+    inside = date.where(in_window("date", start, end))
+    wanted = inside.select("date_id", F.col("date").alias("check_date"))
+    return in_periods(sale_fact, inside).join(wanted, "date_id")
 
 
 def name_pairs(counts: DataFrame, product: DataFrame, supplier: DataFrame) -> DataFrame:

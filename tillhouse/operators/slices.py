@@ -22,11 +22,21 @@ def cards_of_store(card: DataFrame, store: DataFrame, db_name: str) -> DataFrame
                       & (F.col("card_id") < one.select("high").scalar())).select(CARD_EXTRACT.fieldNames())
 
 
+def in_periods(sale_fact: DataFrame, date: DataFrame) -> DataFrame:
+    """Fact rows of the months that ``date`` has rows of. Where both are stored by ``period``, only the folders of these months
+    are opened: the months, one row each, are found first and filter the scan at run time."""
+    if "period" not in sale_fact.columns or "period" not in date.columns:
+        return sale_fact
+    return sale_fact.join(F.broadcast(date.select("period").distinct()), "period", "left_semi")
+
+
 def sales_of_store(sale_fact: DataFrame, store: DataFrame, date: DataFrame, db_name: str, start, end) -> DataFrame:
-    """Fact rows of the store with their receipt date, for dates in the window."""
+    """Fact rows of the store with their receipt date, for dates in the window. The store's number is found by a subquery; a stored fact is
+    opened in the folders of this store and these months only."""
     one = find_store(store, db_name).select("store_id")
-    days = date.where(in_window("date", start, end)).select("date_id", F.col("date").alias("check_date"))
-    return sale_fact.where(F.col("store_id") == one.scalar()).join(days, "date_id")
+    inside = date.where(in_window("date", start, end))
+    days = inside.select("date_id", F.col("date").alias("check_date"))
+    return in_periods(sale_fact.where(F.col("store_id") == one.scalar()), inside).join(days, "date_id")
 
 
 def check_headers(sales: DataFrame) -> DataFrame:

@@ -63,18 +63,21 @@ def stamp(df: DataFrame, now: Column | datetime) -> DataFrame:
 
 def merge_into(store: TableStore, table: Table, source: DataFrame, now: datetime | None = None,
                checked: bool = False) -> int:
-    """Upsert ``source`` into a stored table and return the number of source rows.
+    """Upsert ``source`` into a stored table and return the number of rows that the written partitions hold.
 
-    Only the partitions the source touches are read and written again. ``checked`` says that the
+    Only the partitions that hold or get a row of the source are read and written again. ``checked`` says that the
     source's keys are known to be unique. The source is read several times: pass stored rows.
     """
-    keys = list(table.key)
+    name, keys = table.name, list(table.key)
     if not checked:
         require_unique(source, keys)
-    parts = store.parts_of(table.name, source)
-    if not parts:
+    source = store.split(name, source)
+    columns, moving = store.split_columns(name), store.moving.get(name, [])
+    parts = store.parts_of(name, source)
+    if not (parts if columns else source.take(1)):
         return 0
-    merged = upsert(store.read(table.name, parts), source, keys, now)
-    store.replace(table.name, merged, parts)
-    return source.count()
-
+    if moving:  # a row may lie in another partition than the one it goes to
+        fixed = [c for c in columns if c not in moving]
+        near = store.within(name, store.parts_of(name, source, fixed), fixed)
+        parts = sorted({*parts, *store.parts_of(name, near.join(source.select(*keys), keys, "left_semi"))})
+    return store.replace_parts(name, upsert(store.within(name, parts), source, keys, now), parts)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from dataclasses import replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +24,7 @@ from tillhouse.operators.quality import mark_broken
 from tillhouse.operators.upsert import merge_into, require_unique, stamp
 from tillhouse.schemas import (BRANCH_TABLES, CARD, CARD_RANGE, CHECK, LINE, MOMENT, PRICE, PRODUCT, SALE_FACT, SHOWCASE_TABLES, SUPPLIER,
                                WAREHOUSE_TABLES, Table)
-from tillhouse.session import settle
+from tillhouse.session import settle, settle_counted
 from tillhouse.sources.branches import fan_in
 from tillhouse.sources.extracts import new_cards, new_checks, new_products
 from tillhouse.sources.tables import TableStore
@@ -37,17 +37,22 @@ WITHOUT_AUDIT = {t.name: t for t in (CARD, CHECK, SUPPLIER, PRODUCT, PRICE, LINE
 
 def branch_store(spark: SparkSession, root: str) -> TableStore:
     """Receipts and their lines are split by the same ranges of receipt numbers."""
-    ranges = f"check_id div {CHECK_RANGE}"
+    ranges = {"check_range": f"check_id div {CHECK_RANGE}"}
     return TableStore(spark, root, BRANCH_TABLES, {"check": ranges, "line": ranges})
 
 
 def warehouse_store(spark: SparkSession, root: str) -> TableStore:
-    """Cards are split by store, and facts by store and range of receipt numbers. Both are part of the key, so
-    a row never moves; and as receipt numbers rise with time, a load touches the newest ranges only."""
+    """Cards are split by store; facts by store, range of receipt numbers and month; dates by month. As receipt numbers rise
+    with time, a load touches the newest ranges only; a receipt whose date is corrected may move to another month."""
     return TableStore(spark, root, WAREHOUSE_TABLES, {
-        "sale_fact": f"concat(store_id, '-', check_id div {CHECK_RANGE})",
-        "card": f"card_id div {CARD_RANGE}",
-        "date": "concat(year(date), '-', month(date))"}, {"sale_fact": "date_id", "date": "date_id"})
+        "sale_fact": {"store_id": "store_id", "check_range": f"check_id div {CHECK_RANGE}", "period": "period"},
+        "card": {"owner": f"card_id div {CARD_RANGE}"},
+        "date": {"period": "year * 100 + month"}}, {"sale_fact": ["period"]})
+
+
+def period_of(c: str) -> Column:
+    """Year and month as one number."""
+    return (F.year(c) * 100 + F.month(c)).cast("long")
 
 
 def showcase_store(spark: SparkSession, root: str) -> TableStore:
@@ -64,15 +69,16 @@ def _parents(store: TableStore, entity: str) -> dict[str, DataFrame]:
 
 
 def _accept(store: TableStore, entity: str, target: str, rows: DataFrame, table: Table | None = None,
-            parents: dict[str, DataFrame] | None = None) -> tuple[DataFrame, list[tuple]]:
-    """Rows that obey all rules, computed once, and the status of the others, which are set aside."""
-    marked = settle(mark_broken(rows, table or store.tables[entity], parents or _parents(store, entity)))
-    bad = marked.where(F.size("broken") > 0)
-    good = marked.where(F.size("broken") == 0).drop("broken")
-    if bad.isEmpty():
-        return good, []
-    return good, [(entity, f"{target}: rejected", store.reject(entity, conform(
-        bad, T.StructType([*store.tables[entity].schema, T.StructField("broken", T.ArrayType(T.StringType()))]))))]
+            parents: dict[str, DataFrame] | None = None) -> tuple[DataFrame, int, list[tuple]]:
+    """Rows that obey all rules, computed once, their number, and the status of the others, which are set aside. Both are counted by the write."""
+    fails = F.size("broken") > 0
+    marked, n = settle_counted(mark_broken(rows, table or store.tables[entity], parents or _parents(store, entity)),
+                               F.count_if(fails).alias("bad"), F.count_if(~fails).alias("good"))
+    good = marked.where(~fails).drop("broken")
+    if not n.get("bad"):
+        return good, n.get("good", 0), []
+    return good, n["good"], [(entity, f"{target}: rejected", store.reject(entity, conform(
+        marked.where(fails), T.StructType([*store.tables[entity].schema, T.StructField("broken", T.ArrayType(T.StringType()))]))))]
 
 
 def _send(entity: str, rows: DataFrame, targets: dict[str, TableStore], now: datetime) -> list[tuple]:
@@ -82,8 +88,9 @@ def _send(entity: str, rows: DataFrame, targets: dict[str, TableStore], now: dat
     require_unique(rows, list(table.key))
     sent = []
     for name, store in targets.items():
-        good, lost = _accept(store, entity, name, apply_defaults(rows, table.defaults), table)
-        sent += [(entity, name, merge_into(store, store.tables[entity], good, now, checked=True)), *lost]
+        good, n, lost = _accept(store, entity, name, apply_defaults(rows, table.defaults), table)
+        merge_into(store, store.tables[entity], good, now, checked=True)
+        sent += [(entity, name, n), *lost]
     return sent
 
 
@@ -91,28 +98,10 @@ def _status(spark: SparkSession, sent: list[tuple]) -> DataFrame:
     return spark.createDataFrame(sent, STATUS).distinct()
 
 
-def _date_range(dates: DataFrame, start, end) -> tuple[int, int]:
-    """Lowest and highest date key in the window; an empty range if there is none."""
-    found = dates.where(in_window("date", start, end)).agg(F.min("date_id").alias("low"), F.max("date_id").alias("high")).first()
-    return (found["low"], found["high"]) if found["low"] is not None else (1, 0)
-
-
-def _of_store(warehouse: TableStore, name: str, db_name: str, within: tuple[int, int] | None = None) -> DataFrame:
-    """The table's rows in the partitions of one store; their names begin with the store's number."""
-    found = slices.find_store(warehouse.read("store"), db_name).collect()
-    own = [p for p in warehouse.parts(name) if found and p.split("-")[0] == str(found[0]["store_id"])]
-    return warehouse.read(name, own, within)
-
-
 def _dates(warehouse: TableStore, start, end) -> DataFrame:
     """The date dimension in the months of the window."""
     first, last = (datetime.fromisoformat(str(t)) for t in (start, end))
-
-    def inside(part: str) -> bool:
-        year, month = map(int, part.split("-"))
-        return (first.year, first.month) <= (year, month) <= (last.year, last.month)
-
-    return warehouse.read("date", [p for p in warehouse.parts("date") if inside(p)])
+    return warehouse.scan("date").where(F.col("period").between(first.year * 100 + first.month, last.year * 100 + last.month))
 
 
 def insert_lines(branch: TableStore, line: DataFrame, now: datetime | None = None) -> DataFrame:
@@ -120,9 +109,9 @@ def insert_lines(branch: TableStore, line: DataFrame, now: datetime | None = Non
     and the audit stamps are set. A key that exists already is an error. Returns the lines that are not written, with the
     rules they break: no price, no receipt, or a missing value."""
     line = apply_defaults(line, LINE.defaults)
-    parts = branch.parts_of("line", line.where(F.col("check_id").isNotNull()))
-    priced = pricing.price_lines(line, branch.read("check", parts), branch.read("price"))
-    marked = settle(mark_broken(priced, LINE, {"check": branch.read("check", parts)}))
+    heads = branch.within("check", branch.parts_of("line", branch.split("line", line.where(F.col("check_id").isNotNull()))))
+    priced = pricing.price_lines(line, heads, branch.read("price"))
+    marked = settle(mark_broken(priced, LINE, {"check": heads}))
     branch.append("line", stamp(marked.where(F.size("broken") == 0), now or _now()))
     return marked.where(F.size("broken") > 0)
 
@@ -142,7 +131,7 @@ def insert_rows(branch: TableStore, entity: str, rows: DataFrame, order: str, st
         else:
             rows = next_keys(rows, order, key, stored)
     rows = conform(apply_defaults(rows, table.defaults), table.schema)
-    good, lost = _accept(branch, entity, "branch", rows, table)
+    good, _, lost = _accept(branch, entity, "branch", rows, table)
     added = branch.append(entity, stamp(good, now or _now()))
     return _status(branch.spark, [(entity, "branch", added), *lost])
 
@@ -170,10 +159,11 @@ def pull_checks(warehouse: TableStore, branches: dict[str, TableStore], start, e
     """Bring the branches' receipts to the fact table."""
     def extract(name: str) -> DataFrame:
         branch = branches[name]
-        check = branch.read("check")
-        # Only the ranges that hold a receipt of the window: the other lines are not opened.
-        parts = branch.parts_of("line", check.where(in_window("check_date", start, end)))
-        return new_checks(check, branch.read("line", parts), branch.read("product"), start, end)
+        check = branch.scan("check")
+        # Only the ranges that hold a receipt of the window: the other lines are not opened. A range is one row.
+        ranges = check.where(in_window("check_date", start, end)).select("check_range").distinct()
+        line = branch.scan("line").join(F.broadcast(ranges), "check_range", "left_semi")
+        return new_checks(check, line, branch.read("product"), start, end)
 
     return load_checks(warehouse, fan_in(list(branches), extract))
 
@@ -187,40 +177,46 @@ def load_checks(warehouse: TableStore, tagged: DataFrame) -> DataFrame:
     table = replace(SALE_FACT, columns=tuple(("check_date", MOMENT, False) if n == "date_id" else (n, t, null)
                                              for n, t, null in SALE_FACT.columns))
     parents = {p: warehouse.read(p) for p in ("product", "card", "supplier")}
-    rows, lost = _accept(warehouse, "sale_fact", "warehouse", apply_defaults(rows, SALE_FACT.defaults), table, parents)
-    months = warehouse.parts_of("date", rows.select(F.col("check_date").alias("date")))
-    held = warehouse.read("date", months)
-    added = settle(extend_date_dimension(held, rows, "check_date", top=warehouse.highest("date") or 0))
+    rows, n, lost = _accept(warehouse, "sale_fact", "warehouse", apply_defaults(rows, SALE_FACT.defaults), table, parents)
+    periods = warehouse.parts_of("date", rows.select(period_of("check_date").alias("period")))
+    top = warehouse.read("date").agg(F.max("date_id")).first()[0]
+    added = settle(extend_date_dimension(warehouse.within("date", periods), rows, "check_date", top=top or 0))
     warehouse.append("date", added, checked=True)
-    fact = settle(date_rows(rows, warehouse.read("date", months)))
-    return _status(warehouse.spark, [("sale_fact", "warehouse", merge_into(warehouse, SALE_FACT, fact)), *lost])
+    fact = settle(date_rows(rows, warehouse.within("date", periods), period_of("check_date").alias("period")))
+    merge_into(warehouse, SALE_FACT, fact)
+    return _status(warehouse.spark, [("sale_fact", "warehouse", n), *lost])
 
 
-def date_rows(rows: DataFrame, date: DataFrame) -> DataFrame:
+def date_rows(rows: DataFrame, date: DataFrame, *more: Column) -> DataFrame:
     """Replace the receipt timestamp by its date key."""
     keys = date.select("date_id", F.col("date").alias("check_date"))
-    return rows.join(keys, "check_date").select(SALE_FACT.names)
+    return rows.join(keys, "check_date").select(*SALE_FACT.names, *more)
 
 
 def send_cards(warehouse: TableStore, target_name: str, target: TableStore, db_name: str,
                now: datetime | None = None) -> DataFrame:
     """Send the cards of one store to a branch."""
-    rows = slices.cards_of_store(_of_store(warehouse, "card", db_name), warehouse.read("store"), db_name)
+    one = slices.find_store(warehouse.read("store"), db_name).select("store_id")
+    own = warehouse.scan("card").where(F.col("owner") == one.scalar())
+    rows = slices.cards_of_store(own, warehouse.read("store"), db_name)
     return _status(warehouse.spark, _send("card", rows, {target_name: target}, now or _now()))
 
 
+def stored_sales(warehouse: TableStore, db_name: str, start, end) -> DataFrame:
+    """The store's fact rows in the window; only the folders of this store and these months are opened."""
+    return slices.sales_of_store(warehouse.scan("sale_fact"), warehouse.read("store"), _dates(warehouse, start, end), db_name, start, end)
+
+
 def send_checks(warehouse: TableStore, target_name: str, target: TableStore, db_name: str, start, end,
                 now: datetime | None = None, reprice: bool = False) -> DataFrame:
     """Send the receipts of one store to a branch, as headers and lines. With ``reprice`` the branch's
     own price at the receipt date replaces the price that was sent."""
     now = now or _now()
-    dates = _dates(warehouse, start, end)
-    fact = _of_store(warehouse, "sale_fact", db_name, _date_range(dates, start, end))
-    sales = settle(slices.sales_of_store(fact, warehouse.read("store"), dates, db_name, start, end))
+    sales = settle(stored_sales(warehouse, db_name, start, end))
     sent = _send("check", slices.check_headers(sales), {target_name: target}, now)
     lines = slices.check_lines(sales)
     if reprice:  # a line without a price at the target breaks NOT NULL there, so it is set aside and counted
-        heads = target.read("check", target.parts_of("check", lines))
+        heads = target.within("check", target.parts_of("check", target.split("line", lines)))
         lines = pricing.price_lines(lines, heads, target.read("price")).drop("check_date")
     return _status(warehouse.spark, sent + _send("line", lines, {target_name: target}, now))
 
@@ -229,8 +225,7 @@ def find_product_pairs(warehouse: TableStore, showcase: TableStore, start, end)
     """Count the products bought together in the window and replace the showcase table. An empty
     window empties the table."""
     dates = _dates(warehouse, start, end)
-    fact = warehouse.read("sale_fact", within=_date_range(dates, start, end))
-    sales = settle(baskets.dated_sales(fact, dates, start, end).select(*baskets.BASKET, "product_id", "supplier_id"))
+    sales = settle(baskets.dated_sales(warehouse.scan("sale_fact"), dates, start, end).select(*baskets.BASKET, "product_id", "supplier_id"))
     # a stored table has no order, so the report is sorted where it is read
     pairs = baskets.name_pairs(baskets.pair_counts(sales), warehouse.read("product"), warehouse.read("supplier"))
     rows = showcase.replace("product_pairs", pairs)

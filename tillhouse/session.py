@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -63,3 +64,20 @@ def settle(df: DataFrame) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/settled-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def observed(seen: Observation) -> dict:
+    """The metrics of an observed write. None where the optimiser found that there are no rows and left the observation out."""
+    try:
+        return seen.get
+    except Py4JJavaError as error:
+        if "AssertionError" not in str(error.java_exception):
+            raise
+        return {}
+
+
+def settle_counted(df: DataFrame, *metrics: Column) -> tuple[DataFrame, dict]:
+    """``settle`` that computes named aggregates of the rows while it writes them, so that they need not be read again for it."""
+    seen = Observation()
+    settled = settle(df.observe(seen, *metrics))
+    return settled, observed(seen)
