@@ -39,11 +39,12 @@ def test_stages_keep_rows_as_they_are(spark, folder, docs, odd_docs, no_docs, tm
             assert not Counter(map(tuple, after.collect())) - before, name
 
 
-def test_one_of_rows_that_share_an_id(spark, no_docs):
+def test_rows_that_share_an_id_and_nothing_else_stay(spark, no_docs):
     rows = [(1, "a b c d e f g", "en", "s", 1), (1, "quite another text of one id here", "en", "s", 2), (2, "a b c d e f g", "en", "s", 1),
             (3, None, None, None, None), (None, "a b c d e f g", "en", "s", 1), (4, "h i j", "en", "s", 1), (4, "h i j", "en", "s", 1)]
     got = corpus_pipeline.one_of_each_group(spark, spark.createDataFrame(rows, no_docs.schema), "").collect()
-    assert Counter(r.doc_id for r in got) == Counter([1, 3, None, 4])
+    assert {r.text for r in got if r.doc_id == 1} == {"a b c d e f g", "quite another text of one id here"}
+    assert Counter(r.doc_id for r in got) == Counter([1, 1, 3, None, 4])
 
 
 def test_the_rest_works_without_these_folders(tmp_path):

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillhouse.llm.encoding import id_width, word_encoder
+from tillhouse.llm.memory import trimmed
 from tillhouse.session import settle
 
 CAPACITY = 2048
@@ -43,6 +44,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, *, end_id: int, capacity:
     out = pa.schema([("id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                      ("ids", pa.binary()), ("ids_crc32", pa.int64()), ("made_in", pa.int64()), ("made_rank", pa.int64())])
 
+    @trimmed
     def cut(batches):
         encoder, seen = word_encoder(tokenizer_path), defaultdict(int)
         task = TaskContext.get().partitionId()

@@ -24,10 +24,12 @@ from statistics import NormalDist
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillhouse.llm.memory import trimmed
 from tillhouse.llm.text_stats import NAMES, text_stats
 from tillhouse.session import settle
 
@@ -57,21 +59,23 @@ def consistency(share: float, p: int) -> float:
     return share / chi2_cdf(chi2_quantile(share, p), p + 2)
 
 
-def statistics(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """``docs`` without its text, and the integer statistics ``NAMES`` of every whole text."""
-    kept = [c for c in docs.columns if c != text_col]
+def statistics(docs: DataFrame, *, text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """``docs`` without its text, and the integer statistics ``NAMES`` of every whole text. With ``row_col`` the text is a field of
+    that struct, which stays whole."""
+    kept = [c for c in docs.columns if row_col or c != text_col]
     schema = T.StructType([*(docs.schema[c] for c in kept), *(T.StructField(n, T.LongType()) for n in NAMES)])
 
+    @trimmed
     def count(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
-                found = np.array([text_stats(t) for t in batch.column(batch.num_columns - 1).to_pylist()],
-                                 np.int64).reshape(-1, len(NAMES))
+                texts = pc.struct_field(batch.column(row_col), [text_col]) if row_col else batch.column(batch.num_columns - 1)
+                found = np.array([text_stats(t) for t in texts.to_pylist()], np.int64).reshape(-1, len(NAMES))
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:-1], *(pa.array(found[:, k]) for k in range(len(NAMES)))], names=[*kept, *NAMES])
+                    [*batch.columns[:len(kept)], *(pa.array(found[:, k]) for k in range(len(NAMES)))], names=[*kept, *NAMES])
 
-    return docs.select(*kept, F.col(text_col).cast("string")).mapInArrow(count, schema)
+    return docs.select(*kept, *([] if row_col else [F.col(text_col).cast("string")])).mapInArrow(count, schema)
 
 
 def _vectors(stats: DataFrame) -> DataFrame:
@@ -168,8 +172,9 @@ def judge(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     named = docs.select(F.struct(*(docs.columns if whole_rows else [id_col])).alias("row"),
                         F.to_json(F.struct(F.col(lang_col).alias("v"))).alias("lang_key"),
                         F.to_json(F.struct(F.col(source_col).alias("v"))).alias("source_key"),
-                        F.col(text_col).alias("whole text"))
-    rows = _vectors(settle(statistics(named, text_col="whole text")))
+                        *([] if whole_rows else [F.col(text_col).alias("whole text")]))
+    counted = statistics(named, text_col=text_col, row_col="row") if whole_rows else statistics(named, text_col="whole text")
+    rows = _vectors(settle(counted))
     cells = settle(_cells(rows, min_rows))  # one row per language and source
     rows = rows.join(cells, ["lang_key", "source_key"], "left")
     passing = rows.where("NOT base_failed").select(*CELL, *VECTOR)

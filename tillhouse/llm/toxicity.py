@@ -29,10 +29,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillhouse.llm.memory import trimmed
 from tillhouse.session import settle
 
 PREFIXES = (4, 5, 6)
@@ -85,7 +87,7 @@ class Model:
             held = self.known.get(word)
             if held is None:
                 held = tuple(f for f in features(word) if f in self.weights)
-                if len(self.known) >= 400_000:
+                if len(self.known) >= 100_000:
                     self.known.clear()
                 if len(word) <= 48:
                     self.known[word] = held
@@ -98,12 +100,13 @@ class Model:
 
 def _counted(labelled: DataFrame) -> DataFrame:
     """feature, in_toxic, in_other: how many texts of each label have it, counted per task, then summed."""
+    @trimmed
     def count(batches):
         seen = Counter(), Counter()
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 seen[toxic].update(text_features(text))
-                if len(seen[0]) + len(seen[1]) > 500_000:
+                if len(seen[0]) + len(seen[1]) > 200_000:
                     yield _rows(*seen)
                     seen = Counter(), Counter()
         yield _rows(*seen)
@@ -195,6 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     names = choose_features(labelled)
     place = {f: i for i, f in enumerate(names)}
 
+    @trimmed
     def present(batches):
         for batch in batches:
             found = [sorted(place[f] for f in text_features(t) if f in place) for t in batch.column(0).to_pylist()]
@@ -213,20 +217,22 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     return Model({f: float(v) for f, v in zip(names, weights) if v}, bias)
 
 
-def score(docs: DataFrame, model: Model, *, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``docs`` without its text, plus ``score_col``."""
-    kept = [c for c in docs.columns if c not in (text_col, score_col)]
+def score(docs: DataFrame, model: Model, *, text_col: str = "text", score_col: str = "score", row_col: str | None = None) -> DataFrame:
+    """``docs`` without its text, plus ``score_col``. With ``row_col`` the text is a field of that struct, which stays whole."""
+    kept = [c for c in docs.columns if c not in ((score_col,) if row_col else (text_col, score_col))]
     schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField(score_col, T.DoubleType())])
 
+    @trimmed
     def rate(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
-                scores = [model.score(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())],
+                texts = pc.struct_field(batch.column(row_col), [text_col]) if row_col else batch.column(batch.num_columns - 1)
+                scores = [model.score(t) for t in texts.to_pylist()]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], pa.array(scores, pa.float64())],
                                                  names=[*kept, score_col])
 
-    return docs.select(*kept, F.col(text_col).cast("string")).mapInArrow(rate, schema)
+    return docs.select(*kept, *([] if row_col else [F.col(text_col).cast("string")])).mapInArrow(rate, schema)
 
 
 def held_out(id_col: str = "doc_id"):
