@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.functions.columns import in_window
 from tillhouse.operators.slices import in_periods
+from tillhouse.session import settle
 
 BASKET = ["store_id", "check_id"]
 PAIR = ["product_id", "supplier_id", "sub_product_id", "sub_supplier_id"]
@@ -23,13 +24,15 @@ def pair_counts(sales: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
 
     The work for a basket grows with the square of its lines. A basket above ``block_lines`` is kept out of the plain
     self-join; its lines are dealt to blocks by product, and each pair of blocks is one join key, so the basket is spread
-    over (lines / block_lines)^2 keys and each pair still is made exactly once. One plan for all data: where there is
-    no such basket, adaptive execution drops that branch.
+    over (lines / block_lines)^2 keys and each pair still is made exactly once. The sales are computed once; where no basket
+    is large, the plan has no part for such baskets.
     """
-    lines = sales.select(*BASKET, "product_id", "supplier_id")
-    large = (lines.groupBy(*BASKET).agg(F.count("*").alias("_n"))
-             .where(F.col("_n") > block_lines)
-             .select(*BASKET, F.ceil(F.col("_n") / block_lines).cast("int").alias("blocks")))
+    lines = settle(sales.select(*BASKET, "product_id", "supplier_id"))
+    large = settle(lines.groupBy(*BASKET).agg(F.count("*").alias("_n"))
+                   .where(F.col("_n") > block_lines)
+                   .select(*BASKET, F.ceil(F.col("_n") / block_lines).cast("int").alias("blocks")))
+    if large.isEmpty():
+        return _count(_pairs(lines, lines, BASKET))
     cells = BASKET + ["_row", "_column"]
     small = lines.join(large.select(*BASKET), BASKET, "left_anti")
     block = F.pmod(F.xxhash64("product_id"), F.col("blocks")).cast("int")

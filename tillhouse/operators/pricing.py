@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillhouse.operators.heavy import LEAST, heavy_keys
+from tillhouse.session import settle
 
 
 def price_revisions(price: DataFrame) -> DataFrame:
@@ -31,11 +32,14 @@ def asof_price(line: DataFrame, price: DataFrame, least: int = LEAST, sold: Data
     cut into minutes, each starting with the price that held before it, and a minute that still has more is dealt to pieces.
 
     ``sold`` may give the lines' ``product_id`` more cheaply than ``line``; it only serves to find the
-    products that need splitting.
+    products that need splitting, which is done first, by one narrow count.
     """
     line, revisions = line.drop("price"), price_revisions(price.where(F.col("set_date").isNotNull()))
     both = (line if sold is None else sold).select("product_id").unionByName(price.select("product_id"))
-    return _asof_split(line, revisions, heavy_keys(both, ["product_id"], least).select("product_id"), least)
+    heavy = settle(heavy_keys(both, ["product_id"], least).select("product_id"))
+    if heavy.isEmpty():  # the same rows as below, by a plan without the parts for such products
+        return _last_price(line, revisions, ["product_id"])
+    return _asof_split(line, revisions, heavy, least)
 
 
 def _last_price(line: DataFrame, revisions: DataFrame, group: list[str]) -> DataFrame:
@@ -92,7 +96,7 @@ def before_first_price(line: DataFrame, price: DataFrame) -> DataFrame:
     return line.join(first, "product_id", "left").where(~priced).drop("_first")
 
 
-def price_lines(line: DataFrame, check: DataFrame, price: DataFrame, least: int = LEAST) -> DataFrame:
+def price_lines(line: DataFrame, check: DataFrame, price: DataFrame, least: int = LEAST, sold: DataFrame | None = None) -> DataFrame:
     """Lines of a branch priced as of their receipt's date. A line without a receipt stays, unpriced."""
     dated = line.join(check.select("check_id", "check_date"), "check_id", "left")
-    return asof_price(dated, price, least, sold=line)
+    return asof_price(dated, price, least, sold=line if sold is None else sold)

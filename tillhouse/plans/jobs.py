@@ -17,12 +17,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillhouse.functions.columns import apply_defaults, conform, in_window
+from tillhouse.functions.columns import apply_defaults, conform, in_window, with_targets
 from tillhouse.functions.keys import branch_keys, extend_date_dimension, next_keys
 from tillhouse.operators import baskets, pricing, shares, slices
 from tillhouse.operators.quality import mark_broken
 from tillhouse.operators.upsert import merge_into, require_unique, stamp
-from tillhouse.schemas import (BRANCH_TABLES, CARD, CARD_RANGE, CHECK, LINE, MOMENT, PRICE, PRODUCT, SALE_FACT, SHOWCASE_TABLES, SUPPLIER,
+from tillhouse.schemas import (AUDIT, BRANCH_TABLES, CARD, CARD_RANGE, CHECK, LINE, MOMENT, PRICE, PRODUCT, SALE_FACT, SHOWCASE_TABLES, SUPPLIER,
                                WAREHOUSE_TABLES, Table)
 from tillhouse.session import settle, settle_counted
 from tillhouse.sources.branches import fan_in
@@ -59,7 +59,7 @@ def showcase_store(spark: SparkSession, root: str) -> TableStore:
     return TableStore(spark, root, SHOWCASE_TABLES)
 
 
-def _now() -> datetime:
+def moment_of_batch() -> datetime:
     return datetime.now(timezone.utc)
 
 
@@ -94,6 +94,49 @@ def _send(entity: str, rows: DataFrame, targets: dict[str, TableStore], now: dat
     return sent
 
 
+def branch_group(spark: SparkSession, root: str) -> TableStore:
+    """The tables of many branches as one: the branch's name is the first partition column and part of every key, so one write
+    reaches all of them."""
+    ranges = {"check_range": f"check_id div {CHECK_RANGE}"}
+    tables = {n: replace(t, columns=(("db_name", T.StringType(), False), *t.columns), key=("db_name", *t.key)) for n, t in BRANCH_TABLES.items()}
+    return TableStore(spark, root, tables, {n: {"db_name": "db_name", **(ranges if n in ("check", "line") else {})} for n in tables})
+
+
+def member(group: TableStore, name: str) -> TableStore:
+    """One branch of a group; its tables are partitions of the group's."""
+    split = {n: {c: e for c, e in s.items() if c != "db_name"} for n, s in group.split_by.items()}
+    return TableStore(group.spark, group.root, BRANCH_TABLES, {n: s for n, s in split.items() if s}, within=f"db_name={name}")
+
+
+def send_to_all(entity: str, rows: DataFrame, group: TableStore, names: list[str], now: datetime) -> list[tuple]:
+    """Upsert the same rows into many branches by one plan: one join with the keys of all, one write. Each branch's own parents
+    decide on references. Status rows are counted while the rows are marked."""
+    table = group.tables[entity]
+    given = replace(table, columns=tuple(c for c in table.columns if c[0] not in AUDIT))
+    tagged = with_targets(apply_defaults(rows, table.defaults), names, "db_name")
+    parents = {p: group.scan(p).where(F.col("db_name").isin(names)) for p in set(table.references.values())}
+    fails = F.size("broken") > 0
+    marked, n = settle_counted(mark_broken(tagged, given, parents, same=["db_name"]), *(
+        F.count_if(F.col("db_name").eqNullSafe(F.lit(name)) & (fails if bad else ~fails)).alias(f"{name}{bad}") for name in names for bad in ("", ": rejected")))
+    require_unique(marked, list(table.key))
+    if any(n.get(f"{name}: rejected") for name in names):
+        group.reject(entity, conform(marked.where(fails), T.StructType([*table.schema, T.StructField("broken", T.ArrayType(T.StringType()))])))
+    merge_into(group, table, marked.where(~fails).drop("broken"), now, checked=True)
+    return [(entity, f"{name}{bad}", n.get(f"{name}{bad}", 0)) for name in names for bad in ("", ": rejected")
+            if not bad or n.get(f"{name}{bad}")]
+
+
+def publish_to_all(source: TableStore, group: TableStore, names: list[str], start, end, now: datetime | None = None,
+                   change_column: str = "created_at") -> DataFrame:
+    """``publish_products`` to the branches of a group: one write per entity, however many branches."""
+    now = now or moment_of_batch()
+    extract = settle(new_products(source.read("price"), source.read("product"), source.read("supplier"), start, end, change_column))
+    sent = []
+    for entity, rows in (("supplier", shares.supplier_rows), ("product", shares.product_rows), ("price", shares.price_rows)):
+        sent += send_to_all(entity, rows(extract), group, names, now)
+    return _status(source.spark, sent)
+
+
 def _status(spark: SparkSession, sent: list[tuple]) -> DataFrame:
     return spark.createDataFrame(sent, STATUS).distinct()
 
@@ -112,7 +155,7 @@ def insert_lines(branch: TableStore, line: DataFrame, now: datetime | None = Non
     heads = branch.within("check", branch.parts_of("line", branch.split("line", line.where(F.col("check_id").isNotNull()))))
     priced = pricing.price_lines(line, heads, branch.read("price"))
     marked = settle(mark_broken(priced, LINE, {"check": heads}))
-    branch.append("line", stamp(marked.where(F.size("broken") == 0), now or _now()))
+    branch.append("line", stamp(marked.where(F.size("broken") == 0), now or moment_of_batch()))
     return marked.where(F.size("broken") > 0)
 
 
@@ -132,14 +175,14 @@ def insert_rows(branch: TableStore, entity: str, rows: DataFrame, order: str, st
             rows = next_keys(rows, order, key, stored)
     rows = conform(apply_defaults(rows, table.defaults), table.schema)
     good, _, lost = _accept(branch, entity, "branch", rows, table)
-    added = branch.append(entity, stamp(good, now or _now()))
+    added = branch.append(entity, stamp(good, now or moment_of_batch()))
     return _status(branch.spark, [(entity, "branch", added), *lost])
 
 
 def publish_products(source: TableStore, targets: dict[str, TableStore], start, end,
                      now: datetime | None = None, change_column: str = "created_at") -> DataFrame:
     """Send one branch's products, suppliers and prices to other databases, parents first."""
-    now = now or _now()
+    now = now or moment_of_batch()
     extract = settle(new_products(source.read("price"), source.read("product"), source.read("supplier"),
                                   start, end, change_column))
     sent = _send("supplier", shares.supplier_rows(extract), targets, now)
@@ -150,9 +193,9 @@ def publish_products(source: TableStore, targets: dict[str, TableStore], start,
 
 def pull_cards(warehouse: TableStore, branches: dict[str, TableStore], start, end) -> DataFrame:
     """Bring the branches' new cards to the warehouse; their keys lie in ranges of their own."""
-    tagged = fan_in(list(branches), lambda n: new_cards(branches[n].read("card"), start, end))
+    tagged = fan_in(list(branches), lambda n: new_cards(branches[n].read("card"), start, end), keyed=True)
     rows = tagged.where(F.col("card_id").isNotNull()).drop("db_name")
-    return _status(warehouse.spark, _send("card", rows, {"warehouse": warehouse}, _now()))
+    return _status(warehouse.spark, _send("card", rows, {"warehouse": warehouse}, moment_of_batch()))
 
 
 def pull_checks(warehouse: TableStore, branches: dict[str, TableStore], start, end) -> DataFrame:
@@ -165,7 +208,7 @@ def pull_checks(warehouse: TableStore, branches: dict[str, TableStore], start, e
         line = branch.scan("line").join(F.broadcast(ranges), "check_range", "left_semi")
         return new_checks(check, line, branch.read("product"), start, end)
 
-    return load_checks(warehouse, fan_in(list(branches), extract))
+    return load_checks(warehouse, fan_in(list(branches), extract, keyed=True))
 
 
 def load_checks(warehouse: TableStore, tagged: DataFrame) -> DataFrame:
@@ -199,7 +242,7 @@ def send_cards(warehouse: TableStore, target_name: str, target: TableStore, db_n
     one = slices.find_store(warehouse.read("store"), db_name).select("store_id")
     own = warehouse.scan("card").where(F.col("owner") == one.scalar())
     rows = slices.cards_of_store(own, warehouse.read("store"), db_name)
-    return _status(warehouse.spark, _send("card", rows, {target_name: target}, now or _now()))
+    return _status(warehouse.spark, _send("card", rows, {target_name: target}, now or moment_of_batch()))
 
 
 def stored_sales(warehouse: TableStore, db_name: str, start, end) -> DataFrame:
@@ -211,7 +254,7 @@ def send_checks(warehouse: TableStore, target_name: str, target: TableStore, db_
                 now: datetime | None = None, reprice: bool = False) -> DataFrame:
     """Send the receipts of one store to a branch, as headers and lines. With ``reprice`` the branch's
     own price at the receipt date replaces the price that was sent."""
-    now = now or _now()
+    now = now or moment_of_batch()
     sales = settle(stored_sales(warehouse, db_name, start, end))
     sent = _send("check", slices.check_headers(sales), {target_name: target}, now)
     lines = slices.check_lines(sales)
@@ -225,7 +268,7 @@ def find_product_pairs(warehouse: TableStore, showcase: TableStore, start, end)
     """Count the products bought together in the window and replace the showcase table. An empty
     window empties the table."""
     dates = _dates(warehouse, start, end)
-    sales = settle(baskets.dated_sales(warehouse.scan("sale_fact"), dates, start, end).select(*baskets.BASKET, "product_id", "supplier_id"))
+    sales = baskets.dated_sales(warehouse.scan("sale_fact"), dates, start, end)
     # a stored table has no order, so the report is sorted where it is read
     pairs = baskets.name_pairs(baskets.pair_counts(sales), warehouse.read("product"), warehouse.read("supplier"))
     rows = showcase.replace("product_pairs", pairs)

@@ -137,11 +137,10 @@ _PARTS = """CAST(year({c}) AS INTEGER) AS year, CAST(month({c}) AS INTEGER) AS m
     CAST(round_even(second({c}) + (microsecond({c}) % 1000000) / 1e6, 0) AS INTEGER) AS second"""
 _TOTAL = "(SELECT count(*) FROM {t})"
 
-# Receipts of two stores in the window, with keys for their dates in time order.
+# Receipts of all stores in the window, with keys for their dates in time order.
 _PULLED = f"""
     SELECT *, dense_rank() OVER (ORDER BY check_date) AS date_id FROM lines_of_checks
-    WHERE check_date {WINDOW} AND supplier_id IN (SELECT supplier_id FROM maker)
-          AND store_id IN (SELECT store_id FROM store WHERE db_name IN ('ASIA', 'EUROPE'))"""
+    WHERE check_date {WINDOW} AND supplier_id IN (SELECT supplier_id FROM maker)"""
 
 
 def _rules(required: list[str], key: list[str]) -> str:
@@ -319,6 +318,8 @@ _BODIES = {
     "job_pull_checks": f"""
         SELECT product_id, card_id, supplier_id, check_id, payed, payment_form, store_id, date_id, price, cnt
         FROM ({_PULLED}) AS pulled""",
+    "slice_stored_lines": f"""
+        SELECT product_id, check_id, price, cnt FROM ({_PULLED}) AS pulled JOIN store USING (store_id) WHERE db_name = 'EUROPE'""",
     "job_send_checks": f"""
         SELECT s.product_id, s.check_id, p.cost_sale AS price, s.cnt,
                CASE WHEN p.cost_sale IS NULL THEN 'not null: price' ELSE '' END AS broken

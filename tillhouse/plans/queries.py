@@ -123,12 +123,12 @@ def _branch_checks(r: Retail, name: str) -> DataFrame:
 
 @query
 def multi_source_cards(r: Retail) -> DataFrame:
-    return fan_in(BRANCHES, lambda n: _branch_cards(r, n)).where(F.col("card_id").isNotNull())
+    return fan_in(BRANCHES, lambda n: _branch_cards(r, n), keyed=True).where(F.col("card_id").isNotNull())
 
 
 @query
 def multi_source_checks(r: Retail) -> DataFrame:
-    return fan_in(BRANCHES, lambda n: _branch_checks(r, n))
+    return fan_in(BRANCHES, lambda n: _branch_checks(r, n), keyed=True)
 
 
 @query
@@ -291,15 +291,18 @@ def slice_check_lines(r: Retail) -> DataFrame:
 
 @query
 def fanout_status(r: Retail) -> DataFrame:
-    return shares.status("card", new_cards(r.card, START, END), BRANCHES)
+    """Cards sent to all branches by one write, twice, and what each branch then holds."""
+    group = jobs.branch_group(r.spark, _root(r))
+    for _ in range(2):
+        jobs.send_to_all("card", new_cards(r.card, START, END), group, BRANCHES, jobs.moment_of_batch())
+    held = group.scan("card").groupBy(F.col("db_name").alias("target")).agg(F.count("*").alias("rows"))
+    return held.select(F.lit("card").alias("entity"), "target", "rows")
 
 
 @query
 def publish_products_status(r: Retail) -> DataFrame:
-    extract, targets = _products(r), ["AMERICA", "ASIA"]
-    return (shares.status("supplier", shares.supplier_rows(extract), targets)
-            .unionByName(shares.status("product", shares.product_rows(extract), targets))
-            .unionByName(shares.status("price", shares.price_rows(extract), targets)).distinct())
+    """Status lines of sending products to two branches of a group by one write per entity."""
+    return jobs.publish_to_all(_source(r), jobs.branch_group(r.spark, _root(r)), ["AMERICA", "ASIA"], START, END)
 
 
 @query
@@ -312,14 +315,16 @@ def explode_targets(r: Retail) -> DataFrame:
 @query
 def asof_price(r: Retail) -> DataFrame:
     dated = r.line.select("check_id", "product_id", "cnt")
-    return pricing.price_lines(dated, r.check, r.price)
+    sold = r.given("lineitem").select(F.col("l_partkey").alias("product_id"))
+    return pricing.price_lines(dated, r.check, r.price, sold=sold)
 
 
 @query
 def asof_price_window(r: Retail) -> DataFrame:
     """The same prices, for lines that already carry their date."""
     heads = r.check.select("check_id", "check_date")
-    return pricing.asof_price(r.line.select("check_id", "product_id", "cnt").join(heads, "check_id"), r.price)
+    sold = r.given("lineitem").select(F.col("l_partkey").alias("product_id"))  # at least as many rows as lines
+    return pricing.asof_price(r.line.select("check_id", "product_id", "cnt").join(heads, "check_id"), r.price, sold=sold)
 
 
 @query
@@ -441,9 +446,9 @@ def _warehouse(r: Retail, card: DataFrame | None = None, supplier: DataFrame | N
     """A warehouse that knows all stores and products, and the given or all cards and suppliers."""
     store = jobs.warehouse_store(r.spark, f"{_root(r)}/warehouse")
     store.append("store", r.store.withColumns({"name": F.col("db_name"), "address": F.col("db_name")}))
-    store.append("product", r.product.select("product_id", "name", "vendor_code", "supplier_id"))
-    store.append("card", (r.card if card is None else card).select(CARD.names))
-    store.append("supplier", (r.supplier if supplier is None else supplier).select("supplier_id", "name", "inn"))
+    store.append("product", r.product.select("product_id", "name", "vendor_code", "supplier_id"), checked=True)
+    store.append("card", (r.card if card is None else card).select(CARD.names), checked=True)
+    store.append("supplier", (r.supplier if supplier is None else supplier).select("supplier_id", "name", "inn"), checked=True)
     return store
 
 
@@ -452,16 +457,16 @@ def _branch(r: Retail, name: str) -> TableStore:
     branch = jobs.branch_store(r.spark, f"{_root(r)}/branch")
     loaded = F.lit("1995-01-01 00:00:00").cast("timestamp")
     own = r.check.join(r.store.where(F.col("db_name") == name).select("store_id"), "store_id").select(CHECK.names)
-    branch.append("check", U.stamp(own, loaded))
-    branch.append("line", U.stamp(r.line.join(own.select("check_id"), "check_id").select(LINE.names), loaded))
-    branch.append("product", U.stamp(r.product.select("product_id", "name", "vendor_code", "supplier_id"), loaded))
+    branch.append("check", U.stamp(own, loaded), checked=True)
+    branch.append("line", U.stamp(r.line.join(own.select("check_id"), "check_id").select(LINE.names), loaded), checked=True)
+    branch.append("product", U.stamp(r.product.select("product_id", "name", "vendor_code", "supplier_id"), loaded), checked=True)
     return branch
 
 
 def _pulled(r: Retail) -> TableStore:
-    """A warehouse after the receipts of two stores were pulled twice."""
+    """A warehouse after the receipts of all stores were pulled twice."""
     warehouse = _warehouse(r)
-    branches = {name: _branch(r, name) for name in ("ASIA", "EUROPE")}
+    branches = {name: _branch(r, name) for name in BRANCHES}
     for _ in range(2):
         jobs.pull_checks(warehouse, branches, START, END)
     return warehouse
@@ -488,15 +493,27 @@ def job_send_checks(r: Retail) -> DataFrame:
         target.rejected("line").select(*names, F.array_join("broken", ", ").alias("broken")))
 
 
-@query
-def job_publish_products(r: Retail) -> DataFrame:
-    """Status lines of the job, and what both targets hold afterwards."""
+def _source(r: Retail) -> TableStore:
+    """A branch that has all products."""
     source = jobs.branch_store(r.spark, f"{_root(r)}/source")
     moment = F.lit("1995-01-01 00:00:00").cast("timestamp")
-    source.append("supplier", U.stamp(r.supplier.select("supplier_id", "name", "inn"), moment))
+    source.append("supplier", U.stamp(r.supplier.select("supplier_id", "name", "inn"), moment), checked=True)
     products = r.product.select("product_id", "name", "vendor_code", "supplier_id", "created_at")
-    source.append("product", products.withColumn("modified_at", F.col("created_at")))
-    source.append("price", U.stamp(r.price, moment))
+    source.append("product", products.withColumn("modified_at", F.col("created_at")), checked=True)
+    source.append("price", U.stamp(r.price, moment), checked=True)
+    return source
+
+
+@query
+def slice_stored_lines(r: Retail) -> DataFrame:
+    """Receipt lines of one store from a stored fact: only the folders of its store and of the window's months are opened."""
+    return slices.check_lines(jobs.stored_sales(_pulled(r), "EUROPE", START, END))
+
+
+@query
+def job_publish_products(r: Retail) -> DataFrame:
+    """Status lines of the job, and what both targets hold afterwards."""
+    source = _source(r)
     targets = {"branch": jobs.branch_store(r.spark, f"{_root(r)}/branch"),
                "warehouse": jobs.warehouse_store(r.spark, f"{_root(r)}/warehouse")}
     status = jobs.publish_products(source, targets, START, END)

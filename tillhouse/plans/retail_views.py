@@ -12,6 +12,20 @@ from tillhouse.functions.columns import moment
 from tillhouse.schemas import CARD_RANGE
 
 
+# Columns of the given tables; nothing is inferred from the files.
+GIVEN = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
+
+
 def _days_after(start: str, days: Column) -> Column:
     return moment(start) + F.make_dt_interval(days.cast("int"))
 
@@ -22,7 +36,7 @@ class Retail:
     folder: str
 
     def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(GIVEN[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def store(self) -> DataFrame:
