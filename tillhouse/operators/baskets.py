@@ -16,7 +16,7 @@ PAIR = ["product_id", "supplier_id", "sub_product_id", "sub_supplier_id"]
 BLOCK_LINES = 2_000
 
 
-def pair_counts(sales: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
+def pair_counts(sales: DataFrame, block_lines: int = BLOCK_LINES, stored: bool = False) -> DataFrame:
     """How many baskets hold both products, for each product > sub-product and their suppliers.
 
     ``sales`` has one row per basket and product. Pairs are counted in the task that makes them,
@@ -25,9 +25,11 @@ def pair_counts(sales: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
     The work for a basket grows with the square of its lines. A basket above ``block_lines`` is kept out of the plain
     self-join; its lines are dealt to blocks by product, and each pair of blocks is one join key, so the basket is spread
     over (lines / block_lines)^2 keys and each pair still is made exactly once. The sales are computed once; where no basket
-    is large, the plan has no part for such baskets.
+    is large, the plan has no part for such baskets. ``stored`` says that ``sales`` are stored rows; if they are dealt by basket, the pairs are
+    made where they lie.
     """
-    lines = settle(sales.select(*BASKET, "product_id", "supplier_id"))
+    lines = sales.select(*BASKET, "product_id", "supplier_id")
+    lines = lines if stored else settle(lines)
     large = settle(lines.groupBy(*BASKET).agg(F.count("*").alias("_n"))
                    .where(F.col("_n") > block_lines)
                    .select(*BASKET, F.ceil(F.col("_n") / block_lines).cast("int").alias("blocks")))
@@ -59,6 +61,21 @@ def _count(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy(*PAIR).agg(F.count("product_id").alias("amount"))
 
 
+def pair_changes(before: DataFrame, after: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
+    """By how much the counts change when the lines ``before`` of some baskets become ``after``: pairs that come count up, pairs that go count
+    down. Both hold whole baskets, and only those that changed, so the work does not grow with the baskets that stay as they are."""
+    gone = pair_counts(before, block_lines).withColumn("amount", -F.col("amount"))
+    both = pair_counts(after, block_lines).unionByName(gone)
+    return both.groupBy(*PAIR).agg(F.sum("amount").alias("amount")).where("amount <> 0")
+
+
+def merge_counts(counts: DataFrame, changes: DataFrame) -> DataFrame:
+    """``counts`` after ``changes``; pairs that no basket holds any more are gone. A count below zero is an error: the changes are not of these counts."""
+    merged = counts.select(*PAIR, "amount").unionByName(changes.select(*PAIR, "amount")).groupBy(*PAIR).agg(F.sum("amount").alias("amount"))
+    fits = F.when(F.col("amount") < 0, F.raise_error(F.lit("a pair is counted less than never")).cast("boolean")).otherwise(F.col("amount") > 0)
+    return merged.where(fits)
+
+
 def dated_sales(sale_fact: DataFrame, date: DataFrame, start, end) -> DataFrame:
     """Fact rows whose date is in the window, before anything else is done with them."""
     inside = date.where(in_window("date", start, end))

@@ -30,7 +30,16 @@ DRAWS = {
     "first": (1_583_458_089, 47),
     "step": (784_588_716, 53),
     "count": (1_226_874_159, 59),
+    "round1": (1_343_714_438, 61),
+    "round2": (950_706_376, 67),
+    "round3": (1_176_845_333, 71),
+    "round4": (630_360_016, 73),
 }
+# Spreads the halves of a permuted number before a draw.
+SPREAD = 65_537
+# A permutation of a rectangle walks on while it is outside of the wanted range: less than a quarter of the places, so this many steps never suffice
+# with odds below 10^-38.
+MOST_WALKS = 64
 
 
 def _prime() -> Column:
@@ -56,6 +65,37 @@ def draw(kind: str, size, n: Column | str = "id") -> Column:
     return F.pmod(F.pmod(u * u, _prime()), size.cast("long"))
 
 
+def _let(value: Column, build) -> Column:
+    """``build`` of a value that is computed once."""
+    return F.transform(F.array(value), build)[0]
+
+
+def shuffled(n: Column | str, total: Column, key: Column | str) -> Column:
+    """The ``n``-th number (from 0) of 0..total-1 in an order of its own for each ``key``: different n give different numbers, so the first k of an
+    order are k draws without replacement, each computed alone.
+
+    A Feistel network of four rounds permutes a rectangle of at least ``total`` places; a number outside is permuted again until it falls inside.
+    """
+    n, key = (F.col(c) if isinstance(c, str) else c for c in (n, key))
+    width = F.ceil(F.sqrt(total.cast("double"))).cast("long")
+    height = F.floor((total + width - 1) / width).cast("long")
+
+    def mixed(half: Column, turn: int, size: Column) -> Column:
+        return draw(f"round{turn}", size, half * SPREAD + key)
+
+    def once(x: Column) -> Column:
+        def rows(left1):
+            def columns(right1):
+                def again(left2):
+                    return F.pmod(right1 + mixed(left2, 4, height), height) * width + left2
+                return _let(F.pmod(left1 + mixed(right1, 3, width), width), again)
+            return _let(F.pmod(F.call_function("div", x, width) + mixed(left1, 2, height), height), columns)
+        return _let(F.pmod(F.pmod(x, width) + mixed(F.call_function("div", x, width), 1, width), width), rows)
+
+    inside = F.aggregate(F.sequence(F.lit(1), F.lit(MOST_WALKS)), once(n.cast("long")), lambda x, _: F.when(x < total, x).otherwise(once(x)))
+    return F.when(inside < total, inside).otherwise(F.raise_error(F.lit("no number in range")).cast("long"))
+
+
 def _code(prefix: str, value: Column) -> Column:
     """Fixed-width text, wide enough for any number below 10^18."""
     return F.concat(F.lit(prefix), F.lpad(value.cast("string"), 18, "0"))
@@ -118,19 +158,11 @@ def prices(product_ids: DataFrame, revision_ids: DataFrame, product_total) -> Da
 
 
 def baskets(check_ids: DataFrame, product_total, most_products: int = 5, most_count: int = 5) -> DataFrame:
-    """1..``most_products`` different products per check.
-
-    The products of a check lie ``step`` apart from a drawn start; the steps together are shorter
-    than one round of the product numbers, so no product comes twice.
-    """
+    """1..``most_products`` different products per check, drawn uniformly without replacement."""
     total = product_total if isinstance(product_total, Column) else F.lit(product_total)
     total = total.cast("long")
-    wide = F.greatest(F.lit(1).cast("long"), F.floor((total - 1) / most_products))
     size = F.least(draw("size", most_products) + 1, total)
-    listed = check_ids.select(
-        F.col("id").alias("check_id"), draw("first", total).alias("_first"), (draw("step", wide) + 1).alias("_step"),
-        total.alias("_total"), F.explode(F.sequence(F.lit(0).cast("long"), size - 1)).alias("_nth"))
+    listed = check_ids.select(F.col("id").alias("check_id"), total.alias("_total"), F.explode(F.sequence(F.lit(0).cast("long"), size - 1)).alias("_nth"))
     counted = draw("count", most_count, F.col("check_id") * most_products + F.col("_nth")) + 1
-    return listed.select(
-        "check_id", F.pmod(F.col("_first") + F.col("_nth") * F.col("_step"), F.col("_total")).alias("product_id"),
-        F.lit(0.0).alias("price"), counted.cast("double").alias("cnt"))
+    return listed.select("check_id", shuffled("_nth", F.col("_total"), "check_id").alias("product_id"),
+                         F.lit(0.0).alias("price"), counted.cast("double").alias("cnt"))

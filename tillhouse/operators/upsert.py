@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.schemas import AUDIT, Table
+from tillhouse.session import settle
 from tillhouse.sources.tables import DuplicateKeys, TableStore
 
 
@@ -61,6 +62,19 @@ def stamp(df: DataFrame, now: Column | datetime) -> DataFrame:
     return df.withColumns({name: now for name in AUDIT})
 
 
+def remove_from(store: TableStore, table: Table, keys: DataFrame) -> int:
+    """Take the rows with these keys out of a stored table; only partitions that hold one are written again. Returns the number of rows
+    that were found. The keys are read several times: pass stored rows."""
+    name, key = table.name, list(table.key)
+    wanted = keys.select(*key).distinct()
+    found = settle(store.scan(name).join(wanted, key, "left_semi").select(*dict.fromkeys([*key, *store.split_columns(name)])))
+    parts = store.parts_of(name, found)
+    n = found.count()
+    if n:
+        store.replace_parts(name, store.within(name, parts).join(wanted, key, "left_anti"), parts)
+    return n
+
+
 def merge_into(store: TableStore, table: Table, source: DataFrame, now: datetime | None = None,
                checked: bool = False) -> int:
     """Upsert ``source`` into a stored table and return the number of rows that the written partitions hold.

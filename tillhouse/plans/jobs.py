@@ -11,7 +11,7 @@ Sending and pulling are upserts or whole replacements, so such a job that failed
 from __future__ import annotations
 
 from dataclasses import replace
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,16 +21,18 @@ from tillhouse.functions.columns import apply_defaults, conform, in_window, with
 from tillhouse.functions.keys import branch_keys, extend_date_dimension, next_keys
 from tillhouse.operators import baskets, pricing, shares, slices
 from tillhouse.operators.quality import mark_broken
-from tillhouse.operators.upsert import merge_into, require_unique, stamp
-from tillhouse.schemas import (AUDIT, BRANCH_TABLES, CARD, CARD_RANGE, CHECK, LINE, MOMENT, PRICE, PRODUCT, SALE_FACT, SHOWCASE_TABLES, SUPPLIER,
+from tillhouse.operators.upsert import merge_into, remove_from, require_unique, stamp
+from tillhouse.schemas import (AUDIT, BRANCH_TABLES, CARD, CARD_RANGE, CHECK, LINE, MOMENT, PAIR_COUNTS, PRICE, PRODUCT, PULLED, SALE_FACT, SHOWCASE_TABLES, SUPPLIER,
                                WAREHOUSE_TABLES, Table)
 from tillhouse.session import settle, settle_counted
 from tillhouse.sources.branches import fan_in
-from tillhouse.sources.extracts import new_cards, new_checks, new_products
+from tillhouse.sources.extracts import changed_checks, new_cards, new_checks, new_products
 from tillhouse.sources.tables import TableStore
 
 # Receipts per store and partition of the fact table.
 CHECK_RANGE = 10_000_000
+# Products per partition of the stored pair counts.
+PRODUCT_RANGE = 1_000
 STATUS = "entity string, target string, rows long"
 WITHOUT_AUDIT = {t.name: t for t in (CARD, CHECK, SUPPLIER, PRODUCT, PRICE, LINE)}  # stamps are set at the write
 
@@ -56,7 +58,8 @@ def period_of(c: str) -> Column:
 
 
 def showcase_store(spark: SparkSession, root: str) -> TableStore:
-    return TableStore(spark, root, SHOWCASE_TABLES)
+    """Pair counts are split by ranges of product numbers, so that new receipts change the ranges of their products only."""
+    return TableStore(spark, root, SHOWCASE_TABLES, {"pair_counts": {"product_range": f"product_id div {PRODUCT_RANGE}"}})
 
 
 def moment_of_batch() -> datetime:
@@ -211,6 +214,30 @@ def pull_checks(warehouse: TableStore, branches: dict[str, TableStore], start, e
     return load_checks(warehouse, fan_in(list(branches), extract, keyed=True))
 
 
+def pull_changes(warehouse: TableStore, branches: dict[str, TableStore], overlap: timedelta = timedelta(hours=1)) -> DataFrame:
+    """Bring what the branches stamped since the last pull to the fact table, without a window: the latest stamp that was pulled is kept per
+    branch. A row may become visible after a later stamped one, so each pull goes back by ``overlap``; rows from before the mark that the fact
+    lacked are counted as late. The mark moves only after the load, so a pull that failed is simply run again."""
+    entity = "sale_fact"
+    marks = {r["db_name"]: r["mark"] for r in warehouse.read("pulled").where(F.col("entity") == entity).collect()}  # a row per branch
+
+    def extract(name: str) -> DataFrame:
+        branch, mark = branches[name], marks.get(name)
+        rows = changed_checks(branch.scan("check"), branch.scan("line"), branch.read("product"), mark and mark - overlap)
+        return rows.withColumn("early", F.col("stamp") <= F.lit(mark) if mark else F.lit(False))
+
+    tagged = settle(fan_in(list(branches), extract, keyed=True))
+    known = warehouse.read("store").select("store_id", "db_name")
+    early = tagged.where("early").select("db_name", "check_id", "product_id").join(known, "db_name")
+    late = early.join(warehouse.read("sale_fact"), list(SALE_FACT.key), "left_anti").count()
+    status = load_checks(warehouse, tagged.drop("stamp", "early"))
+    reached = settle(tagged.groupBy("db_name").agg(F.max("stamp").alias("mark")).withColumn("entity", F.lit(entity)))
+    newer = [(r["db_name"], entity, max(r["mark"], marks.get(r["db_name"], r["mark"]))) for r in reached.collect()]  # a row per branch
+    if newer:
+        merge_into(warehouse, PULLED, warehouse.spark.createDataFrame(newer, PULLED.schema))
+    return status.unionByName(_status(warehouse.spark, [(entity, "warehouse: late", late)]))
+
+
 def load_checks(warehouse: TableStore, tagged: DataFrame) -> DataFrame:
     """Upsert tagged receipt lines into the fact; new timestamps get date keys first. Rows of a
     source that is not in the store table are left out."""
@@ -273,3 +300,25 @@ def find_product_pairs(warehouse: TableStore, showcase: TableStore, start, end)
     pairs = baskets.name_pairs(baskets.pair_counts(sales), warehouse.read("product"), warehouse.read("supplier"))
     rows = showcase.replace("product_pairs", pairs)
     return _status(warehouse.spark, [("product_pairs", "showcase", rows)])
+
+
+def load_receipts(warehouse: TableStore, showcase: TableStore, tagged: DataFrame) -> DataFrame:
+    """Load whole receipts and keep the stored pair counts of all facts right without counting anew. A line that the fact has and the load of its
+    receipt lacks is taken out. Only the pairs of the loaded receipts are made: those they had before count down, those they have now count up."""
+    known = warehouse.read("store").select("store_id", "db_name")
+    given = settle(tagged.join(known, "db_name"))
+    receipts = settle(given.select(*baskets.BASKET).distinct())
+
+    def lines() -> DataFrame:
+        return settle(warehouse.read("sale_fact").join(receipts, baskets.BASKET, "left_semi"))
+
+    before = lines()
+    status = load_checks(warehouse, given.drop("store_id"))
+    gone = settle(before.select(*SALE_FACT.key).join(given, list(SALE_FACT.key), "left_anti"))
+    removed = remove_from(warehouse, SALE_FACT, gone)
+    changes = settle(showcase.split("pair_counts", baskets.pair_changes(before, lines())))
+    parts = showcase.parts_of("pair_counts", changes)
+    if parts:
+        held = showcase.within("pair_counts", parts)
+        showcase.replace_parts("pair_counts", baskets.merge_counts(held, changes), parts)
+    return status.unionByName(_status(warehouse.spark, [("sale_fact", "warehouse: removed", removed)]))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from tillhouse.operators.generate import DRAWS, PRIME
+from tillhouse.operators.generate import DRAWS, PRIME, SPREAD
 
 WINDOW = "BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1998-01-01'"
 
@@ -109,6 +109,17 @@ def _draw(kind: str, size: str, n: str) -> str:
     return f"((({u}) * ({u})) % {PRIME} % ({size}))"
 
 
+def _shuffled(x: str) -> str:
+    """One pass of the four rounds over a rectangle of width x height places."""
+    def mixed(half: str, turn: int, size: str) -> str:
+        return _draw(f"round{turn}", size, f"(({half}) * {SPREAD} + check_id)")
+
+    left = f"(({x}) % width + {mixed(f'({x}) // width', 1, 'width')}) % width"
+    right = f"(({x}) // width + {mixed(left, 2, 'height')}) % height"
+    left2 = f"(({left}) + {mixed(right, 3, 'width')}) % width"
+    return f"((({right}) + {mixed(left2, 4, 'height')}) % height) * width + {left2}"
+
+
 def _code(prefix: str, kind: str, n: str, size: str | None = None) -> str:
     a, b = DRAWS[kind]
     value = _draw(kind, size, n) if size else f"({n} - {n} % {PRIME} + (({n} % {PRIME}) * {a} + {b}) % {PRIME})"
@@ -166,6 +177,12 @@ _BODIES = {
         JOIN maker s2 ON s2.supplier_id = c.sub_supplier_id""",
     "pair_counts": "SELECT * FROM pairs",
     "pair_counts_in_blocks": "SELECT * FROM pairs",
+    "incremental_pairs": """
+        SELECT * FROM (WITH final AS (SELECT * FROM sale WHERE check_date >= TIMESTAMP '1997-01-01' OR store_id NOT IN (1, 2) OR cnt <= 40)
+        SELECT m.product_id, m.supplier_id, s.product_id AS sub_product_id, s.supplier_id AS sub_supplier_id, count(*) AS amount
+        FROM final m JOIN final s ON m.check_id = s.check_id AND m.store_id = s.store_id AND m.product_id > s.product_id
+        GROUP BY ALL) AS every""",
+    "bucketed_pairs": "SELECT * FROM pairs",
     "basket_string": """
         SELECT store_id, check_id, string_agg(CAST(product_id AS VARCHAR), ', ' ORDER BY product_id) AS products
         FROM sale GROUP BY store_id, check_id""",
@@ -173,6 +190,13 @@ _BODIES = {
     "extract_products": "SELECT * FROM products",
     "extract_cards": f"SELECT {_CARD} FROM cards",
     "extract_checks": f"SELECT {_LINES} FROM lines_of_checks WHERE check_date {WINDOW}",
+    "sql_new_products": "SELECT * FROM products",
+    "sql_new_cards": f"SELECT {_CARD} FROM cards",
+    "sql_checks": f"SELECT {_LINES} FROM lines_of_checks WHERE check_date {WINDOW}",
+    "sql_quoted": f"""
+        SELECT card_id, {_literal('number')} AS number, {_literal('middle_name')} AS middle_name,
+               {_literal('last_name')} AS last_name, {_literal('birth_date')} AS birth_date FROM card""",
+    "sql_lateral_checks": "SELECT card_id, check_id, check_date FROM chk",
     "window_inclusive": f"SELECT check_id, check_date FROM chk WHERE check_date {WINDOW}",
     "distinct_supplier": "SELECT DISTINCT supplier_id, supplier_name AS name, inn FROM products",
     "distinct_product": "SELECT DISTINCT product_id, name, vendor_code, supplier_id FROM products",
@@ -276,6 +300,12 @@ _BODIES = {
     "dq_pk_dups": """
         SELECT l_orderkey, l_partkey, count(*) AS copies FROM lineitem GROUP BY l_orderkey, l_partkey
         HAVING count(*) > 1""",
+    "dq_bitmap_keys": """
+        SELECT * FROM (WITH t AS (SELECT check_id FROM chk UNION ALL SELECT check_id FROM chk WHERE store_id = 1)
+        SELECT count(*) AS rows, count(DISTINCT check_id) AS keys, count(*) - count(DISTINCT check_id) AS surplus FROM t) AS every""",
+    "dq_bitmap_rules": """
+        SELECT 'unique key' AS rule, count(*) - count(DISTINCT card_id) AS violations FROM card WHERE balance >= 0
+        UNION ALL SELECT 'reference', count(DISTINCT card_id) FROM chk WHERE card_id NOT IN (SELECT card_id FROM card WHERE balance >= 0)""",
     "dq_fk_orphans": """
         SELECT check_id, card_id FROM chk WHERE card_id NOT IN (SELECT card_id FROM card WHERE balance >= 0)""",
     "dq_nulls": """
@@ -318,6 +348,9 @@ _BODIES = {
     "job_pull_checks": f"""
         SELECT product_id, card_id, supplier_id, check_id, payed, payment_form, store_id, date_id, price, cnt
         FROM ({_PULLED}) AS pulled""",
+    "job_pull_changes": """
+        SELECT product_id, card_id, supplier_id, check_id, payed, payment_form, store_id, check_date, price, cnt
+        FROM lines_of_checks WHERE supplier_id IN (SELECT supplier_id FROM maker)""",
     "slice_stored_lines": f"""
         SELECT product_id, check_id, price, cnt FROM ({_PULLED}) AS pulled JOIN store USING (store_id) WHERE db_name = 'EUROPE'""",
     "job_send_checks": f"""
@@ -375,12 +408,15 @@ _BODIES = {
                {_cost('o_orderkey')}, TIMESTAMP '2017-01-01' + to_days({_days(_draw('day', '365', 'o_orderkey'))})
         FROM orders""",
     "gen_baskets": f"""
-        SELECT check_id, (first + nth * step) % total AS product_id, CAST(0 AS DOUBLE) AS price,
-               CAST({_draw('count', '5', 'check_id * 5 + nth')} + 1 AS DOUBLE) AS cnt
-        FROM (SELECT o_orderkey AS check_id, total, {_draw('first', 'total', 'o_orderkey')} AS first,
-                     {_draw('step', 'greatest(1, (total - 1) // 5)', 'o_orderkey')} + 1 AS step,
-                     unnest(range(least({_draw('size', '5', 'o_orderkey')} + 1, total))) AS nth
-              FROM orders, (SELECT count(*) AS total FROM part) AS parts) AS drawn""",
+        SELECT * FROM (WITH RECURSIVE sized AS (
+            SELECT total, CAST(ceil(sqrt(total)) AS BIGINT) AS width, (total + CAST(ceil(sqrt(total)) AS BIGINT) - 1)
+                   // CAST(ceil(sqrt(total)) AS BIGINT) AS height FROM (SELECT count(*) AS total FROM part) AS parts),
+        drawn AS (SELECT o_orderkey AS check_id, sized.*, unnest(range(least({_draw('size', '5', 'o_orderkey')} + 1, total))) AS nth
+                  FROM orders, sized),
+        walk AS (SELECT check_id, nth, total, width, height, {_shuffled('nth')} AS x FROM drawn
+                 UNION ALL SELECT check_id, nth, total, width, height, {_shuffled('x')} FROM walk WHERE x >= total)
+        SELECT check_id, x AS product_id, CAST(0 AS DOUBLE) AS price,
+               CAST({_draw('count', '5', 'check_id * 5 + nth')} + 1 AS DOUBLE) AS cnt FROM walk WHERE x < total) AS every""",
 }
 
 ORACLES = {name: over_views(body) for name, body in _BODIES.items()}

@@ -5,20 +5,21 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillhouse.functions import columns as C
 from tillhouse.functions import keys as K
-from tillhouse.operators import baskets, generate, pricing, quality, shares, slices
+from tillhouse.operators import baskets, bitmaps, generate, pricing, quality, shares, slices
 from tillhouse.operators import upsert as U
-from tillhouse.plans import jobs
+from tillhouse.plans import jobs, sql_functions
 from tillhouse.plans.jobs import date_rows
 from tillhouse.plans.retail_views import Retail
 from tillhouse.schemas import CARD, CHECK, CHECK_EXTRACT, DOUBLE, LINE, LONG, SALE_FACT, TEXT, Table
 from tillhouse.session import allow_skew_splits, ensure_checkpoint_dir, settle
 from tillhouse.sources.branches import fan_in, scan
+from tillhouse.sources.buckets import write_bucketed
 from tillhouse.sources.extracts import new_cards, new_checks, new_products
 from tillhouse.sources.tables import TableStore
 
@@ -61,6 +62,29 @@ def basket_string(r: Retail) -> DataFrame:
     return baskets.basket_text(r.sales())
 
 
+@query
+def incremental_pairs(r: Retail) -> DataFrame:
+    """Counts kept right over three loads without counting anew: the receipts before 1997; the receipts of two stores once more, without their lines
+    of more than 40 pieces; the receipts from 1997 on."""
+    sales = settle(r.sales().select(*baskets.BASKET, "product_id", "supplier_id", "cnt", "check_date"))
+    early = F.col("check_date") < C.moment("1997-01-01")
+    first, later = sales.where(early), sales.where(~early)
+    again = first.where(F.col("store_id").isin(1, 2))
+    counts = settle(baskets.pair_counts(first))
+    counts = settle(baskets.merge_counts(counts, baskets.pair_changes(again, again.where("cnt <= 40"))))
+    return baskets.merge_counts(counts, baskets.pair_changes(later.limit(0), later))
+
+
+@query
+def bucketed_pairs(r: Retail) -> DataFrame:
+    """The counts from tables that are stored dealt by receipt: heads and lines are joined, and baskets paired, where they lie."""
+    n, root = int(r.spark.conf.get("spark.sql.shuffle.partitions")), _root(r)
+    check = write_bucketed(r.check.select("check_id", "store_id"), f"{root}/check", ["check_id"], n)
+    line = write_bucketed(r.line.select("check_id", "product_id", "supplier_id"), f"{root}/line", ["check_id"], n)
+    sales = write_bucketed(line.join(check, "check_id"), f"{root}/sales", baskets.BASKET, n)
+    return baskets.pair_counts(sales, stored=True)
+
+
 # Extracts, windows, distinct rows
 
 def _products(r: Retail) -> DataFrame:
@@ -109,6 +133,43 @@ def distinct_price(r: Retail) -> DataFrame:
     return shares.price_rows(_products(r))
 
 
+# The extracts as functions in SQL text
+
+def _sql(r: Retail, text: str) -> DataFrame:
+    sql_functions.install(r.spark, card=r.card, check=r.check, line=r.line, price=r.price, product=r.product, supplier=r.supplier)
+    return r.spark.sql(text)
+
+
+_WINDOW = f"TIMESTAMP_NTZ '{START}', TIMESTAMP_NTZ '{END}'"
+
+
+@query
+def sql_new_products(r: Retail) -> DataFrame:
+    return _sql(r, f"SELECT * FROM getNewProducts({_WINDOW})")
+
+
+@query
+def sql_new_cards(r: Retail) -> DataFrame:
+    return _sql(r, f"SELECT * FROM getNewCards({_WINDOW})")
+
+
+@query
+def sql_checks(r: Retail) -> DataFrame:
+    return _sql(r, f"SELECT * FROM getChecks({_WINDOW})")
+
+
+@query
+def sql_quoted(r: Retail) -> DataFrame:
+    return _sql(r, """SELECT card_id, CoverInQuotes(number) AS number, CoverInQuotes(middle_name) AS middle_name,
+                             CoverInQuotes(last_name) AS last_name, CoverInQuotes(CAST(birth_date AS STRING)) AS birth_date FROM retail_card""")
+
+
+@query
+def sql_lateral_checks(r: Retail) -> DataFrame:
+    """A table function called for each row of another table."""
+    return _sql(r, "SELECT c.card_id, k.check_id, k.check_date FROM retail_card c, LATERAL getChecksOfCard(c.card_id) k")
+
+
 # Branches to warehouse
 
 def _branch_cards(r: Retail, name: str) -> DataFrame:
@@ -379,6 +440,18 @@ def dq_pk_dups(r: Retail) -> DataFrame:
     return quality.duplicate_keys(r.given("lineitem"), ["l_orderkey", "l_partkey"])
 
 
+@query
+def dq_bitmap_keys(r: Retail) -> DataFrame:
+    """Rows, keys and surplus rows of receipts of which one store's came twice, by a bit per key."""
+    return bitmaps.key_counts(r.check.unionByName(r.check.where(F.col("store_id") == 1)), "check_id")
+
+
+@query
+def dq_bitmap_rules(r: Retail) -> DataFrame:
+    """Cards of receipts that are not among the cards with a balance, by a bit per card."""
+    return bitmaps.compare_keys(r.check, "card_id", r.card.where(F.col("balance") >= 0), "card_id")
+
+
 @query
 def dq_fk_orphans(r: Retail) -> DataFrame:
     """Receipts of cards that are not among the cards with a balance."""
@@ -452,21 +525,29 @@ def _warehouse(r: Retail, card: DataFrame | None = None, supplier: DataFrame | N
     return store
 
 
-def _branch(r: Retail, name: str) -> TableStore:
-    """The receipts of one store, and all products."""
-    branch = jobs.branch_store(r.spark, f"{_root(r)}/branch")
-    loaded = F.lit("1995-01-01 00:00:00").cast("timestamp")
-    own = r.check.join(r.store.where(F.col("db_name") == name).select("store_id"), "store_id").select(CHECK.names)
-    branch.append("check", U.stamp(own, loaded), checked=True)
-    branch.append("line", U.stamp(r.line.join(own.select("check_id"), "check_id").select(LINE.names), loaded), checked=True)
-    branch.append("product", U.stamp(r.product.select("product_id", "name", "vendor_code", "supplier_id"), loaded), checked=True)
-    return branch
+def _branches(r: Retail, which: Column | None = None) -> TableStore:
+    """The receipts of each store, or those for which ``which`` holds, as a branch of one group, all written at once, and all products in each."""
+    group = jobs.branch_group(r.spark, f"{_root(r)}/branches")
+    products = U.stamp(r.product.select("product_id", "name", "vendor_code", "supplier_id"), F.lit("1995-01-01 00:00:00"))
+    group.append("product", C.with_targets(products, BRANCHES, "db_name"), checked=True)
+    _add_receipts(r, group, F.lit("1995-01-01 00:00:00"), which)
+    return group
+
+
+def _add_receipts(r: Retail, group: TableStore, stamp: Column, which: Column | None = None) -> None:
+    heads = r.check.join(r.store, "store_id")
+    for entity, rows, names in (("check", heads, CHECK.names), ("line", r.line.join(heads.select("check_id", "db_name"), "check_id"), LINE.names)):
+        own = rows if which is None else rows.where(which)
+        group.append(entity, U.stamp(own, stamp).select("db_name", *names, "created_at", "modified_at"), checked=True)
+
+
+def _members(group: TableStore) -> dict[str, TableStore]:
+    return {name: jobs.member(group, name) for name in BRANCHES}
 
 
 def _pulled(r: Retail) -> TableStore:
     """A warehouse after the receipts of all stores were pulled twice."""
-    warehouse = _warehouse(r)
-    branches = {name: _branch(r, name) for name in BRANCHES}
+    warehouse, branches = _warehouse(r), _members(_branches(r))
     for _ in range(2):
         jobs.pull_checks(warehouse, branches, START, END)
     return warehouse
@@ -478,6 +559,18 @@ def job_pull_checks(r: Retail) -> DataFrame:
     return _pulled(r).read("sale_fact")
 
 
+@query
+def job_pull_changes(r: Retail) -> DataFrame:
+    """What the fact table holds after two pulls without a window; a part of the rows of the second is stamped before the first."""
+    third = F.col("check_id") % 3
+    warehouse, group = _warehouse(r), _branches(r, third == 0)
+    jobs.pull_changes(warehouse, _members(group))
+    _add_receipts(r, group, F.when(third == 1, "1994-12-31 23:30:00").otherwise("1995-02-01 00:00:00"), third != 0)
+    jobs.pull_changes(warehouse, _members(group))
+    dates = warehouse.read("date").select("date_id", F.col("date").alias("check_date"))
+    return warehouse.read("sale_fact").join(dates, "date_id").drop("date_id")
+
+
 @query
 def job_send_checks(r: Retail) -> DataFrame:
     """Receipts of one store sent to another branch and priced anew there: stored lines, and lines set aside."""

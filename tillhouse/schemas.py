@@ -124,9 +124,21 @@ PRODUCT_PAIRS = Table(
     (),
 )
 
+PAIR_COUNTS = Table(
+    "pair_counts",
+    (("product_id", LONG, False), ("supplier_id", LONG, False), ("sub_product_id", LONG, False), ("sub_supplier_id", LONG, False),
+     ("amount", LONG, False)),
+    ("product_id", "supplier_id", "sub_product_id", "sub_supplier_id"),
+)
+PULLED = Table(
+    "pulled",
+    (("db_name", TEXT, False), ("entity", TEXT, False), ("mark", T.TimestampType(), False)),
+    ("db_name", "entity"),
+)
+
 BRANCH_TABLES = {t.name: t.with_audit() for t in (CARD, CHECK, SUPPLIER, PRODUCT, PRICE, LINE)}
-WAREHOUSE_TABLES = {t.name: t for t in (CARD, SUPPLIER, PRODUCT, PRICE, STORE, DATE, SALE_FACT)}
-SHOWCASE_TABLES = {PRODUCT_PAIRS.name: PRODUCT_PAIRS}
+WAREHOUSE_TABLES = {t.name: t for t in (CARD, SUPPLIER, PRODUCT, PRICE, STORE, DATE, SALE_FACT, PULLED)}
+SHOWCASE_TABLES = {t.name: t for t in (PRODUCT_PAIRS, PAIR_COUNTS)}
 
 # What a branch hands out for its products, cards and receipts.
 PRODUCT_EXTRACT = T.StructType([
