@@ -112,6 +112,32 @@ def test_broken_expressions(text):
     assert licenses.evaluate(text) is None
 
 
+@pytest.mark.parametrize("text, start", [
+    ("MIT. See the file.", "MIT"), ("MIT, see LICENSE", "MIT"), ("(MIT OR Apache-2.0) and more text", "(MIT OR Apache-2.0)"),
+    ("GPL-2.0+ OR (MIT AND ISC) WITH care", "GPL-2.0+ OR (MIT AND ISC)"), ("Apache-2.0 WITH LLVM-exception.", "Apache-2.0 WITH LLVM-exception"),
+    ("MIT OR", "MIT"), ("(MIT", ""), ("MIT) x", "MIT"), ("what is this", ""), ("mit or isc", "mit or isc"), (";", ""), ("", ""), ("MIT GPL-3.0", "MIT"),
+    ("((MIT) OR (ISC OR BSD-3-Clause", "")])
+def test_expressions_before_prose(text, start):
+    assert licenses.leading_expression(text) == start
+    assert not start or licenses.evaluate(start) is not None
+
+
+def test_the_longest_expression_is_taken():
+    rng = random.Random(4)
+    for _ in range(3000):
+        text = " ".join(rng.choices(["MIT", "ISC", "GPL-2.0", "OR", "AND", "WITH", "(", ")", "prose", ","], [4, 2, 2, 3, 2, 1, 2, 2, 1, 1], k=rng.randint(0, 9)))
+        parts = text.split(" ")
+        starts = [" ".join(parts[:n]) for n in range(len(parts), 0, -1) if not {"prose", ","} & set(parts[:n])]
+        assert licenses.leading_expression(text) == next((s for s in starts if licenses.evaluate(s) is not None), ""), text
+
+
+def test_labels_and_score_of_tags_in_sentences(spark):
+    texts = ["SPDX-License-Identifier: MIT. See the file.", "spdx-license-identifier: MIT, see LICENSE", "SPDX-License-Identifier: (MIT OR Apache-2.0) and more text"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.summary(licenses.scan_licenses(docs)).collect()}
+    assert got == {0: ("mit", 1.0), 1: ("mit", 1.0), 2: ("apache-2.0,mit", 1.0)}
+
+
 def test_op4_base_columns(spark, folder, docs):
     got = {r.doc_id: r for r in queries.op4_license_scan(spark, folder).collect()}
     for r in docs.collect():

@@ -2,14 +2,14 @@
 
 A text becomes its words, runs of ASCII letters and digits (A-Z in lower case) and of non-ASCII characters. One automaton finds
 all ``PHRASES`` in one pass over the words. A second one finds the identifier tags in the raw text; what follows a tag on
-its line is parsed as an expression of license ids with AND, OR, WITH and brackets, WITH binding strongest and OR least. The
+its line starts with an expression of license ids with AND, OR, WITH and brackets, WITH binding strongest and OR least. The
 expression is evaluated twice: to the set of ids it names, and to whether one can comply with permissive ids only (OR needs one
 side, AND both, an exception keeps its license's answer).
 
 ``score`` is the part of the license evidence that allows permissive use: each base phrase, notice phrase and expression is one
 piece of evidence, permissive or not; without any evidence it is 0.
 
-Defined results: a null or empty text has no words, places or labels; an expression that doesn't parse gives the label ``unparsed``
+Defined results: a null or empty text has no words, places or labels; a tag that no well-formed expression follows gives the label ``unparsed``
 and counts against permission; a tag without an expression is ignored; repeated rows are scanned each; an empty table
 gives no rows.
 """
@@ -40,7 +40,8 @@ PERMISSIVE = frozenset("apache mit bsd isc cc-by cc0 public-domain unlicense bsl
 PHRASES = {**BASE_PHRASES, **NOTICE_PHRASES}
 
 OTHER = bytes(c if 48 <= c < 58 or 97 <= c < 123 or c >= 128 else c + 32 if 65 <= c < 91 else 32 for c in range(256))
-TOKEN = re.compile(r"\s*(?:([()])|([A-Za-z0-9][A-Za-z0-9.+\-:]*))")
+TOKEN = re.compile(r"\s*(?:([()])|([A-Za-z0-9](?:[A-Za-z0-9.+\-:]*[A-Za-z0-9+])?))")
+LIKE_AN_ID = re.compile(r"[A-Z0-9.+\-]")  # a word without any of these is prose, unless it is a known id
 RANK = {"OR": 1, "AND": 2, "WITH": 3}
 END_OF_COMMENT = re.compile(r"\s*(?:\*/|-->|\"\"\"|#\}|%>).*")
 
@@ -110,6 +111,29 @@ def evaluate(expression: str) -> Value | None:
     return output[0] if len(output) == 1 and not operand_next else None
 
 
+def leading_expression(text: str) -> str:
+    """The longest well-formed expression that ``text`` starts with; empty if there is none. Prose behind it, as in "MIT, see the file", ends it, and so
+    does a word that looks like no id."""
+    at, end, depth, operand_next = 0, 0, 0, True
+    while m := TOKEN.match(text, at):
+        word, at = m[1] or m[2], m.end()
+        if word in "()":
+            if operand_next != (word == "(") or (word == ")" and not depth):
+                break
+            depth += 1 if word == "(" else -1
+        elif word.upper() in RANK:
+            if operand_next:
+                break
+            operand_next = True
+        elif operand_next and (LIKE_AN_ID.search(word) or word in PERMISSIVE):
+            operand_next = False
+        else:
+            break
+        if not operand_next and not depth:
+            end = at
+    return text[:end].strip()
+
+
 def _automaton(patterns) -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     for text, value in patterns:
@@ -143,7 +167,8 @@ class Scanner:
             line_end = text.find("\n", end + 1)
             found_text = END_OF_COMMENT.sub("", text[end + 1:line_end if line_end >= 0 else len(text)]).strip()
             if found_text:
-                expressions.append((found_text, evaluate(found_text)))
+                whole = leading_expression(found_text)
+                expressions.append((whole or found_text, evaluate(whole) if whole else None))
         return len(words), places, expressions
 
 
