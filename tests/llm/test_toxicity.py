@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from tillhouse.llm import queries, toxicity
 
@@ -22,6 +23,23 @@ def test_op7_on_held_out_rows(spark):
     assert sum(found) >= 0.6 * len(found) and sum(wrong) <= 0.02 * len(wrong)
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_neutral_mentions_leave_the_score_as_it_is(spark, sf):
+    folder = f"/root/testdata/{sf}"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    model = toxicity.fit(docs.where(~toxicity.held_out()), spark.read.parquet(f"{folder}/labels.parquet"))
+    for term in sorted(toxicity.IDENTITY_TERMS):
+        for before, after in (("the", "family went to the park"), ("a", "couple bought a house"), ("my neighbour is", "")):
+            with_term, without = model.score(f"{before} {term} {after}"), model.score(f"{before} {after}")
+            assert abs(with_term - without) <= 0.02 and with_term < 0.7, term
+    assert model.score("scum") >= 0.7 and model.score("you idiot") >= 0.7
+
+
+def test_what_is_learned_of_other_words_does_not_reach_group_names():
+    assert toxicity.features("latino") == ["latino"] and "lati~" not in toxicity.features("latitude")
+    assert toxicity.features("idiots") == ["idiots", "idio~", "idiot~", "idiots~"] and toxicity.features("ab") == ["ab"]
+
+
 def sentences(draw, n):
     """Labelled sentences in which insults come mostly with one group's name."""
     rows = []
@@ -53,7 +71,7 @@ def test_swaps_even_out_group_names(spark):
 
 
 def test_swapped():
-    assert toxicity.swapped([1, 5, 9], [[[1, 9], [2, 9], [3]], [[7], [8]]]) == [([1], [2]), ([1, 9], [3])]
+    assert toxicity.swapped([1, 5, 9], [[[1, 9], [2, 9], [3]], [[7], [8]]]) == [([1], [2]), ([1, 9], [3]), ([1, 9], [])]
     assert toxicity.swapped([5], [[[1], [2], [3]]]) == []
 
 
@@ -67,9 +85,11 @@ def test_gradient_reaches_the_optimum():
     error = (1 / (1 + np.exp(-(x @ w + b))) - np.array(toxic)) * np.where(toxic, 0.5 / share, 0.5 / (1 - share)) / len(rows)
     swaps = [s for r in rows for s in toxicity.swapped(r, [[[1], [2]]])]
     grad = x.T @ error + toxicity.RIDGE / len(rows) * w
-    for (out,), (new,) in swaps:
-        grad[new] += 2 / len(rows) * (w[new] - w[out])
-        grad[out] -= 2 / len(rows) * (w[new] - w[out])
+    for (out,), come in swaps:
+        change = sum(w[new] for new in come) - w[out]
+        for new in come:
+            grad[new] += 2 / len(rows) * change
+        grad[out] -= 2 / len(rows) * change
     assert np.abs(np.append(grad, error.sum())).max() < 5e-3
 
 

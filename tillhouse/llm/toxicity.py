@@ -1,17 +1,17 @@
 """Toxicity classifier with a counterfactual penalty on identity terms.
 
 A text is the set of its lower-cased words and of their beginnings of ``PREFIXES`` letters, so that new inflections of a
-known stem count. Fitting goes in three steps:
+known stem count. A word that names a group is itself only, and the beginning of such a word is no feature. Fitting goes in three steps:
 
 1. over all different labelled texts, on the cluster: in how many toxic texts does each feature occur, and in how many
    others. Kept is every feature of ``LEAST_TOXIC_TEXTS`` toxic texts or more with a signed chi statistic for toxic of at
-   least ``LEAST_CHI``, and those of every identity term;
+   least ``LEAST_CHI`` (the ``MOST_FEATURES`` highest, should there be more), and every identity term;
 2. at most ``MOST_ROWS`` different labelled texts, the first of each label by a hash of the text, come to the driver as
    short lists of kept features. Each label gets half of the rows, and what the other leaves;
 3. logistic regression on them, both labels weighing the same. Each labelled sentence that names a group gets copies in which the term is
-   swapped for the other terms of its family; the squared change of the logit between the sentence and its copies is
+   swapped for the other terms of its family, and one without it; the squared change of the logit between the sentence and its copies is
    added to the loss with weight ``SWAP_PENALTY``. So a term that merely stands beside insults in the labels cannot
-   carry the score: what remains is shared by its whole family.
+   carry the score. A term that no labelled sentence names has no weight: a neutral mention leaves the score as it is.
 
 Scoring is a dictionary lookup per distinct word of the whole text. A text's length, language, source or id have no part.
 
@@ -39,10 +39,11 @@ from tillhouse.session import settle
 
 PREFIXES = (4, 5, 6)
 MOST_ROWS = 50_000
+MOST_FEATURES = 100_000
 LEAST_TOXIC_TEXTS = 3
 LEAST_CHI = 6.5  # five texts that all happen to be toxic, of some hundred thousand features, are about the limit of chance
 SWAP_PENALTY = 1.0
-RIDGE = 0.1
+RIDGE = 0.03
 STEPS = 600
 THRESHOLD = 0.7
 WORD = re.compile(r"\w+")
@@ -61,11 +62,27 @@ IDENTITY_FAMILIES = [
     ["immigrants", "refugees", "foreigners", "natives", "citizens"],
     ["blind", "deaf", "disabled", "paralyzed", "healthy"],
     ["old", "elderly", "young", "teenage"],
+    # German, French, Spanish
+    ["frau", "mann"], ["frauen", "männer"], ["schwul", "lesbisch", "hetero"], ["muslim", "jude", "christ", "hindu", "atheist"],
+    ["muslime", "juden", "christen", "hindus", "atheisten"], ["türken", "deutsche", "polen", "syrer", "araber"],
+    ["ausländer", "flüchtling", "einwanderer", "einheimische"], ["blinde", "gehörlose", "behinderte"],
+    ["femme", "homme"], ["femmes", "hommes"], ["homosexuel", "lesbienne", "hétéro"], ["musulman", "juif", "chrétien", "hindou", "athée"],
+    ["musulmans", "juifs", "chrétiens", "hindous", "athées"], ["arabes", "français", "chinois", "africains", "turcs"],
+    ["immigré", "réfugié", "étranger", "citoyen"], ["aveugle", "sourd", "handicapé"],
+    ["mujer", "hombre"], ["mujeres", "hombres"], ["homosexual", "lesbiana", "heterosexual"], ["musulmán", "judío", "cristiano", "hindú", "ateo"],
+    ["musulmanes", "judíos", "cristianos", "hindúes", "ateos"], ["gitanos", "españoles", "chinos", "mexicanos", "árabes"],
+    ["inmigrante", "refugiado", "extranjero", "ciudadano"], ["ciego", "sordo", "discapacitado"],
 ]
+IDENTITY_TERMS = frozenset(t for family in IDENTITY_FAMILIES for t in family)
+IDENTITY_PREFIXES = frozenset(t[:n] + "~" for t in IDENTITY_TERMS for n in PREFIXES if len(t) >= n)
 
 
 def features(word: str) -> list[str]:
-    return [word, *(word[:n] + "~" for n in PREFIXES if len(word) > n)]
+    """The word and its beginnings. A word that names a group is no stem, and neither is its beginning: what is learned of other
+    words must not reach it."""
+    if word in IDENTITY_TERMS:
+        return [word]
+    return [word, *(p for n in PREFIXES if len(word) >= n and (p := word[:n] + "~") not in IDENTITY_PREFIXES)]
 
 
 def text_features(text: str | None) -> set[str]:
@@ -106,7 +123,7 @@ def _counted(labelled: DataFrame) -> DataFrame:
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 seen[toxic].update(text_features(text))
-                if len(seen[0]) + len(seen[1]) > 200_000:
+                if len(seen[0]) + len(seen[1]) > 500_000:
                     yield _rows(*seen)
                     seen = Counter(), Counter()
         yield _rows(*seen)
@@ -137,15 +154,14 @@ def choose_features(labelled: DataFrame) -> list[str]:
         z = (a / n_toxic - b / n_other) / F.sqrt(share * (1 - share) * (1 / n_toxic + 1 / n_other))
         rated = _counted(labelled).where(a >= LEAST_TOXIC_TEXTS).withColumn(
             "z", F.when(a * F.lit(n_other) > b * F.lit(n_toxic), z))  # true only of shares below 1
-        rated = rated.where(F.col("z") >= LEAST_CHI).select("feature", "z").collect()
-        chosen = [r.feature for r in sorted(rated, key=lambda r: (-r.z, r.feature))]
-    terms = [f for family in IDENTITY_FAMILIES for t in family for f in features(t)]
-    return chosen + sorted(set(terms) - set(chosen))
+        rated = rated.where(F.col("z") >= LEAST_CHI).select("feature", "z").orderBy(F.desc("z"), "feature").limit(MOST_FEATURES).collect()
+        chosen = [r.feature for r in rated]
+    return chosen + sorted(IDENTITY_TERMS - set(chosen))
 
 
 def swapped(present: list[int], families: list[list[list[int]]]) -> list[tuple[list[int], list[int]]]:
-    """(features that go, features that come) for each swap of a named term for another of its family. A term is the list of its
-    features, the word itself first."""
+    """(features that go, features that come) for each swap of a named term for another of its family, and for the sentence without it. A
+    term is the list of its features, the word itself first."""
     here = set(present)
     out = []
     for family in families:
@@ -153,6 +169,7 @@ def swapped(present: list[int], families: list[list[list[int]]]) -> list[tuple[l
             if term[0] in here:
                 out += [(sorted(here & set(term) - set(other)), sorted(set(other) - here))
                         for other in family if other[0] not in here]
+                out.append((sorted(here & set(term)), []))
     return out
 
 
@@ -205,13 +222,17 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column(1), batch.column(2)],
                                              names=["present", "toxic", "place"])
 
-    narrow = labelled.select("text", "toxic", F.xxhash64("text").alias("place")).mapInArrow(
-        present, "present array<int>, toxic int, place long")
     n_toxic, n_other = _sizes(labelled)
     most_toxic = min(n_toxic, max(most_rows // 2, most_rows - n_other))
-    rows = [r for label, most in ((1, most_toxic), (0, most_rows - most_toxic))  # the bound of this fit
-            for r in narrow.where(F.col("toxic") == label).orderBy("place", "present").limit(most).collect()]
-    families = [[[place[f] for f in features(t)] for t in family] for family in IDENTITY_FAMILIES]
+    most = {1: most_toxic, 0: most_rows - most_toxic}  # the bound of this fit
+    # Places are even over all 64-bit numbers, so those below a share of them hold the first rows, and hardly more.
+    edge = {label: -2**63 + int(2**64 * min(1.0, (most[label] + 8 * most[label]**0.5 + 50) / n)) - 1 if n else 0
+            for label, n in ((1, n_toxic), (0, n_other))}
+    near = labelled.withColumn("place", F.xxhash64("text")).where(
+        F.col("place") <= F.when(F.col("toxic") == 1, F.lit(edge[1])).otherwise(F.lit(edge[0])))
+    narrow = near.select("text", "toxic", "place").mapInArrow(present, "present array<int>, toxic int, place long").collect()
+    rows = [r for label in (1, 0) for r in sorted((r for r in narrow if r.toxic == label), key=lambda r: (r.place, r.present))[:most[label]]]
+    families = [[[place[t]] for t in family] for family in IDENTITY_FAMILIES]
     weights, bias = fit_logistic([list(r.present) for r in rows], [r.toxic for r in rows], len(names), families,
                                  swap_penalty)
     return Model({f: float(v) for f, v in zip(names, weights) if v}, bias)
