@@ -34,6 +34,25 @@ def test_places():
     assert texts(page, OUTSIDE) == ["other"]
 
 
+@pytest.mark.parametrize("page", [
+    "<form id=aspnetForm><div><article><p>story</p></article></div><input></form>", "<div class='post comments-open'><article>story</article></div>",
+    "<section class='social-layout'><article>story</article></section>", "<article class='share-enabled'>story</article>",
+    "<form><main>story</main>menu</form>", "<article><p title=don't>story</p></article><p>It's beside",
+    "<article><a href=\"x\"\">story</a></article>", "<article><p hidden-xs>story</p><div class='x' hidden>no</div><p hidden='until-found'>no</article>",
+    "<article>story<form>your mail</form><div class='comments'><article>first!</article></div></article>",
+    "<article>story</article><div id='comments'><ol class='comment-list'><li><article>first!</article></ol></div>"])
+def test_articles_are_found_whatever_stands_round_them(page):
+    assert texts(page, INSIDE) == ["story"]
+
+
+def test_forms_and_headers_of_pages_without_marks(spark):
+    assert texts("<form><p>a long story of this page</p></form><p>menu</p>", OUTSIDE) == ["a long story of this page", "menu"]
+    assert texts("<p>a long story of this page</p><form>your mail</form>", OUTSIDE) == ["a long story of this page"]
+    rows = [(i, f"http://a.example/{i}", f"<header>Our site</header><div class=post><header><h1>Title {i}</h1></header><p>story {i}</p></div>"
+             "<form>Write to us</form>") for i in range(12)]
+    assert main_texts(spark, rows)[3] == "Title 3 story 3"
+
+
 def test_op6_against_the_pages_articles(spark, folder):
     got = {r.page_id: r for r in queries.op6_site_style_tree(spark, folder).collect()}
     pages = spark.read.parquet(f"{folder}/pages.parquet").collect()

@@ -38,12 +38,17 @@ CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"o
 HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}, "td": {"table"}, "th": {"table"},
          "tr": {"table"}, "thead": {"table"}, "tbody": {"table"}}
 
-TAG = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|[!?][^>]*>)")
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+# An unquoted value may hold quotes, and one stray quote may follow a quoted value; a quote that is never closed opens no tag.
+VALUE = r"""(?:"[^"]*+"|'[^']*+')(?:["'](?=[\s/>]))?|[^\s"'>][^\s>]*+"""
+TAG = re.compile(rf"""<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|[^\s/>="'][^\s/>=]*+(?:\s*+=\s*+(?:{VALUE}))?|=)*+)>|[!?][^>]*>)""")
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*))")
+HIDDEN = re.compile(rf"""(?:^|[\s/])hidden(?=[\s/=]|$)""", re.IGNORECASE)
+ONE_VALUE = re.compile(rf"=\s*(?:{VALUE})")
 SPLIT_NAME = re.compile(r"[^a-z0-9]+")
 
 NOTHING, OUTSIDE, INSIDE, DROPPED, NAMED = -1, 0, 1, 2, 3  # where a block stands
-_VARIED = 4  # dropped by a varied word, unless main comes
+# known only when the whole page is read: below a varied word, content below one or below a form, below a form, in a header
+_VARIED, _MAYBE, _FORM, _HEADER = 4, 5, 6, 7
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -51,10 +56,16 @@ def _attributes(raw: str) -> dict[str, str]:
 
 
 def _noise(tag: str, attributes: dict[str, str], hidden: bool, inside: bool) -> int | None:
-    if tag in NOISE or hidden or (tag == SITE_HEADER and not inside):
+    if hidden:
         return DROPPED
     if attributes.get("role", "").lower() in NOISE_ROLES or attributes.get("aria-hidden", "").lower() == "true":
         return DROPPED
+    if tag == "form" and not inside:
+        return _FORM
+    if tag in NOISE:
+        return DROPPED
+    if tag == SITE_HEADER and not inside:
+        return _HEADER
     if tag in ("html", "body") or not ("class" in attributes or "id" in attributes):
         return None
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()
@@ -72,7 +83,9 @@ def path_hash(path: str) -> int:
 def blocks(page: str | None) -> list[tuple[str, int, str]]:
     """(path, place, text) of each block in page order. ``place``: INSIDE the content element, OUTSIDE, NAMED (in a part
     whose class or id says that it is none of the content, which counts may overrule), or DROPPED (its element, role or a name of
-    parts with varied text says so). ``article`` and ``main`` are content within NAMED parts too, ``main`` within all that are dropped by name."""
+    parts with varied text says so). ``article`` and ``main`` are content within NAMED parts too, ``main`` within all that are dropped by name. On
+    a page without other content, an ``article`` below a form or in a part named like varied text is the content; a header is a NAMED part; and a
+    form that holds most of the text is no form to fill in but a wrapper."""
     page = page or ""
     out: list[tuple[str, int, str]] = []
     # open elements: tag, path, place; an element that is not seen has place NOTHING
@@ -89,7 +102,7 @@ def blocks(page: str | None) -> list[tuple[str, int, str]]:
             place = stack[at][2]
             while at and stack[at][0] not in BLOCK:
                 at -= 1
-            out.append((stack[at][1], DROPPED if place == _VARIED else place, text))
+            out.append((stack[at][1], place, text))
 
     def close(at: int) -> None:
         if any(t in BLOCK for t, _, _ in stack[at:]):
@@ -145,15 +158,16 @@ def blocks(page: str | None) -> list[tuple[str, int, str]]:
         if place == NOTHING or tag in UNSEEN:
             place = NOTHING
         elif place != DROPPED:
-            hidden = " hidden" in m[4].lower().split("=")[0]
-            noise = _noise(tag, attributes, hidden, place == INSIDE)
+            hidden = "hidden" in m[4].lower() and HIDDEN.search(ONE_VALUE.sub("=", m[4])) is not None
+            noise = _noise(tag, attributes, hidden, place in (INSIDE, _MAYBE))
             mark = tag if tag in CONTENT else attributes.get("role", "").lower()
-            if noise == DROPPED or (noise == _VARIED and mark != "main"):
+            if noise == DROPPED or (noise in (_VARIED, _FORM) and place in (INSIDE, _MAYBE)):
+                place = DROPPED if mark != "main" or noise == DROPPED else INSIDE
+            elif mark in CONTENT:
+                unsure = place in (_VARIED, _FORM) or noise == _VARIED
+                place = INSIDE if mark == "main" and place != _FORM or not unsure else _MAYBE
+            elif noise and place in (OUTSIDE, NAMED, _HEADER):
                 place = noise
-            elif mark in CONTENT and (place != _VARIED or mark == "main"):
-                place = INSIDE
-            elif noise and place != _VARIED:
-                place = NAMED
         if tag in BLOCK or place == NOTHING:
             path = f"{path}/{tag}.{' '.join(sorted(attributes.get('class', '').split()))}"
         if tag in RAW:
@@ -161,4 +175,18 @@ def blocks(page: str | None) -> list[tuple[str, int, str]]:
             at = len(page) if end is None else end.start()
         stack.append((tag, path, place))
     flush()
-    return out
+    return _settled(out)
+
+
+def _settled(found: list[tuple[str, int, str]]) -> list[tuple[str, int, str]]:
+    """Places that depend on the whole page."""
+    places = {place for _, place, _ in found}
+    if places.isdisjoint((_VARIED, _MAYBE, _FORM, _HEADER)):
+        return found
+    content = INSIDE in places
+    meant = {_VARIED: DROPPED, _MAYBE: DROPPED if content else INSIDE, _FORM: DROPPED, _HEADER: DROPPED if content or _MAYBE in places else NAMED}
+    if not content and _MAYBE not in places and _FORM in places:
+        inside = sum(len(text) for _, place, text in found if place == _FORM)
+        if 2 * inside > sum(len(text) for _, place, text in found if place != DROPPED):
+            meant[_FORM] = OUTSIDE
+    return [(path, meant.get(place, place), text) for path, place, text in found]
