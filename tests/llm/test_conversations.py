@@ -123,6 +123,13 @@ def test_vectors_converge_in_few_passes(spark):
     assert {r.at: r.end for r in ends.collect()} == want
 
 
+def test_large_ids_beside_a_null_one(spark):
+    """Numbers above 2**53 are kept exact although a null stands beside them."""
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", f"{t}.") for c in (None, 2**60, 2**60 + 1) for t in range(6 + (c or 0) % 2)]
+    got = {r.conv_id: tuple(r)[1:] for r in C.Repair(C.plain(spark.createDataFrame(rows, SCHEMA)), 2).report().collect()}
+    assert got == report(rows, {None, 2**60, 2**60 + 1})
+
+
 def test_repaired_rows(spark):
     rows = [(1, 0, "assistant", "Hello."), (1, 1, "user", "Hi."), (1, 2, "user", "More?"), (2, 0, "system", "Rules."), (3, 0, "user", " ")]
     got = C.Repair(C.plain(spark.createDataFrame(rows, SCHEMA))).rows().orderBy("conv_id", "number").collect()

@@ -114,7 +114,7 @@ def statistics(rows: DataFrame) -> DataFrame:
 
 def chunks(placed: DataFrame, size: int = CHUNK) -> DataFrame:
     """(conv_id, at, next_at, alone, first, initials, faults): neighbouring rows of a conversation as two texts with a letter a row. ``at`` is the
-    place of the first row and names the chunk, ``next_at`` is null for the last chunk of a conversation, ``first`` has the order columns of
+    place of the first row and names the chunk, ``next_at`` is -1 for the last chunk of a conversation, ``first`` has the order columns of
     the first row. Faults are x (must go), t (truncated) and . (none)."""
     first = placed.where(~F.col("blank")).groupBy("conv_id", "digest").agg(F.min("place").alias("place"))
     marked = placed.join(first.select("place", F.lit(True).alias("live")), "place", "left")
@@ -125,8 +125,8 @@ def chunks(placed: DataFrame, size: int = CHUNK) -> DataFrame:
     found = settle(listed.select("conv_id", F.col("first.place").alias("at"), "first", F.array_join("rows.initial", "").alias("initials"),
                                  F.array_join("rows.fault", "").alias("faults")))
     along = Window.partitionBy("conv_id").orderBy("at")
-    linked = found.select("conv_id", "at").select("at", F.lead("at").over(along).alias("next_at"), F.lag("at").over(along).isNull().alias("alone"))
-    return settle(found.join(linked.withColumn("alone", F.col("alone") & F.col("next_at").isNull()), "at"))
+    linked = found.select("conv_id", "at").select("at", F.lead("at", 1, -1).over(along).alias("next_at"), F.lag("at").over(along).isNull().alias("alone"))
+    return settle(found.join(linked.withColumn("alone", F.col("alone") & (F.col("next_at") < 0)), "at"))
 
 
 # Costs and edits of a chunk
@@ -208,7 +208,7 @@ def solve(found: DataFrame) -> tuple[DataFrame, int]:
     schema = links + "end array<int>, start array<int>"
 
     def first(row):
-        end = AT_END if pd.isna(row.next_at) else (0, 0, 0, 0)
+        end = AT_END if row.next_at < 0 else (0, 0, 0, 0)
         return row.at, row.next_at, row.initials, row.faults, end, costs_before(row.initials, row.faults, end)
 
     def again(row):
@@ -230,11 +230,10 @@ def enter(found: DataFrame) -> DataFrame:
     """(at, entry): the state in which the least edits come to each chunk. ``found`` has the chunks with their ``end``."""
     def exits(row):
         letters = choices(row.initials, row.faults, map(int, row.end))
-        return row.conv_id, row.at, "".join(str(follow(row.initials, row.faults, letters, s, False)[0]) for s in range(4))
+        return row.at, "".join(str(follow(row.initials, row.faults, letters, s, False)[0]) for s in range(4))
 
-    kind = found.schema["conv_id"].dataType.simpleString()
-    maps = _pandas(found, exits, f"conv_id {kind}, at long, exits string")
-    strung = maps.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("at", "exits"))).alias("maps")).select("maps")
+    maps = _pandas(found.select("at", "initials", "faults", "end"), exits, "at long, exits string")
+    strung = maps.join(found.select("at", "conv_id"), "at").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("at", "exits"))).alias("maps")).select("maps")
 
     def walk(frames):
         for frame in frames:
@@ -261,7 +260,7 @@ def trace(found: DataFrame) -> DataFrame:
         end = AT_END if row.end is None else tuple(map(int, row.end))
         entry = NOTHING if pd.isna(row.entry) else int(row.entry)
         letters = choices(row.initials, row.faults, end)
-        _, audit, cost = follow(row.initials, row.faults, letters, entry, pd.isna(row.next_at))
+        _, audit, cost = follow(row.initials, row.faults, letters, entry, row.next_at < 0)
         return row.at, audit, cost, row.faults.count("x"), row.faults.count("t")
 
     traced = _pandas(full.select("at", "next_at", "initials", "faults", "end", "entry"), run,
