@@ -7,6 +7,26 @@ import functools
 import gc
 
 import pyarrow as pa
+from pyspark.sql import SparkSession
+
+
+ROWS_AT_ONCE = 512
+BATCH_ROWS = 1_000
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send whole texts to workers at most ``BATCH_ROWS`` at a time. The buffers of a batch are kept for the next one, in the executor and in each
+    worker, so the largest batch stays theirs. A smaller number that the session sets is left as it is."""
+    if not 0 < int(spark.conf.get(BATCH)) <= BATCH_ROWS:
+        spark.conf.set(BATCH, str(BATCH_ROWS))
+
+
+def few_rows(batches):
+    """Slices of batches, so that few rows at a time become Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
 
 
 def trim() -> None:

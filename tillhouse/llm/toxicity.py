@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillhouse.llm.memory import trimmed
+from tillhouse.llm.memory import few_rows, trimmed
 from tillhouse.session import settle
 
 PREFIXES = (4, 5, 6)
@@ -120,7 +120,7 @@ def _counted(labelled: DataFrame) -> DataFrame:
     @trimmed
     def count(batches):
         seen = Counter(), Counter()
-        for batch in batches:
+        for batch in few_rows(batches):
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 seen[toxic].update(text_features(text))
                 if len(seen[0]) + len(seen[1]) > 500_000:
@@ -217,7 +217,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 
     @trimmed
     def present(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             found = [sorted(place[f] for f in text_features(t) if f in place) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column(1), batch.column(2)],
                                              names=["present", "toxic", "place"])
