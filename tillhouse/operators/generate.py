@@ -92,8 +92,12 @@ def shuffled(n: Column | str, total: Column, key: Column | str) -> Column:
             return _let(F.pmod(F.call_function("div", x, width) + mixed(left1, 2, height), height), columns)
         return _let(F.pmod(F.pmod(x, width) + mixed(F.call_function("div", x, width), 1, width), width), rows)
 
-    inside = F.aggregate(F.sequence(F.lit(1), F.lit(MOST_WALKS)), once(n.cast("long")), lambda x, _: F.when(x < total, x).otherwise(once(x)))
-    return F.when(inside < total, inside).otherwise(F.raise_error(F.lit("no number in range")).cast("long"))
+    def walk(first):
+        last = F.aggregate(F.sequence(F.lit(1), F.lit(MOST_WALKS)), first, lambda x, _: F.when(x < total, x).otherwise(once(x)))
+        return F.when(first < total, first).otherwise(last)  # most numbers are inside at once
+
+    return _let(_let(once(n.cast("long")), walk), lambda x: F.when(x < total, x).otherwise(
+        F.raise_error(F.lit("no number in range")).cast("long")))
 
 
 def _code(prefix: str, value: Column) -> Column:
