@@ -11,8 +11,8 @@ and likewise from the bigram or unigram on for the first two words. A document's
 
 The relations are ``texts`` (document, text), exploded to ``ngrams`` (chunk, hash, n), and ``counts`` (hash, n), exact but for n-grams that
 share a 64-bit hash: among 4 * 10**9 different n-grams, one that no other document has is taken for seen with odds of 2 * 10**-10. A chunk is a
-few megabytes of documents. A chunk's n-grams are counted before they move, so a phrase of every document is one row per chunk;
-rows of a chunk and hash range travel packed in one cell, as steps between ascending hashes. Each hash range is summed in one task of bounded size, as
+few megabytes of documents, kept as places in the list of its words' hashes. A chunk's n-grams are counted before they move, so a phrase of every
+document is one row per chunk; rows of a chunk and hash range travel packed in one cell, as steps between ascending hashes. Each hash range is summed in one task of bounded size, as
 the number of ranges follows the number of words, and joined to the rows that asked; the chunk gets back the counts of its own
 n-grams, in its own order, and sums them per document.
 
@@ -42,47 +42,64 @@ BACKOFF = 0.4
 CHUNK_BYTES = 6 << 20
 NGRAMS_PER_RANGE = 4_000_000
 BITS = 64
+RANDOM_BYTES = 5  # lowest bytes of a step between hashes that no compression makes smaller
 _MULTIPLIERS = np.random.default_rng(10).integers(1, 2**62, (ORDER + 1, ORDER), dtype=np.uint64) << np.uint64(1) | np.uint64(1)
 
 
 def _chunks(docs: DataFrame) -> DataFrame:
-    """chunk, ids, sizes (bytes of each text), n_words, texts (compressed): one row per few megabytes."""
+    """One row per few megabytes of texts: chunk, ids and whether each is unknown, lengths (words of each text), n_words, vocabulary (hashes
+    of the chunk's words, the most frequent first) and words (the texts as places in it). Words are cut and hashed here and nowhere else."""
     def pack(batches):
         task, number = TaskContext.get().partitionId(), 0
-        ids, texts, size = [], [], 0
+        ids, lengths, hashes, size = [], [], [], 0
 
         def close():
-            raw = [(t or "").encode() for t in texts]
+            words = np.concatenate(hashes)
             return pa.RecordBatch.from_arrays(
-                [pa.array([task << 24 | number], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-                 pa.array([[len(r) for r in raw]], pa.list_(pa.int64())),
-                 pa.array([sum(len(r.split()) for r in raw)], pa.int64()),
-                 pa.array([zstandard.compress(b"".join(raw), 6)], pa.binary())],
-                names=["chunk", "ids", "sizes", "n_words", "texts"])
+                [pa.array([task << 24 | number], pa.int64()), pa.array([[i or 0 for i in ids]], pa.list_(pa.int64())),
+                 pa.array([[i is None for i in ids]], pa.list_(pa.bool_())), pa.array([lengths], pa.list_(pa.int64())),
+                 pa.array([len(words)], pa.int64()), *(pa.array([b], pa.binary()) for b in _pack_words(words))],
+                names=["chunk", "ids", "unknown", "lengths", "n_words", "vocabulary", "words"])
 
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
+                each = [folded_words(t) for t in batch.column(1).to_pylist()]
                 ids += batch.column(0).to_pylist()
-                texts += batch.column(1).to_pylist()
+                lengths += map(len, each)
+                hashes.append(np.array([xxhash.xxh3_64_intdigest(w) for words in each for w in words], np.uint64))
                 size += pc.sum(pc.binary_length(batch.column(1))).as_py() or 0
                 if size >= CHUNK_BYTES:
                     yield close()
-                    number, ids, texts, size = number + 1, [], [], 0
+                    number, ids, lengths, hashes, size = number + 1, [], [], [], 0
         if ids:
             yield close()
 
     return settle(docs.select("id", "text").mapInArrow(
-        pack, "chunk long, ids array<long>, sizes array<long>, n_words long, texts binary"))
+        pack, "chunk long, ids array<long>, unknown array<boolean>, lengths array<long>, n_words long, vocabulary binary, words binary"))
 
 
-def _words(sizes, blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of a chunk, and how many each text has."""
-    raw = zstandard.decompress(blob)
-    ends = np.cumsum(np.array(sizes, np.int64))
-    each = [folded_words(raw[end - n:end].decode()) for n, end in zip(sizes, ends.tolist())]
-    hashes = np.array([xxhash.xxh3_64_intdigest(w) for words in each for w in words], np.uint64)
-    return hashes, np.array([len(words) for words in each], np.int64)
+def _planes(values: np.ndarray, raw: int = 0) -> tuple[bytes, bytes]:
+    """The bytes of whole numbers, all lowest ones first: the first ``raw`` of them as they are, the others compressed."""
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
+    return planes[:raw].tobytes(), zstandard.compress(planes[raw:].tobytes())
+
+
+def _from_planes(n: int, kind: str, plain: bytes, packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(plain + zstandard.decompress(packed), np.uint8).reshape(np.dtype(kind).itemsize, n)
+    return np.ascontiguousarray(planes.T).view(kind)[:, 0]
+
+
+def _pack_words(hashes: np.ndarray) -> tuple[bytes, bytes]:
+    different, place, n = np.unique(hashes, return_inverse=True, return_counts=True)
+    by_count = np.argsort(-n, kind="stable")
+    rank = np.empty(len(n), "<u4")
+    rank[by_count] = np.arange(len(n))
+    return different[by_count].astype("<u8").tobytes(), _planes(rank[place])[1]
+
+
+def _unpack_words(n: int, vocabulary: bytes, words: bytes) -> np.ndarray:
+    return np.frombuffer(vocabulary, "<u8")[_from_planes(n, "<u4", b"", words)]
 
 
 def _ngrams(words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -99,28 +116,24 @@ def _ngrams(words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, list[np
     return np.concatenate(grams), ends
 
 
-def _pack(sorted_hashes: np.ndarray) -> tuple[int, bytes]:
-    """Width of a step, and the steps between ascending hashes, the first from zero."""
+def _pack(sorted_hashes: np.ndarray) -> tuple[int, bytes, bytes]:
+    """How many there are, and the steps between ascending hashes, the first from zero."""
     steps = np.diff(sorted_hashes, prepend=np.uint64(0))
-    largest = int(steps.max()) if len(steps) else 0
-    width = next(w for w in (4, 6, 8) if largest < 1 << 8 * w)
-    return width, steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    return len(steps), *_planes(steps.astype("<u8"), RANDOM_BYTES)
 
 
-def _unpack(width: int, raw: bytes) -> np.ndarray:
-    steps = np.zeros((len(raw) // width, 8), np.uint8)
-    steps[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
-    return np.cumsum(steps.view("<u8")[:, 0], dtype=np.uint64)
+def _unpack(n: int, plain: bytes, packed: bytes) -> np.ndarray:
+    return np.cumsum(_from_planes(n, "<u8", plain, packed), dtype=np.uint64)
 
 
 def _pack_counts(counts: np.ndarray) -> tuple[bytes, bytes]:
-    """One byte each; 255 stands for the next of the larger ones."""
+    """One byte each, compressed; 255 stands for the next of the larger ones."""
     large = counts[counts >= 255]
-    return np.minimum(counts, 255).astype(np.uint8).tobytes(), large.astype("<u8").tobytes()
+    return zstandard.compress(np.minimum(counts, 255).astype(np.uint8).tobytes()), large.astype("<u8").tobytes()
 
 
 def _unpack_counts(small: bytes, large: bytes) -> np.ndarray:
-    out = np.frombuffer(small, np.uint8).astype(np.int64)
+    out = np.frombuffer(zstandard.decompress(small), np.uint8).astype(np.int64)
     out[out == 255] = np.frombuffer(large, "<u8").astype(np.int64)
     return out
 
@@ -128,33 +141,32 @@ def _unpack_counts(small: bytes, large: bytes) -> np.ndarray:
 def _asked(chunks: DataFrame, ranges: int) -> DataFrame:
     """The n-grams of each chunk and hash range with their counts in the chunk."""
     starts = np.array([-(-(r << BITS) // ranges) for r in range(ranges)], np.uint64)
-    names = ["part", "chunk", "width", "steps", "small", "large"]
+    names = ["part", "chunk", "n", "plain", "packed", "small", "large"]
 
     def count(batches):
         for batch in batches:
-            for chunk, sizes, blob in zip(*(batch.column(c) for c in ("chunk", "sizes", "texts"))):
-                grams, _ = _ngrams(*_words(sizes.as_py(), blob.as_py()))
+            for chunk, lengths, *words in zip(*(batch.column(c).to_pylist() for c in batch.schema.names)):
+                grams, _ = _ngrams(_unpack_words(*words), np.array(lengths, np.int64))
                 if not len(grams):
                     continue
                 different, n = np.unique(grams, return_counts=True)
                 cuts = np.append(np.searchsorted(different, starts), len(different))
                 rows = []
-                for part in range(ranges):
+                for part in np.flatnonzero(np.diff(cuts)).tolist():
                     held = slice(cuts[part], cuts[part + 1])
-                    if cuts[part] < cuts[part + 1]:
-                        rows.append((part, chunk.as_py(), *_pack(different[held] - starts[part]), *_pack_counts(n[held])))
+                    rows.append((part, chunk, *_pack(different[held] - starts[part]), *_pack_counts(n[held])))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 3))],
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 4))],
                     names=names)
 
-    return chunks.select("chunk", "sizes", "texts").mapInArrow(
-        count, "part int, chunk long, width int, steps binary, small binary, large binary")
+    return chunks.select("chunk", "lengths", "n_words", "vocabulary", "words").mapInArrow(
+        count, "part int, chunk long, n int, plain binary, packed binary, small binary, large binary")
 
 
 def _answered(asked: DataFrame) -> DataFrame:
     """For each chunk and hash range, the corpus counts of its n-grams, in ascending order of hash."""
     def add(frame):
-        hashes = [_unpack(w, s) for w, s in zip(frame["width"], frame["steps"])]
+        hashes = [_unpack(*steps) for steps in zip(frame["n"], frame["plain"], frame["packed"])]
         own = np.concatenate([_unpack_counts(a, b) for a, b in zip(frame["small"], frame["large"])])
         ends = np.cumsum([len(h) for h in hashes])
         every = np.concatenate(hashes)
@@ -205,16 +217,16 @@ def stupid_backoff(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     def score(left, right):
         out = []
-        for sizes, blob, ids in zip(left["sizes"], left["texts"], left["ids"]):
-            words, lengths = _words(sizes.tolist(), blob)
-            right = right.sort_values("part")
-            counts = [_unpack_counts(a, b) for a, b in zip(right["small"], right["large"])]
-            scores = chunk_scores(words, lengths, np.concatenate([np.zeros(0, np.int64), *counts]), n_corpus)
+        right = right.sort_values("part")
+        counts = np.concatenate([np.zeros(0, np.int64), *(_unpack_counts(a, b) for a, b in zip(right["small"], right["large"]))])
+        for ids, unknown, lengths, *words in left.drop(columns="chunk").itertuples(index=False):
+            scores = chunk_scores(_unpack_words(*words), lengths, counts, n_corpus)
             mean = [s / n if n else None for s, n in zip(scores.tolist(), lengths.tolist())]
-            out.append(pd.DataFrame({"id": pd.array(list(ids), "Int64"), "n_words": lengths, "log_score": scores,
+            out.append(pd.DataFrame({"id": pd.arrays.IntegerArray(ids.copy(), unknown.copy()), "n_words": lengths, "log_score": scores,
                                      "mean_log_score": pd.array(mean, "Float64")}))
         return pd.concat(out) if out else pd.DataFrame({"id": [], "n_words": [], "log_score": [], "mean_log_score": []})
 
-    scored = chunks.select("chunk", "ids", "sizes", "texts").groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInPandas(
+    left = chunks.select("chunk", "ids", "unknown", "lengths", "n_words", "vocabulary", "words")
+    scored = left.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInPandas(
         score, "id long, n_words long, log_score double, mean_log_score double")
     return scored.withColumnRenamed("id", id_col)
