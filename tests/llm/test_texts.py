@@ -290,14 +290,23 @@ def test_scores_of_odd_rows(odd_docs, no_docs):
     assert lm_scores.stupid_backoff(no_docs).count() == 0
 
 
-def test_words_pack_exactly_and_large_ids_stay_beside_unknown_ones(spark):
-    for words in ([7, 7, 2**64 - 1, 0, 7], [], list(range(70_000)) + [5]):
-        held = np.array(words, np.uint64)
-        assert (lm_scores._unpack_words(len(held), *lm_scores._pack_words(held)) == held).all()
+def test_large_ids_stay_beside_unknown_ones(spark):
     rows = spark.createDataFrame([(2**62 + 1, "a b"), (None, "a b c"), (2**62 + 3, None)], "doc_id long, text string").coalesce(1)
     assert {(r.doc_id, r.n_words) for r in lm_scores.stupid_backoff(rows).collect()} == {(2**62 + 1, 2), (None, 3), (2**62 + 3, 0)}
 
 
+def test_chunks_stay_where_they_are(spark, docs, monkeypatch):
+    want = {r.doc_id: r.log_score for r in lm_scores.stupid_backoff(docs).collect()}
+    before = {t.name for t in spark.catalog.listTables()}
+    monkeypatch.setattr(lm_scores, "CHUNK_BYTES", 20_000)  # many chunks a home
+    got = lm_scores.stupid_backoff(docs)
+    assert {r.doc_id: r.log_score for r in got.collect()} == pytest.approx(want)
+    assert {t.name for t in spark.catalog.listTables()} == before
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    left = plan[plan.index("FlatMapCoGroupsInPandas"):].split("Exchange")[0]
+    assert "Bucketed: true" in left  # no exchange between the stored texts and the scoring
+
+
 def test_counts_and_hashes_pack_exactly():
     counts = np.array([1, 254, 255, 256, 10**12, 0])
     assert (lm_scores._unpack_counts(*lm_scores._pack_counts(counts)) == counts).all()

@@ -11,7 +11,7 @@ and likewise from the bigram or unigram on for the first two words. A document's
 
 The relations are ``texts`` (document, text), exploded to ``ngrams`` (chunk, hash, n), and ``counts`` (hash, n), exact but for n-grams that
 share a 64-bit hash: among 4 * 10**9 different n-grams, one that no other document has is taken for seen with odds of 2 * 10**-10. A chunk is a
-few megabytes of documents, kept as places in the list of its words' hashes. A chunk's n-grams are counted before they move, so a phrase of every
+few megabytes of documents, stored in buckets where it was read. A chunk's n-grams are counted before they move, so a phrase of every
 document is one row per chunk; rows of a chunk and hash range travel packed in one cell, as steps between ascending hashes. Each hash range is summed in one task of bounded size, as
 the number of ranges follows the number of words, and joined to the rows that asked; the chunk gets back the counts of its own
 n-grams, in its own order, and sums them per document.
@@ -23,6 +23,7 @@ with a single document N' is 0 and counts as 1; a null id is kept; an empty tabl
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -35,11 +36,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.llm.shingles import folded_words, mix
-from tillhouse.session import settle
+from tillhouse.session import ensure_checkpoint_dir
 
 ORDER = 3
 BACKOFF = 0.4
 CHUNK_BYTES = 6 << 20
+CHUNKS_PER_HOME = 8
 NGRAMS_PER_RANGE = 4_000_000
 BITS = 64
 RANDOM_BYTES = 5  # lowest bytes of a step between hashes that no compression makes smaller
@@ -47,59 +49,50 @@ _MULTIPLIERS = np.random.default_rng(10).integers(1, 2**62, (ORDER + 1, ORDER),
 
 
 def _chunks(docs: DataFrame) -> DataFrame:
-    """One row per few megabytes of texts: chunk, ids and whether each is unknown, lengths (words of each text), n_words, vocabulary (hashes
-    of the chunk's words, the most frequent first) and words (the texts as places in it). Words are cut and hashed here and nowhere else."""
+    """One row per few megabytes of texts: home (the number of ``CHUNKS_PER_HOME`` neighbouring chunks), chunk, ids and whether each is unknown,
+    sizes (bytes of each text), n_words, texts (compressed). Stored in buckets by home, so that the counts come to the texts."""
     def pack(batches):
         task, number = TaskContext.get().partitionId(), 0
-        ids, lengths, hashes, size = [], [], [], 0
+        ids, texts, size = [], [], 0
 
         def close():
-            words = np.concatenate(hashes)
+            chunk, raw = task << 24 | number, [(t or "").encode() for t in texts]
             return pa.RecordBatch.from_arrays(
-                [pa.array([task << 24 | number], pa.int64()), pa.array([[i or 0 for i in ids]], pa.list_(pa.int64())),
-                 pa.array([[i is None for i in ids]], pa.list_(pa.bool_())), pa.array([lengths], pa.list_(pa.int64())),
-                 pa.array([len(words)], pa.int64()), *(pa.array([b], pa.binary()) for b in _pack_words(words))],
-                names=["chunk", "ids", "unknown", "lengths", "n_words", "vocabulary", "words"])
+                [pa.array([chunk // CHUNKS_PER_HOME], pa.int64()), pa.array([chunk], pa.int64()),
+                 pa.array([[i or 0 for i in ids]], pa.list_(pa.int64())), pa.array([[i is None for i in ids]], pa.list_(pa.bool_())),
+                 pa.array([[len(r) for r in raw]], pa.list_(pa.int64())), pa.array([sum(len(r.split()) for r in raw)], pa.int64()),
+                 pa.array([zstandard.compress(b"".join(raw), 6)], pa.binary())],
+                names=["home", "chunk", "ids", "unknown", "sizes", "n_words", "texts"])
 
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                each = [folded_words(t) for t in batch.column(1).to_pylist()]
                 ids += batch.column(0).to_pylist()
-                lengths += map(len, each)
-                hashes.append(np.array([xxhash.xxh3_64_intdigest(w) for words in each for w in words], np.uint64))
+                texts += batch.column(1).to_pylist()
                 size += pc.sum(pc.binary_length(batch.column(1))).as_py() or 0
                 if size >= CHUNK_BYTES:
                     yield close()
-                    number, ids, lengths, hashes, size = number + 1, [], [], [], 0
+                    number, ids, texts, size = number + 1, [], [], 0
         if ids:
             yield close()
 
-    return settle(docs.select("id", "text").mapInArrow(
-        pack, "chunk long, ids array<long>, unknown array<boolean>, lengths array<long>, n_words long, vocabulary binary, words binary"))
+    packed = docs.select("id", "text").mapInArrow(
+        pack, "home long, chunk long, ids array<long>, unknown array<boolean>, sizes array<long>, n_words long, texts binary")
+    spark, name = docs.sparkSession, f"chunks_{uuid.uuid4().hex}"
+    packed.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "home").format("parquet").option(
+        "path", f"{ensure_checkpoint_dir(spark).rstrip('/')}/settled-{name}").saveAsTable(name)
+    chunks = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # from the catalog; the files stay
+    return chunks
 
 
-def _planes(values: np.ndarray, raw: int = 0) -> tuple[bytes, bytes]:
-    """The bytes of whole numbers, all lowest ones first: the first ``raw`` of them as they are, the others compressed."""
-    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
-    return planes[:raw].tobytes(), zstandard.compress(planes[raw:].tobytes())
-
-
-def _from_planes(n: int, kind: str, plain: bytes, packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(plain + zstandard.decompress(packed), np.uint8).reshape(np.dtype(kind).itemsize, n)
-    return np.ascontiguousarray(planes.T).view(kind)[:, 0]
-
-
-def _pack_words(hashes: np.ndarray) -> tuple[bytes, bytes]:
-    different, place, n = np.unique(hashes, return_inverse=True, return_counts=True)
-    by_count = np.argsort(-n, kind="stable")
-    rank = np.empty(len(n), "<u4")
-    rank[by_count] = np.arange(len(n))
-    return different[by_count].astype("<u8").tobytes(), _planes(rank[place])[1]
-
-
-def _unpack_words(n: int, vocabulary: bytes, words: bytes) -> np.ndarray:
-    return np.frombuffer(vocabulary, "<u8")[_from_planes(n, "<u4", b"", words)]
+def _words(sizes, blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of a chunk, and how many each text has."""
+    raw = zstandard.decompress(blob)
+    ends = np.cumsum(np.array(sizes, np.int64))
+    each = [folded_words(raw[end - n:end].decode()) for n, end in zip(sizes, ends.tolist())]
+    hashes = np.array([xxhash.xxh3_64_intdigest(w) for words in each for w in words], np.uint64)
+    return hashes, np.array([len(words) for words in each], np.int64)
 
 
 def _ngrams(words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -116,14 +109,25 @@ def _ngrams(words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, list[np
     return np.concatenate(grams), ends
 
 
+def _planes(values: np.ndarray) -> tuple[bytes, bytes]:
+    """The bytes of whole numbers, all lowest ones first; the first ``RANDOM_BYTES`` as they are, the others compressed."""
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return planes[:RANDOM_BYTES].tobytes(), zstandard.compress(planes[RANDOM_BYTES:].tobytes())
+
+
+def _from_planes(n: int, plain: bytes, packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(plain + zstandard.decompress(packed), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).view("<u8")[:, 0]
+
+
 def _pack(sorted_hashes: np.ndarray) -> tuple[int, bytes, bytes]:
     """How many there are, and the steps between ascending hashes, the first from zero."""
     steps = np.diff(sorted_hashes, prepend=np.uint64(0))
-    return len(steps), *_planes(steps.astype("<u8"), RANDOM_BYTES)
+    return len(steps), *_planes(steps)
 
 
 def _unpack(n: int, plain: bytes, packed: bytes) -> np.ndarray:
-    return np.cumsum(_from_planes(n, "<u8", plain, packed), dtype=np.uint64)
+    return np.cumsum(_from_planes(n, plain, packed), dtype=np.uint64)
 
 
 def _pack_counts(counts: np.ndarray) -> tuple[bytes, bytes]:
@@ -145,8 +149,8 @@ def _asked(chunks: DataFrame, ranges: int) -> DataFrame:
 
     def count(batches):
         for batch in batches:
-            for chunk, lengths, *words in zip(*(batch.column(c).to_pylist() for c in batch.schema.names)):
-                grams, _ = _ngrams(_unpack_words(*words), np.array(lengths, np.int64))
+            for chunk, sizes, blob in zip(*(batch.column(c) for c in ("chunk", "sizes", "texts"))):
+                grams, _ = _ngrams(*_words(sizes.as_py(), blob.as_py()))
                 if not len(grams):
                     continue
                 different, n = np.unique(grams, return_counts=True)
@@ -159,7 +163,7 @@ def _asked(chunks: DataFrame, ranges: int) -> DataFrame:
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 4))],
                     names=names)
 
-    return chunks.select("chunk", "lengths", "n_words", "vocabulary", "words").mapInArrow(
+    return chunks.select("chunk", "sizes", "texts").mapInArrow(
         count, "part int, chunk long, n int, plain binary, packed binary, small binary, large binary")
 
 
@@ -217,16 +221,18 @@ def stupid_backoff(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     def score(left, right):
         out = []
-        right = right.sort_values("part")
-        counts = np.concatenate([np.zeros(0, np.int64), *(_unpack_counts(a, b) for a, b in zip(right["small"], right["large"]))])
-        for ids, unknown, lengths, *words in left.drop(columns="chunk").itertuples(index=False):
-            scores = chunk_scores(_unpack_words(*words), lengths, counts, n_corpus)
+        answers = {chunk: rows.sort_values("part") for chunk, rows in right.groupby("chunk")}
+        for chunk, ids, unknown, sizes, blob in zip(*(left[c] for c in ("chunk", "ids", "unknown", "sizes", "texts"))):
+            words, lengths = _words(sizes.tolist(), blob)
+            rows = answers.pop(chunk, right.iloc[:0])
+            counts = np.concatenate([np.zeros(0, np.int64), *(_unpack_counts(a, b) for a, b in zip(rows["small"], rows["large"]))])
+            scores = chunk_scores(words, lengths, counts, n_corpus)
             mean = [s / n if n else None for s, n in zip(scores.tolist(), lengths.tolist())]
-            out.append(pd.DataFrame({"id": pd.arrays.IntegerArray(ids.copy(), unknown.copy()), "n_words": lengths, "log_score": scores,
-                                     "mean_log_score": pd.array(mean, "Float64")}))
+            out.append(pd.DataFrame({"id": pd.arrays.IntegerArray(np.array(ids, np.int64), np.array(unknown, bool)), "n_words": lengths,
+                                     "log_score": scores, "mean_log_score": pd.array(mean, "Float64")}))
         return pd.concat(out) if out else pd.DataFrame({"id": [], "n_words": [], "log_score": [], "mean_log_score": []})
 
-    left = chunks.select("chunk", "ids", "unknown", "lengths", "n_words", "vocabulary", "words")
-    scored = left.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInPandas(
-        score, "id long, n_words long, log_score double, mean_log_score double")
+    left = chunks.select("home", "chunk", "ids", "unknown", "sizes", "texts").groupBy("home")
+    right = answered.withColumn("home", F.expr(f"chunk div {CHUNKS_PER_HOME}")).groupBy("home")
+    scored = left.cogroup(right).applyInPandas(score, "id long, n_words long, log_score double, mean_log_score double")
     return scored.withColumnRenamed("id", id_col)
