@@ -35,12 +35,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillhouse.llm.memory import small_batches, trim, trimmed
 from tillhouse.llm.shingles import folded_words, mix
 from tillhouse.session import ensure_checkpoint_dir
 
 ORDER = 3
 BACKOFF = 0.4
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 4 << 20
 CHUNKS_PER_HOME = 8
 NGRAMS_PER_RANGE = 4_000_000
 BITS = 64
@@ -77,7 +78,7 @@ def _chunks(docs: DataFrame) -> DataFrame:
             yield close()
 
     packed = docs.select("id", "text").mapInArrow(
-        pack, "home long, chunk long, ids array<long>, unknown array<boolean>, sizes array<long>, n_words long, texts binary")
+        trimmed(pack), "home long, chunk long, ids array<long>, unknown array<boolean>, sizes array<long>, n_words long, texts binary")
     spark, name = docs.sparkSession, f"chunks_{uuid.uuid4().hex}"
     packed.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "home").format("parquet").option(
         "path", f"{ensure_checkpoint_dir(spark).rstrip('/')}/settled-{name}").saveAsTable(name)
@@ -90,9 +91,9 @@ def _words(sizes, blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a chunk, and how many each text has."""
     raw = zstandard.decompress(blob)
     ends = np.cumsum(np.array(sizes, np.int64))
-    each = [folded_words(raw[end - n:end].decode()) for n, end in zip(sizes, ends.tolist())]
-    hashes = np.array([xxhash.xxh3_64_intdigest(w) for words in each for w in words], np.uint64)
-    return hashes, np.array([len(words) for words in each], np.int64)
+    each = [np.array([xxhash.xxh3_64_intdigest(w) for w in folded_words(raw[end - n:end].decode())], np.uint64)
+            for n, end in zip(sizes, ends.tolist())]
+    return np.concatenate([np.zeros(0, np.uint64), *each]), np.array([len(words) for words in each], np.int64)
 
 
 def _ngrams(words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -164,7 +165,7 @@ def _asked(chunks: DataFrame, ranges: int) -> DataFrame:
                     names=names)
 
     return chunks.select("chunk", "sizes", "texts").mapInArrow(
-        count, "part int, chunk long, n int, plain binary, packed binary, small binary, large binary")
+        trimmed(count), "part int, chunk long, n int, plain binary, packed binary, small binary, large binary")
 
 
 def _answered(asked: DataFrame) -> DataFrame:
@@ -182,6 +183,8 @@ def _answered(asked: DataFrame) -> DataFrame:
         out = np.empty(len(order), np.int64)
         out[order] = np.repeat(total, np.diff(np.append(first, len(every))))
         packed = [_pack_counts(c) for c in np.split(out, ends[:-1])]
+        del every, order, own, out, total, first
+        trim()
         return pd.DataFrame({"part": frame["part"], "chunk": frame["chunk"], "small": [p[0] for p in packed],
                              "large": [p[1] for p in packed]})
 
@@ -214,6 +217,7 @@ def stupid_backoff(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                    ngrams_per_range: int = NGRAMS_PER_RANGE) -> DataFrame:
     """One row per document: id_col, n_words, log_score, mean_log_score."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    small_batches(docs.sparkSession)
     chunks = _chunks(docs)
     n_corpus = chunks.agg(F.sum("n_words")).first()[0] or 0
     ranges = max(1, -(-ORDER * n_corpus // ngrams_per_range))
@@ -227,6 +231,8 @@ def stupid_backoff(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             rows = answers.pop(chunk, right.iloc[:0])
             counts = np.concatenate([np.zeros(0, np.int64), *(_unpack_counts(a, b) for a, b in zip(rows["small"], rows["large"]))])
             scores = chunk_scores(words, lengths, counts, n_corpus)
+            del words, counts
+            trim()
             mean = [s / n if n else None for s, n in zip(scores.tolist(), lengths.tolist())]
             out.append(pd.DataFrame({"id": pd.arrays.IntegerArray(np.array(ids, np.int64), np.array(unknown, bool)), "n_words": lengths,
                                      "log_score": scores, "mean_log_score": pd.array(mean, "Float64")}))
