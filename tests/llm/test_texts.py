@@ -39,6 +39,15 @@ def test_op3_base_columns(spark, folder, docs):
         assert not (found.base_failed and found.kept)
 
 
+def test_op3_rejects_low_quality_and_keeps_good_documents(spark):
+    folder = "/root/testdata/sf0.01"  # 28 low and 333 good labelled documents pass the fixed rules there
+    verdicts = queries.op3_quality_rules(spark, folder).where("NOT base_failed").join(
+        spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").groupBy("quality").pivot("kept", [True, False]).count()
+    found = {r.quality: (r["true"] or 0, r["false"] or 0) for r in verdicts.collect()}
+    assert found[1][0] > 300 and found[1][1] == 0
+    assert found[0][1] > 20 and found[0][0] <= 2
+
+
 def plain_mcd(x, support=quality.SUPPORT):
     """The same estimate in one place, with exact ranks."""
     p, floor = x.shape[1], np.diag(np.square(quality.FLOOR))
