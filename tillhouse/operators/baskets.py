@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.functions.columns import in_window
 from tillhouse.operators.slices import in_periods
-from tillhouse.session import settle
+from tillhouse.session import partitions, settle
 
 BASKET = ["store_id", "check_id"]
 PAIR = ["product_id", "supplier_id", "sub_product_id", "sub_supplier_id"]
@@ -43,7 +43,7 @@ def pair_counts(sales: DataFrame, block_lines: int = BLOCK_LINES, stored: bool =
     main = dealt.select(*BASKET, "product_id", "supplier_id", F.col("_block").alias("_row"), every.alias("_column"))
     sub = dealt.select(*BASKET, "product_id", "supplier_id", F.col("_block").alias("_column"), every.alias("_row"))
     # a fixed number of partitions: the few input rows would else be packed into few tasks
-    n = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions(lines.sparkSession)
     main, sub = main.repartition(n, *cells), sub.repartition(n, *cells)
     return _count(_pairs(small, small, BASKET).unionByName(_pairs(main, sub, cells)))
 
