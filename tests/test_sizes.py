@@ -1,0 +1,67 @@
+"""Tasks that stay small when the input grows."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tillhouse import session
+from tillhouse.plans import queries as Q
+from tillhouse.sources.extracts import changed_checks
+
+GIVEN = {
+    "region": [(0, "AFRICA"), (1, "AMERICA")], "nation": [(0, "ALGERIA", 0), (1, "PERU", 1)],
+    "customer": [(i, f"c{i}", i % 2, 1.0, "BUILDING") for i in range(1, 5)], "supplier": [(i, f"s{i}", 0, 1.0) for i in range(2)],
+    "part": [(i, f"p{i}", "b", "t", 1, 1.0) for i in range(4)],
+    "orders": [(i, 1 + i % 4, "F", 1.0, datetime(1996, 5, 1 + i), "1-URGENT") for i in range(20)],
+    "lineitem": [(i, (i + k) % 4, 0, k, 2.0, 10.0, 0.0, 0.1, "N", "O", datetime(1996, 6, 1 + i)) for i in range(20) for k in range(2)],
+}
+
+
+@pytest.fixture
+def folder(spark: SparkSession, tmp_path) -> str:
+    from tillhouse.plans.retail_views import GIVEN as COLUMNS
+
+    for name, rows in GIVEN.items():
+        spark.createDataFrame(rows, COLUMNS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_shuffles_start_with_more_partitions_on_larger_input(spark, folder, monkeypatch):
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    Q.QUERIES["latest_price"](spark, folder).collect()
+    assert session.partitions(spark) == own
+    monkeypatch.setattr(session, "PARTITION_BYTES", 200)
+    size = Q.Retail(spark, folder).size
+    rows = Q.QUERIES["latest_price"](spark, folder)
+    assert len(rows.collect()) == 4
+    assert session.partitions(spark) == -(-size // 200) > own
+    assert f"hashpartitioning(l_partkey" in (plan := rows._jdf.queryExecution().toString()) and f", {session.partitions(spark)})" in plan
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) == own
+    session.fit_partitions(spark, 0)
+
+
+def test_lines_of_all_branches_are_joined_once(spark, folder):
+    rows = Q.QUERIES["multi_source_checks"](spark, folder)
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 1
+    found = {(r["db_name"], r["check_id"], r["product_id"]) for r in rows.collect()}
+    assert found == {("AMERICA" if (1 + i % 4) % 2 else "AFRICA", i, (i + k) % 4) for i in range(20) for k in range(2)}
+
+
+def test_changes_of_branches_with_the_same_numbers_stay_apart(spark):
+    old, new = datetime(1995, 1, 1), datetime(1995, 3, 1)
+
+    def rows(names: str, *data: tuple) -> DataFrame:
+        return spark.createDataFrame(list(data), names)
+
+    check = rows("db_name string, check_id long, card_id long, check_date timestamp_ntz, payed boolean, payment_form int, modified_at timestamp",
+                 ("a", 1, 1, old, True, 1, old), ("b", 1, 2, old, True, 1, old), ("c", 1, 3, old, True, 1, old))
+    line = rows("db_name string, check_id long, product_id long, price double, cnt double, modified_at timestamp",
+                ("a", 1, 7, 1.0, 1.0, old), ("b", 1, 7, 2.0, 1.0, new), ("b", 1, 8, 2.0, 1.0, old), ("c", 1, 7, 3.0, 1.0, old))
+    product = rows("db_name string, product_id long, supplier_id long", ("a", 7, 1), ("b", 7, 2), ("b", 8, 2), ("c", 7, 3))
+    since = F.when(F.col("db_name") != "c", F.lit(datetime(1995, 2, 1)))
+    found = changed_checks(check, line, product, since, tags=("db_name",))
+    assert {(r["db_name"], r["card_id"], r["product_id"], r["supplier_id"]) for r in found.collect()} == {("b", 2, 7, 2), ("b", 2, 8, 2), ("c", 3, 7, 3)}
