@@ -65,3 +65,13 @@ def test_changes_of_branches_with_the_same_numbers_stay_apart(spark):
     since = F.when(F.col("db_name") != "c", F.lit(datetime(1995, 2, 1)))
     found = changed_checks(check, line, product, since, tags=("db_name",))
     assert {(r["db_name"], r["card_id"], r["product_id"], r["supplier_id"]) for r in found.collect()} == {("b", 2, 7, 2), ("b", 2, 8, 2), ("c", 3, 7, 3)}
+
+
+def test_small_broadcasts_hold_inside_only(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    with pytest.raises(ValueError), session.small_broadcasts(spark):
+        assert spark.conf.get(name) == str(1 << 20)
+        raise ValueError
+    assert spark.conf.get(name) == before
+    assert spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None
