@@ -36,6 +36,26 @@ def test_encoder_gives_the_librarys_ids(monkeypatch):
     assert max(map(len, encoder.known)) <= encoding.LONGEST_KEPT
 
 
+def test_encoder_looks_up_distinct_chunks_only():
+    class Counted(dict):
+        looked_up = 0
+
+        def get(self, *key):
+            self.looked_up += 1
+            return super().get(*key)
+
+        def __getitem__(self, key):
+            self.looked_up += 1
+            return super().__getitem__(key)
+
+    encoder = encoding.WordEncoder(PATH)
+    encoder.known = Counted()
+    texts = [f"The same {n % 7} words, again and again.\n" * 20 for n in range(300)] + [None, "", "\x1c \x0b"]
+    for text, raw in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(raw, "<u4").tolist() == plain_ids(text, 0)[:-1]
+    assert encoder.known.looked_up < 100
+
+
 def test_index_is_a_minimal_perfect_hash():
     keys = np.random.default_rng(1).choice(2**40, 5000, replace=False).astype(np.int64) - 2**39
     index = token_files.Index.load(token_files.Index.of(keys, {"start": keys * 3}).dump())
