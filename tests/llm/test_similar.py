@@ -1,14 +1,16 @@
 """Near-duplicate texts and vectors, and components."""
 
 import random
+import sys
 from collections import Counter
 
 import numpy as np
 import pytest
 
 import brute
-from tillhouse.llm import ngram_join, queries, vector_join
+from tillhouse.llm import memory, ngram_join, queries, vector_join
 from tillhouse.llm.components import components, star_edges
+from tillhouse.session import settle
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -25,6 +27,19 @@ def test_no_components(spark):
     assert components(spark.createDataFrame([(None, 1)], "a long, b long")).count() == 0
 
 
+def test_components_write_few_files(spark, monkeypatch):
+    steps = []
+    monkeypatch.setattr(sys.modules["tillhouse.llm.components"], "settle", lambda df: steps.append(settle(df)) or steps[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else these steps come in one partition anyhow
+    try:
+        got = components(spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long"))
+        assert got.where("component <> 0").count() == 0 and got.count() == 301
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = [len(step.inputFiles()) for step in steps]
+    assert len(files) > 3 and set(files) == {1}
+
+
 def test_star_edges():
     linked = np.zeros((6, 6), bool)
     for a, b in [(0, 3), (3, 5), (1, 2)]:
@@ -58,6 +73,25 @@ def test_similar_documents(spark, monkeypatch, size, percent, few, block):
     assert sum(x[2] for x in want.values()) > 500
 
 
+def test_whole_texts_go_in_small_batches(spark, monkeypatch):
+    sent, before = {}, spark.conf.get(memory.BATCH)
+
+    def noted(df):
+        sent[tuple(df.columns)] = int(spark.conf.get(memory.BATCH))
+        return settle(df)
+
+    monkeypatch.setattr(ngram_join, "settle", noted)
+    spark.conf.set(memory.BATCH, "7000")
+    try:
+        rows = [(1, "a b c d e f g h"), (2, "a b c d e f g h"), (3, "x")]
+        assert ngram_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).count() == 3
+        assert spark.conf.get(memory.BATCH) == "7000"
+    finally:
+        spark.conf.set(memory.BATCH, before)
+    with_texts = [n for columns, n in sent.items() if {"f0", "prefix"} <= set(columns) or columns == ("kind", "a", "b")]
+    assert with_texts == [memory.BATCH_ROWS] * 2 and sent["kind", "token", "a", "b", "n", "pos"] == 7000
+
+
 def test_op5_against_all_pairs(spark, folder, docs):
     want = brute.similar([(r.doc_id, r.text) for r in docs.collect()], 4, 85)
     got = queries.op5_ngram_join(spark, folder).collect()
