@@ -68,6 +68,25 @@ def test_each_distinct_text_is_cut_once(spark):
     assert {tuple(r) for r in groups.collect()} == {("en", "a"), ("en", "b"), ("fr", "a"), ("", "")}
 
 
+def test_counts_are_shuffled_once(spark):
+    texts = spark.createDataFrame([("en", "b a a", [("x", 2), ("y", 1)]), ("en", "A c", [("x", 1)]), ("fr", "a", [("x", 3)])],
+                                  "lang string, text string, copies array<struct<source string, n long>>")
+    kept = divergence.kept_counts(divergence.term_counts(texts), 3)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert {tuple(r) for r in kept.collect()} == {
+        ("en", "a", "x", 5, 7, 2), ("en", "a", "y", 2, 7, 2), ("en", "b", "x", 2, 3, 2), ("en", "b", "y", 1, 3, 2), ("fr", "a", "x", 3, 3, 1)}
+
+
+def test_groups_of_a_term_leave_a_task_side_by_side(spark):
+    rows = [("en", "u v w", [(s, 1)]) for s in "abc"] + [("fr", "u w", [(s, 2)]) for s in "ab"]
+    texts = spark.createDataFrame(rows, "lang string, text string, copies array<struct<source string, n long>>").coalesce(1)
+    counted = divergence.cut(texts).collect()
+    assert len(counted) == len({(r.lang, r.source, r.term) for r in counted}) == 13
+    names = [(r.lang, r.term) for r in counted]
+    assert len([i for i, name in enumerate(names) if i == 0 or names[i - 1] != name]) == len(set(names)) == 5
+
+
 def test_counts_beyond_64_bits_of_product(spark):
     from pyspark.sql import functions as F
     big = 10**13

@@ -3,7 +3,8 @@
 1. ``collapse``: identical texts of a language become one row that lists the sources with their numbers of copies. Copies are counted by
    digest, and each distinct text is moved once.
 2. ``term_counts``: each distinct text is cut into terms once; its counts are weighted by the copies of each source, and its
-   document frequencies by all copies. Counts are added up in the task before they are shuffled.
+   document frequencies by all copies. Counts are added up in the task and shuffled once, by language and term, so the next step finds
+   all groups of a term together. A task hands on the groups of a term side by side, which compresses well.
 3. ``kept_counts``: the terms in at least ``least`` documents of their language, with the number of each group that has them. A group is a
    (lang, source).
 4. ``pair_values``: the sum over all kept terms, without a row for a term that a group lacks. With z(g) the
@@ -26,7 +27,10 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from itertools import groupby
+from operator import itemgetter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,8 +57,8 @@ def collapse(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", so
     return texts.join(listed.hint("merge"), ["lang", "digest"]).select("lang", "text", "copies"), groups
 
 
-def term_counts(texts: DataFrame) -> DataFrame:
-    """(lang, source, term, n occurrences, n_docs) from collapsed texts."""
+def cut(texts: DataFrame) -> DataFrame:
+    """(lang, source, term, n occurrences, n_docs) from collapsed texts, as added up in each task."""
     out = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("n_docs", pa.int64())])
 
     def count(batches):
@@ -62,15 +66,20 @@ def term_counts(texts: DataFrame) -> DataFrame:
         held = 0
 
         def hand_on():
-            for (lang, source), (n, docs) in found.items():
-                terms = list(n)
-                for at in range(0, len(terms), 50_000):
-                    some = terms[at:at + 50_000]
+            for lang, keys in groupby(sorted(found), itemgetter(0)):
+                own = [(key[1], *found.pop(key)) for key in keys]
+                sources = pa.array([source for source, _, _ in own], pa.string())
+                source = np.repeat(np.arange(len(own)), [len(n) for _, n, _ in own])
+                terms = pa.array([t for _, n, _ in own for t in n], pa.large_binary())
+                n_all = np.fromiter((c for _, n, _ in own for c in n.values()), np.int64, len(terms))
+                n_docs = np.fromiter((docs[t] for _, n, docs in own for t in n), np.int64, len(terms))
+                order = np.argsort(terms.dictionary_encode().indices.to_numpy(), kind="stable")
+                for at in range(0, len(order), 50_000):
+                    some = order[at:at + 50_000]
                     yield pa.RecordBatch.from_pydict({
-                        "lang": pa.array([lang] * len(some)), "source": pa.array([source] * len(some)),
-                        "term": pa.array(some, pa.binary()).cast(pa.string()),
-                        "n": [n[t] for t in some], "n_docs": [docs[t] for t in some]}, schema=out)
-            found.clear()
+                        "lang": pa.array([lang] * len(some)), "source": sources.take(pa.array(source[some])),
+                        "term": terms.take(pa.array(some)).cast(pa.binary()).cast(pa.string()),
+                        "n": n_all[some], "n_docs": n_docs[some]}, schema=out)
 
         for batch in batches:
             for lang, text, copies in zip(*batch.columns):
@@ -91,15 +100,20 @@ def term_counts(texts: DataFrame) -> DataFrame:
                         held = 0
         yield from hand_on()
 
-    counted = texts.select("lang", "text", "copies").mapInArrow(count, "lang string, source string, term string, n long, n_docs long")
-    return counted.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
+    return texts.select("lang", "text", "copies").mapInArrow(count, "lang string, source string, term string, n long, n_docs long")
+
+
+def term_counts(texts: DataFrame) -> DataFrame:
+    """(lang, term, source, n occurrences, n_docs) from collapsed texts, a row per term of a group."""
+    return cut(texts).repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
 
 
 def kept_counts(counts: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
     """(lang, term, source, n, n_lang, n_groups): the kept terms of each group, with the term's count in the language and the number of groups that have it."""
-    per_term = counts.groupBy("lang", "term").agg(
-        F.sum("n").alias("n_lang"), F.sum("n_docs").alias("_docs"), F.count("*").alias("n_groups")).where(F.col("_docs") >= least)
-    return counts.drop("n_docs").join(per_term.drop("_docs"), ["lang", "term"])
+    groups = Window.partitionBy("lang", "term")
+    summed = counts.select("lang", "term", "source", "n", F.sum("n").over(groups).alias("n_lang"), F.sum("n_docs").over(groups).alias("_docs"),
+                           F.count("*").over(groups).alias("n_groups"))
+    return summed.where(F.col("_docs") >= least).drop("_docs")
 
 
 def share(n: Column, total: Column, terms: Column) -> Column:
@@ -125,7 +139,7 @@ def audit(docs: DataFrame, *, least: int = LEAST_DOCUMENTS, top: int = TOP_TERMS
     """(lang, source, part, item, value, rank): part ``pair`` has the distance to each other source of the language, part ``term`` the
     ``top`` terms that the source has more often than its language."""
     texts, groups = collapse(docs)
-    kept = settle(kept_counts(settle(term_counts(texts)), least))
+    kept = settle(kept_counts(term_counts(texts), least))
     groups = shares_of_groups(settle(groups), kept)
     listed = term_values(kept, groups, top).unionByName(pair_values(kept, groups))
     return listed.select("lang", "source", "part", "item", "value", "rank")
