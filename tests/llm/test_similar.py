@@ -108,6 +108,33 @@ def test_similar_documents_of_odd_rows(spark, odd_docs, no_docs):
     assert ngram_join.similar_documents(no_docs).count() == 0
 
 
+def test_only_texts_of_candidates_are_shuffled(spark):
+    docs = spark.range(5000).selectExpr("id", "'text ' || id AS text").unionByName(spark.createDataFrame([(None, "no id")], "id long, text string"))
+    some = spark.range(0, 5000, 100).selectExpr("id")
+    found = [r.id for r in ngram_join._likely(docs, some, 50).collect()]
+    assert len(found) == len(set(found)) < 150 and set(range(0, 5000, 100)) <= set(found)
+    assert ngram_join._likely(docs, some.limit(0), 0).count() == 0
+
+
+def test_sketch_counts_in_few_bytes(spark):
+    """Counters above what one byte, or two, can hold."""
+    docs = spark.range(70_300).selectExpr("cast(null as long) AS id", "CASE WHEN id < 300 THEN 'a b c d' WHEN id < 70000 THEN 'e f g h' ELSE 'i' || id END AS text")
+    bits = 12
+    want = np.zeros(1 << bits, np.int64)
+    for text, n in [("a b c d", 300), ("e f g h", 69_700), *((f"i{k}", 1) for k in range(70_000, 70_300))]:
+        want[(ngram_join.shingle_set(text, 4) >> np.uint64(64 - bits)).astype(np.int64)] += n
+    assert ngram_join._sketch(docs.coalesce(1), 4, bits).tolist() == ngram_join._sketch(docs.repartition(3), 4, bits).tolist() == want.tolist()
+
+
+def test_intermediate_rows_are_deleted(spark, monkeypatch):
+    steps = []
+    monkeypatch.setattr(ngram_join, "settle", lambda df: steps.append(settle(df)) or steps[-1])
+    got = ngram_join.similar_documents(spark.createDataFrame([(1, "a b c d e"), (2, "a b c d e"), (3, "x"), (None, "x")], "doc_id long, text string"))
+    with_prefix = [s.settled_in for s in steps if "prefix" in s.columns]
+    assert len(with_prefix) == 1 and not spark._jvm.java.io.File(with_prefix[0].removeprefix("file:")).exists()
+    assert sorted((r.doc_id or 0, r.component_id or 0, r.n_links) for r in got.collect()) == [(0, 0, 0), (1, 1, 1), (2, 1, 1), (3, 3, 0)]
+
+
 def test_shared_counts(monkeypatch):
     monkeypatch.setattr(ngram_join, "COLUMNS_AT_ONCE", 3)
     draw = random.Random(1)

@@ -75,3 +75,21 @@ def test_small_broadcasts_hold_inside_only(spark):
         raise ValueError
     assert spark.conf.get(name) == before
     assert spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None
+
+
+def shuffle_files(spark: SparkSession) -> int:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+
+def test_settled_rows_leave_no_shuffles_and_can_be_let_go(spark):
+    before = shuffle_files(spark)
+    rows = spark.range(1000).repartition(4, "id")  # held, so that no collection of garbage deletes its shuffle
+    settled = session.settle(rows)
+    assert shuffle_files(spark) <= before and settled.count() == 1000
+    assert rows.count() == rows.count() == 1000
+    folder = spark._jvm.java.io.File(settled.settled_in.removeprefix("file:"))
+    assert folder.exists()
+    session.let_go(settled)
+    assert not folder.exists()
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
