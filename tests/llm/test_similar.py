@@ -200,3 +200,42 @@ def test_odd_vectors(spark):
     assert all(v == (0, i, True) for i, v in got.items()) and len(got) == 9
     assert vector_join.similar_vectors(df.limit(0)).count() == 0
     assert vector_join.similar_vectors(df.where("vec_id > 3 AND vec_id < 10")).count() == 6
+
+
+def test_a_round_sends_each_vector_once(spark):
+    dealt = spark.range(60).selectExpr("id", "CASE WHEN id < 50 THEN 1 ELSE 2 END AS label", "CASE WHEN id < 50 THEN 5 ELSE 2 END AS n_parts").selectExpr(
+        "*", "cast(id % n_parts as int) AS part")
+    met = Counter()
+    for number in range(5):
+        sent = vector_join._round(dealt, number).collect()
+        assert len(sent) == len({r.id for r in sent}) <= 60
+        met.update({(r.label, r.low, r.high) for r in sent})
+    assert met == Counter((label, a, b) for label, n in ((1, 5), (2, 2)) for a in range(n) for b in range(a, n))
+
+
+def test_vectors_are_not_shuffled_by_cell(spark, monkeypatch):
+    """Every vector of one label is near all others, so each has places in many cells."""
+    sent, wide, go = [], vector_join._round, vector_join.let_go
+    monkeypatch.setattr(vector_join, "_round", lambda dealt, number: sent.append(wide(dealt, number).count()) or wide(dealt, number))
+    monkeypatch.setattr(vector_join, "let_go", lambda *frames: sent.append("let go") or go(*frames))
+    rows = [(i, [1.0, i / 1000, 0.0, 0.0], 1) for i in range(90)]
+    got = vector_join.similar_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), most=40).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(89, 0)}
+    assert sent == [90] * 3 + ["let go"]
+
+
+def test_zeros_of_either_sign_are_equal_vectors(spark):
+    rows = spark.createDataFrame([(1, [0.0, 1.0], 1), (2, [-0.0, 1.0], 1), (3, [1.0, -0.0], 1)], "id long, vector array<double>, label int")
+    usable = vector_join._usable(rows)
+    different = settle(vector_join._unit_rows(usable))
+    assert different.count() == 2
+    for given in (different, different.withColumn("print", different["copies"] * 0)):  # as if two shared a hash
+        assert sorted(vector_join._same(usable, given).collect()) == [(1, 1, 2), (2, 1, 2), (3, 3, 1)]
+
+
+def test_join_of_pairs():
+    draw = np.random.default_rng(3)
+    root, pairs = np.arange(200), draw.integers(0, 200, (2, 130))
+    for at in range(0, 130, 50):
+        vector_join._join(root, *pairs[:, at:at + 50])
+    assert dict(enumerate(root.tolist())) == brute.reach(set(range(200)), [tuple(p) for p in pairs.T.tolist()])

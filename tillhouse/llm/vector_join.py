@@ -8,11 +8,13 @@ within that block's share of d, which is proportional to its share of the coordi
 * the block's two strongest coordinates are cut into cells twice as wide as the block's radius;
 * a vector is *home* in its cell and *visits* the cells whose box lies within the radius, at most nine and mostly one to four;
 * in a cell, homes and visitors are compared by the block's squared distance, and the candidates of all blocks are
-  verified by the cosine of the original vectors in double precision. A pair counts in the first block that finds it.
+  verified by the cosine of the original vectors in double precision.
 
-Cells with more than ``BLOCK`` homes or visitors are dealt into pairs of blocks of rows, so no task holds a whole
-cell, however dense. A task reports, for its homes, how many vectors they link with, and a spanning forest of the links;
-pairs are never written out. Equal vectors of a label are one vector with a weight.
+A vector has some forty places in cells, so cells are made where vectors already are together and are never shuffled. The vectors of a label
+are dealt to parts of ``BLOCK`` at most, and each two parts, or a part with itself, meet in one task. They meet in rounds, in each of which a part has
+one partner: a round shuffles every vector once and deletes that shuffle when it has ended, so disk grows with the vectors and not with
+the number of pairs of parts. A task reports how many vectors each of its vectors links with, and a spanning forest of the links; pairs are never written
+out. Equal vectors of a label are one vector with a weight.
 
 Defined results: a null, empty, zero vector, one with a null or non-finite component, of a null label, or with a null id, links
 with nothing and is its own component; vectors of different lengths never link; rows that share an id are one vertex; an
@@ -22,27 +24,42 @@ empty table gives no rows. Rounding is covered by ``SLACK`` on every squared dis
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.llm.components import components, star_edges
-from tillhouse.session import settle
+from tillhouse.llm.components import components
+from tillhouse.session import let_go, settle
 
 BLOCKS = 8
-BLOCK = 1024
+BLOCK = 16_384  # vectors of a part
+VALUES = 1 << 20  # numbers of a part's vectors
+HOMES = 256
+PAIRS = 1 << 16
 SLACK = 1e-9
 
 
-def _unit_rows(vectors: DataFrame) -> DataFrame:
-    """One row per different usable vector of a label: id (the least), copies, label, vector."""
+def _usable(vectors: DataFrame) -> DataFrame:
+    """Vectors that can link, with ``print``: a hash that equal vectors share, whatever the sign of their zeros."""
     fine = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     some = F.exists("vector", lambda v: v != 0)
     usable = vectors.where(F.col("id").isNotNull() & F.col("label").isNotNull() & (F.size("vector") > 0) & fine & some)
-    return usable.groupBy("label", "vector").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+    return usable.withColumn("print", F.xxhash64(F.transform("vector", lambda v: F.when(v == 0, F.abs(v)).otherwise(v))))
+
+
+def _unit_rows(usable: DataFrame) -> DataFrame:
+    """One row per different usable vector of a label: id (the least), copies, label, vector, print."""
+    return usable.groupBy("label", "vector").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("print").alias("print"))
+
+
+def _same(usable: DataFrame, different: DataFrame) -> DataFrame:
+    """id, first (the least id of the equal vectors), copies. Joined by the narrow hash, unless two different vectors of a label share one."""
+    alone = different.groupBy("label", "print").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+    key = ["label", "print" if alone else "vector"]
+    return usable.select(*key, "id").join(different.select(*key, F.col("id").alias("first"), "copies"), key).select("id", "first", "copies")
 
 
 def _rotation(rows: DataFrame, size: int) -> np.ndarray:
@@ -80,111 +97,118 @@ def block_columns(size: int, blocks: int) -> list[np.ndarray]:
     return [c for c in (np.arange(size)[k::blocks] for k in range(blocks)) if len(c)]
 
 
-def _cells(rows: DataFrame, size: int, rotation: np.ndarray, budget: float, blocks: int, names: list[str]) -> DataFrame:
-    """Columns ``names`` of ``rows`` for each block and cell they are home in or visit: block, cell_x, cell_y, home."""
-    columns = block_columns(size, blocks)
-
-    def place(batches):
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
-                turned = turn(_matrix(batch.column("vector"), size), rotation)
-                for number, held in enumerate(columns):
-                    radius = math.sqrt(budget * len(held) / size) + SLACK
-                    width = 2 * radius
-                    x = turned[:, held[0]] / width
-                    y = turned[:, held[1]] / width if len(held) > 1 else np.zeros(len(x))
-                    for dx in (-1, 0, 1):
-                        for dy in (-1, 0, 1):
-                            cx, cy = np.floor(x) + dx, np.floor(y) + dy
-                            gap_x = np.maximum(0, np.maximum(cx - x, x - cx - 1)) * width
-                            gap_y = np.maximum(0, np.maximum(cy - y, y - cy - 1)) * width
-                            near = np.flatnonzero(gap_x * gap_x + gap_y * gap_y <= radius * radius + SLACK)
-                            if len(near):
-                                few = batch.take(pa.array(near))
-                                n = len(near)
-                                yield pa.RecordBatch.from_arrays(
-                                    [*(few.column(c) for c in names), pa.array(np.full(n, number, np.int32)),
-                                     pa.array(cx[near].astype(np.int64)), pa.array(cy[near].astype(np.int64)),
-                                     pa.array(np.full(n, dx == 0 and dy == 0))],
-                                    names=[*names, "block", "cell_x", "cell_y", "home"])
-
-    kept = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in names)
-    return rows.select("id", "copies", "label", "vector").mapInArrow(
-        place, f"{kept}, block int, cell_x long, cell_y long, home boolean")
-
-
-def _links(rows: DataFrame, size: int, least: float, blocks: int, most: int) -> DataFrame:
-    """kind 0: an edge (a, b); kind 1: vector a links with b vectors more."""
+def _homes(x: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
+    """A block's two strongest coordinates in widths of a cell, and the cell that each row is home in."""
+    x = np.column_stack([x[:, 0], x[:, 1] if x.shape[1] > 1 else np.zeros(len(x))]) / (2 * radius)
+    return x, np.floor(x).astype(np.int64)
+
+
+def _visitors(x: np.ndarray, radius: float) -> dict[tuple[int, int], np.ndarray]:
+    """The rows that each cell holds: those at home in it and those that visit it."""
+    x, home = _homes(x, radius)
+    cells, rows = [], []
+    for dx in (-1, 0, 1):
+        for dy in (-1, 0, 1):
+            cell = home + (dx, dy)
+            gap = np.maximum(0, np.maximum(cell - x, x - cell - 1)) * 2 * radius
+            near = np.flatnonzero((gap * gap).sum(1) <= radius * radius + SLACK)
+            cells.append(cell[near])
+            rows.append(near)
+    cells, rows = np.concatenate(cells), np.concatenate(rows)
+    order = np.lexsort((rows, cells[:, 1], cells[:, 0]))
+    cells, rows = cells[order], rows[order]
+    at = np.flatnonzero(np.append(True, (cells[1:] != cells[:-1]).any(1)))
+    return {tuple(c): part for c, part in zip(cells[at].tolist(), np.split(rows, at[1:]))}
+
+
+class Block:
+    """One block's cells for the vectors that meet in a task: ``home`` and ``row`` are their numbers, ``order`` the homes by cell."""
+
+    def __init__(self, x: np.ndarray, home: np.ndarray, row: np.ndarray, radius: float):
+        self.x, self.row, self.square = x, row, (x * x).sum(1)
+        self.cell = _homes(x, radius)[1]
+        self.visitors = _visitors(x[row], radius)
+        self.order = home[np.lexsort(self.cell[home].T)]
+
+    def mark(self, candidate: np.ndarray, h: np.ndarray, most: float) -> None:
+        """Set where the homes ``h`` and a row of their cell are near in this block."""
+        at = np.lexsort(self.cell[h].T)
+        cells = self.cell[h[at]]
+        for some in np.split(at, np.flatnonzero((cells[1:] != cells[:-1]).any(1)) + 1):
+            seen = self.visitors.get(tuple(self.cell[h[some[0]]].tolist()))
+            if seen is not None:
+                x, y = h[some], self.row[seen]
+                i, j = np.nonzero(self.square[x][:, None] + self.square[y][None] - 2 * (self.x[x] @ self.x[y].T) <= most)
+                candidate[some[i], seen[j]] = True
+
+
+def _join(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Give the components of the pairs (i, j) one root, the least number in them. ``root`` leads from each number to its root."""
+    while True:
+        low, high = np.minimum(root[i], root[j]), np.maximum(root[i], root[j])
+        apart = low != high
+        if not apart.any():
+            return
+        np.minimum.at(root, high[apart], low[apart])
+        while (root[root] != root).any():
+            root[:] = root[root]
+
+
+def _round(dealt: DataFrame, number: int) -> DataFrame:
+    """The vectors with the pair of parts (low, high) in which each one's part meets its partner of this round. Each two of a label's n_parts
+    parts, and each part with itself, are partners in one round."""
+    other = F.pmod(F.lit(number) - F.col("part"), F.col("n_parts"))
+    return dealt.where(F.col("n_parts") > number).withColumns({"low": F.least("part", other), "high": F.greatest("part", other)}).drop("n_parts")
+
+
+def _links(rows: DataFrame, size: int, least: float, blocks: int, most: int) -> list[DataFrame]:
+    """kind 0: an edge (a, b); kind 1: vector a links with b vectors more. Written round by round."""
     budget = 2 * (1 - least) + SLACK
     rotation = _rotation(rows, size)
     columns = block_columns(size, blocks)
-    rows = rows.where(F.size("vector") == size)
-    key = ["label", "block", "cell_x", "cell_y"]
-    sizes = settle(_cells(rows, size, rotation, budget, blocks, ["label"]).groupBy(*key).agg(F.count("*").alias("n_rows"), F.sum(F.col("home").cast("long")).alias("homes")))
-    sizes = sizes.where("homes > 0 AND n_rows > 1").select(
-        *key, F.ceil(F.col("homes") / most).cast("int").alias("home_parts"),
-        F.ceil(F.col("n_rows") / most).cast("int").alias("parts"))
-    cells = _cells(rows, size, rotation, budget, blocks, ["id", "copies", "label", "vector"])
-    held = cells.join(sizes, key)
-    # as a home in one part of the homes against every part of the rows, as a row the other way round
-    as_home = held.where("home").withColumns({
-        "home_part": F.pmod(F.hash("id"), F.col("home_parts")),
-        "part": F.explode(F.sequence(F.lit(0), F.col("parts") - 1)), "role": F.lit(True)})
-    as_row = held.withColumns({
-        "part": F.pmod(F.hash("id"), F.col("parts")),
-        "home_part": F.explode(F.sequence(F.lit(0), F.col("home_parts") - 1)), "role": F.lit(False)})
-    both = as_home.unionByName(as_row).drop("home", "home_parts", "parts")
-
-    def compare(frame):
-        vectors = np.array(frame["vector"].tolist(), float)
+    radius = [math.sqrt(budget * len(held) / size) + SLACK for held in columns]
+    rows = rows.where(F.size("vector") == size).select("id", "copies", "label", "vector")
+    most = max(1, min(most, VALUES // size))
+    large = settle(rows.groupBy("label").agg(F.ceil(F.count("*") / most).cast("int").alias("n_parts")).where("n_parts > 1"))  # fewer than one row per ``most``
+    rounds = large.agg(F.max("n_parts")).first()[0] or 1
+    dealt = rows.join(F.broadcast(large), "label", "left").withColumn("n_parts", F.coalesce("n_parts", F.lit(1)))
+    dealt = dealt.withColumn("part", F.pmod(F.hash("id"), F.col("n_parts")))
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by("id")
+        ids, copies, part = (table.column(c).to_numpy() for c in ("id", "copies", "part"))
+        vectors = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, size)
         # by a power of two, which rounds nothing, so that squares neither overflow nor vanish
         scaled = np.ldexp(vectors, -np.frexp(np.abs(vectors).max(1, keepdims=True))[1])
-        unit = scaled / np.sqrt((scaled * scaled).sum(1))[:, None]
-        turned, number = turn(unit, rotation), int(frame["block"].iloc[0])
-        ids, copies, role = frame["id"].to_numpy(), frame["copies"].to_numpy(), frame["role"].to_numpy()
-        home, row = np.flatnonzero(role), np.flatnonzero(~role)
-        out = []
-        low_ids, high_ids = [], []
-        for at in range(0, len(home), 256):
-            h = home[at:at + 256]
-            candidate = None
-            for k in range(number, -1, -1):  # near in this block, and in no earlier one
-                square = np.zeros((len(h), len(row)))
-                for c in columns[k]:
-                    square += np.square(turned[h, c][:, None] - turned[row, c][None])
-                near = square <= budget * len(columns[k]) / size + SLACK
-                candidate = near if k == number else candidate & ~near
-                if not candidate.any():
-                    break
-            i, j = np.nonzero(candidate & (ids[h][:, None] != ids[row][None]))
-            if not len(i):
-                continue
-            x, y = scaled[h[i]], scaled[row[j]]
-            cosine = (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1)))
-            linked = cosine >= least
-            i, j = i[linked], j[linked]
-            n_links = np.bincount(i, copies[row[j]], len(h)).astype(np.int64)
-            out.append(np.stack([ids[h], n_links])[:, n_links > 0])
-            low_ids.append(ids[h[i]])
-            high_ids.append(ids[row[j]])
-        a = np.concatenate([np.zeros(0, np.int64), *low_ids])
-        b = np.concatenate([np.zeros(0, np.int64), *high_ids])
-        a, b = _forest(a, b)
-        counts = np.concatenate([np.zeros((2, 0), np.int64), *out], axis=1)
-        return pd.DataFrame({"kind": np.repeat([0, 1], [len(a), counts.shape[1]]).astype(np.int32),
-                             "a": np.concatenate([a, counts[0]]), "b": np.concatenate([b, counts[1]])})
-
-    return both.groupBy(*key, "home_part", "part").applyInPandas(compare, "kind int, a long, b long")
-
-
-def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Star edges of the components of an edge list that a task holds."""
-    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-    linked = np.zeros((len(ids), len(ids)), bool)
-    x, y = at[:len(a)], at[len(a):]
-    linked[x, y] = linked[y, x] = True
-    return star_edges(ids, linked)
+        norm = np.sqrt((scaled * scaled).sum(1))
+        turned = turn(scaled / norm[:, None], rotation)
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        home, row = np.flatnonzero(part == low), np.flatnonzero(part == high)
+        n_links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
+        if len(home) and len(row):
+            held = [Block(turned[:, c], home, row, r) for c, r in zip(columns, radius)]
+            home = held[0].order
+            for at in range(0, len(home), HOMES):
+                h = home[at:at + HOMES]
+                candidate = np.zeros((len(h), len(row)), bool)
+                for block, c in zip(held, columns):
+                    block.mark(candidate, h, budget * len(c) / size + SLACK)
+                every_i, every_j = np.nonzero(candidate)
+                for start in range(0, len(every_i), PAIRS):
+                    i, j = h[every_i[start:start + PAIRS]], row[every_j[start:start + PAIRS]]
+                    i, j = i[ids[i] != ids[j]], j[ids[i] != ids[j]]
+                    linked = (scaled[i] * scaled[j]).sum(1) / (norm[i] * norm[j]) >= least
+                    i, j = i[linked], j[linked]
+                    np.add.at(n_links, i, copies[j])
+                    if low != high:  # within a part, each vector is a home
+                        np.add.at(n_links, j, copies[i])
+                    _join(root, i, j)
+        a, b = ids[root], ids
+        edge, some = np.flatnonzero(a != b), np.flatnonzero(n_links)
+        return pa.table({"kind": pa.array(np.repeat([0, 1], [len(edge), len(some)]).astype(np.int32)),
+                         "a": np.concatenate([a[edge], ids[some]]), "b": np.concatenate([b[edge], n_links[some]])})
+
+    return [settle(_round(dealt, t).groupBy("label", "low", "high").applyInArrow(compare, "kind int, a long, b long").hint("rebalance")) for t in range(rounds)]
 
 
 def similar_vectors(vectors: DataFrame, *, least: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -195,18 +219,16 @@ def similar_vectors(vectors: DataFrame, *, least: float = 0.98, id_col: str = "v
                           F.col(vector_col).alias("vector"))
     if rows.schema["vector"].dataType.simpleString() not in ("array<float>", "array<double>"):
         rows = rows.withColumn("vector", F.col("vector").cast("array<double>"))
-    different = settle(_unit_rows(rows))
+    usable = _usable(rows)
+    different = settle(_unit_rows(usable))
     sizes = [r.size for r in different.select(F.size("vector").alias("size")).distinct().collect()]  # dimensions in use
-    same = rows.join(different.select("label", "vector", F.col("id").alias("first"), "copies"), ["label", "vector"])
-    same = settle(same.where("id IS NOT NULL").select("id", "first", "copies"))
+    same = settle(_same(usable, different))
     edges = same.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    found = None
-    for size in sorted(sizes):
-        part = _links(different, size, least, blocks, most)
-        found = part if found is None else found.unionByName(part)
+    rounds = [found for size in sorted(sizes) for found in _links(different, size, least, blocks, most)]
+    let_go(different)
     links = None
-    if found is not None:
-        found = settle(found)
+    if rounds:
+        found = reduce(DataFrame.unionByName, rounds)
         edges = edges.unionByName(found.where("kind = 0").select("a", "b"))
         links = found.where("kind = 1").groupBy(F.col("a").alias("first")).agg(F.sum("b").alias("more"))
     labels = components(edges)
