@@ -1,5 +1,6 @@
 """Branch groups, pulls without a window, incremental pair counts, bucketed tables, key bitmaps."""
 
+import os
 import random
 from collections import Counter
 from datetime import datetime, timedelta
@@ -14,7 +15,9 @@ from tillhouse.operators import generate as G
 from tillhouse.operators.upsert import stamp
 from tillhouse.plans import jobs
 from tillhouse.schemas import CHECK_EXTRACT
+from tillhouse.session import ensure_checkpoint_dir
 from tillhouse.sources.buckets import open_bucketed, write_bucketed
+from tillhouse.sources.extracts import changed_checks
 
 NOW, LATER = datetime(2017, 6, 1), datetime(2018, 6, 1)
 TAGGED = T.StructType(CHECK_EXTRACT.fields + [T.StructField("db_name", T.StringType())])
@@ -172,3 +175,24 @@ def test_baskets_are_drawn_like_samples_without_replacement(spark):
     pairs = Counter(pair for products in by_check.values() for pair in combinations(sorted(products), 2))
     mean = sum(pairs.values()) / (total * (total - 1) / 2)
     assert sum((pairs[p] - mean) ** 2 / mean for p in combinations(range(total), 2)) < 2100  # 1,769 degrees
+
+
+def test_a_pull_in_rounds_leaves_no_copies(spark, tmp_path, monkeypatch):
+    warehouse = warehouse_of(spark, f"{tmp_path}/w", [1, 2])
+    east = jobs.branch_store(spark, f"{tmp_path}/east")
+    east.append("product", stamp(warehouse.read("product"), NOW))
+    sold = [(1 + c % 2, c, float(c), 2.0) for c in range(1, 10)] + [(2, 2, 1.0, 1.0)]
+    folder, rounds = ensure_checkpoint_dir(spark).removeprefix("file:"), []
+    monkeypatch.setattr(jobs, "LINES_OF_ROUND", 3)
+    monkeypatch.setattr(jobs, "changed_checks", lambda check, *more, **named: rounds.append(check.count()) or changed_checks(check, *more, **named))
+    for moment in (NOW, NOW + timedelta(hours=2)):
+        checks = [(c, 10_000_000, datetime(2017, 1, c), True, 1) for c in range(1, 10) if (c < 6) == (moment == NOW)]
+        lines = spark.createDataFrame([x for x in sold if (x[1] < 6) == (moment == NOW)], "product_id long, check_id long, price double, cnt double")
+        east.append("check", stamp(spark.createDataFrame(
+            checks, "check_id long, card_id long, check_date timestamp_ntz, payed boolean, payment_form int"), moment))
+        east.append("line", stamp(lines, moment))
+        before = set(os.listdir(folder))
+        jobs.pull_changes(warehouse, {"east": east})
+        assert set(os.listdir(folder)) == before
+    assert len(rounds) == 2 + 4 and sum(rounds[:2]) == 5 and sum(rounds[2:]) == 9
+    assert shown(warehouse.read("sale_fact").select("product_id", "check_id", "price", "cnt")) == sorted(sold)
